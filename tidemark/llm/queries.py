@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, quality_rules
+from tidemark.llm import mixing, quality_crf, quality_rules
 from tidemark.llm.common import read
 
 
@@ -20,10 +20,15 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op10_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_crf.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_mix_sources": op3_mix_sources,
         "op7_quality_rules": op7_quality_rules,
+        "op10_quality_crf": op10_quality_crf,
     }
 
 
