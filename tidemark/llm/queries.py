@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, quality_crf, quality_rules
+from tidemark.llm import decontaminate, licenses, mixing, quality_crf, quality_rules
 from tidemark.llm.common import read
 
 
@@ -15,6 +15,14 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = quality_rules.judge(read(spark, sf_dir, "documents"))
     return d.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -27,6 +35,8 @@ def op10_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_mix_sources": op3_mix_sources,
+        "op4_decontaminate": op4_decontaminate,
+        "op5_license_scan": op5_license_scan,
         "op7_quality_rules": op7_quality_rules,
         "op10_quality_crf": op10_quality_crf,
     }
