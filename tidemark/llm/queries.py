@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, licenses, mixing, quality_crf, quality_rules
+from tidemark.llm import chat, decontaminate, licenses, mixing, quality_crf, quality_rules
 from tidemark.llm.common import read
 
 
@@ -23,6 +23,13 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read(spark, sf_dir, "documents"))
 
 
+def op6_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    c = read(spark, sf_dir, "conversations").selectExpr("cast(conv_id as bigint) conv_id", "cast(turn as bigint) turn", "role", "text")
+    own = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat.read_back(*chat.pack(c.unionByName(own)))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = quality_rules.judge(read(spark, sf_dir, "documents"))
     return d.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -37,6 +44,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_mix_sources": op3_mix_sources,
         "op4_decontaminate": op4_decontaminate,
         "op5_license_scan": op5_license_scan,
+        "op6_chat_tree": op6_chat_tree,
         "op7_quality_rules": op7_quality_rules,
         "op10_quality_crf": op10_quality_crf,
     }
