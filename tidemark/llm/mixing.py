@@ -25,7 +25,7 @@ class Params:
     #: No source gives more than so many times its size.
     max_epochs: int = 2
     seed: int = 42
-    bucket_rows: int = 20_000
+    bucket_rows: int = 5_000
 
 
 def targets(sizes: DataFrame, p: Params = Params()) -> DataFrame:
