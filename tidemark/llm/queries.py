@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, decontaminate, html_extract, licenses, mixing, quality_crf, quality_rules
+from tidemark.llm import chat, decontaminate, html_extract, licenses, mixing, ngram_join, quality_crf, quality_rules
 from tidemark.llm.common import read
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(read(spark, sf_dir, "documents"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = mixing.mix(read(spark, sf_dir, "documents"))
     return d.select("doc_id", "size", "source_size", "target", "taken", "source")
@@ -45,6 +49,7 @@ def op10_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
         "op3_mix_sources": op3_mix_sources,
         "op4_decontaminate": op4_decontaminate,
         "op5_license_scan": op5_license_scan,
