@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, decontaminate, html_extract, licenses, mixing, ngram_join, quality_crf, quality_rules
+from tidemark.llm import chat, decontaminate, html_extract, licenses, mixing, ngram_join, pii, quality_crf, quality_rules
 from tidemark.llm.common import read
 
 
@@ -39,6 +39,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(read(spark, sf_dir, "documents"))
+
+
 def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.main_text(read(spark, sf_dir, "pages"))
 
@@ -55,6 +59,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_license_scan": op5_license_scan,
         "op6_chat_tree": op6_chat_tree,
         "op7_quality_rules": op7_quality_rules,
+        "op8_pii": op8_pii,
         "op9_html_extract": op9_html_extract,
         "op10_quality_crf": op10_quality_crf,
     }
