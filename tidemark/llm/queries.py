@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, decontaminate, html_extract, licenses, mixing, ngram_join, pii, quality_crf, quality_rules
+from tidemark.llm import chat, decontaminate, html_extract, licenses, mixing, ngram_join, pii, quality_crf, quality_rules, suffix_dedup
 from tidemark.llm.common import read
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(read(spark, sf_dir, "documents"))
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(read(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ def op10_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_suffix_dedup": op1_suffix_dedup,
         "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
         "op3_mix_sources": op3_mix_sources,
         "op4_decontaminate": op4_decontaminate,
