@@ -1,16 +1,58 @@
-"""The corpus pipeline: five stages over documents, each written as Parquet and read again."""
+"""The corpus pipeline: five stages over documents, each written as Parquet and read again.
+
+A stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept. All but the last return the columns
+of docs; the last returns the mix: a row for each document and epoch that it takes, with the words taken.
+"""
 
 from __future__ import annotations
 
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.llm import decontaminate, mixing, ngram_join, pii, quality_crf
 from tidemark.llm.common import read, shared_dir
 
-STAGES: list = []
 
-#: Two stages learn from the data, which SQL can't express; tests/llm compares run() with a brute-force version.
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the line classifier accepts."""
+    return quality_crf.filtered(docs, read(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of each group; rows without an id are no one's copies. Repeated rows are one."""
+    cols = docs.columns
+    keep = ngram_join.join(docs).filter("doc_id = component_id").select("doc_id").distinct()
+    first = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return first.select(*cols).unionByName(docs.filter("doc_id is null"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark passage."""
+    return decontaminate.clean(docs, read(spark, sf_dir, "benchmark"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data generalised or removed from their texts."""
+    return pii.sanitise(docs)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What the mix of sources takes."""
+    return mixing.emit(docs)
+
+
+STAGES = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("personal_data", personal_data),
+    ("mixture", mixture),
+]
+
+#: The classifier is learnt and links are transitive, which SQL can't express; tests/llm compares the stages with
+#: brute-force versions.
 ORACLE_SQL = None
 
 

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise, n_words
+from tidemark.llm.common import materialise, n_words, words
 
 
 @dataclass(frozen=True)
@@ -92,13 +92,12 @@ def mix(docs: DataFrame, p: Params = Params(), text: str = "text") -> DataFrame:
 
 
 def emit(docs: DataFrame, p: Params = Params(), text: str = "text") -> DataFrame:
-    """The mix itself: the rows of docs that it takes, once an epoch (column epoch, from 0), with the words taken
-    of each; the document at the cut has its first words only, joined by blanks."""
-    part = mix(docs, p, text).select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("taken").alias("_taken"))
-    part = part.filter(F.col("_taken") > 0).distinct()
-    d = docs.join(part, F.col("doc_id") == F.col("_id"))
+    """The mix itself: the rows of docs that it takes, once an epoch, with the columns epoch (from 0) and words (taken in
+    that epoch). The document at a source's cut has its first words only, joined by blanks. doc_id tells rows apart;
+    of rows that share one, all are taken as often as the first."""
+    part = mix(docs, p, text).filter("taken > 0").groupBy(F.col("doc_id").alias("_id")).agg(F.max("size").alias("_size"), F.max("taken").alias("_taken"))
+    d = docs.join(part, F.col("doc_id").eqNullSafe(F.col("_id")))
     d = d.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.floor((F.col("_taken") - 1) / F.col("_size")).cast("int"))))
     here = F.least(F.col("_size"), F.col("_taken") - F.col("epoch") * F.col("_size")).cast("int")
-    w = F.split(F.btrim(text, F.lit(" \t\n\x0b\x0c\r")), r"[\x20\x09-\x0D]+")
-    d = d.withColumn(text, F.when(here == F.col("_size"), F.col(text)).otherwise(F.array_join(F.slice(w, 1, here), " ")))
-    return d.drop("_id", "_size", "_taken")
+    first = F.array_join(F.slice(words(F.col(text)), 1, here), " ")
+    return d.withColumn(text, F.when(here == F.col("_size"), F.col(text)).otherwise(first)).withColumn("words", here.cast("long")).drop("_id", "_size", "_taken")
