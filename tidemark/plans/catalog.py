@@ -1,11 +1,302 @@
-"""Registered queries over the test tables, and their DuckDB equivalents."""
+"""Registered queries over the test tables, and their DuckDB equivalents. Nested results are flattened for comparison."""
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark import store
+from tidemark.functions import text as tx
+from tidemark.operators import decide
+from tidemark.operators import definitions as df
+from tidemark.plans import fixture, outputs, sinks
+from tidemark.sources import paths, tables
 
-def oracle_sql() -> dict:
-    return {}
+EXEC, BY, STAGE = "pe-1", "tidemark", "SCAN"
+
+FEATURE_PARTITION = "2026-08-16"
+
+
+def _ts():
+    return F.to_timestamp(F.lit("2026-08-16 10:00:00"))
+
+
+def view_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = [tables.view_rows(fixture.view(spark, sf_dir), f"part-{s}", FEATURE_PARTITION, "proc-1") for s in ("docs", "conv")]
+    return tables.union_views(parts)
+
+
+_results: dict[tuple[str, str], tuple[outputs.Result, DataFrame]] = {}
+
+
+def evaluated(spark: SparkSession, sf_dir: str) -> tuple[outputs.Result, DataFrame]:
+    """The evaluation that the result tables share, once for each session and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _results:
+        view = view_of(spark, sf_dir)
+        r = outputs.evaluate(fixture.messages(spark, sf_dir), view, store.materialise(fixture.terms(spark), "terms"), fixture.expressions())
+        _results[key] = r, store.materialise(decide.members(view), "members")
+    return _results[key]
+
+
+def view_filter(spark, sf_dir):
+    d = tables.view_rows(fixture.view(spark, sf_dir, "docs"), "part-docs", FEATURE_PARTITION, "proc-1")
+    return d.groupBy("feature_id", "feature_type").agg(F.count(F.lit(1)).alias("n"), F.min("message_id").alias("first_id"))
+
+
+def view_union(spark, sf_dir):
+    return view_of(spark, sf_dir).groupBy("dataset_partition", "process_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("message_id").alias("messages"))
+
+
+def relevant_messages(spark, sf_dir):
+    d = tables.relevant(fixture.messages(spark, sf_dir), view_of(spark, sf_dir))
+    return d.select("message_id", "dataset_id", "restricted", F.length("message.content.raw_text").cast("long").alias("n_chars"), F.size("attachments").cast("long").alias("n_attachments"))
+
+
+def group_view(spark, sf_dir):
+    d = tables.one_row_a_message(view_of(spark, sf_dir))
+    return d.select("message_id", F.size("features").cast("long").alias("n"), F.array_join(F.transform("features", lambda x: F.concat_ws(":", x["feature_id"], x["features_to_apply"])), ",").alias("members"))
+
+
+def latest_folder(spark, sf_dir):
+    n = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.concat(F.date_format("o_orderdate", "yyyyMMdd"), F.lit("_"), (F.col("o_orderkey") % 7).cast("string")).alias("name"))
+    return paths.latest_folder(n, "3")
+
+
+def feature_definition_json(spark, sf_dir):
+    v = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("k"))
+    j = F.concat(F.lit('{"featureName":"f","x":[1],"body":{"feature":"lex-'), F.col("k") % 9, F.lit('","totalTermsCount":'), F.col("k") % 5, F.lit(',"scope":["Subject","MESSAGE body"]}}'))
+    j = F.when(F.col("k") % 11 == 0, F.lit("{bad")).when(F.col("k") % 11 == 1, F.lit(" ")).when(F.col("k") % 11 == 2, F.lit('{"body":{"totalTermsCount":3}}')).when(F.col("k") % 11 == 3, F.lit(None)).otherwise(j)
+    d = df.with_definition(v.withColumn("feature_definition", j))
+    ok = F.col("definition_error").isNull()
+    return d.select("k", F.when(ok, F.col("feature")).alias("feature"), F.when(ok, F.col("total_terms")).alias("total_terms"), F.array_join("scope", "|").alias("scope"), (~ok).alias("bad"))
+
+
+def scope_predicate(spark, sf_dir):
+    m = decide.members(view_of(spark, sf_dir))
+    return m.groupBy("features_to_apply").agg(*(F.count_if(df.has_scope(F.col("scope"), s)).alias(a.lower()) for a, s in decide.AREAS.items()))
+
+
+def attachment_size(spark, sf_dir):
+    d = decide.areas(fixture.messages(spark, sf_dir), 300)
+    return d.groupBy("area").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).cast("long").alias("bytes"))
+
+
+def html_strip(spark, sf_dir):
+    p = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return p.select("page_id", F.md5(tx.strip_markup(F.col("html"))).alias("stripped_md5"), F.length(tx.strip_markup(F.col("html"))).cast("long").alias("n"))
+
+
+def literal_positions(spark, sf_dir):
+    d = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return tx.literal_positions(d, "license").select("doc_id", F.col("start").cast("long").alias("start_pos"), F.col("end").cast("long").alias("end_pos"))
+
+
+def term_metadata(spark, sf_dir):
+    return fixture.terms(spark).select("feature", F.col("term_number").cast("long").alias("term_number"), "term_id", "pattern", F.array_join(F.col("required").cast("array<string>"), ",").alias("required"), F.array_join(F.col("excluded").cast("array<string>"), ",").alias("excluded"))
+
+
+def and_not(spark, sf_dir):
+    r, m = evaluated(spark, sf_dir)
+    return r.found.filter("feature = 'lex_token'").groupBy("message_id", "term_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def group_hit(spark, sf_dir):
+    r, _ = evaluated(spark, sf_dir)
+    return r.groups.groupBy("feature_id", "hit").agg(F.count(F.lit(1)).alias("n"))
+
+
+def category_order(spark, sf_dir):
+    g = decide.grouped(decide.members(view_of(spark, sf_dir)))
+    return g.select("message_id", "feature_id", F.col("category").cast("long").alias("category"), F.col("ord").cast("long").alias("ord"), F.col("group_error").isNotNull().alias("bad"))
+
+
+def short_circuit(spark, sf_dir):
+    r, _ = evaluated(spark, sf_dir)
+    return r.groups.groupBy("message_id").agg(F.max("short_circuited").alias("short_circuited"), F.count(F.lit(1)).alias("n_groups"))
+
+
+def suppression(spark, sf_dir):
+    r, m = evaluated(spark, sf_dir)
+    d = outputs.final_matches(r, m).filter("feature_id = '3'")
+    return d.select("message_id", "area", "attachment_id", F.col("start").cast("long").alias("start_pos"), F.col("end").cast("long").alias("end_pos"))
+
+
+def hit_summary(spark, sf_dir):
+    r, m = evaluated(spark, sf_dir)
+    d = outputs.hit_summary(r, m, EXEC, BY, _ts()).select("message_id", "process_id", F.explode("evaluated_lexicons").alias("e"), "created_ts")
+    return d.select("message_id", "process_id", F.col("e.id").alias("id"), F.col("e.name").alias("name"), F.col("e.total_terms_count").alias("total_terms"), F.col("e.regex_hit_count").alias("n_terms"), F.explode_outer("e.term_dtls").alias("t"), "created_ts").select("message_id", "process_id", "id", "name", "total_terms", "n_terms", F.col("t.term_id").alias("term_id"), F.col("t.term_regex_pattern").alias("pattern"), F.col("t.regex_match_hit_count").alias("hits"), "created_ts")
+
+
+def _detail(spark, sf_dir, restricted):
+    r, m = evaluated(spark, sf_dir)
+    d = outputs.hit_detail(r, m, EXEC, BY, _ts()).filter(F.col("restricted") == restricted)
+    d = d.select("message_id", "dataset_partition_value", F.explode("evaluated_lexicons").alias("e")).select("message_id", "dataset_partition_value", F.col("e.id").alias("id"), F.explode("e.term_dtls").alias("t"))
+    hit = "array<struct<text:string,start:bigint,length:bigint>>"
+    j = F.from_json("t.matched_text", f"hit_details_hs array<struct<message_id:string,msg_text:{hit},subject:{hit},attachment_text:array<struct<attachment_id:string,att_text:{hit}>>>>")["hit_details_hs"][0]
+    d = d.withColumn("j", j)
+    part = lambda area, col: d.select("message_id", "dataset_partition_value", "id", F.col("t.term_id").alias("term_id"), F.lit(area).alias("area"), F.lit(None).cast("string").alias("attachment_id"), F.explode(col).alias("x"))
+    a = d.select("message_id", "dataset_partition_value", "id", F.col("t.term_id").alias("term_id"), F.lit("ATTACHMENT").alias("area"), F.explode("j.attachment_text").alias("a"))
+    a = a.select("message_id", "dataset_partition_value", "id", "term_id", "area", "a.attachment_id", F.explode("a.att_text").alias("x"))
+    every = part("MESSAGE_BODY", "j.msg_text").unionByName(part("SUBJECT", "j.subject")).unionByName(a)
+    return every.select("message_id", "dataset_partition_value", "id", "term_id", "area", "attachment_id", F.lower("x.text").alias("said"), F.col("x.start").alias("start_pos"), F.col("x.length").alias("length"))
+
+
+def hit_detail_restricted(spark, sf_dir):
+    return _detail(spark, sf_dir, True)
+
+
+def hit_detail_unrestricted(spark, sf_dir):
+    return _detail(spark, sf_dir, False)
+
+
+def feature_hit_summary(spark, sf_dir):
+    r, _ = evaluated(spark, sf_dir)
+    d = outputs.feature_hit_summary(r, F.lit("tag"), EXEC, BY, _ts()).select("message_id", "dataset_partition_value", "feature_hit_type", F.explode("features").alias("f"))
+    sub = F.array_join(F.transform(F.coalesce("f.sub_features", F.array().cast("array<struct<type:string,name:string,hit_status:boolean>>")), lambda x: F.concat_ws(":", x["name"], x["hit_status"].cast("string"))), ",")
+    return d.select("message_id", "dataset_partition_value", "feature_hit_type", F.col("f.id").alias("id"), F.col("f.name").alias("name"), F.col("f.type").alias("type"), F.col("f.is_noise_reduction").alias("is_nr"), F.col("f.hit_status").alias("hit"), sub.alias("subs"))
+
+
+def record_audit(spark, sf_dir):
+    r, _ = evaluated(spark, sf_dir)
+    return outputs.record_audit(r, "policy-alert-live", EXEC, STAGE, BY, F.to_date(F.lit("2026-08-16")), _ts())
+
+
+def stage_audit(spark, sf_dir):
+    t = dt.datetime(2026, 8, 16, 10)
+    rows = [sinks.stage_row(spark, "proc-1", "policy-alert-live", EXEC, STAGE, s, t, e, None, None, t.date()) for s, e in (("IN_PROGRESS", None), ("SUCCESS", t + dt.timedelta(minutes=5)))]
+    return rows[0].unionByName(rows[1])
+
+
+def csv_mirror(spark, sf_dir):
+    r, m = evaluated(spark, sf_dir)
+    return outputs.csv_mirror(outputs.hit_detail(r, m, EXEC, BY, _ts()))
+
+
+def union_messages(spark, sf_dir):
+    m = fixture.messages(spark, sf_dir)
+    d = tables.union_messages([m.filter("dataset_id = 'docs'"), m.filter("dataset_id = 'conv'").drop("channel")])
+    return d.groupBy("dataset_id", "channel").agg(F.count(F.lit(1)).alias("n"))
+
+
+def regex_all_ends(spark, sf_dir):
+    """Patterns of variable length: every end counts."""
+    e = [tx.Expression("f", 1, r"th\w{1,3}d"), tx.Expression("f", 2, r"\d{4,6}"), tx.Expression("f", 3, "mit\x00license", kind="combination")]
+    a = decide.areas(fixture.messages(spark, sf_dir)).withColumn("features", F.array(F.lit("f")))
+    return tx.scan(a, e)
+
+
+_ALL = [
+    view_filter, view_union, relevant_messages, group_view, latest_folder, feature_definition_json, scope_predicate, attachment_size, html_strip, literal_positions, term_metadata, and_not,
+    group_hit, category_order, short_circuit, suppression, hit_summary, hit_detail_restricted, hit_detail_unrestricted, feature_hit_summary, record_audit, stage_audit, csv_mirror, union_messages, regex_all_ends,
+]
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {f.__name__: f for f in _ALL}
+
+
+# --- DuckDB ------------------------------------------------------------------------------------------------------
+
+_WS = r"[\t\n\x0b\x0c\r\x1c-\x1f \x{1680}\x{2000}-\x{2006}\x{2008}-\x{200a}\x{2028}\x{2029}\x{205f}\x{3000}]"
+_RUN = rf"(?:<[^>]*>|{_WS})+"
+_MESSAGES = """msgs AS (
+  SELECT 'd' || doc_id AS message_id, doc_id AS n, 'docs' AS ds, doc_id % 2 = 0 AS restricted, text AS body, split_part(text, chr(10), 1) AS subject, lang AS channel FROM documents
+  UNION ALL SELECT 'c' || conv_id, conv_id, 'conv', conv_id % 2 = 0, max(CASE WHEN turn = 0 THEN text END), NULL, NULL FROM conversations GROUP BY conv_id),
+atts AS (SELECT 'c' || conv_id AS message_id, 'c' || conv_id || '-' || turn AS attachment_id, text FROM conversations WHERE turn > 0),
+areas AS (SELECT * FROM (
+  SELECT message_id, 'SUBJECT' AS area, NULL AS attachment_id, subject AS text FROM msgs UNION ALL SELECT message_id, 'MESSAGE_BODY', NULL, body FROM msgs
+  UNION ALL SELECT message_id, 'ATTACHMENT', attachment_id, text FROM atts) WHERE trim(coalesce(text, '')) <> '')"""
+
+
+def _view_sql() -> str:
+    rows = []
+    for fid, ftype, nr, op, name, members in fixture.FEATURES:
+        for k, (_, feature, total, scope) in enumerate(members):
+            has = ", ".join(str(s in [x.lower() for x in scope]).lower() for s in decide.AREAS.values())
+            cat = 0 if nr == "Y" else 1 if ftype.lower() == "disclaimer" else 2
+            rows.append(f"('{fid}', '{ftype}', '{nr}', {f"'{op}'" if op else 'NULL'}, '{name}', '{feature}', {total}, {len(members)}, {k}, {cat}, {has})")
+    return (
+        "feats(feature_id, feature_type, nr, op, name, feature, total, n_members, k, category, in_subject, in_body, in_att) AS (VALUES " + ", ".join(rows) + "),\n"
+        "view_all AS (SELECT m.message_id, m.n, m.ds, CASE WHEN m.ds = 'docs' AND m.n % 10 = 9 THEN 'proc-2' ELSE 'proc-1' END AS process_id, 'part-' || m.ds AS dataset_partition, "
+        "f.*, f.feature_id = '5' AND m.ds = 'docs' AND m.n % 97 = 5 AS lost FROM msgs m CROSS JOIN feats f),\n"
+        "v AS (SELECT * FROM view_all WHERE process_id = 'proc-1')"
+    )
+
+
+def _scan_sql() -> str:
+    parts = []
+    for f, i, p in fixture.EXPRESSIONS:
+        pattern = "(?i)" + p.replace(" ", _RUN)
+        parts.append(
+            f"SELECT message_id, area, attachment_id, '{f}' AS feature, {i} AS expr, ms, pc, unnest(range(1, len(ms) + 1)) AS i FROM (SELECT *, regexp_extract_all(text, '{pattern}') AS ms, "
+            f"string_split_regex(text, '{pattern}') AS pc FROM areas WHERE regexp_matches(text, '{pattern}'))"
+        )
+    return (
+        "hits_ AS (" + "\nUNION ALL ".join(parts) + "),\n"
+        "raw AS (SELECT message_id, area, attachment_id, feature, expr, ms[i] AS said, CAST(list_sum(list_transform(pc[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s, "
+        "length(ms[i]) AS len FROM hits_),\n"
+        # matches of each member within its scope; failed messages have none
+        "ok AS (SELECT message_id FROM v GROUP BY message_id HAVING NOT bool_or(lost)),\n"
+        "mm AS (SELECT v.message_id, v.feature_id, v.category, r.* EXCLUDE (message_id) FROM v JOIN ok USING (message_id) JOIN raw r ON r.message_id = v.message_id AND r.feature = v.feature "
+        "WHERE CASE r.area WHEN 'SUBJECT' THEN in_subject WHEN 'MESSAGE_BODY' THEN in_body ELSE in_att END),\n"
+        "stopped AS (SELECT DISTINCT message_id FROM mm WHERE category = 0),\n"
+        "found AS (SELECT * FROM mm WHERE expr <> 11 AND NOT (feature = 'lex_token' AND EXISTS (SELECT 1 FROM mm x WHERE x.message_id = mm.message_id AND x.feature = 'lex_token' AND x.expr = 11)) "
+        "AND (category = 0 OR message_id NOT IN (SELECT message_id FROM stopped))),\n"
+        "mem AS (SELECT v.*, EXISTS (SELECT 1 FROM found f WHERE f.message_id = v.message_id AND f.feature_id = v.feature_id AND f.feature = v.feature) AS hit FROM v JOIN ok USING (message_id)),\n"
+        "grp AS (SELECT message_id, any_value(ds) AS ds, feature_id, any_value(feature_type) AS feature_type, any_value(nr) AS nr, any_value(name) AS name, any_value(category) AS category, sum(total) AS total, any_value(n_members) AS n_members, "
+        "CASE WHEN upper(any_value(op)) = 'AND' THEN bool_and(hit) ELSE bool_or(hit) END AS hit, string_agg(feature || ':' || CASE WHEN hit THEN 'true' ELSE 'false' END, ',' ORDER BY feature) AS subs FROM mem GROUP BY message_id, feature_id),\n"
+        "ev AS (SELECT g.* FROM grp g WHERE category = 0 OR message_id NOT IN (SELECT message_id FROM stopped)),\n"
+        "fin AS (SELECT * FROM found l WHERE category = 2 AND NOT EXISTS (SELECT 1 FROM found d WHERE d.category = 1 AND d.message_id = l.message_id AND d.area = l.area AND d.attachment_id IS NOT DISTINCT FROM l.attachment_id "
+        "AND d.s <= l.s AND l.s + l.len <= d.s + d.len))"
+    )
+
+
+def _detail_sql(restricted: bool) -> str:
+    return (
+        f"SELECT f.message_id, m.ds AS dataset_partition_value, f.feature_id AS id, f.feature || '::' || t.n AS term_id, f.area, f.attachment_id, lower(regexp_replace(f.said, '{_RUN}', ' ', 'g')) AS said, "
+        f"f.s AS start_pos, CAST(f.len AS BIGINT) AS length FROM fin f JOIN msgs m USING (message_id) JOIN terms t ON t.feature = f.feature WHERE m.restricted = {str(restricted).lower()}"
+    )
+
+
+def oracle_sql() -> dict[str, str]:
+    terms = "terms(feature, n, shown) AS (VALUES " + ", ".join(f"('{f}', {n}, '{' & '.join(shown)}')" for f, n, _, _, shown in fixture.TERMS) + ")"
+    base = f"WITH {_MESSAGES},\n{_view_sql()}"
+    full = f"{base},\n{_scan_sql()},\n{terms}\n"
+    run = _RUN.replace("'", "''")
+    required = ", ".join(f"('{f}', CAST({n} AS BIGINT), '{f}::{n}', '{' & '.join(shown)}', '{','.join(map(str, req))}', '{','.join(map(str, exc))}')" for f, n, req, exc, shown in fixture.TERMS)
+    ts = "TIMESTAMPTZ '2026-08-16 10:00:00+00'"
+    return {
+        "view_filter": f"{base} SELECT feature_id, feature_type, count(*) AS n, min(message_id) AS first_id FROM v WHERE ds = 'docs' GROUP BY ALL",
+        "view_union": f"{base} SELECT dataset_partition, process_id, count(*) AS n, count(DISTINCT message_id) AS messages FROM v GROUP BY ALL",
+        "relevant_messages": f"{base} SELECT message_id, ds AS dataset_id, restricted, length(body) AS n_chars, (SELECT count(*) FROM atts a WHERE a.message_id = m.message_id) AS n_attachments FROM msgs m WHERE message_id IN (SELECT message_id FROM v)",
+        "group_view": f"{base} SELECT message_id, count(*) AS n, string_agg(feature_id || ':' || feature, ',' ORDER BY feature_id, feature_type, feature) AS members FROM v GROUP BY message_id",
+        "latest_folder": "SELECT max(name) AS folder FROM (SELECT strftime(o_orderdate, '%Y%m%d') || '_' || (o_orderkey % 7) AS name FROM orders) WHERE name LIKE '%\\_3' ESCAPE '\\'",
+        "feature_definition_json": "SELECT c_custkey AS k, CASE WHEN NOT bad THEN 'lex-' || (c_custkey % 9) END AS feature, CASE WHEN NOT bad THEN c_custkey % 5 END AS total_terms, CASE WHEN NOT bad THEN 'subject|message body' END AS scope, bad FROM (SELECT *, c_custkey % 11 IN (0, 1, 2, 3) AS bad FROM customer)",
+        "scope_predicate": f"{base} SELECT feature AS features_to_apply, count_if(in_subject) AS subject, count_if(in_body) AS message_body, count_if(in_att) AS attachment FROM v GROUP BY feature",
+        "attachment_size": f"{base} SELECT area, count(*) AS n, CAST(sum(strlen(text)) AS BIGINT) AS bytes FROM areas WHERE area <> 'ATTACHMENT' OR strlen(text) <= 300 GROUP BY area",
+        "html_strip": f"SELECT page_id, md5(x) AS stripped_md5, length(x) AS n FROM (SELECT page_id, regexp_replace(coalesce(html, ''), '{run}', ' ', 'g') AS x FROM pages)",
+        "literal_positions": "SELECT doc_id, CAST(list_sum(list_transform(pc[1:i], lambda x: length(x))) + (i - 1) * 7 AS BIGINT) AS start_pos, CAST(list_sum(list_transform(pc[1:i], lambda x: length(x))) + i * 7 AS BIGINT) AS end_pos FROM "
+        "(SELECT doc_id, string_split_regex(text, '(?i)license') AS pc, unnest(range(1, len(regexp_extract_all(text, '(?i)license')) + 1)) AS i FROM documents WHERE regexp_matches(text, '(?i)license'))",
+        "term_metadata": f"SELECT * FROM (VALUES {required}) t(feature, term_number, term_id, pattern, required, excluded)",
+        "and_not": f"{full} SELECT message_id, 'lex_token::3' AS term_id, count(*) AS n FROM found WHERE feature = 'lex_token' GROUP BY message_id",
+        "group_hit": f"{full} SELECT feature_id, hit, count(*) AS n FROM ev GROUP BY ALL",
+        "category_order": f"{base} SELECT message_id, feature_id, CAST(any_value(category) AS BIGINT) AS category, row_number() OVER (PARTITION BY message_id ORDER BY any_value(category), feature_id) AS ord, bool_or(lost) AS bad FROM v GROUP BY message_id, feature_id",
+        "short_circuit": f"{full} SELECT message_id, message_id IN (SELECT message_id FROM stopped) AS short_circuited, count(*) AS n_groups FROM ev GROUP BY message_id",
+        "suppression": f"{full} SELECT message_id, area, attachment_id, s AS start_pos, s + len AS end_pos FROM fin WHERE feature_id = '3'",
+        "hit_summary": f"{full} SELECT e.message_id, 'proc-1' AS process_id, e.feature_id AS id, e.name, CAST(e.total AS BIGINT) AS total_terms, (SELECT count(DISTINCT feature) FROM found f WHERE f.message_id = e.message_id AND f.feature_id = e.feature_id) AS n_terms, "
+        f"x.feature || '::' || t.n AS term_id, CASE WHEN t.shown = '' THEN x.said ELSE t.shown END AS pattern, x.hits, {ts} AS created_ts FROM ev e LEFT JOIN (SELECT message_id, feature_id, feature, count(*) AS hits, "
+        "arg_min(said, (CASE area WHEN 'SUBJECT' THEN 0 WHEN 'MESSAGE_BODY' THEN 1 ELSE 2 END, coalesce(attachment_id, ''), s)) AS said FROM found GROUP BY ALL) x USING (message_id, feature_id) LEFT JOIN terms t ON t.feature = x.feature",
+        "hit_detail_restricted": full + _detail_sql(True),
+        "hit_detail_unrestricted": full + _detail_sql(False),
+        "feature_hit_summary": f"{full} SELECT message_id, ds AS dataset_partition_value, 'tag' AS feature_hit_type, CAST(feature_id AS BIGINT) AS id, name, feature_type AS type, nr = 'Y' AS is_nr, hit, CASE WHEN n_members > 1 THEN subs ELSE '' END AS subs FROM ev",
+        "record_audit": f"{base} SELECT DISTINCT process_id, 'policy-alert-live' AS trigger_type, 'pe-1' AS pipelinex_exec_id, 'SCAN' AS stage_name, message_id AS record_id, 'FAILED' AS status, CAST(1 AS INTEGER) AS return_code, "
+        f"'several members without an operator' AS error_message, DATE '2026-08-16' AS execution_date, 'tidemark' AS created_by, {ts} AS created_ts FROM v WHERE lost",
+        "stage_audit": f"SELECT 'proc-1' AS process_id, 'policy-alert-live' AS trigger_type, 'pe-1' AS pipelinex_exec_id, 'SCAN' AS stage_name, CAST(NULL AS VARCHAR) AS composer_dag_name, CAST(NULL AS VARCHAR) AS composer_dag_path, "
+        f"CAST(NULL AS VARCHAR) AS dproc_dag_name, CAST(NULL AS VARCHAR) AS dproc_dag_path, {ts} AS start_time, e AS end_time, s AS job_status, CAST(NULL AS VARCHAR) AS error_count, CAST(NULL AS VARCHAR) AS error_message, "
+        f"CAST(NULL AS VARCHAR) AS additional_info, DATE '2026-08-16' AS execution_date FROM (VALUES ('IN_PROGRESS', CAST(NULL AS TIMESTAMPTZ)), ('SUCCESS', TIMESTAMPTZ '2026-08-16 10:05:00+00')) t(s, e)",
+        "union_messages": f"{base} SELECT ds AS dataset_id, channel, count(*) AS n FROM msgs GROUP BY ALL",
+    }
