@@ -5,20 +5,23 @@ count, read from a count sketch of fixed size over all documents, then by hash.
 
 Candidates. Two sets with Jaccard similarity t or more share an n-gram among the first (1 - t) * size + 1 of each, in
 the global order. Only these prefixes are shuffled, as packed arrays, one for each task and range of hashes. Sets that
-are equal form a class and count as one. In each group of classes with a common prefix n-gram, candidates are not
-paired one with another: each is paired with the group's pivot.
-
-Verification. Each class's n-grams are split by fragment; for every candidate pair the overlaps of its fragments are
-counted separately and summed, and the pair is a link if the sum reaches the threshold.
-
-Closure. Classes that are linked belong together. A group all of whose classes belong together is done. In the others,
-what remains is every pair of classes of different components with a common prefix n-gram, unless sizes or the
-triangle inequality of Jaccard distances to the group's pivot rule the link out; these are verified too, so that
-no link that joins components is lost.
+are equal form a class and count as one. The classes with a common prefix n-gram form a group, cut where sizes are too
+far apart for a link; n-grams with the same group give it once. Each member knows the group's pivot (the class of the
+least hash) and the next member by size. A bitmap of each class, the parity of its n-grams in as many bits as it has n-grams
+about, bounds every pair's difference from below: pairs that it rules out are not looked at.
+
+Verification. The n-grams of the classes in question are split by fragment; for every candidate pair the overlaps of its
+fragments are counted separately and summed, and the pair is a link if the sum reaches the threshold.
+
+Rounds. First each class is paired with one pivot, so that a group of thousands of near copies takes as many pairs as it
+has members. Then members are paired with the other pivots and their neighbours, where these are of another component
+still. Last, every pair of different components with a common prefix n-gram that sizes and bitmaps allow is verified,
+so that no link that joins components is lost.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks, materialise, mix64, shingle_hashes, word_hashes
+from tidemark.llm.common import chunks, drop_table, materialise, mix64, shingle_hashes, word_hashes
 from tidemark.llm.graph import components
 
 
@@ -37,7 +40,9 @@ class Params:
     #: Least similarity, in hundredths.
     percent: int = 80
     fragments: int = 8
-    sketch_bits: int = 18
+    sketch_bits: int = 22
+    #: Tables of so many ids at most are sent to all tasks; larger ones are shuffled.
+    broadcast_ids: int = 200_000
 
 
 _U = np.uint64
@@ -60,41 +65,60 @@ def _sets(raws: list[bytes], p: Params) -> tuple[np.ndarray, np.ndarray, np.ndar
     return h, d, n, mix64(fp + n.astype(_U))
 
 
-def count_sketch(docs: DataFrame, p: Params = Params()) -> np.ndarray:
-    """The magnitude of each n-gram's document count, in a table of 2**sketch_bits cells: 0 for cells near the mean
-    or below, else the power of two above it. Exact counts of all n-grams go into the cells; the size is fixed."""
-    cells, pieces = 1 << p.sketch_bits, 16
+@dataclass
+class Order:
+    """The global n-gram order: a level for each sketch cell, and where each level begins, as a share of all n-grams."""
+
+    level: np.ndarray
+    begin: np.ndarray
+    share: np.ndarray
+
+    def places(self, h: np.ndarray) -> np.ndarray:
+        """Each n-gram's place in the order, as a number: level, then hash."""
+        bits = int(np.log2(len(self.level)))
+        level = self.level[(h >> _U(64 - bits)).astype(np.int64)].astype(_U)
+        return (level << _U(58)) | (mix64(h ^ _U(0x2545F4914F6CDD1D)) >> _U(6))
+
+    def fragment(self, place: np.ndarray, n: int) -> np.ndarray:
+        """Which of n ranges of the order, of about as many n-grams each, a place lies in."""
+        level = (place >> _U(58)).astype(np.int64)
+        within = (place & _U((1 << 58) - 1)).astype(float) / 2.0**58
+        return np.minimum(((self.begin[level] + self.share[level] * within) * n).astype(np.int64), n - 1)
+
+
+def global_order(docs: DataFrame, p: Params = Params()) -> Order:
+    """The order, from the document counts of all n-grams, summed up in 2**sketch_bits cells. A cell's level is the
+    magnitude of what its count has beyond half the mean. The size is fixed, whatever the number of documents."""
+    cells, pieces = 1 << p.sketch_bits, 64
+
+    def pack(total: np.ndarray, which) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(which), pa.int32()), pa.array([zlib.compress(x.tobytes(), 1) for x in total], pa.binary())], ["piece", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(cells, np.int64)
         for b in batches:
             for _, raws in chunks([None] * b.num_rows, b.column(0).to_pylist()):
                 h, _, _, _ = _sets(raws, p)
-                total += np.bincount((h >> _U(64 - p.sketch_bits)).astype(np.int64), minlength=cells)
-        parts = [x.tobytes() for x in np.split(total, pieces)]
-        yield pa.RecordBatch.from_arrays([pa.array(range(pieces), pa.int32()), pa.array(parts, pa.binary())], ["piece", "counts"])
+                np.add.at(total, (h >> _U(64 - p.sketch_bits)).astype(np.int64), 1)
+        yield pack(np.split(total, pieces), range(pieces))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for b in batches:
             for k, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                sums[k] = sums.get(k, 0) + np.frombuffer(c, np.int64)
+                sums[k] = sums.get(k, 0) + np.frombuffer(zlib.decompress(c), np.int64)
         if sums:
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["piece", "counts"])
+            yield pack(list(sums.values()), sums)
 
     schema = "piece int, counts binary"
     got = docs.select("text").mapInArrow(run, schema).repartition(pieces, "piece").mapInArrow(add, schema).collect()  # fixed size
     total = np.zeros(cells, np.int64)
     for r in got:
-        total[r.piece * (cells // pieces) : (r.piece + 1) * (cells // pieces)] += np.frombuffer(r.counts, np.int64)
-    above = np.maximum(total - 2 * total.mean(), 0)
-    return np.floor(np.log2(above / max(8.0, total.mean() / 4) + 1)).astype(np.uint8)
-
-
-def _order(h: np.ndarray, sketch: np.ndarray, p: Params) -> np.ndarray:
-    """Each n-gram's place in the global order, as a number: magnitude, then hash."""
-    level = sketch[(h >> _U(64 - p.sketch_bits)).astype(np.int64)].astype(_U)
-    return (np.minimum(level, _U(63)) << _U(58)) | (mix64(h ^ _U(0x2545F4914F6CDD1D)) >> _U(6))
+        total[r.piece * (cells // pieces) : (r.piece + 1) * (cells // pieces)] = np.frombuffer(zlib.decompress(r.counts), np.int64)
+    mean = max(total.mean(), 1 / 16)
+    level = np.minimum(np.floor(np.log2(np.maximum(total - mean / 2, 0) / max(1.0, mean / 4) + 1)), 63).astype(np.uint8)
+    share = np.bincount(level, weights=total, minlength=64) / max(total.sum(), 1)
+    return Order(level, np.cumsum(share) - share, share)
 
 
 def _prefix(place: np.ndarray, d: np.ndarray, n: np.ndarray, p: Params) -> np.ndarray:
@@ -106,15 +130,49 @@ def _prefix(place: np.ndarray, d: np.ndarray, n: np.ndarray, p: Params) -> np.nd
     return np.arange(len(place)) - first[d] < length[d]
 
 
-def signatures(docs: DataFrame, sketch: np.ndarray, shards: int, p: Params = Params()) -> DataFrame:
+_LONGS = pa.list_(pa.int64())
+
+
+def _bitmaps(h: np.ndarray, d: np.ndarray, n: np.ndarray) -> pa.Array:
+    """The parity bitmap of each set: 64-bit words, so many (a power of two, 8 at least) that bits are as many as n-grams.
+    Sets differ in as many n-grams, at least, as their bitmaps differ in bits; a bitmap's halves xored give that of half
+    the size."""
+    words = 1 << np.maximum(3, np.ceil(np.log2(np.maximum(n, 1) / 64)).astype(np.int64))
+    first = np.cumsum(words) - words
+    bit = (mix64(h ^ _U(0xA0761D6478BD642F)) & (words[d] * 64 - 1).astype(_U)).astype(np.int64)
+    at = np.sort(first[d] * 64 + bit)
+    new = np.ones(len(at), bool)
+    new[1:] = at[1:] != at[:-1]
+    i = np.flatnonzero(new)
+    odd = np.diff(np.append(i, len(at))) % 2 == 1
+    on = at[i[odd]]
+    out = np.zeros(int(words.sum()), _U)
+    np.bitwise_or.at(out, on >> 6, _U(1) << (on & 63).astype(_U))
+    return pa.ListArray.from_arrays(pa.array(np.append(first, len(out)), pa.int32()), pa.array(out.view(np.int64)))
+
+
+#: SQL for the bits that differ between ba and bb, the larger one folded once.
+_FOLD = "zip_with(slice({0}, 1, size({0}) div 2), slice({0}, size({0}) div 2 + 1, size({0}) div 2), (u, v) -> u ^ v)"
+_DIFFER = (
+    "aggregate(zip_with(case when size(ba) > size(bb) then " + _FOLD.format("ba") + " else ba end, case when size(bb) > size(ba) then " + _FOLD.format("bb") + " else bb end, "
+    "(u, v) -> bit_count(u ^ v)), 0, (s, x) -> s + x)"
+)
+
+
+def _near(p: Params, na: str = "na", nb: str = "nb"):
+    """Whether the bitmaps allow a link: both sets without their overlap have (1 - t) / (1 + t) of the sizes' sum at most."""
+    return F.expr(f"({100 + p.percent}) * ({_DIFFER}) <= ({100 - p.percent}) * ({na} + {nb})")
+
+
+def signatures(docs: DataFrame, order: Order, shards: int, p: Params = Params()) -> DataFrame:
     """Rows of two kinds: kind 0, a document's doc_id, n and class fingerprint fp; kind 1, a shard's packed prefixes
     (place, fp, n) from one batch of texts. Equal sets within a batch give one prefix."""
-    held = docs.sparkSession.sparkContext.broadcast(sketch)
-    names = ["kind", "shard", "doc_id", "n", "fp", "packed"]
+    held = docs.sparkSession.sparkContext.broadcast(order)
+    names = ["kind", "shard", "doc_id", "n", "fp", "packed", "bits"]
 
-    def rows(kind: int, shard: list, ids: list, n: list, fp: list, packed: list) -> pa.RecordBatch:
+    def rows(kind: int, shard: list, ids: list, n: list, fp: list, packed: list, bits) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array([kind] * len(shard), pa.int32()), pa.array(shard, pa.int32()), pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(fp, pa.int64()), pa.array(packed, pa.binary())], names
+            [pa.array([kind] * len(shard), pa.int32()), pa.array(shard, pa.int32()), pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(fp, pa.int64()), pa.array(packed, pa.binary()), bits], names
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,20 +182,20 @@ def signatures(docs: DataFrame, sketch: np.ndarray, shards: int, p: Params = Par
                 h, d, n, fp = _sets(raws, p)
                 turn += 1
                 at = [(turn * 7919 + i) % shards for i in range(len(ids))]
-                yield rows(0, at, ids, n.tolist(), fp.view(np.int64).tolist(), [None] * len(ids))
+                yield rows(0, at, ids, n.tolist(), fp.view(np.int64).tolist(), [None] * len(ids), _bitmaps(h, d, n))
                 own = np.zeros(len(raws), bool)
                 own[np.unique(fp, return_index=True)[1]] = True
                 keep = own[d]
                 h, d = h[keep], d[keep]
-                place = _order(h, held.value, p)
-                order = np.lexsort((place, d))
-                place, d = place[order], d[order]
+                place = held.value.places(h)
+                by = np.lexsort((place, d))
+                place, d = place[by], d[by]
                 m = np.where(own, n, 0)
                 use = _prefix(place, d, m, p)
                 place, d = place[use], d[use]
                 shard = ((mix64(place) >> _U(33)) % _U(shards)).astype(np.int64)
-                order = np.argsort(shard, kind="stable")
-                place, d, shard = place[order], d[order], shard[order]
+                by = np.argsort(shard, kind="stable")
+                place, d, shard = place[by], d[by], shard[by]
                 cut = np.searchsorted(shard, np.arange(shards + 1))
                 some = np.flatnonzero(cut[1:] > cut[:-1]).tolist()
                 packed = []
@@ -145,9 +203,9 @@ def signatures(docs: DataFrame, sketch: np.ndarray, shards: int, p: Params = Par
                     i = slice(cut[s], cut[s + 1])
                     packed.append(place[i].tobytes() + fp[d[i]].tobytes() + n[d[i]].astype(np.int32).tobytes())
                 k = len(some)
-                yield rows(1, some, [None] * k, [None] * k, [None] * k, packed)
+                yield rows(1, some, [None] * k, [None] * k, [None] * k, packed, pa.nulls(k, _LONGS))
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "kind int, shard int, doc_id long, n long, fp long, packed binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "kind int, shard int, doc_id long, n long, fp long, packed binary, bits array<bigint>")
 
 
 def _unpack(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -160,25 +218,37 @@ def _unpack(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(a), np.concatenate(b), np.concatenate(c).astype(np.int64)
 
 
-def groups(signed: DataFrame, shards: int) -> DataFrame:
-    """Kind 0 rows as they are; kind 2 rows (place, fp, n): the classes of every prefix n-gram that two classes or
-    more have. A shard at a time, in sorted partitions."""
+def groups(signed: DataFrame, shards: int, p: Params = Params()) -> DataFrame:
+    """Kind 0 rows as they are; kind 2 rows (gid, fp, n): the members of each group, once for all prefix n-grams of a
+    shard that have these members. gid is a hash of the members. A shard at a time, in sorted partitions."""
+
+    names = ["kind", "gid", "doc_id", "n", "fp", "pivot", "pn", "nxt", "nn", "bits"]
 
     def shard_rows(blobs: list[bytes]) -> pa.RecordBatch | None:
         place, fp, n = _unpack(blobs)
-        order = np.lexsort((fp, place))
-        place, fp, n = place[order], fp[order], n[order]
+        by = np.lexsort((fp, n, place))
+        place, fp, n = place[by], fp[by], n[by]
         new = np.ones(len(place), bool)
         new[1:] = (place[1:] != place[:-1]) | (fp[1:] != fp[:-1])  # equal sets of several batches
         place, fp, n = place[new], fp[new], n[new]
         head = np.ones(len(place), bool)
-        head[1:] = place[1:] != place[:-1]
-        size = np.diff(np.concatenate((np.flatnonzero(head), [len(place)])))
-        keep = np.repeat(size, size) > 1
-        k = int(keep.sum())
-        if not k:
+        head[1:] = (place[1:] != place[:-1]) | (100 * n[:-1] < p.percent * n[1:])
+        at = np.flatnonzero(head)
+        size = np.diff(np.append(at, len(place)))
+        gid = mix64(np.add.reduceat(mix64(fp ^ _U(0x9FB21C651E98DF25)), at) + size.astype(_U))
+        once = np.zeros(len(at), bool)
+        once[np.unique(gid, return_index=True)[1]] = True
+        keep = np.repeat((size > 1) & once, size)
+        if not keep.any():
             return None
-        return pa.RecordBatch.from_arrays([pa.array([2] * k, pa.int32()), pa.array(place[keep].view(np.int64)), pa.nulls(k, pa.int64()), pa.array(n[keep]), pa.array(fp[keep].view(np.int64))], ["kind", "place", "doc_id", "n", "fp"])
+        key = mix64(fp ^ _U(0xE7037ED1A0B428DB))
+        group = np.repeat(np.arange(len(at)), size)
+        pivot = np.repeat(np.lexsort((key, group))[at], size)
+        nxt = np.where(np.append(head[1:], True), pivot, np.arange(len(fp)) + 1)
+        signed = lambda x: pa.array(x[keep].view(np.int64))
+        k = int(keep.sum())
+        cols = [pa.array([2] * k, pa.int32()), signed(np.repeat(gid, size)), pa.nulls(k, pa.int64()), pa.array(n[keep]), signed(fp), signed(fp[pivot]), pa.array(n[pivot][keep]), signed(fp[nxt]), pa.array(n[nxt][keep]), pa.nulls(k, _LONGS)]
+        return pa.RecordBatch.from_arrays(cols, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, blobs = None, []
@@ -186,7 +256,8 @@ def groups(signed: DataFrame, shards: int) -> DataFrame:
             kind = np.asarray(b.column("kind"))
             docs = b.filter(pa.array(kind == 0))
             if docs.num_rows:
-                yield pa.RecordBatch.from_arrays([docs.column("kind"), pa.nulls(docs.num_rows, pa.int64()), docs.column("doc_id"), docs.column("n"), docs.column("fp")], ["kind", "place", "doc_id", "n", "fp"])
+                none = pa.nulls(docs.num_rows, pa.int64())
+                yield pa.RecordBatch.from_arrays([docs.column("kind"), none, docs.column("doc_id"), docs.column("n"), docs.column("fp"), none, none, none, none, docs.column("bits")], names)
             packed = b.filter(pa.array(kind == 1))
             for s, x in zip(packed.column("shard").to_pylist(), packed.column("packed").to_pylist(), strict=True):
                 if s != now:
@@ -198,22 +269,21 @@ def groups(signed: DataFrame, shards: int) -> DataFrame:
             yield out
 
     d = signed.repartition(shards, "shard").sortWithinPartitions("shard")
-    return d.mapInArrow(run, "kind int, place long, doc_id long, n long, fp long")
+    return d.mapInArrow(run, "kind int, gid long, doc_id long, n long, fp long, pivot long, pn long, nxt long, nn long, bits array<bigint>")
 
 
-def fragments(docs: DataFrame, sketch: np.ndarray, p: Params = Params()) -> DataFrame:
+def fragments(docs: DataFrame, order: Order, p: Params = Params()) -> DataFrame:
     """(fp, frag, grams) of every document: its n-grams' places, cut where the global order is cut."""
-    held = docs.sparkSession.sparkContext.broadcast(sketch)
+    held = docs.sparkSession.sparkContext.broadcast(order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for _, raws in chunks([None] * b.num_rows, b.column("text").to_pylist()):
                 h, d, n, fp = _sets(raws, p)
-                place = _order(h, held.value, p)
-                # most n-grams have magnitude 0: that range is cut evenly; the frequent ones are the last fragment
-                frag = np.where(place >> _U(58) > 0, p.fragments - 1, ((place >> _U(26)) * _U(p.fragments - 1)) >> _U(32)).astype(np.int64)
-                order = np.lexsort((place, frag, d))
-                place, frag, d = place[order], frag[order], d[order]
+                place = held.value.places(h)
+                frag = held.value.fragment(place, p.fragments)
+                by = np.lexsort((place, frag, d))
+                place, frag, d = place[by], frag[by], d[by]
                 head = np.ones(len(d), bool)
                 head[1:] = (d[1:] != d[:-1]) | (frag[1:] != frag[:-1])
                 at = np.flatnonzero(head)
@@ -249,54 +319,68 @@ def join(docs: DataFrame, p: Params = Params()) -> DataFrame:
     Null, empty and wordless texts have no shingles; each is its own component. Documents of equal sets are linked
     (both have all of the other's). Repeated rows give their rows each. A null doc_id gets the smallest id of
     its component, which is null if none is known. An empty table gives an empty result; columns other than
-    doc_id and text don't matter. Sets are told apart by a 64-bit fingerprint and their size, n-grams by 64-bit hashes.
+    doc_id and text don't matter; a class known under null ids alone is linked with no other. Sets are told apart by a 64-bit fingerprint and their size, n-grams by 64-bit hashes.
     """
     spark: SparkSession = docs.sparkSession
     shards = max(8, 2 * docs.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    sketch = count_sketch(docs, p)
-    table = materialise(groups(signatures(docs, sketch, shards, p), shards), "prefixes")
+    order = global_order(docs, p)
+    table = materialise(groups(signatures(docs, order, shards, p), shards, p), "prefixes")
     members = table.filter("kind = 0").select("doc_id", "n", "fp")
-    group = table.filter("kind = 2").select("place", "fp", "n")
-    classes = members.groupBy("fp").agg(F.min("doc_id").alias("low"), F.first("n").alias("n"))
-    # round 1: each class with its group's pivot, the class of the least hash
-    pivots = group.groupBy("place").agg(F.min(F.struct(F.xxhash64("fp").alias("k"), "fp", "n")).alias("p"))
-    stars = group.join(pivots, "place").select(F.col("fp").alias("x"), F.col("n").alias("nx"), F.col("p.fp").alias("y"), F.col("p.n").alias("ny"))
-    tidy = lambda d: (
-        d.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.when(F.col("x") < F.col("y"), F.col("nx")).otherwise(F.col("ny")).alias("na"), F.when(F.col("x") < F.col("y"), F.col("ny")).otherwise(F.col("nx")).alias("nb"))
-        .filter(_sized(p)).distinct()
-    )
-    pairs = materialise(tidy(stars), "pairs")
-    # every class with a partner of its size in some group may be asked for its n-grams; one document of each gives them
-    wanted = group.select("fp").distinct()
-    asked = classes.join(wanted, "fp", "left_semi").select(F.col("low").alias("doc_id")).filter("doc_id is not null").distinct()
-    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(asked, "doc_id", "left_semi")
-    parts = materialise(fragments(chosen, sketch, p).dropDuplicates(["fp", "frag"]), "fragments")
-    checked = materialise(verified(pairs, parts), "checked")
-    links = _links(checked, p)
-    roots = components(links)
-    # what remains: pairs of different components with a common prefix n-gram
-    home = F.coalesce("root", "fp").alias("home")
-    placed = group.join(roots, group.fp == roots.node, "left").select("place", "fp", "n", home)
-    open_ = placed.groupBy("place").agg(F.min("home").alias("h0"), F.max("home").alias("h1")).filter("h0 <> h1").select("place")
-    left = placed.join(open_, "place")
-    # distance to the pivot of the group, where it was measured
-    dist = 1 - F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))
-    measured = checked.select("a", "b", dist.alias("dist"))
-    measured = measured.unionByName(measured.select(F.col("b").alias("a"), F.col("a").alias("b"), "dist"))
-    left = left.join(pivots.select("place", F.col("p.fp").alias("pivot")), "place")
-    left = left.join(measured.withColumnsRenamed({"a": "fp", "b": "pivot"}), ["fp", "pivot"], "left")
-    left = left.withColumn("dist", F.when(F.col("fp") == F.col("pivot"), F.lit(0.0)).otherwise(F.col("dist"))).drop("pivot")
-    left = materialise(left, "open")
-    far = 1 - p.percent / 100 + 1e-9
-    x, y = (left.select("place", *(F.col(c).alias(f"{c}{t}") for c in ("fp", "n", "home", "dist"))) for t in "xy")
-    rest = x.join(y, "place").filter("fpx < fpy and homex <> homey").filter(_sized(p, "nx", "ny"))
-    rest = rest.filter(F.coalesce(F.abs(F.col("distx") - F.col("disty")) <= far, F.lit(True)))
-    rest = rest.select(F.col("fpx").alias("a"), F.col("fpy").alias("b"), F.col("nx").alias("na"), F.col("ny").alias("nb")).distinct().join(pairs, ["a", "b"], "left_anti")
-    more = _links(verified(rest, parts), p)
-    own = components(roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
-    both = classes.join(own, classes.fp == own.node, "left").select("fp", F.col("low"), F.coalesce("root", "fp").alias("root"))
+    classes = materialise(table.filter("kind = 0").groupBy("fp").agg(F.min("doc_id").alias("low"), F.first("bits").alias("bits")), "classes")
+    group = materialise(table.filter("kind = 2").select("gid", "fp", "n", "pivot", "pn", "nxt", "nn").dropDuplicates(["gid", "fp"]), "groups")
+    bits = classes.select("fp", "bits")
+
+    def tidy(d: DataFrame) -> DataFrame:
+        """Pairs (x, y, nx, ny) the right way round, once, and only those that sizes and bitmaps allow."""
+        pick = lambda u, v, name: F.when(F.col("x") < F.col("y"), F.col(u)).otherwise(F.col(v)).alias(name)
+        d = d.filter("x <> y").select(pick("x", "y", "a"), pick("y", "x", "b"), pick("nx", "ny", "na"), pick("ny", "nx", "nb")).filter(_sized(p)).distinct()
+        d = d.join(bits.select(F.col("fp").alias("a"), F.col("bits").alias("ba")), "a").join(bits.select(F.col("fp").alias("b"), F.col("bits").alias("bb")), "b")
+        return d.filter(_near(p)).select("a", "b", "na", "nb")
+
+    def links(pairs: DataFrame) -> DataFrame:
+        """Those of the pairs that are links. One document of each class gives its n-grams."""
+        fps = pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))).distinct()
+        ids = materialise(classes.join(fps, "fp", "left_semi").select(F.col("low").alias("doc_id")).filter("doc_id is not null").distinct(), "asked")
+        ids = F.broadcast(ids) if ids.count() <= p.broadcast_ids else ids
+        chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
+        parts = materialise(fragments(chosen, order, p).dropDuplicates(["fp", "frag"]), "fragments")
+        found = materialise(_links(verified(pairs, parts), p), "links")
+        drop_table(parts)
+        return found
+
+    def homes(edges: DataFrame) -> DataFrame:
+        return components(edges).select(F.col("node").alias("fp"), "root")
+
+    def with_home(d: DataFrame, roots: DataFrame, col: str) -> DataFrame:
+        r = roots.select(F.col("fp").alias(col), F.col("root").alias("_r"))
+        return d.join(r, col, "left").withColumn(f"home_{col}", F.coalesce("_r", col)).drop("_r")
+
+    pair = lambda x, nx, y, ny: group.select(F.col(x).alias("x"), F.col(nx).alias("nx"), F.col(y).alias("y"), F.col(ny).alias("ny"))
+    # round 1: one pivot for each class
+    star = pair("fp", "n", "pivot", "pn").filter("x <> y").filter(_sized(p, "nx", "ny"))
+    first = star.groupBy("x", "nx").agg(F.min(F.struct(F.xxhash64("y").alias("k"), "y", "ny")).alias("s")).select("x", "nx", "s.y", "s.ny")
+    done = materialise(tidy(first), "pairs")
+    edges = links(done)
+    roots = materialise(homes(edges), "roots")
+    # round 2: other pivots, and the next by size, if still apart
+    near = star.unionByName(pair("fp", "n", "nxt", "nn")).distinct()
+    near = with_home(with_home(near, roots, "x"), roots, "y").filter("home_x <> home_y").drop("home_x", "home_y")
+    second = materialise(tidy(near).join(done, ["a", "b"], "left_anti"), "pairs")
+    edges = edges.unionByName(links(second))
+    done = done.unionByName(second)
+    roots = materialise(homes(edges), "roots")
+    # round 3: what is left across components
+    placed = with_home(group.select("gid", "fp", "n"), roots, "fp")
+    open_ = placed.groupBy("gid").agg(F.min("home_fp").alias("h0"), F.max("home_fp").alias("h1")).filter("h0 <> h1").select("gid")
+    left = materialise(placed.join(open_, "gid").join(bits, "fp"), "open")
+    x = left.select("gid", F.col("fp").alias("a"), F.col("n").alias("na"), F.col("home_fp").alias("ha"), F.col("bits").alias("ba"))
+    y = left.select(F.col("gid").alias("g"), F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("home_fp").alias("hb"), F.col("bits").alias("bb"))
+    rest = x.join(y, (F.col("gid") == F.col("g")) & (F.col("a") < F.col("b")) & (F.col("ha") != F.col("hb")) & _sized(p) & _near(p))
+    third = materialise(rest.select("a", "b", "na", "nb").distinct().join(done, ["a", "b"], "left_anti"), "pairs")
+    edges = edges.unionByName(links(third))
+    roots = homes(edges)
+    both = with_home(classes.select("fp", "low"), roots, "fp").withColumnRenamed("home_fp", "root")
     ids = both.groupBy("root").agg(F.min("low").alias("component"))
     named = both.join(ids, "root").select("fp", "component")
     d = members.join(named, "fp", "left")
-    out = d.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
-    return out
+    return d.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
