@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.store import drop_table, forget, materialise, shared_dir  # noqa: F401
+
 #: The white space of every word definition here: blank and \t \n \v \f \r.
 SPACE = " \t\n\x0b\x0c\r"
 WORD_RE = r"[^\x20\x09-\x0D]+"
@@ -22,49 +21,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-_own_dir: list[str] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: spark.checkpoint.dir. Where that is unset, a temporary
-    one in local mode, an error on a cluster."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        if not _own_dir:
-            _own_dir.append(tempfile.mkdtemp(prefix="tidemark-"))
-        where = _own_dir[0]
-    return where.rstrip("/")
-
-
-def forget(spark: SparkSession, path: str) -> None:
-    """Delete a written table."""
-    try:
-        hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-        hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
-    except Exception:  # the session may have ended
-        pass
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet below the shared folder and read it back: the lineage ends there, and a lost
-    executor costs a re-read only. The table goes when the process ends."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    atexit.register(forget, spark, path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._tidemark_path = path
-    return out
-
-
-def drop_table(df: DataFrame) -> None:
-    """Delete a table that materialise() wrote and that no later step reads."""
-    if path := getattr(df, "_tidemark_path", None):
-        forget(df.sparkSession, path)
-
-
 def words(text) -> F.Column:
     """The words of a text column as an array; null and blank texts have none."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACE))
