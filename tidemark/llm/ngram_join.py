@@ -7,14 +7,15 @@ Candidates. Two sets with Jaccard similarity t or more share an n-gram among the
 the global order. Only these prefixes are shuffled, as packed arrays, one for each task and range of hashes. Sets that
 are equal form a class and count as one. The classes with a common prefix n-gram form a group, cut where sizes are too
 far apart for a link; n-grams with the same group give it once. Each member knows the group's pivot (the class of the
-least hash) and the next member by size. A bitmap of each class, the parity of its n-grams in as many bits as it has n-grams
-about, bounds every pair's difference from below: pairs that it rules out are not looked at.
+least hash) and the next member by size. A bitmap of each class, the parity of its n-grams in twice as many bits as it
+has n-grams, bounds every pair's difference from below: pairs that it rules out are not looked at.
 
 Verification. The n-grams of the classes in question are split by fragment; for every candidate pair the overlaps of its
 fragments are counted separately and summed, and the pair is a link if the sum reaches the threshold.
 
 Rounds. First each class is paired with one pivot, so that a group of thousands of near copies takes as many pairs as it
-has members. Then members are paired with the other pivots and their neighbours, where these are of another component
+has members. Then members are paired with the other pivots, their neighbours and one member
+of each group by chance, where these are of another component
 still. Last, every pair of different components with a common prefix n-gram that sizes and bitmaps allow is verified,
 so that no link that joins components is lost.
 """
@@ -134,10 +135,10 @@ _LONGS = pa.list_(pa.int64())
 
 
 def _bitmaps(h: np.ndarray, d: np.ndarray, n: np.ndarray) -> pa.Array:
-    """The parity bitmap of each set: 64-bit words, so many (a power of two, 8 at least) that bits are as many as n-grams.
+    """The parity bitmap of each set: 64-bit words, so many (a power of two, 16 at least) that bits are twice as many as n-grams.
     Sets differ in as many n-grams, at least, as their bitmaps differ in bits; a bitmap's halves xored give that of half
     the size."""
-    words = 1 << np.maximum(3, np.ceil(np.log2(np.maximum(n, 1) / 64)).astype(np.int64))
+    words = 1 << np.maximum(4, np.ceil(np.log2(np.maximum(n, 1) / 32)).astype(np.int64))
     first = np.cumsum(words) - words
     bit = (mix64(h ^ _U(0xA0761D6478BD642F)) & (words[d] * 64 - 1).astype(_U)).astype(np.int64)
     at = np.sort(first[d] * 64 + bit)
@@ -222,7 +223,7 @@ def groups(signed: DataFrame, shards: int, p: Params = Params()) -> DataFrame:
     """Kind 0 rows as they are; kind 2 rows (gid, fp, n): the members of each group, once for all prefix n-grams of a
     shard that have these members. gid is a hash of the members. A shard at a time, in sorted partitions."""
 
-    names = ["kind", "gid", "doc_id", "n", "fp", "pivot", "pn", "nxt", "nn", "bits"]
+    names = ["kind", "gid", "doc_id", "n", "fp", "pivot", "pn", "nxt", "nn", "alt", "an", "bits"]
 
     def shard_rows(blobs: list[bytes]) -> pa.RecordBatch | None:
         place, fp, n = _unpack(blobs)
@@ -244,10 +245,11 @@ def groups(signed: DataFrame, shards: int, p: Params = Params()) -> DataFrame:
         key = mix64(fp ^ _U(0xE7037ED1A0B428DB))
         group = np.repeat(np.arange(len(at)), size)
         pivot = np.repeat(np.lexsort((key, group))[at], size)
+        alt = np.repeat(at, size) + (mix64(key + np.repeat(gid, size)) >> _U(11)).astype(np.int64) % np.repeat(size, size)
         nxt = np.where(np.append(head[1:], True), pivot, np.arange(len(fp)) + 1)
         signed = lambda x: pa.array(x[keep].view(np.int64))
         k = int(keep.sum())
-        cols = [pa.array([2] * k, pa.int32()), signed(np.repeat(gid, size)), pa.nulls(k, pa.int64()), pa.array(n[keep]), signed(fp), signed(fp[pivot]), pa.array(n[pivot][keep]), signed(fp[nxt]), pa.array(n[nxt][keep]), pa.nulls(k, _LONGS)]
+        cols = [pa.array([2] * k, pa.int32()), signed(np.repeat(gid, size)), pa.nulls(k, pa.int64()), pa.array(n[keep]), signed(fp), signed(fp[pivot]), pa.array(n[pivot][keep]), signed(fp[nxt]), pa.array(n[nxt][keep]), signed(fp[alt]), pa.array(n[alt][keep]), pa.nulls(k, _LONGS)]
         return pa.RecordBatch.from_arrays(cols, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,7 +259,7 @@ def groups(signed: DataFrame, shards: int, p: Params = Params()) -> DataFrame:
             docs = b.filter(pa.array(kind == 0))
             if docs.num_rows:
                 none = pa.nulls(docs.num_rows, pa.int64())
-                yield pa.RecordBatch.from_arrays([docs.column("kind"), none, docs.column("doc_id"), docs.column("n"), docs.column("fp"), none, none, none, none, docs.column("bits")], names)
+                yield pa.RecordBatch.from_arrays([docs.column("kind"), none, docs.column("doc_id"), docs.column("n"), docs.column("fp"), none, none, none, none, none, none, docs.column("bits")], names)
             packed = b.filter(pa.array(kind == 1))
             for s, x in zip(packed.column("shard").to_pylist(), packed.column("packed").to_pylist(), strict=True):
                 if s != now:
@@ -269,7 +271,7 @@ def groups(signed: DataFrame, shards: int, p: Params = Params()) -> DataFrame:
             yield out
 
     d = signed.repartition(shards, "shard").sortWithinPartitions("shard")
-    return d.mapInArrow(run, "kind int, gid long, doc_id long, n long, fp long, pivot long, pn long, nxt long, nn long, bits array<bigint>")
+    return d.mapInArrow(run, "kind int, gid long, doc_id long, n long, fp long, pivot long, pn long, nxt long, nn long, alt long, an long, bits array<bigint>")
 
 
 def fragments(docs: DataFrame, order: Order, p: Params = Params()) -> DataFrame:
@@ -327,7 +329,7 @@ def join(docs: DataFrame, p: Params = Params()) -> DataFrame:
     table = materialise(groups(signatures(docs, order, shards, p), shards, p), "prefixes")
     members = table.filter("kind = 0").select("doc_id", "n", "fp")
     classes = materialise(table.filter("kind = 0").groupBy("fp").agg(F.min("doc_id").alias("low"), F.first("bits").alias("bits")), "classes")
-    group = materialise(table.filter("kind = 2").select("gid", "fp", "n", "pivot", "pn", "nxt", "nn").dropDuplicates(["gid", "fp"]), "groups")
+    group = materialise(table.filter("kind = 2").select("gid", "fp", "n", "pivot", "pn", "nxt", "nn", "alt", "an").dropDuplicates(["gid", "fp"]), "groups")
     bits = classes.select("fp", "bits")
 
     def tidy(d: DataFrame) -> DataFrame:
@@ -362,8 +364,8 @@ def join(docs: DataFrame, p: Params = Params()) -> DataFrame:
     done = materialise(tidy(first), "pairs")
     edges = links(done)
     roots = materialise(homes(edges), "roots")
-    # round 2: other pivots, and the next by size, if still apart
-    near = star.unionByName(pair("fp", "n", "nxt", "nn")).distinct()
+    # round 2: other pivots, the next by size and one by chance, if still apart
+    near = star.unionByName(pair("fp", "n", "nxt", "nn")).unionByName(pair("fp", "n", "alt", "an")).distinct()
     near = with_home(with_home(near, roots, "x"), roots, "y").filter("home_x <> home_y").drop("home_x", "home_y")
     second = materialise(tidy(near).join(done, ["a", "b"], "left_anti"), "pairs")
     edges = edges.unionByName(links(second))
