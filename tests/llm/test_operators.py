@@ -321,6 +321,14 @@ def test_pii(spark):
     assert pii.find(docs(spark, rows).limit(0)).count() == 0
 
 
+def test_pii_rare_entities(spark):
+    """An address found in one text alone, with a name found nowhere else; with few texts that is no evidence yet."""
+    rows = [(i, f"the day from note {i} y{i}") for i in range(400)] + [(1000, "the day from Zebulon zeb@corp.example note"), (1001, "note from Alma +49 170 1234567 the day")]
+    got = {x.doc_id: x.spans for x in pii.find(docs(spark, rows)).collect()}
+    assert got[1000].split(",")[1:] == ["term:13:20"] and got[1001].split(",")[1:] == ["term:10:14"] and not any(got[i] for i in range(400))
+    assert not any("term" in x.spans for x in pii.find(docs(spark, rows[-8:])).collect())
+
+
 # --- 9
 
 

@@ -4,8 +4,9 @@ The patterns find e-mail addresses, IP addresses, card and phone numbers: the pr
 the words beside them give away. Over all documents it counts how often a term stands in an entity's window, how
 often the entity is found, and in how many documents the term occurs at all. The share of the entity's information
 that the term discloses is PMI(term; entity) / IC(entity): 1 where the term occurs only with the entity, near 0 for
-words found anywhere. Terms beyond the threshold that recur with the entity are personal data too; they are removed,
-the entities are generalised to their kind. Equal texts count once: copies are no evidence.
+words found anywhere. No pair is left out for being rare: small counts are corrected, as if each term stood in
+Params.prior texts more, which have the entity by chance only. Terms beyond the threshold are personal data too; they
+are removed, the entities are generalised to their kind. Equal texts count once: copies are no evidence.
 """
 
 from __future__ import annotations
@@ -23,8 +24,8 @@ class Params:
     #: Code points on either side of an entity whose words are looked at.
     window: int = 40
     min_letters: int = 3
-    #: A pair counts from so many different texts on.
-    min_support: int = 3
+    #: Texts added to each term's, with the entity as often as anywhere.
+    prior: float = 1.0
     least_disclosure: float = 0.8
     #: Tables of fewer rows than this (of some 100 bytes) are sent to all tasks; larger ones are shuffled.
     broadcast_rows: int = 50_000
@@ -109,24 +110,29 @@ def _small(d: DataFrame, p: Params) -> DataFrame:
     return F.broadcast(d) if d.count() <= p.broadcast_rows else d
 
 
+def _smoothed(p: Params) -> Column:
+    """n_et, and what the prior's texts add to it."""
+    return F.col("n_et") + p.prior * F.col("n_e") / F.col("n")
+
+
 def term_spans(docs: DataFrame, found: DataFrame, p: Params, text: str) -> DataFrame:
     """(fp, terms): for each text with disclosing terms their spans. found: (fp, _base), a row a document."""
     c = found.filter(F.size("_base") > 0).dropDuplicates(["fp"]).select("fp", F.explode("_base").alias("s"))
     c = c.select("fp", F.concat_ws(":", "s.kind", F.lower("s.value")).alias("entity"), F.expr(f"concat({_window_terms('before', p)}, {_window_terms('after', p)})").alias("ts"))
     c = materialise(c.select("fp", "entity", F.explode_outer("ts").alias("t")).select("fp", "entity", "t.*"), "windows")
-    entity = c.groupBy("entity").agg(F.countDistinct("fp").alias("n_e")).filter(F.col("n_e") >= p.min_support)
-    pair = c.filter("term is not null").select("entity", "term", "fp").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et")).filter(F.col("n_et") >= p.min_support)
+    entity = c.groupBy("entity").agg(F.countDistinct("fp").alias("n_e"))
+    pair = c.filter("term is not null").select("entity", "term", "fp").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et"))
     total = found.agg(F.count(F.lit(1)).alias("n"))  # one row
     pair = pair.join(entity, "entity").crossJoin(F.broadcast(total))
     # a term occurs in as many texts as windows have it, at least: if these are too many, it tells too little
     near = c.filter("term is not null").groupBy("term").agg(F.countDistinct("fp").alias("n_w"))
-    most = F.col("n_et") * F.pow(F.col("n") / F.col("n_e"), F.lit(1 - p.least_disclosure)) * 1.000001
-    pair = materialise(pair.join(near, "term").filter(F.col("n_w") <= most).drop("n_w"), "pairs")
+    most = _smoothed(p) * F.pow(F.col("n") / F.col("n_e"), F.lit(1 - p.least_disclosure)) * 1.000001
+    pair = materialise(pair.join(near, "term").filter(F.col("n_w") + p.prior <= most).drop("n_w"), "pairs")
     asked = _small(materialise(pair.select("term").distinct(), "terms"), p)
     said = docs.select(F.explode(F.array_distinct(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}]+"))).alias("term"))
     df = materialise(said.join(asked, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_t")), "term-counts")
     pair = pair.join(df, "term")
-    pmi = F.log2(F.col("n_et") * F.col("n") / (F.col("n_e") * F.greatest("n_t", "n_et")))
+    pmi = F.log2(_smoothed(p) * F.col("n") / (F.col("n_e") * (F.greatest("n_t", "n_et") + p.prior)))
     share = pmi / F.greatest(F.log2(F.col("n") / F.col("n_e")), F.lit(1e-9))
     tells = _small(materialise(pair.filter(share >= p.least_disclosure).select("entity", "term"), "disclosing"), p)
     s = F.struct(F.lit(len(KINDS)).alias("kind"), "start", "stop")
