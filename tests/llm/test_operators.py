@@ -329,6 +329,13 @@ def test_pii_rare_entities(spark):
     assert not any("term" in x.spans for x in pii.find(docs(spark, rows[-8:])).collect())
 
 
+def test_pii_copies(spark):
+    """Copies of one of the texts with the name are no evidence against it."""
+    rows = [(i, f"the day from note {i} y{i}") for i in range(400)] + [(1000 + max(0, i - 200), f"{max(0, i - 200)} from Zebulon zeb@corp.example the day note") for i in range(203)]
+    spans = [x.spans for x in pii.find(docs(spark, rows)).collect() if x.doc_id >= 1000]
+    assert len(spans) == 203 and all(x.endswith("term:7:14") for x in spans)
+
+
 # --- 9
 
 

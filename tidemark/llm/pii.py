@@ -122,15 +122,15 @@ def term_spans(docs: DataFrame, found: DataFrame, p: Params, text: str) -> DataF
     c = materialise(c.select("fp", "entity", F.explode_outer("ts").alias("t")).select("fp", "entity", "t.*"), "windows")
     entity = c.groupBy("entity").agg(F.countDistinct("fp").alias("n_e"))
     pair = c.filter("term is not null").select("entity", "term", "fp").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et"))
-    total = found.agg(F.count(F.lit(1)).alias("n"))  # one row
+    total = found.agg(F.countDistinct("fp").alias("n"))  # one row
     pair = pair.join(entity, "entity").crossJoin(F.broadcast(total))
     # a term occurs in as many texts as windows have it, at least: if these are too many, it tells too little
     near = c.filter("term is not null").groupBy("term").agg(F.countDistinct("fp").alias("n_w"))
     most = _smoothed(p) * F.pow(F.col("n") / F.col("n_e"), F.lit(1 - p.least_disclosure)) * 1.000001
     pair = materialise(pair.join(near, "term").filter(F.col("n_w") + p.prior <= most).drop("n_w"), "pairs")
     asked = _small(materialise(pair.select("term").distinct(), "terms"), p)
-    said = docs.select(F.explode(F.array_distinct(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}]+"))).alias("term"))
-    df = materialise(said.join(asked, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_t")), "term-counts")
+    said = _prepared(docs.select(text), text).select("fp", F.explode(F.array_distinct(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}]+"))).alias("term"))
+    df = materialise(said.join(asked, "term").groupBy("term").agg(F.countDistinct("fp").alias("n_t")), "term-counts")
     pair = pair.join(df, "term")
     pmi = F.log2(_smoothed(p) * F.col("n") / (F.col("n_e") * (F.greatest("n_t", "n_et") + p.prior)))
     share = pmi / F.greatest(F.log2(F.col("n") / F.col("n_e")), F.lit(1e-9))
