@@ -336,6 +336,19 @@ def test_pii_copies(spark):
     assert len(spans) == 203 and all(x.endswith("term:7:14") for x in spans)
 
 
+def test_pii_whole_texts(spark):
+    """A disclosing term goes wherever it stands: far from the address, again in its text, and in texts without it."""
+    fill = "the day from note " * 20
+    rows = [(i, f"the day from note {i} y{i}") for i in range(400)] + [(1000 + i, f"Zebulon {fill}{i} zeb@corp.example {fill} ZEBULON") for i in range(5)]
+    rows += [(2000, f"{fill} zebulon, and Zebulons")]
+    got = {x.doc_id: x.spans for x in pii.find(docs(spark, rows)).collect()}
+    text = dict(rows)
+    for d in range(1000, 1005):
+        assert [text[d][int(a) : int(b)] for k, a, b in (x.split(":") for x in got[d].split(",")) if k == "term"] == ["Zebulon", "ZEBULON"]
+    assert got[2000] == f"term:{len(fill) + 1}:{len(fill) + 8}" and not any(got[i] for i in range(400))
+    assert "ebulon," not in pii.sanitise(docs(spark, rows)).filter("doc_id = 2000").first().text
+
+
 # --- 9
 
 

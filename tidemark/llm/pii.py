@@ -1,12 +1,13 @@
-"""Personal data: patterns, and information-theoretic sanitisation of the terms around them, by SQL functions alone.
+"""Personal data: patterns, and information-theoretic sanitisation of the terms that go with them, by SQL functions alone.
 
 The patterns find e-mail addresses, IP addresses, card and phone numbers: the protected entities. Sanitisation asks what
-the words beside them give away. Over all documents it counts how often a term stands in an entity's window, how
-often the entity is found, and in how many documents the term occurs at all. The share of the entity's information
+the other words of their texts give away. Over all texts it counts how often a term stands in a text with an entity, how
+often the entity is found, and in how many texts the term occurs at all. The share of the entity's information
 that the term discloses is PMI(term; entity) / IC(entity): 1 where the term occurs only with the entity, near 0 for
 words found anywhere. No pair is left out for being rare: small counts are corrected, as if each term stood in
-Params.prior texts more, which have the entity by chance only. Terms beyond the threshold are personal data too; they
-are removed, the entities are generalised to their kind. Equal texts count once: copies are no evidence.
+Params.prior texts more, which have the entity by chance only. Terms beyond the threshold are personal data too: all
+their occurrences, in whatever text, are removed; the entities are generalised to their kind. Equal texts count once:
+copies are no evidence. The letters of an address itself are no terms.
 """
 
 from __future__ import annotations
@@ -21,8 +22,6 @@ from tidemark.llm.common import materialise
 
 @dataclass(frozen=True)
 class Params:
-    #: Code points on either side of an entity whose words are looked at.
-    window: int = 40
     min_letters: int = 3
     #: Texts added to each term's, with the entity as often as anywhere.
     prior: float = 1.0
@@ -42,7 +41,7 @@ KINDS = {
 }
 #: A text without this has no match of the kind.
 _HINT = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
-_SPAN = "array<struct<kind:int,start:int,stop:int,value:string,before:string,after:string>>"
+_SPAN = "array<struct<kind:int,start:int,stop:int,value:string>>"
 
 
 def _valid(kind: str) -> str:
@@ -61,8 +60,8 @@ def _valid(kind: str) -> str:
     return "true"
 
 
-def _with_base(d: DataFrame, p: Params) -> DataFrame:
-    """d, with a text column _t that is not null, and _base: the spans of all kinds, sorted, with value and windows."""
+def _with_base(d: DataFrame) -> DataFrame:
+    """d, with a text column _t that is not null, and _base: the spans of all kinds, sorted, with value."""
     for k, (kind, pattern) in enumerate(KINDS.items()):
         some = F.col("_t").contains("@") if kind == "email" else F.col("_t").rlike(_HINT[kind])
         d = d.withColumn(f"_m{k}", F.when(some, F.regexp_extract_all("_t", F.lit(pattern), F.lit(0))))
@@ -74,8 +73,7 @@ def _with_base(d: DataFrame, p: Params) -> DataFrame:
               (a, x) -> named_struct(
                 'at', a.at + length(_p{k}[a.i]) + length(x), 'i', a.i + 1,
                 'l', case when {_valid(kind)} then array_append(a.l, named_struct(
-                   'kind', {k}, 'start', a.at + length(_p{k}[a.i]), 'stop', a.at + length(_p{k}[a.i]) + length(x), 'value', x,
-                   'before', right(_p{k}[a.i], {p.window + 1}), 'after', left(_p{k}[a.i + 1], {p.window + 1}))) else a.l end),
+                   'kind', {k}, 'start', a.at + length(_p{k}[a.i]), 'stop', a.at + length(_p{k}[a.i]) + length(x), 'value', x)) else a.l end),
               a -> a.l), s -> true), cast(array() as {_SPAN}))"""
         )
     d = d.withColumn("_base", F.concat(*map(F.expr, out)))
@@ -88,21 +86,22 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["stop"])), ",")
 
 
-#: Letters of a window with the places before them: pieces and runs alternate, as in _with_base. A run that the window's
-#: outer edge may cut is left out.
-def _window_terms(side: str, p: Params) -> str:
-    """SQL: (term, start, stop) of the letter runs of s.before or s.after."""
-    w = f"s.{side}"
-    base = f"s.start - length({w})" if side == "before" else "s.stop"
-    cut = f"r.a > 0 or length({w}) <= {p.window}" if side == "before" else f"r.b < length({w}) or length({w}) <= {p.window}"
-    return rf"""transform(filter(
-        aggregate(regexp_extract_all({w}, '\\p{{L}}+', 0),
-          named_struct('at', 0, 'i', 0, 'l', cast(array() as array<struct<v:string,a:int,b:int>>)),
-          (a, x) -> named_struct('at', a.at + length(split({w}, '\\p{{L}}+', -1)[a.i]) + length(x), 'i', a.i + 1,
-            'l', array_append(a.l, named_struct('v', lower(x), 'a', a.at + length(split({w}, '\\p{{L}}+', -1)[a.i]), 'b', a.at + length(split({w}, '\\p{{L}}+', -1)[a.i]) + length(x)))),
-          a -> a.l),
-        r -> length(r.v) >= {p.min_letters} and ({cut})),
-        r -> named_struct('term', r.v, 'start', {base} + r.a, 'stop', {base} + r.b))"""
+_LETTERS = r"\p{L}+"
+
+
+def _terms(p: Params) -> Column:
+    """The different terms of _t: its letter runs in lower case, without those of addresses."""
+    free = F.when(F.col("_t").contains("@"), F.regexp_replace("_t", KINDS["email"], " ")).otherwise(F.col("_t"))
+    return F.filter(F.array_distinct(F.split(F.lower(free), r"[^\p{L}]+")), lambda x: F.length(x) >= p.min_letters)
+
+
+def _marked() -> Column:
+    """Where the letter runs of _t (_r, with the pieces _q around them) are among the texts' own terms _own."""
+    return F.expr(f"""aggregate(_r, named_struct('at', 0, 'i', 0, 'l', cast(array() as {_EMPTY})),
+          (a, x) -> named_struct('at', a.at + length(_q[a.i]) + length(x), 'i', a.i + 1,
+            'l', case when array_contains(_own, lower(x)) then array_append(a.l, named_struct(
+              'kind', {len(KINDS)}, 'start', a.at + length(_q[a.i]), 'stop', a.at + length(_q[a.i]) + length(x))) else a.l end),
+          a -> a.l)""")
 
 
 def _small(d: DataFrame, p: Params) -> DataFrame:
@@ -116,27 +115,32 @@ def _smoothed(p: Params) -> Column:
 
 
 def term_spans(docs: DataFrame, found: DataFrame, p: Params, text: str) -> DataFrame:
-    """(fp, terms): for each text with disclosing terms their spans. found: (fp, _base), a row a document."""
-    c = found.filter(F.size("_base") > 0).dropDuplicates(["fp"]).select("fp", F.explode("_base").alias("s"))
-    c = c.select("fp", F.concat_ws(":", "s.kind", F.lower("s.value")).alias("entity"), F.expr(f"concat({_window_terms('before', p)}, {_window_terms('after', p)})").alias("ts"))
-    c = materialise(c.select("fp", "entity", F.explode_outer("ts").alias("t")).select("fp", "entity", "t.*"), "windows")
-    entity = c.groupBy("entity").agg(F.countDistinct("fp").alias("n_e"))
-    pair = c.filter("term is not null").select("entity", "term", "fp").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et"))
-    total = found.agg(F.countDistinct("fp").alias("n"))  # one row
-    pair = pair.join(entity, "entity").crossJoin(F.broadcast(total))
-    # a term occurs in as many texts as windows have it, at least: if these are too many, it tells too little
-    near = c.filter("term is not null").groupBy("term").agg(F.countDistinct("fp").alias("n_w"))
-    most = _smoothed(p) * F.pow(F.col("n") / F.col("n_e"), F.lit(1 - p.least_disclosure)) * 1.000001
-    pair = materialise(pair.join(near, "term").filter(F.col("n_w") + p.prior <= most).drop("n_w"), "pairs")
+    """(fp, terms): for each text with disclosing terms their spans. found: (fp, _base, _w), a row a document."""
+    held = found.filter(F.size("_base") > 0)
+    who = materialise(held.select("fp", F.explode("_base").alias("s")).select("fp", F.concat_ws(":", "s.kind", F.lower("s.value")).alias("entity")).distinct(), "entities")
+    # entities of the same texts are alike: one of them stands for all, or the pairs would be the product of the two
+    alike = who.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"), F.bit_xor(F.xxhash64("fp", F.lit(1))).alias("who"))
+    who = materialise(who.join(alike, "entity").select("fp", "who", "n_e").distinct(), "entity-texts")
+    near = materialise(held.select("fp", F.explode("_w").alias("term")).distinct(), "near")
+    total = F.broadcast(found.agg(F.countDistinct("fp").alias("n")))  # one row
+    # a term occurs in as many texts as have it beside entities, at least: if these are too many, it tells too little
+    often = near.groupBy("term").agg(F.count(F.lit(1)).alias("n_w"))
+    room = F.pow(F.col("n") / F.col("n_e"), F.lit(1 - p.least_disclosure)) * 1.000001
+    seen = near.join(often, "term").join(who, "fp").crossJoin(total)
+    seen = seen.filter(F.col("n_w") + p.prior <= (F.least("n_w", "n_e") + p.prior * F.col("n_e") / F.col("n")) * room)
+    pair = seen.groupBy("who", "n_e", "term", "n_w", "n").agg(F.count(F.lit(1)).alias("n_et"))
+    pair = materialise(pair.filter(F.col("n_w") + p.prior <= _smoothed(p) * room).drop("n_w"), "pairs")
     asked = _small(materialise(pair.select("term").distinct(), "terms"), p)
-    said = _prepared(docs.select(text), text).select("fp", F.explode(F.array_distinct(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}]+"))).alias("term"))
-    df = materialise(said.join(asked, "term").groupBy("term").agg(F.countDistinct("fp").alias("n_t")), "term-counts")
-    pair = pair.join(df, "term")
+    said = _prepared(docs.select(text), text).select("fp", F.explode(_terms(p)).alias("term"))
+    said = materialise(said.join(asked, "term").distinct(), "term-texts")
+    pair = pair.join(said.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")), "term")
     pmi = F.log2(_smoothed(p) * F.col("n") / (F.col("n_e") * (F.greatest("n_t", "n_et") + p.prior)))
     share = pmi / F.greatest(F.log2(F.col("n") / F.col("n_e")), F.lit(1e-9))
-    tells = _small(materialise(pair.filter(share >= p.least_disclosure).select("entity", "term"), "disclosing"), p)
-    s = F.struct(F.lit(len(KINDS)).alias("kind"), "start", "stop")
-    return materialise(c.join(tells, ["entity", "term"]).groupBy("fp").agg(F.array_sort(F.collect_set(s)).alias("terms")), "term-spans")
+    tells = materialise(pair.filter(share >= p.least_disclosure).select("term").distinct(), "disclosing")
+    own = _small(materialise(said.join(_small(tells, p), "term").groupBy("fp").agg(F.collect_list("term").alias("_own")), "own-terms"), p)
+    d = _prepared(docs.select(text), text).join(own, "fp").dropDuplicates(["fp"])
+    d = d.withColumn("_r", F.regexp_extract_all("_t", F.lit(_LETTERS), F.lit(0))).withColumn("_q", F.split("_t", _LETTERS, -1))
+    return materialise(d.select("fp", _marked().alias("terms")), "term-spans")
 
 
 _EMPTY = "array<struct<kind:int,start:int,stop:int>>"
@@ -161,8 +165,8 @@ def find(docs: DataFrame, p: Params = Params(), text: str = "text") -> DataFrame
     kinds in order, each by start, and disclosing terms last, as kind term.
     """
     docs = docs.select("doc_id", text)
-    found = materialise(_with_base(_prepared(docs, text), p).select("doc_id", "fp", "_base"), "found")
-    d = _spans(found, term_spans(docs, found, p, text), p)
+    found = materialise(_with_base(_prepared(docs, text)).select("doc_id", "fp", "_base", F.when(F.size("_base") > 0, _terms(p)).alias("_w")), "found")
+    d = _spans(found.drop("_w"), term_spans(docs, found, p, text), p)
     count = lambda k: F.size(F.filter("_base", lambda s: s["kind"] == k)).cast("long")
     return d.select("doc_id", *(count(k).alias(f"n_{kind}") for k, kind in enumerate(KINDS)), F.sha2(_joined(F.col("_base")), 256).alias("base_sha256"), _joined(F.col("_all")).alias("spans"))
 
@@ -172,9 +176,9 @@ def sanitise(docs: DataFrame, p: Params = Params(), text: str = "text") -> DataF
     removed ([TERM]); overlapping spans become one, of the first one's kind. All rows and columns stay; a null text
     stays null, n_chars, where there is one, becomes the new text's length."""
     cols = docs.columns
-    found = materialise(_with_base(_prepared(docs.select(text), text), p).select("fp", "_base"), "found")
+    found = materialise(_with_base(_prepared(docs.select(text), text)).select("fp", "_base", F.when(F.size("_base") > 0, _terms(p)).alias("_w")), "found")
     terms = term_spans(docs, found, p, text)
-    d = _spans(_with_base(_prepared(docs, text), p), terms, p)
+    d = _spans(_with_base(_prepared(docs, text)), terms, p)
     names = ", ".join(f"'[{k.upper()}]'" for k in [*KINDS, "term"])
     new = F.expr(
         f"""case when size(_all) = 0 then _t else
