@@ -4,8 +4,8 @@ The patterns find e-mail addresses, IP addresses, card and phone numbers: the pr
 the other words of their texts give away. Over all texts it counts how often a term stands in a text with an entity, how
 often the entity is found, and in how many texts the term occurs at all. The share of the entity's information
 that the term discloses is PMI(term; entity) / IC(entity): 1 where the term occurs only with the entity, near 0 for
-words found anywhere. No pair is left out for being rare: small counts are corrected, as if each term stood in
-Params.prior texts more, which have the entity by chance only. Terms beyond the threshold are personal data too: all
+words found anywhere. No pair is left out for being rare: small counts are corrected, as the share of the term's texts
+that have the entity is taken at the lower end of its (Wilson) confidence interval. Terms beyond the threshold are personal data too: all
 their occurrences, in whatever text, are removed; the entities are generalised to their kind. Equal texts count once:
 copies are no evidence. The letters of an address itself are no terms.
 """
@@ -23,8 +23,8 @@ from tidemark.llm.common import materialise
 @dataclass(frozen=True)
 class Params:
     min_letters: int = 3
-    #: Texts added to each term's, with the entity as often as anywhere.
-    prior: float = 1.0
+    #: Standard deviations to the lower end of a share's confidence interval: 99.5 % one-sided.
+    deviations: float = 2.6
     least_disclosure: float = 0.8
     #: Tables of fewer rows than this (of some 100 bytes) are sent to all tasks; larger ones are shuffled.
     broadcast_rows: int = 50_000
@@ -109,9 +109,10 @@ def _small(d: DataFrame, p: Params) -> DataFrame:
     return F.broadcast(d) if d.count() <= p.broadcast_rows else d
 
 
-def _smoothed(p: Params) -> Column:
-    """n_et, and what the prior's texts add to it."""
-    return F.col("n_et") + p.prior * F.col("n_e") / F.col("n")
+def _least_share(k: Column, n: Column, p: Params) -> Column:
+    """The lower end of the Wilson interval of k of n. It falls as n grows."""
+    z, k = p.deviations**2, F.least(k, n)
+    return (k + z / 2 - p.deviations * F.sqrt(k * (n - k) / n + z / 4)) / (n + z)
 
 
 def term_spans(docs: DataFrame, found: DataFrame, p: Params, text: str) -> DataFrame:
@@ -125,16 +126,16 @@ def term_spans(docs: DataFrame, found: DataFrame, p: Params, text: str) -> DataF
     total = F.broadcast(found.agg(F.countDistinct("fp").alias("n")))  # one row
     # a term occurs in as many texts as have it beside entities, at least: if these are too many, it tells too little
     often = near.groupBy("term").agg(F.count(F.lit(1)).alias("n_w"))
-    room = F.pow(F.col("n") / F.col("n_e"), F.lit(1 - p.least_disclosure)) * 1.000001
+    enough = F.pow(F.col("n_e") / F.col("n"), F.lit(1 - p.least_disclosure)) * 0.999999
     seen = near.join(often, "term").join(who, "fp").crossJoin(total)
-    seen = seen.filter(F.col("n_w") + p.prior <= (F.least("n_w", "n_e") + p.prior * F.col("n_e") / F.col("n")) * room)
+    seen = seen.filter(_least_share(F.col("n_e"), F.col("n_w"), p) >= enough)
     pair = seen.groupBy("who", "n_e", "term", "n_w", "n").agg(F.count(F.lit(1)).alias("n_et"))
-    pair = materialise(pair.filter(F.col("n_w") + p.prior <= _smoothed(p) * room).drop("n_w"), "pairs")
+    pair = materialise(pair.filter(_least_share(F.col("n_et"), F.col("n_w"), p) >= enough).drop("n_w"), "pairs")
     asked = _small(materialise(pair.select("term").distinct(), "terms"), p)
     said = _prepared(docs.select(text), text).select("fp", F.explode(_terms(p)).alias("term"))
     said = materialise(said.join(asked, "term").distinct(), "term-texts")
     pair = pair.join(said.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")), "term")
-    pmi = F.log2(_smoothed(p) * F.col("n") / (F.col("n_e") * (F.greatest("n_t", "n_et") + p.prior)))
+    pmi = F.log2(_least_share(F.col("n_et"), F.greatest("n_t", "n_et"), p) * F.col("n") / F.col("n_e"))
     share = pmi / F.greatest(F.log2(F.col("n") / F.col("n_e")), F.lit(1e-9))
     tells = materialise(pair.filter(share >= p.least_disclosure).select("term").distinct(), "disclosing")
     own = _small(materialise(said.join(_small(tells, p), "term").groupBy("fp").agg(F.collect_list("term").alias("_own")), "own-terms"), p)
