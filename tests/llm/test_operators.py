@@ -216,6 +216,44 @@ def test_licenses(spark):
     assert licenses.scan(docs(spark, rows).limit(0)).count() == 0
 
 
+def brute_windows(text):
+    """The best of all windows over the words, for each licence."""
+    low = lambda s: re.findall(r"[^\W_]+", s.lower())
+    w, found = low(text), {}
+    grams = list(zip(w, w[1:]))
+    for name, t in licenses.TEMPLATES:
+        b = list(zip(low(t), low(t)[1:]))
+        for i in range(len(grams)):
+            seen = set()
+            for j in range(i, min(len(grams), i + int(len(b) * 1.15 / 0.85 + 1e-9))):
+                seen.add(grams[j])
+                dice = 2 * len(seen & set(b)) / (len(seen) + len(set(b)))
+                if dice >= 0.85:
+                    found[name] = max(found.get(name, 0), dice)
+    return found
+
+
+def test_license_windows(spark):
+    r = random.Random(12)
+    fill = lambda: " ".join(r.choice(["some", "wrapped", "prose", "of", "the", "license", "or", "software"]) for _ in range(r.randint(0, 25)))
+    rows = [(0, None), (1, ""), (2, "We wrote this. It was\nReleased under\nthe MIT License. Then more\nprose follows here.")]
+    for i in range(40):
+        t = licenses.TEMPLATES[i % len(licenses.TEMPLATES)][1].split()
+        for _ in range(r.randint(0, 4)):
+            t.insert(r.randrange(len(t)), r.choice(["the", "of", "xx"]))
+        w = f"{fill()} {' '.join(t)} {fill()}".split()
+        rows.append((10 + i, "".join(x + ("\n" if k % 9 == 8 else " ") for k, x in enumerate(w))))
+    got = {}
+    for x in licenses.scan(docs(spark, rows), licenses.Params(windows=True)).collect():
+        got.setdefault(x.doc_id, {})[x.license] = pytest.approx(x.dice)
+    want = {}
+    for i, t in rows:
+        a, b = brute_licenses(t or ""), brute_windows(t or "")
+        if a or b:
+            want[i] = {k: max(a.get(k, 0), b.get(k, 0)) for k in a | b}
+    assert got == want and "MIT" in got[2] and not brute_licenses(rows[2][1])
+
+
 # --- 6
 
 

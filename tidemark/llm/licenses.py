@@ -4,7 +4,8 @@ A text's parts are the whole text, its paragraphs (between blank lines), its lin
 normalised (lower case, letters and digits only) and compared to a template only if their sizes allow the least
 coefficient: Dice = 2|A and B| / (|A| + |B|) >= d needs |A| >= d / (2 - d) * |B|, and the other way round. A match
 holds one at least of a few of the template's bigrams (so many as may miss, and one more: those of the longest words);
-a part without any of these is not compared.
+a part without any of these is not compared. With Params.windows, notices within parts are found too: all runs of
+words of up to a template's size bound are compared, wherever they start and end.
 """
 
 from __future__ import annotations
@@ -75,6 +76,8 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
 @dataclass(frozen=True)
 class Params:
     least_dice: float = 0.85
+    #: Compare all windows over the words as well.
+    windows: bool = False
     templates: tuple[tuple[str, str], ...] = field(default=TEMPLATES)
 
 
@@ -104,6 +107,9 @@ class Templates:
         self.signs = np.unique(np.concatenate([self._signs(t.encode(), ratio) for _, t in p.templates]))
         self.seen = np.zeros(1 << 20, bool)
         self.seen[(self.signs >> np.uint64(44)).astype(np.int64)] = True
+        self.sets = sets
+        #: Bigrams, repeated ones included, of the longest window for each template.
+        self.reach = [int(len(_bigrams(t.encode())[0]) / ratio + 1e-9) for _, t in p.templates]
         self.least, self.most = np.ceil(self.size * ratio - 1e-9), np.floor(self.size / ratio + 1e-9)
 
 
@@ -131,6 +137,33 @@ def parts(raw: bytes) -> list[tuple[str, int, int]]:
     return out
 
 
+def windows(h: np.ndarray, t: Templates, hit: np.ndarray) -> Iterator[tuple[int, float, int, int]]:
+    """(template, Dice, first and last bigram) of the best windows over the bigrams h, the shortest and first of equals.
+    hit: the places of all templates' bigrams. The best windows start and end with a bigram of their template: without
+    another at the edge, the coefficient is no less."""
+    prior = None
+    for k, own in enumerate(t.sets):
+        q = hit[np.isin(h[hit], own)]
+        if not len(q):
+            continue
+        n = np.searchsorted(q, q + t.reach[k]) - np.arange(len(q))
+        best = None
+        for i in np.flatnonzero(2 * n >= t.p.least_dice * (t.size[k] + t.least[k]) - 1e-9).tolist():
+            if prior is None:
+                order = np.argsort(h, kind="stable")
+                prior = np.full(len(h), -1)
+                again = h[order[1:]] == h[order[:-1]]
+                prior[order[1:][again]] = order[:-1][again]
+            a, at = q[i], q[i : i + n[i]]
+            size = np.cumsum(prior[a : at[-1] + 1] < a)[at - a]  # different bigrams up to each end
+            dice = 2 * np.cumsum(prior[at] < a) / (size + t.size[k])
+            j = int(dice.argmax())
+            if dice[j] >= t.p.least_dice and (best is None or (-dice[j], at[j] - a) < (-best[1], best[3] - best[2])):
+                best = (k, float(dice[j]), int(a), int(at[j]))
+        if best:
+            yield best
+
+
 def scan_text(raw: bytes, bounds: list | None, h: np.ndarray, span: np.ndarray, t: Templates) -> list[tuple[str, float, str, int, int]]:
     """(licence, Dice, kind of part, start, end): the best part for each licence, the first and smallest of several."""
     best: dict[str, tuple] = {}
@@ -156,11 +189,15 @@ def scan_text(raw: bytes, bounds: list | None, h: np.ndarray, span: np.ndarray,
             rank = (-dice[k], b - a, a)
             if t.names[k] not in best or rank < best[t.names[k]][0]:
                 best[t.names[k]] = (rank, (t.names[k], float(dice[k]), kind, a, b))
+    for k, dice, i, j in windows(h, t, hit) if t.p.windows else ():
+        a, b = int(span[i, 0]), int(span[j, 1])
+        if t.names[k] not in best or (-dice, b - a, a) < best[t.names[k]][0] and dice > best[t.names[k]][1][1]:
+            best[t.names[k]] = ((-dice, b - a, a), (t.names[k], dice, "window", a, b))
     return [v for _, v in sorted(best.values(), key=lambda x: x[1][0])]
 
 
 def scan(docs: DataFrame, p: Params = Params()) -> DataFrame:
-    """A row for each document and licence found: doc_id, license, dice, part (text, paragraph, line or sentence) and
+    """A row for each document and licence found: doc_id, license, dice, part (text, paragraph, line, sentence or window) and
     the part's byte range start, end (exclusive).
 
     Null and empty texts give nothing. Repeated rows give their rows each. An empty table gives an empty result.

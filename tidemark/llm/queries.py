@@ -28,7 +28,7 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(read(spark, sf_dir, "documents"))
+    return licenses.scan(read(spark, sf_dir, "documents"), licenses.Params(windows=True))
 
 
 def op6_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
