@@ -8,7 +8,7 @@ anchors are dealt out by their gram, and all comparing is among the contexts of
 1. Each task folds equal contexts of its batch, and deals the others out by gram, packed: hashes and places, no text.
 2. A shard folds equal contexts of all tasks: all but the first are removed whole. What is left are different contexts of
    one gram. A window covers the 64 bytes after its anchor or the 64 around it; contexts of which neither recurs go.
-3. The contexts that remain are fetched from the texts, and suffix-sorted, shard by shard, by external induced sorting
+3. The contexts that remain are fetched from the texts, and suffix-sorted, shard by shard in memory, by induced sorting
    (tidemark.llm.induced). Neighbours in suffix order with `length` bytes in common are equal windows; all but the first
    are removed.
 
