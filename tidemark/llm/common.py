@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,6 +64,37 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def in_arrow(d: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """d.mapInArrow(run, schema), after which the Python worker, which Spark keeps for other tasks, returns what memory it
+    has freed: an executor has more workers than tasks, and each would keep its own peak."""
+
+    def frugal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+
+    return d.mapInArrow(frugal, schema)
+
+
+def slices(b: pa.RecordBatch, text: str = "text", limit: int = 1_000_000) -> Iterator[pa.RecordBatch]:
+    """b in stretches of rows of about `limit` bytes of the text column: what is made of a batch for Python stays small,
+    however many bytes Arrow has put into it. A longer text is a stretch of its own."""
+    if not b.num_rows:
+        return
+    size = np.asarray(pc.fill_null(pc.binary_length(b.column(b.schema.get_field_index(text))), 0)).astype(np.int64)
+    total, at = np.cumsum(size), 0
+    while at < b.num_rows:
+        done = total[at] - size[at]
+        end = max(at + 1, int(np.searchsorted(total, done + limit, "right")))
+        yield b.slice(at, end - at)
+        at = end
+
+
 def chunks(ids: list, texts: list, limit: int = 2_000_000) -> Iterator[tuple[list, list[bytes]]]:
     """(ids, UTF-8 texts) in groups of about `limit` bytes; a null text is empty. A longer text is a group of its own."""
     a: list = []
