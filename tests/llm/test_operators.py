@@ -4,14 +4,14 @@ tables and extra columns."""
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, html_extract, licenses, mixing, ngram_join, pii, quality_crf, quality_rules, suffix_dedup
-from tidemark.llm.induced import suffix_order
+from tidemark.llm import chat, decontaminate, html_extract, induced, licenses, mixing, ngram_join, pii, quality_crf, quality_rules, suffix_dedup
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, kind string, words string"
@@ -26,18 +26,51 @@ def docs(spark, rows):
 # --- 1
 
 
-def test_suffix_order():
+def common(a, b, cap):
+    n = 0
+    while n < min(cap, len(a), len(b)) and a[n] == b[n]:
+        n += 1
+    return n
+
+
+@pytest.mark.parametrize("fan", [3, 512])
+def test_suffix_order(monkeypatch, fan):
+    """Order and common prefixes, with everything recursive and on disk too."""
+    monkeypatch.setattr(induced.Queue, "FAN", fan)
     r = np.random.RandomState(0)
     for _ in range(150):
-        t = r.randint(0, r.randint(1, 6) + 1, r.randint(1, 60))
-        want = sorted(range(len(t)), key=lambda i: list(t[i:]))
-        assert suffix_order(t).tolist() == want
-        assert suffix_order(t, memory=3, base=0).tolist() == want  # everything recursive and on disk
+        t = r.randint(0, r.choice([1, 2, 5, 60]) + 1, r.randint(1, 70))
+        x = t.tolist()
+        want = sorted(range(len(x)), key=lambda i: x[i:])
+        lcp = [0, *(common(x[a:], x[b:], 7) for a, b in zip(want, want[1:]))]
+        for memory, base in ((10**6, 10**6), (3, 0), (30, 0)):
+            order, got = induced.suffix_order(t, memory, base, 7)
+            assert order.tolist() == want and got.tolist() == lcp
+
+
+def test_external_shard(monkeypatch):
+    """A shard of forty times the memory: tuples go to disk, and memory holds a part of what the shard's tuples take."""
+    monkeypatch.setattr(induced, "BLOCK", 1 << 12)
+    r = np.random.RandomState(1)
+    peaks = []
+    for n in (100_000, 400_000):
+        store = induced.Store(10_000, 20_000)
+        text = induced.as_text(r.randint(0, 4, n), store, 8)
+        tracemalloc.start()
+        total = 0
+        for pos, _ in induced.suffixes(text, store, 8):
+            total += len(pos)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert total == n and store.spilled > n
+        store.close()
+    assert peaks[1] < 3 * peaks[0] and peaks[1] < 0.4 * n * induced.TUPLE.itemsize
 
 
 def brute_dedup(rows, length=100):
+    """rows: (doc_id, text, tie)."""
     seen, out = {}, {}
-    for d, x in sorted({(-1 if d is None else d, x or "") for d, x in rows}):
+    for d, tie, x in sorted({(-1 if r[0] is None else r[0], r[2] if len(r) > 2 else 0, r[1] or "") for r in rows}):
         raw = x.encode()
         mark = bytearray(len(raw))
         for s in range(len(raw) - length + 1):
@@ -46,7 +79,7 @@ def brute_dedup(rows, length=100):
                 mark[s : s + length] = b"\1" * length
             seen[w] = 1
         kept = bytes(b for b, m in zip(raw, mark) if not m)
-        out[d] = (len(raw), len(raw) - len(kept), sum(1 for i in range(len(raw)) if mark[i] and not (i and mark[i - 1])), hashlib.sha256(kept).hexdigest())
+        out[d, x] = (len(raw), len(raw) - len(kept), sum(1 for i in range(len(raw)) if mark[i] and not (i and mark[i - 1])), hashlib.sha256(kept).hexdigest())
     return out
 
 
@@ -56,15 +89,28 @@ def test_suffix_dedup(spark):
     rows = [(i, "".join(r.choice(parts) for _ in range(r.randint(0, 50)))) for i in range(120)]
     rows += [(900, "z" * 5000), (901, None), (902, ""), (903, "ab" * 3000), (904, "z" * 99), (905, "z" * 100), (None, "q" * 150), rows[5], rows[5]]
     got = suffix_dedup.dedup(docs(spark, rows)).collect()
-    want = brute_dedup(rows)
+    want = {d: v for (d, _), v in brute_dedup([(*x, x[1] or "") for x in rows]).items()}
     assert len(got) == len(rows)
     for x in got:
         assert tuple(x)[1:] == want[-1 if x.doc_id is None else x.doc_id], x.doc_id
-    small = suffix_dedup.Params(piece=700, shard_bytes=500, memory=50)
-    assert sorted(map(str, suffix_dedup.dedup(docs(spark, rows), small).collect())) == sorted(map(str, got))
+    # small pieces and shards; everything on disk; every gram hot
+    for small in (suffix_dedup.Params(piece=700, shard_bytes=500, memory=50, base=10), suffix_dedup.Params(hot_contexts=-1000, hot_sample=1, hot_windows=100), suffix_dedup.Params(hot_contexts=3, hot_sample=1)):
+        assert sorted(map(str, suffix_dedup.dedup(docs(spark, rows), small).collect())) == sorted(map(str, got))
     assert suffix_dedup.dedup(docs(spark, rows).limit(0)).count() == 0
     k = suffix_dedup.dedup(docs(spark, [(1, "w" * 120)]), keep_text=True).first()
-    assert bytes(k.kept) == b"w" * 100 and [(s.start, s.end) for s in k.removed] == [(1, 101)] or k.n_removed == 119
+    assert bytes(k.kept) == b"" and [(s.start, s.end) for s in k.removed] == [(0, 120)] or (k.n_removed, [(s.start, s.end) for s in k.removed]) == (119, [(1, 120)])
+
+
+def test_suffix_dedup_shared_ids(spark):
+    """Texts of one id, or of none, are documents of their own, in the order of their texts' hashes."""
+    r = random.Random(4)
+    passage = "".join(r.choice("abcdefgh ") for _ in range(400))
+    rows = [(r.choice([None, None, 7, 8, i + 100]), f"{i} " + passage[r.randint(0, 200) :][: r.randint(50, 250)] + f" {i}") for i in range(60)]
+    ties = {x.text: (x.a, x.b) for x in docs(spark, rows).selectExpr("text", "xxhash64(1, text) a", "xxhash64(2, text) b").collect()}
+    want = brute_dedup([(d, t, ties[t]) for d, t in rows])
+    d = docs(spark, rows).repartition(1).sortWithinPartitions("n_chars", "text")
+    got = suffix_dedup.dedup(d, keep_text=True).collect()
+    assert sorted((-1 if x.doc_id is None else x.doc_id, *tuple(x)[1:5]) for x in got) == sorted((k[0], *v) for k, v in want.items())
 
 
 # --- 2
@@ -112,6 +158,13 @@ def test_ngram_join(spark):
     assert len(got) == len(rows) + 2
     assert {x.doc_id: (x.n_shingles, x.component_id) for x in got} == want
     assert ngram_join.join(docs(spark, rows).limit(0)).count() == 0
+    # null and shared ids: linked by their texts, through texts of no id too
+    words = [f"v{i}" for i in range(60)]
+    say = lambda k: " ".join(words[:k] + [f"u{k}"] + words[k + 1 :])
+    chain = [(5, say(3)), (None, " ".join(words)), (6, say(40)), (6, "quite another text of six words"), (None, None), (None, "alone in the world it is")]
+    got = {(x.doc_id, x.n_shingles): x for x in ngram_join.join(docs(spark, chain)).collect()}
+    assert {k: x.component_id for k, x in got.items()} == {(5, 56): 5, (None, 56): 5, (6, 56): 5, (6, 2): 6, (None, 0): None, (None, 2): None}
+    assert len({got[k].component for k in ((5, 56), (None, 56), (6, 56))}) == 1 and got[None, 0].component is None
     few = ngram_join.Params(broadcast_ids=0, sketch_bits=8, fragments=3)
     assert {x.doc_id: (x.n_shingles, x.component_id) for x in ngram_join.join(docs(spark, rows), few).collect()} == want
 

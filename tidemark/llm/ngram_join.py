@@ -10,14 +10,16 @@ far apart for a link; n-grams with the same group give it once. Each member know
 least hash) and the next member by size. A bitmap of each class, the parity of its n-grams in twice as many bits as it
 has n-grams, bounds every pair's difference from below: pairs that it rules out are not looked at.
 
-Verification. The n-grams of the classes in question are split by fragment; for every candidate pair the overlaps of its
-fragments are counted separately and summed, and the pair is a link if the sum reaches the threshold.
+Verification. The n-grams of the classes in question are split by fragment. A fragment's part of a pair goes where the
+fragment's parts of its two classes are: (fragment, class) is the key that is dealt out, so that a class of very many pairs
+spreads over all fragments. The overlaps counted there are summed for each pair, which is a link if they reach the
+threshold.
 
 Rounds. First each class is paired with one pivot, so that a group of thousands of near copies takes as many pairs as it
-has members. Then members are paired with the other pivots, their neighbours and one member
-of each group by chance, where these are of another component
-still. Last, every pair of different components with a common prefix n-gram that sizes and bitmaps allow is verified,
-so that no link that joins components is lost.
+has members. Then members are paired with the other pivots, their neighbours and one member of each group by chance,
+where these are of another component still. Last, every pair of different components with a common prefix n-gram that
+sizes and bitmaps allow is verified, so that no link that joins components is lost; a group's largest component is not
+paired with itself, so that a group of near copies and a few others takes as many pairs as it has members for each other.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks, drop_table, materialise, mix64, shingle_hashes, word_hashes
+from tidemark.llm.common import chunks, drop_table, in_arrow, materialise, mix64, shingle_hashes, slices, word_hashes
 from tidemark.llm.graph import components
 
 
@@ -89,7 +91,8 @@ class Order:
 
 def global_order(docs: DataFrame, p: Params = Params()) -> Order:
     """The order, from the document counts of all n-grams, summed up in 2**sketch_bits cells. A cell's level is the
-    magnitude of what its count has beyond half the mean. The size is fixed, whatever the number of documents."""
+    magnitude of what its count has beyond half the mean. The size is fixed, whatever the number of documents. A task
+    sums up several splits, so that the sketches that are shuffled go with the cores, not with the splits."""
     cells, pieces = 1 << p.sketch_bits, 64
 
     def pack(total: np.ndarray, which) -> pa.RecordBatch:
@@ -98,9 +101,10 @@ def global_order(docs: DataFrame, p: Params = Params()) -> Order:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(cells, np.int64)
         for b in batches:
-            for _, raws in chunks([None] * b.num_rows, b.column(0).to_pylist()):
-                h, _, _, _ = _sets(raws, p)
-                np.add.at(total, (h >> _U(64 - p.sketch_bits)).astype(np.int64), 1)
+            for part in slices(b):
+                for _, raws in chunks([None] * part.num_rows, part.column(0).to_pylist()):
+                    h, _, _, _ = _sets(raws, p)
+                    np.add.at(total, (h >> _U(64 - p.sketch_bits)).astype(np.int64), 1)
         yield pack(np.split(total, pieces), range(pieces))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,7 +116,8 @@ def global_order(docs: DataFrame, p: Params = Params()) -> Order:
             yield pack(list(sums.values()), sums)
 
     schema = "piece int, counts binary"
-    got = docs.select("text").mapInArrow(run, schema).repartition(pieces, "piece").mapInArrow(add, schema).collect()  # fixed size
+    some = docs.select("text").coalesce(2 * docs.sparkSession.sparkContext.defaultParallelism)
+    got = in_arrow(in_arrow(some, run, schema).repartition(pieces, "piece"), add, schema).collect()  # fixed size
     total = np.zeros(cells, np.int64)
     for r in got:
         total[r.piece * (cells // pieces) : (r.piece + 1) * (cells // pieces)] = np.frombuffer(zlib.decompress(r.counts), np.int64)
@@ -166,24 +171,25 @@ def _near(p: Params, na: str = "na", nb: str = "nb"):
 
 
 def signatures(docs: DataFrame, order: Order, shards: int, p: Params = Params()) -> DataFrame:
-    """Rows of two kinds: kind 0, a document's doc_id, n and class fingerprint fp; kind 1, a shard's packed prefixes
+    """Rows of two kinds: kind 0, a document's doc_id, text_hash, n and class fingerprint fp; kind 1, a shard's packed prefixes
     (place, fp, n) from one batch of texts. Equal sets within a batch give one prefix."""
     held = docs.sparkSession.sparkContext.broadcast(order)
-    names = ["kind", "shard", "doc_id", "n", "fp", "packed", "bits"]
+    names = ["kind", "shard", "doc_id", "text_hash", "n", "fp", "packed", "bits"]
 
-    def rows(kind: int, shard: list, ids: list, n: list, fp: list, packed: list, bits) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([kind] * len(shard), pa.int32()), pa.array(shard, pa.int32()), pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(fp, pa.int64()), pa.array(packed, pa.binary()), bits], names
-        )
+    def rows(kind: int, shard: list, ids: list, th: list, n: list, fp: list, packed: list, bits) -> pa.RecordBatch:
+        longs = (pa.array(x, pa.int64()) for x in (ids, th, n, fp))
+        return pa.RecordBatch.from_arrays([pa.array([kind] * len(shard), pa.int32()), pa.array(shard, pa.int32()), *longs, pa.array(packed, pa.binary()), bits], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn = 0
         for b in batches:
-            for ids, raws in chunks(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), 4_000_000):
+            for x in slices(b, limit=2_000_000):
+                raws = [(t or "").encode("utf-8", "surrogatepass") for t in x.column("text").to_pylist()]
+                ids = x.column("doc_id").to_pylist()
                 h, d, n, fp = _sets(raws, p)
                 turn += 1
                 at = [(turn * 7919 + i) % shards for i in range(len(ids))]
-                yield rows(0, at, ids, n.tolist(), fp.view(np.int64).tolist(), [None] * len(ids), _bitmaps(h, d, n))
+                yield rows(0, at, ids, x.column("text_hash").to_pylist(), n.tolist(), fp.view(np.int64).tolist(), [None] * len(ids), _bitmaps(h, d, n))
                 own = np.zeros(len(raws), bool)
                 own[np.unique(fp, return_index=True)[1]] = True
                 keep = own[d]
@@ -203,10 +209,11 @@ def signatures(docs: DataFrame, order: Order, shards: int, p: Params = Params())
                 for s in some:
                     i = slice(cut[s], cut[s + 1])
                     packed.append(place[i].tobytes() + fp[d[i]].tobytes() + n[d[i]].astype(np.int32).tobytes())
-                k = len(some)
-                yield rows(1, some, [None] * k, [None] * k, [None] * k, packed, pa.nulls(k, _LONGS))
+                none = [None] * len(some)
+                yield rows(1, some, none, none, none, none, packed, pa.nulls(len(some), _LONGS))
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "kind int, shard int, doc_id long, n long, fp long, packed binary, bits array<bigint>")
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
+    return in_arrow(d, run, "kind int, shard int, doc_id long, text_hash long, n long, fp long, packed binary, bits array<bigint>")
 
 
 def _unpack(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -223,7 +230,7 @@ def groups(signed: DataFrame, shards: int, p: Params = Params()) -> DataFrame:
     """Kind 0 rows as they are; kind 2 rows (gid, fp, n): the members of each group, once for all prefix n-grams of a
     shard that have these members. gid is a hash of the members. A shard at a time, in sorted partitions."""
 
-    names = ["kind", "gid", "doc_id", "n", "fp", "pivot", "pn", "nxt", "nn", "alt", "an", "bits"]
+    names = ["kind", "gid", "doc_id", "text_hash", "n", "fp", "pivot", "pn", "nxt", "nn", "alt", "an", "bits"]
 
     def shard_rows(blobs: list[bytes]) -> pa.RecordBatch | None:
         place, fp, n = _unpack(blobs)
@@ -249,7 +256,7 @@ def groups(signed: DataFrame, shards: int, p: Params = Params()) -> DataFrame:
         nxt = np.where(np.append(head[1:], True), pivot, np.arange(len(fp)) + 1)
         signed = lambda x: pa.array(x[keep].view(np.int64))
         k = int(keep.sum())
-        cols = [pa.array([2] * k, pa.int32()), signed(np.repeat(gid, size)), pa.nulls(k, pa.int64()), pa.array(n[keep]), signed(fp), signed(fp[pivot]), pa.array(n[pivot][keep]), signed(fp[nxt]), pa.array(n[nxt][keep]), signed(fp[alt]), pa.array(n[alt][keep]), pa.nulls(k, _LONGS)]
+        cols = [pa.array([2] * k, pa.int32()), signed(np.repeat(gid, size)), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.array(n[keep]), signed(fp), signed(fp[pivot]), pa.array(n[pivot][keep]), signed(fp[nxt]), pa.array(n[nxt][keep]), signed(fp[alt]), pa.array(n[alt][keep]), pa.nulls(k, _LONGS)]
         return pa.RecordBatch.from_arrays(cols, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,7 +266,7 @@ def groups(signed: DataFrame, shards: int, p: Params = Params()) -> DataFrame:
             docs = b.filter(pa.array(kind == 0))
             if docs.num_rows:
                 none = pa.nulls(docs.num_rows, pa.int64())
-                yield pa.RecordBatch.from_arrays([docs.column("kind"), none, docs.column("doc_id"), docs.column("n"), docs.column("fp"), none, none, none, none, none, none, docs.column("bits")], names)
+                yield pa.RecordBatch.from_arrays([docs.column("kind"), none, docs.column("doc_id"), docs.column("text_hash"), docs.column("n"), docs.column("fp"), none, none, none, none, none, none, docs.column("bits")], names)
             packed = b.filter(pa.array(kind == 1))
             for s, x in zip(packed.column("shard").to_pylist(), packed.column("packed").to_pylist(), strict=True):
                 if s != now:
@@ -271,7 +278,7 @@ def groups(signed: DataFrame, shards: int, p: Params = Params()) -> DataFrame:
             yield out
 
     d = signed.repartition(shards, "shard").sortWithinPartitions("shard")
-    return d.mapInArrow(run, "kind int, gid long, doc_id long, n long, fp long, pivot long, pn long, nxt long, nn long, alt long, an long, bits array<bigint>")
+    return in_arrow(d, run, "kind int, gid long, doc_id long, text_hash long, n long, fp long, pivot long, pn long, nxt long, nn long, alt long, an long, bits array<bigint>")
 
 
 def fragments(docs: DataFrame, order: Order, p: Params = Params()) -> DataFrame:
@@ -279,7 +286,7 @@ def fragments(docs: DataFrame, order: Order, p: Params = Params()) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (x for whole in batches for x in slices(whole)):
             for _, raws in chunks([None] * b.num_rows, b.column("text").to_pylist()):
                 h, d, n, fp = _sets(raws, p)
                 place = held.value.places(h)
@@ -292,14 +299,15 @@ def fragments(docs: DataFrame, order: Order, p: Params = Params()) -> DataFrame:
                 grams = pa.ListArray.from_arrays(pa.array(np.append(at, len(place)), pa.int32()), pa.array(place.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array(fp[d[at]].view(np.int64)), pa.array(frag[at], pa.int32()), grams], ["fp", "frag", "grams"])
 
-    return docs.select("text").mapInArrow(run, "fp long, frag int, grams array<bigint>")
+    return in_arrow(docs.select("text"), run, "fp long, frag int, grams array<bigint>")
 
 
-def verified(pairs: DataFrame, parts: DataFrame) -> DataFrame:
-    """pairs (a, b, na, nb) with the sum of their fragments' overlaps, both."""
-    left = pairs.join(parts.withColumnsRenamed({"fp": "a", "grams": "ga"}), "a")
+def verified(pairs: DataFrame, parts: DataFrame, p: Params = Params()) -> DataFrame:
+    """pairs (a, b, na, nb) with the sum of their fragments' overlaps, both. Pairs meet the parts fragment by fragment."""
+    cut = pairs.withColumn("frag", F.explode(F.sequence(F.lit(0), F.lit(p.fragments - 1))))
+    left = cut.join(parts.withColumnsRenamed({"fp": "a", "grams": "ga"}), ["frag", "a"])
     return (
-        left.join(parts.withColumnsRenamed({"fp": "b", "grams": "gb"}), ["b", "frag"])
+        left.join(parts.withColumnsRenamed({"fp": "b", "grams": "gb"}), ["frag", "b"])
         .select("a", "b", "na", "nb", F.size(F.array_intersect("ga", "gb")).cast("long").alias("part"))
         .groupBy("a", "b", "na", "nb")
         .agg(F.sum("part").alias("both"))
@@ -316,37 +324,44 @@ def _sized(p: Params, na: str = "na", nb: str = "nb"):
 
 
 def join(docs: DataFrame, p: Params = Params()) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of docs.
+    """(doc_id, n_shingles, component_id, component, text_hash) of every row of docs. component names the component where
+    ids can't (a hash; null for texts without shingles), text_hash is the text's xxhash64.
 
     Null, empty and wordless texts have no shingles; each is its own component. Documents of equal sets are linked
-    (both have all of the other's). Repeated rows give their rows each. A null doc_id gets the smallest id of
-    its component, which is null if none is known. An empty table gives an empty result; columns other than
-    doc_id and text don't matter; a class known under null ids alone is linked with no other. Sets are told apart by a 64-bit fingerprint and their size, n-grams by 64-bit hashes.
+    (both have all of the other's). Repeated rows give their rows each. Rows of null or shared ids are linked by their
+    own texts; a null doc_id gets the smallest id of its component, which is null if none is known. Whole texts are
+    read, however long. An empty table gives an empty result; columns other than doc_id and text don't matter. Sets are
+    told apart by a 64-bit fingerprint and their size, n-grams by 64-bit hashes.
     """
     spark: SparkSession = docs.sparkSession
     shards = max(8, 2 * docs.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
     order = global_order(docs, p)
     table = materialise(groups(signatures(docs, order, shards, p), shards, p), "prefixes")
-    members = table.filter("kind = 0").select("doc_id", "n", "fp")
-    classes = materialise(table.filter("kind = 0").groupBy("fp").agg(F.min("doc_id").alias("low"), F.first("bits").alias("bits")), "classes")
+    members = table.filter("kind = 0").select("doc_id", "text_hash", "n", "fp")
+    classes = table.filter("kind = 0").groupBy("fp").agg(F.min("doc_id").alias("low"), F.min("text_hash").alias("text_hash"), F.first("bits").alias("bits"))
+    classes = materialise(classes, "classes")
     group = materialise(table.filter("kind = 2").select("gid", "fp", "n", "pivot", "pn", "nxt", "nn", "alt", "an").dropDuplicates(["gid", "fp"]), "groups")
     bits = classes.select("fp", "bits")
 
-    def tidy(d: DataFrame) -> DataFrame:
-        """Pairs (x, y, nx, ny) the right way round, once, and only those that sizes and bitmaps allow."""
+    def ordered(d: DataFrame) -> DataFrame:
+        """Pairs (x, y, nx, ny) as (a, b, na, nb) with a before b."""
         pick = lambda u, v, name: F.when(F.col("x") < F.col("y"), F.col(u)).otherwise(F.col(v)).alias(name)
-        d = d.filter("x <> y").select(pick("x", "y", "a"), pick("y", "x", "b"), pick("nx", "ny", "na"), pick("ny", "nx", "nb")).filter(_sized(p)).distinct()
+        return d.filter("x <> y").select(pick("x", "y", "a"), pick("y", "x", "b"), pick("nx", "ny", "na"), pick("ny", "nx", "nb"))
+
+    def tidy(d: DataFrame) -> DataFrame:
+        """Pairs the right way round, once, and only those that sizes and bitmaps allow."""
+        d = ordered(d).filter(_sized(p)).distinct()
         d = d.join(bits.select(F.col("fp").alias("a"), F.col("bits").alias("ba")), "a").join(bits.select(F.col("fp").alias("b"), F.col("bits").alias("bb")), "b")
         return d.filter(_near(p)).select("a", "b", "na", "nb")
 
     def links(pairs: DataFrame) -> DataFrame:
-        """Those of the pairs that are links. One document of each class gives its n-grams."""
+        """Those of the pairs that are links. One text of each class gives its n-grams."""
         fps = pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))).distinct()
-        ids = materialise(classes.join(fps, "fp", "left_semi").select(F.col("low").alias("doc_id")).filter("doc_id is not null").distinct(), "asked")
-        ids = F.broadcast(ids) if ids.count() <= p.broadcast_ids else ids
-        chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
+        asked = materialise(classes.join(fps, "fp", "left_semi").select("text_hash").distinct(), "asked")
+        asked = F.broadcast(asked) if asked.count() <= p.broadcast_ids else asked
+        chosen = docs.select("text", F.xxhash64("text").alias("text_hash")).join(asked, "text_hash", "left_semi")
         parts = materialise(fragments(chosen, order, p).dropDuplicates(["fp", "frag"]), "fragments")
-        found = materialise(_links(verified(pairs, parts), p), "links")
+        found = materialise(_links(verified(pairs, parts, p), p), "links")
         drop_table(parts)
         return found
 
@@ -373,16 +388,20 @@ def join(docs: DataFrame, p: Params = Params()) -> DataFrame:
     roots = materialise(homes(edges), "roots")
     # round 3: what is left across components
     placed = with_home(group.select("gid", "fp", "n"), roots, "fp")
-    open_ = placed.groupBy("gid").agg(F.min("home_fp").alias("h0"), F.max("home_fp").alias("h1")).filter("h0 <> h1").select("gid")
+    homes_of = placed.groupBy("gid", "home_fp").agg(F.count(F.lit(1)).alias("k"))
+    open_ = homes_of.groupBy("gid").agg(F.count(F.lit(1)).alias("homes"), F.max(F.struct("k", "home_fp"))["home_fp"].alias("big")).filter("homes > 1").select("gid", "big")
     left = materialise(placed.join(open_, "gid").join(bits, "fp"), "open")
-    x = left.select("gid", F.col("fp").alias("a"), F.col("n").alias("na"), F.col("home_fp").alias("ha"), F.col("bits").alias("ba"))
-    y = left.select(F.col("gid").alias("g"), F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("home_fp").alias("hb"), F.col("bits").alias("bb"))
-    rest = x.join(y, (F.col("gid") == F.col("g")) & (F.col("a") < F.col("b")) & (F.col("ha") != F.col("hb")) & _sized(p) & _near(p))
-    third = materialise(rest.select("a", "b", "na", "nb").distinct().join(done, ["a", "b"], "left_anti"), "pairs")
+    x = left.filter("home_fp <> big").select("gid", F.col("fp").alias("x"), F.col("n").alias("nx"), F.col("home_fp").alias("hx"), F.col("bits").alias("ba"))
+    y = left.select(F.col("gid").alias("g"), F.col("fp").alias("y"), F.col("n").alias("ny"), F.col("home_fp").alias("hy"), F.col("bits").alias("bb"), "big")
+    once = (F.col("hy") == F.col("big")) | (F.col("x") < F.col("y"))
+    rest = x.join(y, (F.col("gid") == F.col("g")) & (F.col("hx") != F.col("hy")) & once & _sized(p, "nx", "ny") & _near(p, "nx", "ny"))
+    rest = rest.select("x", "nx", "y", "ny")
+    third = materialise(ordered(rest).distinct().join(done, ["a", "b"], "left_anti"), "pairs")
     edges = edges.unionByName(links(third))
     roots = homes(edges)
     both = with_home(classes.select("fp", "low"), roots, "fp").withColumnRenamed("home_fp", "root")
-    ids = both.groupBy("root").agg(F.min("low").alias("component"))
-    named = both.join(ids, "root").select("fp", "component")
+    ids = both.groupBy("root").agg(F.min("low").alias("least"))
+    named = both.join(ids, "root").select("fp", "root", "least")
     d = members.join(named, "fp", "left")
-    return d.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
+    some = F.col("n") > 0
+    return d.select("doc_id", F.col("n").alias("n_shingles"), F.when(some, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"), F.when(some, F.col("root")).alias("component"), "text_hash")

@@ -15,7 +15,7 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.join(read(spark, sf_dir, "documents"))
+    return ngram_join.join(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
