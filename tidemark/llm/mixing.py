@@ -55,49 +55,64 @@ def targets(sizes: DataFrame, p: Params = Params()) -> DataFrame:
     return d.select("source", "source_size", t.alias("target"))
 
 
-def mix(docs: DataFrame, p: Params = Params(), text: str = "text") -> DataFrame:
-    """Every row of docs without its text, with size, source_size, target and taken, the words that the mix takes.
+_OWN = ("size", "source_size", "target", "taken")
 
-    A null text has no words; a null source is one source. taken is the size times the whole epochs, plus what the
-    last, cut epoch takes: all words of the documents before the cut, none after it, and so many first words of the
-    document at the cut that the source gives its target, rounded to whole words. Repeated rows are taken one by
-    one. An empty table gives an empty result. Columns named like a result column are replaced.
-    """
-    own = ["size", "source_size", "target", "taken"]
-    docs = docs.drop(*[c for c in docs.columns if c.lower() in own or c.startswith("_")])
-    rest = [c for c in docs.columns if c != text]
-    key = F.xxhash64(F.lit(p.seed), F.col("doc_id"))
-    sized = materialise(docs.select(*rest, n_words(F.col(text)).alias("size"), key.alias("_key")), "sizes")
-    per = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_rows"))
+
+def _measured(docs: DataFrame, carry: list[str], p: Params, text: str) -> DataFrame:
+    """(row, source, doc_id, size, key) of every row of docs; row has the columns to carry, whatever their names."""
+    row = F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in carry))
+    key = F.shiftrightunsigned(F.xxhash64(F.lit(p.seed), F.col("doc_id"), F.col(text)), 11)
+    return docs.select(row.alias("row"), F.col("source").alias("source"), F.col("doc_id").alias("doc_id"), n_words(F.col(text)).alias("size"), key.alias("key"))
+
+
+def _taken(rows: DataFrame, sized: DataFrame, p: Params) -> DataFrame:
+    """rows (of _measured) with source_size, target and taken. sized: the same, without what isn't needed."""
+    same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
+    per = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_rows"))
     per = materialise(per, "sources")
     goal = targets(per.select("source", "source_size"), p)
-    same = lambda a, b: a.eqNullSafe(b)
-    goal = goal.withColumnRenamed("source", "_s").join(per.select(F.col("source").alias("_p"), "_rows"), same(F.col("_s"), F.col("_p"))).drop("_p")
-    d = sized.join(goal, same(F.col("source"), F.col("_s"))).drop("_s")
-    n_buckets = F.ceil(F.col("_rows") / p.bucket_rows)
-    share = (F.shiftrightunsigned("_key", 11)).cast("double") / F.lit(float(2**53))
-    d = d.withColumn("_bucket", F.least(F.floor(share * n_buckets), n_buckets - 1))
+    goal = goal.withColumnRenamed("source", "_s").join(per.select(F.col("source").alias("_p"), "n_rows"), same("_s", "_p")).drop("_p")
+    n_buckets = F.ceil(F.col("n_rows") / p.bucket_rows)
+    share = F.col("key").cast("double") / F.lit(float(2**53))
+    bucket = F.least(F.floor(share * n_buckets), n_buckets - 1)
+    dealt = lambda d: d.join(goal, same("source", "_s")).drop("_s").withColumn("bucket", bucket)
+    sums = dealt(sized).groupBy("source", "bucket").agg(F.sum("size").alias("sum"))
+    ahead = F.coalesce(F.sum("sum").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sums = sums.select(F.col("source").alias("_s"), F.col("bucket").alias("_b"), ahead.alias("ahead"))
     # order inside a source: hash, then id; equal rows are interchangeable
-    run = Window.partitionBy("source", "_bucket").orderBy(F.shiftrightunsigned("_key", 11), "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    sums = d.groupBy("source", "_bucket").agg(F.sum("size").alias("_sum"))
-    ahead = F.coalesce(F.sum("_sum").over(Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    sums = sums.select(F.col("source").alias("_s"), F.col("_bucket").alias("_b"), ahead.alias("_ahead"))
-    d = d.withColumn("_run", F.coalesce(F.sum("size").over(run), F.lit(0)))
-    d = d.join(sums, same(F.col("source"), F.col("_s")) & (F.col("_bucket") == F.col("_b")))
+    run = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    d = dealt(rows).withColumn("before", F.coalesce(F.sum("size").over(run), F.lit(0)))
+    d = d.join(sums, same("source", "_s") & (F.col("bucket") == F.col("_b")))
     budget = F.round("target").cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.greatest("source_size", F.lit(1)))).otherwise(F.lit(0)).cast("long")
-    left = budget - epochs * F.col("source_size") - F.col("_ahead") - F.col("_run")
+    left = budget - epochs * F.col("source_size") - F.col("ahead") - F.col("before")
     cut = F.greatest(F.lit(0), F.least(F.col("size"), left))
-    return d.select(*rest, "size", "source_size", "target", (epochs * F.col("size") + cut).cast("long").alias("taken"))
+    return d.select("row", "size", "source_size", "target", (epochs * F.col("size") + cut).cast("long").alias("taken"))
+
+
+def mix(docs: DataFrame, p: Params = Params(), text: str = "text") -> DataFrame:
+    """Every row of docs without its text, with size, source_size, target and taken, the words that the mix takes.
+
+    A null text has no words; a null source is one source. Whole texts are counted. taken is the size times the whole
+    epochs, plus what the last, cut epoch takes: all words of the documents before the cut, none after it, and so many
+    first words of the document at the cut that the source gives its target, rounded to whole words. Rows are taken one
+    by one, those of null and shared ids too; of equal rows it doesn't matter which. An empty table gives an empty
+    result. Columns named like a result column are replaced, all others carried along.
+    """
+    rest = [c for c in docs.columns if c != text and c.lower() not in _OWN]
+    sized = materialise(_measured(docs, rest, p, text), "sizes")
+    return _taken(sized, sized, p).select(*(F.col("row")[c].alias(c) for c in rest), *_OWN)
 
 
 def emit(docs: DataFrame, p: Params = Params(), text: str = "text") -> DataFrame:
     """The mix itself: the rows of docs that it takes, once an epoch, with the columns epoch (from 0) and words (taken in
-    that epoch). The document at a source's cut has its first words only, joined by blanks. doc_id tells rows apart;
-    of rows that share one, all are taken as often as the first."""
-    part = mix(docs, p, text).filter("taken > 0").groupBy(F.col("doc_id").alias("_id")).agg(F.max("size").alias("_size"), F.max("taken").alias("_taken"))
-    d = docs.join(part, F.col("doc_id").eqNullSafe(F.col("_id")))
-    d = d.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.floor((F.col("_taken") - 1) / F.col("_size")).cast("int"))))
-    here = F.least(F.col("_size"), F.col("_taken") - F.col("epoch") * F.col("_size")).cast("int")
-    first = F.array_join(F.slice(words(F.col(text)), 1, here), " ")
-    return d.withColumn(text, F.when(here == F.col("_size"), F.col(text)).otherwise(first)).withColumn("words", here.cast("long")).drop("_id", "_size", "_taken")
+    that epoch). The document at a source's cut has its first words only, joined by blanks. Each row is taken as mix()
+    says of it. Columns named epoch and words are replaced, all others carried along."""
+    rest = [c for c in docs.columns if c.lower() not in ("epoch", "words")]
+    sized = materialise(_measured(docs, [], p, text).drop("row"), "sizes")
+    d = _taken(_measured(docs, rest, p, text), sized, p).filter("taken > 0")
+    d = d.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.floor((F.col("taken") - 1) / F.col("size")).cast("int"))))
+    here = F.least(F.col("size"), F.col("taken") - F.col("epoch") * F.col("size")).cast("int")
+    whole = F.col("row")[text]
+    said = F.when(here == F.col("size"), whole).otherwise(F.array_join(F.slice(words(whole), 1, here), " "))
+    return d.select(*((said if c == text else F.col("row")[c]).alias(c) for c in rest), "epoch", here.cast("long").alias("words"))
