@@ -174,12 +174,13 @@ def find(docs: DataFrame, p: Params = Params(), text: str = "text") -> DataFrame
 
 def sanitise(docs: DataFrame, p: Params = Params(), text: str = "text") -> DataFrame:
     """docs with every entity in its text generalised to [EMAIL], [IP], [CARD] or [PHONE], and disclosing terms
-    removed ([TERM]); overlapping spans become one, of the first one's kind. All rows and columns stay; a null text
-    stays null, n_chars, where there is one, becomes the new text's length."""
-    cols = docs.columns
+    removed ([TERM]); overlapping spans become one, of the first one's kind. All rows and columns stay, whatever the
+    columns' names; repeated rows fare alike, an empty table stays empty. A null text stays null, n_chars, where there
+    is one, becomes the new text's length. Whole texts are read."""
     found = materialise(_with_base(_prepared(docs.select(text), text)).select("fp", "_base", F.when(F.size("_base") > 0, _terms(p)).alias("_w")), "found")
     terms = term_spans(docs, found, p, text)
-    d = _spans(_with_base(_prepared(docs, text)), terms, p)
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
+    d = _spans(_with_base(docs.select(row, F.col(text).alias("_said")).transform(_prepared, "_said")), terms, p)
     names = ", ".join(f"'[{k.upper()}]'" for k in [*KINDS, "term"])
     new = F.expr(
         f"""case when size(_all) = 0 then _t else
@@ -189,7 +190,14 @@ def sanitise(docs: DataFrame, p: Params = Params(), text: str = "text") -> DataF
                       else named_struct('at', s.stop, 'out', concat(a.out, substring(_t, a.at + 1, s.start - a.at), array({names})[s.kind])) end,
             a -> concat(a.out, substring(_t, a.at + 1))) end"""
     )
-    d = d.withColumn(text, F.when(F.col(text).isNotNull(), new))
-    if "n_chars" in cols:
-        d = d.withColumn("n_chars", F.when(F.col(text).isNotNull(), F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return d.select(*cols)
+    d = d.select("_row", F.when(F.col("_said").isNotNull(), new).alias("_new"))
+
+    def column(c: str) -> Column:
+        old = F.col("_row")[c]
+        if c == text:
+            return F.col("_new").alias(c)
+        if c == "n_chars":
+            old = F.when(F.col("_new").isNotNull(), F.length("_new").cast(docs.schema[c].dataType)).otherwise(old)
+        return old.alias(c)
+
+    return d.select(*map(column, docs.columns))
