@@ -1,9 +1,11 @@
 """Quality rules with adaptive thresholds from mergeable quantile sketches, by SQL functions alone.
 
-Every text gets a handful of measures. A KLL sketch of each measure is built per (language, source); sketches of
-small groups are merged into their language's and then into the corpus's. A group's limits are its median plus a
-multiple of the spread between its lower decile and its median (so up to half of a group may be junk without
-moving the limits), and a join brings the limits back to the documents.
+Every text gets a handful of measures. A KLL sketch of each measure is built per (language, source); the sketches are
+merged into their language's and then into the corpus's. A sketch's limit is its median plus a multiple of the spread
+between its lower decile and its median (so up to half of a group may be junk without moving the limit). A group's limit
+is blended of its own and its language's, which is blended of the language's own and the corpus's, each weighing as its
+documents to `prior_docs`: a small group leans on the larger one, and no number of documents switches over. A join brings
+the limits back to the documents.
 """
 
 from __future__ import annotations
@@ -32,8 +34,8 @@ class Rule:
 class Params:
     min_words: int = 50
     max_repeat_percent: int = 50
-    #: Groups of fewer documents than this take the limits of their language, languages those of the corpus.
-    min_group: int = 200
+    #: The larger group weighs like so many documents of the smaller one.
+    prior_docs: int = 200
     sketch_k: int = 200
     rules: tuple[Rule, ...] = field(
         default=(
@@ -103,7 +105,7 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def limits(measured: DataFrame, p: Params = Params()) -> DataFrame:
-    """One row for each (lang, source): the limit of every rule. Sketches merge upwards where a group is small."""
+    """One row for each (lang, source): the limit of every rule."""
     names = [r.measure for r in p.rules]
     group = measured.groupBy("lang", "source").agg(
         F.count(F.lit(1)).alias("n"), *(F.kll_sketch_agg_double(m, F.lit(p.sketch_k)).alias(m) for m in names)
@@ -119,36 +121,54 @@ def limits(measured: DataFrame, p: Params = Params()) -> DataFrame:
     full = group.join(lang, F.col("lang").eqNullSafe(F.col("l_lang"))).crossJoin(F.broadcast(merge([], "a_")))  # one row
     out = []
     for r in p.rules:
-        m = r.measure
-        sketch = F.when(F.col("n") >= p.min_group, F.col(m)).when(F.col("l_n") >= p.min_group, F.col(f"l_{m}")).otherwise(F.col(f"a_{m}"))
-        q = lambda rank, s=sketch: F.kll_sketch_get_quantile_double(s, F.lit(rank))
-        mid = q(0.5)
-        out.append((mid + F.greatest(mid - q(0.1), F.lit(r.least_spread)) * r.factor).alias(f"max_{m}"))
+
+        def limit(tag: str, r=r) -> Column:
+            q = lambda rank: F.kll_sketch_get_quantile_double(F.col(f"{tag}{r.measure}"), F.lit(rank))
+            return q(0.5) + F.greatest(q(0.5) - q(0.1), F.lit(r.least_spread)) * r.factor
+
+        own = lambda n: F.col(n) / (F.col(n) + p.prior_docs)
+        of_lang = own("l_n") * limit("l_") + (1 - own("l_n")) * limit("a_")
+        out.append((own("n") * limit("") + (1 - own("n")) * of_lang).alias(f"max_{r.measure}"))
     return full.select("lang", "source", *out)
 
 
-def judge(docs: DataFrame, p: Params = Params(), text: str = "text") -> DataFrame:
-    """Every row of docs, without its text, with its counts, base_failed and kept.
+_COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
-    A null or empty text has no words and fails the base rule. Null languages and sources are groups of their
-    own. Repeated rows are judged alike, each on its own. An empty table gives an empty result. Columns of docs
-    that are named like a result column are replaced; other columns are carried along.
-    """
-    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    own = {c.lower() for c in (*names, "base_failed", "kept", "n_upper", "n_lines", *(r.measure for r in p.rules), *(f"max_{r.measure}" for r in p.rules))}
-    docs = docs.drop(*[c for c in docs.columns if c.lower() in own or c.startswith("_")])
-    carried = [c for c in docs.columns if c != text]
-    measured = materialise(measures(docs, text), "measures")
-    lim = limits(measured, p).withColumnsRenamed({"lang": "_lang", "source": "_source"})
+
+def _apart(docs: DataFrame, carry: list[str], text: str) -> DataFrame:
+    """(_row, lang, source, text): the columns to carry in one, where names can't clash."""
+    row = F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in carry))
+    return docs.select(row.alias("_row"), F.col("lang").alias("lang"), F.col("source").alias("source"), F.col(text).alias("_said"))
+
+
+def _verdict(measured: DataFrame, lim: DataFrame, p: Params) -> DataFrame:
+    """measured with base_failed and kept."""
+    lim = lim.withColumnsRenamed({"lang": "_lang", "source": "_source"})
     d = measured.join(lim, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left")
     base = (F.col("n_words") < p.min_words) | (100 * F.col("n_repeat_words") > p.max_repeat_percent * F.col("n_words"))
     ok = ~base
     for r in p.rules:
         ok = ok & (F.col(r.measure) <= F.col(f"max_{r.measure}"))
-    return d.select(*carried, *names, base.alias("base_failed"), F.coalesce(ok, F.lit(False)).alias("kept"))
+    return d.withColumns({"base_failed": base, "kept": F.coalesce(ok, F.lit(False))})
 
 
-def filtered(docs: DataFrame, p: Params = Params()) -> DataFrame:
-    """The rows of docs whose verdict is to keep, with their texts. doc_id tells rows apart."""
-    keep = judge(docs, p).filter("kept").select("doc_id")
-    return docs.join(keep.distinct(), "doc_id", "left_semi")
+def judge(docs: DataFrame, p: Params = Params(), text: str = "text") -> DataFrame:
+    """Every row of docs, without its text, with its counts, base_failed and kept.
+
+    A null or empty text has no words and fails the base rule. Null languages and sources are groups of their
+    own. Whole texts are measured. Repeated rows are judged alike, each on its own, whatever their ids. An empty table
+    gives an empty result. Columns of docs that are named like a result column are replaced, all others carried along.
+    """
+    own = (*_COUNTS, "base_failed", "kept")
+    carried = [c for c in docs.columns if c != text and c.lower() not in own]
+    measured = materialise(measures(_apart(docs, carried, text), "_said"), "measures")
+    d = _verdict(measured, limits(measured, p), p)
+    return d.select(*(F.col("_row")[c].alias(c) for c in carried), *own)
+
+
+def filtered(docs: DataFrame, p: Params = Params(), text: str = "text") -> DataFrame:
+    """The rows of docs whose verdict is to keep, all columns as they were: each row by its own text, whatever its id.
+    Texts are measured twice, for the limits and for the verdict, instead of being written."""
+    measured = materialise(measures(_apart(docs, [], text), "_said").drop("_row"), "measures")
+    d = _verdict(measures(_apart(docs, docs.columns, text), "_said"), limits(measured, p), p)
+    return d.filter("kept").select(*(F.col("_row")[c].alias(c) for c in docs.columns))
