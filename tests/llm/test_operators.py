@@ -2,8 +2,10 @@
 tables and extra columns."""
 
 import hashlib
+import itertools
 import random
 import re
+import time
 import tracemalloc
 from collections import Counter
 
@@ -204,36 +206,109 @@ def test_mixing(spark):
         taken[x.source] += x.taken
     assert all(abs(taken[s] - want[s]) <= 0.5 for s in want)
     assert sorted(map(str, mixing.mix(d.repartition(5), p).select("doc_id", "taken").collect())) == sorted(map(str, mixing.mix(d, p).select("doc_id", "taken").collect()))
-    plain = docs(spark, rows[:400])
-    mixed = mixing.mix(plain, p).filter("taken > 0").select("doc_id", "taken").collect()
-    out = mixing.emit(plain.drop("words"), p).groupBy("doc_id").agg(F.sum("words").alias("n"), F.sum(F.size(F.split(F.trim("text"), r"\s+"))).alias("m")).collect()
-    assert {x.doc_id: x.taken for x in mixed} == {x.doc_id: x.n for x in out} == {x.doc_id: x.m for x in out}
-    assert mixing.mix(d.limit(0)).count() == 0
+    # the mix itself, row by row: rows of null and shared ids, clashing names
+    odd = rows[:400] + [(None, "a b c", "en", "a"), (None, "z", "en", "a"), (None, "z", "en", None), (3, "one two", "en", "b"), (3, "one", "en", "b"), *[(None, "k k", "en", "b")] * 5]
+    d = docs(spark, odd).withColumns({"_key": F.lit(1), "row": F.lit(2), "bucket": F.lit(3), "size": F.lit(4), "epoch": F.lit(5)})
+    mixed = mixing.mix(d, p)
+    assert {"_key", "row", "bucket", "epoch", "words"} < set(mixed.columns) and mixed.first()._key == 1 and mixed.first().bucket == 3
+    want = Counter()
+    for x in mixed.collect():
+        want[x.doc_id, x.n_chars, x.source] += x.taken
+    got = Counter()
+    for x in mixing.emit(d, p).collect():
+        assert x.words == len(WORD.findall(x.text)) and x.row == 2
+        got[x.doc_id, x.n_chars, x.source] += x.words
+    assert got == +want and mixing.emit(d, p).columns == [*[c for c in d.columns if c not in ("epoch", "words")], "epoch", "words"]
+    # the cut is where the hashes' order puts it: whole documents before it, none after
+    for s in sizes:
+        epochs = {(x.taken // x.size, x.taken % x.size > 0) for x in mixed.filter(F.col("source").eqNullSafe(F.lit(s))).collect() if x.size}
+        assert len({e for e, part in epochs if not part}) <= 2 and sum(part for _, part in epochs) <= 1
+    assert mixing.mix(d.limit(0)).count() == 0 == mixing.emit(d.limit(0)).count()
 
 
 # --- 4
 
 
+def tokens(text):
+    return re.sub(r"[\x00-\x7f]", lambda m: m[0] if m[0].isalnum() else " ", (text or "").lower()).split()
+
+
+def brute_overlap(doc, item):
+    """The most equal tokens of a run on a diagonal that counts as an overlap; all runs of all diagonals."""
+    x, y = tokens(doc), tokens(item)
+    need, best = len(y) if len(y) < 6 else min(13, -(-8 * len(y) // 10)), 0
+    for shift in range(-len(y) + 1, len(x)):
+        k0, k1 = max(0, -shift), min(len(y), len(x) - shift)
+        eq = [x[shift + k] == y[k] for k in range(k0, k1)]
+        if sum(eq) < need:
+            continue
+        for i in range(len(eq)):
+            n = 0
+            for j in range(i, len(eq)):
+                n += eq[j]
+                if n >= need and 4 * n >= 3 * (j + 1 - i):
+                    best = max(best, n)
+    return best
+
+
+def test_masks():
+    """Every 16 tokens of which any 4 differ have a seed; every overlap with a short item has 3 equal tokens in a row."""
+    masks = [[k for k, b in enumerate(m) if b == "1"] for m in decontaminate.Params().masks]
+    for differ in itertools.combinations(range(16), 4):
+        assert any(all(a + k not in differ for k in m) for m in masks for a in range(16 - m[-1]))
+    for n in range(6, 17):
+        need = int(decontaminate.needed(n, decontaminate.Params()))
+        for size in range(need, min(n, int(need / 0.75)) + 1):
+            for differ in itertools.combinations(range(size), size - need):
+                assert any(not {a, a + 1, a + 2} & set(differ) for a in range(size - 2))
+
+
 def test_decontaminate(spark):
+    """Against all runs of all diagonals, with substitutions of any density, the period of 4 included."""
     r = random.Random(9)
-    words = ["".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(4000)]
-    items = [(i, " ".join(r.sample(words, 20))) for i in range(30)] + [(30, None), (30, ""), (31, "too short")]
+    words = ["".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(300)]
     fill = lambda n: " ".join(r.sample(words, n))
-    rows = [(i, fill(r.randint(0, 60))) for i in range(60)] + [(900, None), (901, ""), (902, "a " * 3000)]
-    rows += [(100 + i, fill(20) + ". " + items[i][1].upper() + "! " + fill(9)) for i in range(30)]
-    for i in range(30):  # two substitutions far from each other
-        t = items[i][1].split()
-        t[6], t[13] = "zzz", "yyy"
-        rows.append((200 + i, fill(5) + " " + " ".join(t)))
+    items = [(i, fill(n)) for i, n in enumerate([1, 2, 3, 5, 6, 7, 9, 12, 15, 16, 17, 18, 20, 25, 30, 40, 50, 60] * 2)] + [(90, None), (90, ""), (91, "!?"), (92, "Two tokens"), (93, "two, tokens."), (None, fill(20))]
+    rows = [(i, fill(r.randint(0, 60))) for i in range(40)] + [(900, None), (901, ""), (902, "a " * 3000), (903, "we say two tokens"), (904, "two such tokens"), (905, items[4][1].rsplit(" ", 1)[0])]
+    for i, (_, text) in enumerate(items):
+        for share in (0, 4, 5, 3, None):
+            t = (text or "").split()
+            for k in range(len(t)):
+                if share and k % share == share - 1 or share is None and r.random() < 0.22:
+                    t[k] = r.choice(words)
+            cut = r.choice([0, 0, len(t) // 4])
+            rows.append((1000 + 10 * i + (9 if share is None else share), fill(r.randint(0, 9)) + ". " + " ".join(t[cut:]).upper() + "! " + fill(r.randint(0, 9))))
+    rows += [rows[60], (None, rows[61][1]), (1000, "another text of a shared id")]
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = decontaminate.matches(docs(spark, rows), bench).collect()
-    assert {(x.doc_id, x.item_id) for x in got} == {(k + i, i) for i in range(30) for k in (100, 200)}
-    assert {x.matched_tokens for x in got if x.doc_id < 200} == {20} and all(x.start == 20 for x in got if x.doc_id < 200)
+    want = Counter()
+    for d, t in rows:
+        for i, text in {(-1 if i is None else i, x) for i, x in items if x}:
+            if n := brute_overlap(t, text):
+                want[d, i, n] += 1
+    assert Counter((x.doc_id, x.item_id, x.matched_tokens) for x in got) == want and len(want) > 150
+    text, said = {d: t for d, t in rows if d}, dict(items)
+    for x in got:
+        if x.doc_id not in (None, 1000) and x.item_id >= 0 and x.item_id < 90:
+            run = tokens(text[x.doc_id])[x.start : x.start + x.run_tokens]
+            y = tokens(said[x.item_id])
+            assert any(sum(a == b for a, b in zip(run, y[k : k + len(run)])) == x.matched_tokens for k in range(len(y) - len(run) + 1))
     many = decontaminate.Params(block_bytes=1000)
     assert sorted(map(str, decontaminate.matches(docs(spark, rows), bench, many).collect())) == sorted(map(str, got))
-    kept = decontaminate.clean(docs(spark, rows), bench)
-    assert {x.doc_id for x in kept.collect()} == {i for i, _ in rows if not 100 <= i < 230} and kept.columns[1] == "text"
-    assert decontaminate.matches(docs(spark, rows), bench.limit(0)).count() == 0 == decontaminate.matches(docs(spark, rows).limit(0), bench).count()
+    found = {d for d, _, _ in want}
+    for p in (many, decontaminate.Params()):
+        kept = decontaminate.clean(docs(spark, rows), bench, p)
+        assert Counter(x.doc_id for x in kept.collect()) == Counter(d for d, t in rows if not any(brute_overlap(t, i[1]) for i in items if i[1])) and kept.columns == docs(spark, rows).columns
+    assert found and decontaminate.matches(docs(spark, rows), bench.limit(0)).count() == 0 == decontaminate.matches(docs(spark, rows).limit(0), bench).count()
+
+
+def test_hot_seeds():
+    """Equal items and a passage that repeats within a text: diagonals are compared at once, equal items once."""
+    item = " ".join(f"w{k}" for k in range(50))
+    index = decontaminate.Index([(i, item) for i in range(300)] + [(i, item + f" x{i}") for i in range(300, 400)], decontaminate.Params())
+    start = time.time()
+    got = decontaminate.find([((item + " ") * 40).encode()], index)
+    assert len(got) == 101 and time.time() - start < 20
 
 
 # --- 5
@@ -369,6 +444,32 @@ def test_quality_rules(spark):
     assert sum(not k for d, k in long.items() if d >= 10 and (d - 10) % 10) <= 0.03 * len(long)  # the rest stays
     assert quality_rules.judge(docs(spark, rows).limit(0)).count() == 0
     assert {x.doc_id for x in quality_rules.filtered(docs(spark, rows)).collect()} == {d for d, k in long.items() if k}
+    # null and shared ids are judged by their own texts; names may clash
+    odd = docs(spark, [(None if x[0] % 2 else 1, *x[1:]) for x in rows]).withColumns({"_t": F.lit(1), "max_mean_word": F.lit(2), "symbol_ratio": F.lit(3)})
+    assert quality_rules.filtered(odd).count() == sum(x.kept for x in got) and quality_rules.filtered(odd).columns == odd.columns
+    j = quality_rules.judge(odd)
+    assert j.filter("kept").count() == sum(x.kept for x in got) and j.first().asDict().items() >= {"_t": 1, "max_mean_word": 2, "symbol_ratio": 3}.items()
+
+
+def test_quality_limits(spark):
+    """Against exact quantiles: a limit is blended of the group's, the language's and the corpus's, by documents."""
+    r = random.Random(16)
+    rows = [(i, " ".join("w" * r.randint(2, 9) for _ in range(60)), lang, src) for i, (lang, src) in enumerate([("en", "s")] * 300 + [("en", "t")] * 30 + [("de", None)] * 8)]
+    p = quality_rules.Params(sketch_k=4000)  # exact at this size
+    m = quality_rules.measures(docs(spark, rows)).select("lang", "source", "mean_word").cache()
+    got = {(x.lang, x.source): x.max_mean_word for x in quality_rules.limits(quality_rules.measures(docs(spark, rows)), p).collect()}
+    every = [tuple(x) for x in m.collect()]
+
+    def exact(keep):
+        v = sorted(x[2] for x in every if keep(x))
+        q = lambda rank: v[max(0, int(np.ceil(rank * len(v))) - 1)]
+        return len(v), q(0.5) + max(q(0.5) - q(0.1), 1.0) * 5.0
+
+    blend = lambda n, own, other: (n * own + 200 * other) / (n + 200)
+    for (lang, src), limit in got.items():
+        _, corpus = exact(lambda x: True)
+        of_lang = blend(*exact(lambda x: x[0] == lang), corpus)
+        assert limit == pytest.approx(blend(*exact(lambda x: x[:2] == (lang, src)), of_lang), rel=0.01)
 
 
 # --- 8
@@ -409,6 +510,8 @@ def test_pii(spark):
     s = {x.doc_id: x for x in pii.sanitise(docs(spark, rows)).collect()}
     assert s[1000].text == "note 0 x0 from [TERM] [EMAIL] the day 0" and s[1000].n_chars == len(s[1000].text) and s[900].text is None and s[2000].text == rows[-300][1]
     assert all(not brute_pii(s[d].text) or d < 500 for d, _ in rows)
+    odd = docs(spark, rows[-400:]).withColumns({c: F.lit(c) for c in ("terms", "fp", "_t", "_base", "_row", "_all", "_new")})
+    assert pii.sanitise(odd).columns == odd.columns and all(x.terms == "terms" and x.fp == "fp" and x._t == "_t" and x._base == "_base" and x._row == "_row" for x in pii.sanitise(odd).collect())
     assert pii.find(docs(spark, rows).limit(0)).count() == 0
 
 
