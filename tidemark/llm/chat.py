@@ -7,6 +7,10 @@ sums over (path, depth) give each node its place in the packed token stream. Tok
 
 Every node carries its place, the position id of its first token (the tokens of its ancestors), and the intervals of
 the stream that its tokens may attend to besides themselves: its ancestors' places, merged where they adjoin.
+
+Texts travel with their conversations only: nodes are counted and placed by numbers alone, and a node's text is taken from
+the conversation that owns it. A turn that very many conversations begin with is summed up before it is shuffled; where
+conversations look up their nodes' places it is the skewed side of a sort-merge join, which adaptive execution splits.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise
+from tidemark.llm.common import in_arrow, materialise
 
 #: Role, opening and closing control string.
 ROLES = {"user": ("[INST]", "[/INST]"), "assistant": ("<s>", "</s>"), "system": ("<<SYS>>", "<</SYS>>")}
@@ -79,7 +83,9 @@ _TURNS = "array<struct<node:binary,formatted:string,loss_start:int,loss_end:int,
 def paths(conversations: DataFrame, count_tokens: Callable[[str], int] = len) -> DataFrame:
     """A row for each conversation: conv_id, its leaf (the hash of all its turns), its path and its formatted turns.
 
-    Turns are ordered by number, then role and text; nulls come first, a null role or text counts as empty.
+    Turns are ordered by number, then role and text; nulls come first, a null role or text counts as empty. Rows of a null
+    conv_id are one conversation. Whole texts are formatted, however long; columns other than conv_id, turn, role and text
+    don't matter. An empty table gives an empty result.
     """
     c = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).alias("t"))
     c = c.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
@@ -100,7 +106,7 @@ def paths(conversations: DataFrame, count_tokens: Callable[[str], int] = len) ->
             kind = pa.list_(pa.struct([("node", pa.binary()), ("formatted", pa.string()), ("loss_start", pa.int32()), ("loss_end", pa.int32()), ("n_tokens", pa.int32())]))
             yield pa.RecordBatch.from_arrays([b.column("conv_id"), pa.array(leaf, pa.binary()), pa.array(path, pa.binary()), pa.array(turns, kind)], ["conv_id", "leaf", "path", "turns"])
 
-    return c.mapInArrow(run, f"conv_id long, leaf binary, path binary, turns {_TURNS}")
+    return in_arrow(c, run, f"conv_id long, leaf binary, path binary, turns {_TURNS}")
 
 
 def pack(conversations: DataFrame, count_tokens: Callable[[str], int] = len) -> tuple[DataFrame, DataFrame]:
@@ -112,45 +118,43 @@ def pack(conversations: DataFrame, count_tokens: Callable[[str], int] = len) ->
     leaves, a row for each conversation: conv_id, leaf, n_turns; its nodes are those of its leaf.
     The DataFrame nodes has an attribute route: (leaf, depth, node), the way from the root to each leaf.
 
-    Conversations of the same turns share all nodes. Repeated rows are turns of their own. Empty tables give empty ones.
+    Conversations of the same turns share all nodes. Repeated rows are turns of their own; columns of clashing names don't
+    matter. Empty tables give empty ones.
     """
     convs = materialise(paths(conversations, count_tokens), "chat-paths")
     one = convs.groupBy("leaf", "path").agg(F.first("turns").alias("turns"))
     n = max(1, int(convs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     # the order of these rows is that of the paths; written, so that the numbers stay as they are
     one = materialise(one.repartitionByRange(n, "path").sortWithinPartitions("path").withColumn("rank", F.monotonically_increasing_id()).drop("path"), "chat-sorted")
-    step = one.select("leaf", "rank", F.posexplode("turns").alias("depth", "t")).select("leaf", "rank", "depth", "t.*")
-    nodes = step.groupBy("node").agg(
-        F.min("rank").alias("rank"), F.first("depth").alias("depth"), F.first("formatted").alias("formatted"), F.first("loss_start").alias("loss_start"), F.first("loss_end").alias("loss_end"), F.first("n_tokens").alias("n_tokens")
-    )
-    nodes = nodes.withColumn("_part", F.shiftright("rank", 33))
-    run = Window.partitionBy("_part").orderBy("rank", "depth").rowsBetween(Window.unboundedPreceding, -1)
+    step = one.select("rank", F.posexplode(F.transform("turns", lambda t: F.struct(t["node"].alias("node"), t["n_tokens"].alias("n_tokens")))).alias("depth", "t")).select("rank", "depth", "t.*")
+    nodes = step.groupBy("node").agg(F.min("rank").alias("owner"), F.min("depth").alias("depth"), F.min("n_tokens").alias("n_tokens"))
+    nodes = nodes.withColumn("_part", F.shiftright("owner", 33))
+    run = Window.partitionBy("_part").orderBy("owner", "depth").rowsBetween(Window.unboundedPreceding, -1)
     sums = nodes.groupBy("_part").agg(F.sum("n_tokens").alias("_n"))  # a row for each range
     sums = sums.select(F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_ahead"))
     placed = nodes.withColumn("_run", F.coalesce(F.sum("n_tokens").over(run), F.lit(0))).join(sums, F.col("_part") == F.col("_p"))
-    placed = materialise(placed.select("node", "rank", "depth", (F.col("_ahead") + F.col("_run")).alias("place"), "n_tokens", "formatted", "loss_start", "loss_end"), "chat-placed")
-    route = step.select("leaf", F.col("rank").alias("via"), "depth", "node")
-    way = route.join(placed.select("node", F.col("rank").alias("owner"), "place", "n_tokens"), "node")
-    way = way.groupBy("via").agg(F.sort_array(F.collect_list(F.struct("depth", "node", "owner", "place", "n_tokens"))).alias("way"))
+    placed = materialise(placed.select("node", "owner", (F.col("_ahead") + F.col("_run")).alias("place")), "chat-placed")
+    way = step.join(placed, "node").groupBy("rank").agg(F.sort_array(F.collect_list(F.struct("depth", "owner", "place", "n_tokens"))).alias("way"))
+    way = one.select("rank", "turns").join(way, "rank")
 
     def run_way(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for via, way_ in zip(b.column("via").to_pylist(), b.column("way").to_pylist(), strict=True):
+            for via, turns, way_ in zip(*(b.column(c).to_pylist() for c in ("rank", "turns", "way")), strict=True):
                 seen: list[tuple[int, int]] = []
                 position = 0
-                for w in way_:
+                for t, w in zip(turns, way_, strict=True):
                     if w["owner"] == via:
-                        rows.append((w["node"], position, [{"start": x, "end": y} for x, y in seen]))
+                        rows.append((t["node"], w["place"], t["n_tokens"], position, [{"start": x, "end": y} for x, y in seen], t["formatted"], t["loss_start"], t["loss_end"]))
                     position += w["n_tokens"]
                     seen = _append(seen, w["place"], w["place"] + w["n_tokens"])
-            c = list(zip(*rows, strict=True)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.binary()), pa.array(c[1], pa.int64()), pa.array(c[2], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))], ["node", "position_id", "attends"])
+            c = list(zip(*rows, strict=True)) or [()] * 8
+            kinds = (pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.string(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(c, kinds, strict=True)], ["node", "place", "n_tokens", "position_id", "attends", "formatted", "loss_start", "loss_end"])
 
-    attends = way.mapInArrow(run_way, "node binary, position_id long, attends array<struct<start:bigint,end:bigint>>")
-    full = placed.join(attends, "node").select("node", "place", "n_tokens", "position_id", "attends", "formatted", "loss_start", "loss_end")
+    full = in_arrow(way, run_way, "node binary, place long, n_tokens int, position_id long, attends array<struct<start:bigint,end:bigint>>, formatted string, loss_start int, loss_end int")
     leaves = convs.select("conv_id", "leaf", F.size("turns").cast("long").alias("n_turns"))
-    full.route = route.select("leaf", "depth", "node")
+    full.route = one.select("leaf", F.posexplode(F.transform("turns", lambda t: t["node"])).alias("depth", "node"))
     return full, leaves
 
 
@@ -173,5 +177,5 @@ def read_back(nodes: DataFrame, leaves: DataFrame) -> DataFrame:
             kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
             yield pa.RecordBatch.from_arrays([b.column("leaf"), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], ["leaf", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
 
-    done = d.mapInArrow(run, "leaf binary, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    done = in_arrow(d, run, "leaf binary, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
     return leaves.select("conv_id", "leaf").join(done, "leaf").select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
