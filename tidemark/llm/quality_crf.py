@@ -17,13 +17,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import chunks, mix64, powers, word_hashes
+from tidemark.llm.common import chunks, few, in_arrow, mix64, powers, slices, word_hashes
 
 
 @dataclass(frozen=True)
 class Params:
-    #: The model is fitted on at most so many labelled rows, those of the smallest hashes.
+    #: The model is fitted on at most so many labelled rows, those of the smallest hashes, and on at most so many lines of
+    #: each, evenly spread over the text: some 50 MB on the driver at most.
     max_train_docs: int = 2000
+    max_train_lines: int = 200
     steps: int = 100
     l2: float = 0.02
     threshold: float = 0.7
@@ -182,22 +184,29 @@ def score_texts(raws: list[bytes], model: Model) -> np.ndarray:
 
 def train(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> Model:
     """Fit on the labelled rows outside the held-out fold, at most p.max_train_docs. Without any, every score is 0.5.
-    Labels other than 0 and 1 and null texts or labels are left out; of several labels of a document each counts."""
+    Labels other than 0 and 1 and null texts or labels are left out; of several labels of a document each counts, of
+    several texts of one id the one of the least hash. Measures are those of whole texts; of a text of more lines than
+    p.max_train_lines so many enter the fit."""
     spark = docs.sparkSession
     known = labels.filter(F.col("quality").isin(0, 1) & ~held_out(p)).select("doc_id", F.col("quality").cast("int").alias("quality"))
     ids = known.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(p.max_train_docs)
     ids = spark.createDataFrame(ids.collect(), "doc_id long, quality int")  # p.max_train_docs rows at most
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("text is not null").join(F.broadcast(ids), "doc_id")
+    rows = rows.select("doc_id", "quality", "text", F.xxhash64("text").alias("hash"))
+    # repeated rows were copies without bound: one text a label
+    rows = rows.groupBy("doc_id", "quality").agg(F.min(F.struct("hash", "text"))["text"].alias("text"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             f = []
             for t in b.column("text").to_pylist():
                 x, _, _ = line_features([t.encode("utf-8", "surrogatepass")])
+                if len(x) > p.max_train_lines:
+                    x = x[np.linspace(0, len(x) - 1, p.max_train_lines).astype(int)]
                 f.append(x.astype(np.float32).tobytes())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("quality"), pa.array(f, pa.binary())], ["doc_id", "quality", "x"])
 
-    got = rows.mapInArrow(measure, "doc_id long, quality int, x binary").collect()
+    got = in_arrow(rows, measure, "doc_id long, quality int, x binary").collect()  # bounded by p
     got.sort(key=lambda r: (r.doc_id, r.quality, r.x))
     return fit([np.frombuffer(r.x, np.float32).reshape(-1, N_FEATURES) for r in got], np.array([r.quality for r in got], float), p)
 
@@ -209,22 +218,25 @@ def with_score(docs: DataFrame, model: Model, carry: list[str], name: str = "sco
     schema = T.StructType([*(docs.schema[c] for c in carry), T.StructField(name, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (x for whole in batches for x in slices(whole, text)):
             texts = b.column(b.schema.get_field_index(text)).to_pylist()
             s = [score_texts(raws, model) for _, raws in chunks([None] * len(texts), texts, 1_000_000)]
             s = np.concatenate(s) if s else np.zeros(0)
             yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index(c)) for c in carry] + [pa.array(s, pa.float64())], [*carry, name])
 
-    return held.mapInArrow(run, schema)
+    return few(in_arrow(held, run, schema), docs)
 
 
 def classify(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> DataFrame:
-    """doc_id, held_out, score and predicted of every row of docs."""
+    """doc_id, held_out, score and predicted of every row of docs. Rows are judged by their own texts, those of null and
+    shared ids too; whole texts are read; other columns, whatever their names, don't matter."""
     d = with_score(docs, train(docs, labels, p), ["doc_id"])
     return d.select("doc_id", held_out(p).alias("held_out"), "score", (F.col("score") >= p.threshold).cast("int").alias("predicted"))
 
 
 def filtered(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> DataFrame:
-    """The rows of docs that reach the threshold, all columns as they were. A column named _score is replaced."""
-    cols = [c for c in docs.columns if c != "_score"]
-    return with_score(docs, train(docs, labels, p), cols, "_score").filter(F.col("_score") >= p.threshold).select(*cols)
+    """The rows of docs that reach the threshold, all columns as they were, whatever their names."""
+    name = "_score"
+    while name in docs.columns:
+        name = "_" + name
+    return with_score(docs, train(docs, labels, p), docs.columns, name).filter(F.col(name) >= p.threshold).select(*(F.col(f"`{c}`") for c in docs.columns))
