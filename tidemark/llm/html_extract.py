@@ -11,15 +11,19 @@ from __future__ import annotations
 
 import html as _html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import few, in_arrow, slices
+
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q ruby rp rt s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Text inside these is never shown as part of a page.
@@ -52,7 +56,8 @@ HINTS = {
 N_HINTS = 10
 N_FEATURES = N_TAGS + N_HINTS + 9
 
-_TOKEN = re.compile(r"""<!--(?:.*?-->|.*\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>""", re.S)
+_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+_STOP = re.compile("[>\"']")
 _ATTR = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _MARK = re.compile(r"""data-content\s*=\s*"([01])\"""")
 _WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
@@ -70,6 +75,60 @@ class Page:
     texts: list[str]  # of the runs, in order
 
 
+def tags(text: str, resume: list[int]) -> Iterator[tuple[int, int, str, bool, str]]:
+    """(start, end, name, whether it closes, attributes) of each tag; comments and declarations have no name. What is to
+    be left out before the next tag is said in resume, a list of one place. A tag ends at
+    the first > outside quotes, or, if there is none, at the first one. Where none is left, the rest is text; a comment that
+    isn't closed takes the rest. Time is linear but for texts made to have very many quotes that never balance."""
+    last = {c: text.rfind(c) for c in ">\"'"}
+    lost: set[int] = set()  # places from which no > outside quotes is reached
+
+    def end_of(lt: int, i: int) -> int:
+        if lt in lost:
+            return -1
+        free = []
+        while stop := _STOP.search(text, i):
+            c, k = stop[0], stop.start()
+            free.append((i, k))
+            if c == ">":
+                return k
+            if k == last[c]:
+                break
+            i = text.find(c, k + 1) + 1
+        else:
+            free.append((i, len(text)))
+        for x, y in free:
+            while (x := text.find("<", x, y)) >= 0:
+                lost.add(x)
+                x += 1
+        return -1
+
+    at = 0
+    while (lt := text.find("<", max(at, resume[0]))) >= 0:
+        if lt > last[">"]:
+            lt = text.find("<!--", lt)
+            if lt >= 0:
+                yield lt, len(text), "", False, ""
+            return
+        if text.startswith("<!--", lt):
+            e = text.find("-->", lt + 4)
+            at = e + 3 if e >= 0 else len(text)
+            yield lt, at, "", False, ""
+        elif text[lt + 1] in "!?":
+            at = text.find(">", lt) + 1
+            yield lt, at, "", False, ""
+        elif m := _NAME.match(text, lt):
+            if m.end() > last[">"]:
+                at = lt + 1
+                continue
+            e = end_of(lt, m.end())
+            e = e if e >= 0 else text.find(">", m.end())
+            at = e + 1
+            yield lt, at, m[1].lower(), text[lt + 1] == "/", text[m.end() : e]
+        else:
+            at = lt + 1
+
+
 @lru_cache(65536)
 def _hints(attrs: str) -> tuple[int, ...]:
     out = set()
@@ -85,6 +144,7 @@ def parse(text: str) -> Page:
     page = Page([], [], [], [], [], [])
     stack: list[tuple[str, int]] = []
     mark = [-1]
+    open_: Counter[str] = Counter()  # names on the stack
     buf: list[str] = []
     linked, a_open = 0, 0
 
@@ -103,6 +163,7 @@ def parse(text: str) -> Page:
         if s:
             if not stack:
                 stack.append(("html", node(0, [TAGS["html"]], (0.0,) * 5, -1)))
+                open_["html"] += 1
                 mark.append(-1)
             n = len(s)
             words = s.count(" ") + 1
@@ -112,28 +173,26 @@ def parse(text: str) -> Page:
         linked = 0
 
     def close(k: int) -> None:
+        for x, _ in stack[k:]:
+            open_[x] -= 1
         del stack[k:]
         del mark[k + 1 :]
 
-    at = 0
-    while True:
-        m = _TOKEN.search(text, at)
-        if m and m.start() > at or not m and at < len(text):
-            piece = text[at : m.start() if m else len(text)]
+    at, resume = 0, [0]
+    for start, stop, name, end, attrs in chain(tags(text, resume), ((len(text), len(text), "", False, ""),)):
+        if start > at:
+            piece = text[at:start]
             buf.append(piece)
             if a_open:
                 linked += len(piece.strip())
-        if not m:
-            break
-        at = m.end()
-        name = m[2] or m[5]
+        at = stop
         if not name:
             continue
-        name, end, attrs = name.lower(), m[1] or m[4], m[3] or m[6] or ""
         if name in RAW:
             if not end and not attrs.endswith("/"):
-                stop = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(text, at)
-                at = stop.end() if stop else len(text)
+                over = re.compile(rf"</{re.escape(name)}\b", re.I).search(text, at)
+                gt = text.find(">", over.end()) if over else -1
+                at = resume[0] = gt + 1 if gt >= 0 else len(text)
             if name in ("title", "noscript", "template", "textarea"):
                 flush()
             continue
@@ -149,13 +208,12 @@ def parse(text: str) -> Page:
         if name in VOID:
             continue
         if end:
-            k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), -1)
-            if k >= 0:
-                close(k)
+            if open_[name]:
+                close(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name))
             continue
         if stack and stack[-1][0] == "p":
             close(len(stack) - 1)
-        if name in _CLOSES:
+        if any(open_[x] for x in _CLOSES.get(name, ())):
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] in _CLOSES[name]:
                     close(i)
@@ -167,6 +225,7 @@ def parse(text: str) -> Page:
             label = int(x[1])
         me = node(0, [TAGS.get(name, N_TAGS - 1), *_hints(attrs)], (0.0,) * 5, label)
         stack.append((name, me))
+        open_[name] += 1
         mark.append(label)
     flush()
     return page
@@ -220,11 +279,12 @@ def sum_product(unary: np.ndarray, parent: np.ndarray, depth: np.ndarray, kind:
     belief = np.clip(unary, -30, 30).copy()
     up = np.zeros(n)
     pot = np.exp(pair)[kind]
-    levels = [np.flatnonzero(depth == d) for d in range(int(depth.max()) + 1)] if n else []
+    order = np.argsort(depth, kind="stable")
+    levels = np.split(order, np.flatnonzero(np.diff(depth[order])) + 1) if n else []
     for level in reversed(levels[1:]):
         e, q = np.exp(np.clip(belief[level], -30, 30)), pot[level]
         up[level] = np.log((e * q[:, 1, 1] + q[:, 1, 0]) / (e * q[:, 0, 1] + q[:, 0, 0]))
-        belief += np.bincount(parent[level], weights=up[level], minlength=n)
+        np.add.at(belief, parent[level], up[level])
     below, above = belief.copy(), np.zeros(n)
     for level in levels[1:]:
         above[level] = belief[parent[level]] - up[level]
@@ -379,7 +439,7 @@ def main_text(pages: DataFrame, model: Model | None = None) -> DataFrame:
     model = model or fit(labelled_pages())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (x for whole in batches for x in slices(whole, "html", 4_000_000)):
             h, texts, at = b.column("html").to_pylist(), [], 0
             while at < len(h):
                 k, size = at, 0
@@ -390,5 +450,6 @@ def main_text(pages: DataFrame, model: Model | None = None) -> DataFrame:
                 at = k
             yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
-    d = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html").mapInArrow(run, "page_id long, url string, text string")
+    d = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html")
+    d = few(in_arrow(d, run, "page_id long, url string, text string"), pages)
     return d.withColumn("n_chars", F.length("text").cast("long"))
