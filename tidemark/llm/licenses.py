@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks, mix64, word_hashes
+from tidemark.llm.common import chunks, in_arrow, mix64, slices, word_hashes
 
 #: Public licence notices, (name, wording).
 TEMPLATES: tuple[tuple[str, str], ...] = (
@@ -58,6 +58,64 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
         "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
         "documentation and/or other materials provided with the distribution.",
     ),
+    (
+        "BSD-3-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions "
+        "are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+        "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+        "documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its "
+        "contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    ),
+    (
+        "LGPL-2.1",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+        "published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    ),
+    (
+        "LGPL-3.0",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ),
+    (
+        "AGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ),
+    (
+        "MIT",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+        "(the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, "
+        "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
+        "subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or "
+        "substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING "
+        "BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE "
+        "AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, "
+        "ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ),
+    (
+        "Zlib",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages "
+        "arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial "
+        "applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not "
+        "be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in "
+        "the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must "
+        "not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution.",
+    ),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    (
+        "BSL-1.0",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying "
+        "documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and "
+        "to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the "
+        "following:",
+    ),
+    (
+        "EPL-2.0",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at "
+        "https://www.eclipse.org/legal/epl-2.0/",
+    ),
+    ("Artistic-2.0", "This is free software; you can redistribute it and/or modify it under the terms of the Artistic License 2.0."),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     (
         "ISC",
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
@@ -78,6 +136,8 @@ class Params:
     least_dice: float = 0.85
     #: Compare all windows over the words as well.
     windows: bool = False
+    #: Report the best of licences whose parts overlap only: notices of one family are alike, and some hold others.
+    resolve: bool = True
     templates: tuple[tuple[str, str], ...] = field(default=TEMPLATES)
 
 
@@ -112,7 +172,6 @@ class Templates:
         self.reach = [int(len(_bigrams(t.encode())[0]) / ratio + 1e-9) for _, t in p.templates]
         self.least, self.most = np.ceil(self.size * ratio - 1e-9), np.floor(self.size / ratio + 1e-9)
 
-
     @staticmethod
     def _signs(raw: bytes, ratio: float) -> np.ndarray:
         h, span = _bigrams(raw)
@@ -193,20 +252,30 @@ def scan_text(raw: bytes, bounds: list | None, h: np.ndarray, span: np.ndarray,
         a, b = int(span[i, 0]), int(span[j, 1])
         if t.names[k] not in best or (-dice, b - a, a) < best[t.names[k]][0] and dice > best[t.names[k]][1][1]:
             best[t.names[k]] = ((-dice, b - a, a), (t.names[k], dice, "window", a, b))
-    return [v for _, v in sorted(best.values(), key=lambda x: x[1][0])]
+    found = [v for _, v in best.values()]
+    return sorted(resolved(found) if t.p.resolve else found)
+
+
+def resolved(found: list[tuple[str, float, str, int, int]]) -> list[tuple[str, float, str, int, int]]:
+    """The matches without those of which half lies in a better one: of a higher coefficient, or as high and longer."""
+    kept: list[tuple[str, float, str, int, int]] = []
+    for x in sorted(found, key=lambda x: (-x[1], x[3] - x[4], x[0])):
+        if all(2 * (min(x[4], y[4]) - max(x[3], y[3])) <= min(x[4] - x[3], y[4] - y[3]) for y in kept):
+            kept.append(x)
+    return kept
 
 
 def scan(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """A row for each document and licence found: doc_id, license, dice, part (text, paragraph, line, sentence or window) and
-    the part's byte range start, end (exclusive).
+    the part's byte range start, end (exclusive). Of overlapping matches the best stays (Params.resolve).
 
-    Null and empty texts give nothing. Repeated rows give their rows each. An empty table gives an empty result.
-    Whole texts are scanned; other columns of docs don't matter.
+    Null and empty texts give nothing. Repeated rows, and those of null and shared ids, give their rows each. An empty
+    table gives an empty result. Whole texts are scanned; other columns of docs, whatever their names, don't matter.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = Templates(p)
-        for batch in batches:
+        for batch in (x for whole in batches for x in slices(whole)):
             for ids, raws in chunks(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 lows = [r.translate(_CLEAN) for r in raws]
                 wh, doc, ws, we = word_hashes(lows)
@@ -229,4 +298,4 @@ def scan(docs: DataFrame, p: Params = Params()) -> DataFrame:
                         ["doc_id", "license", "dice", "part", "start", "end"],
                     )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, license string, dice double, part string, start long, end long")
+    return in_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, license string, dice double, part string, start long, end long")
