@@ -338,7 +338,7 @@ def test_licenses(spark):
             t[r.randrange(len(t))] = r.choice(["the", "of", "xx", "license"])
         rows.append((10 + i, r.choice(["", "Intro text here. ", "First line\n", "Para\n\n"]) + r.choice([" ", "\n"]).join(t) + r.choice(["", " More words follow.", "\nmore"])))
     got = {}
-    for x in licenses.scan(docs(spark, rows + [rows[12]])).collect():
+    for x in licenses.scan(docs(spark, rows + [rows[12]]), licenses.Params(resolve=False)).collect():
         got.setdefault(x.doc_id, {})[x.license] = pytest.approx(x.dice)
     assert got == {i: f for i, t in rows if (f := brute_licenses(t or ""))}
     assert licenses.scan(docs(spark, rows).limit(0)).count() == 0
@@ -361,6 +361,18 @@ def brute_windows(text):
     return found
 
 
+def test_license_families(spark):
+    """Each template, wrapped amid prose, is found as itself, not as its relatives."""
+    rows = []
+    for i, (name, t) in enumerate(licenses.TEMPLATES):
+        w = f"some prose before it {t} and code after it".split()
+        rows.append((i, "".join(x + ("\n// " if k % 9 == 8 else " ") for k, x in enumerate(w))))
+    got = {}
+    for x in licenses.scan(docs(spark, rows), licenses.Params(windows=True)).collect():
+        got.setdefault(x.doc_id, []).append(x.license)
+    assert got == {i: [name] for i, (name, _) in enumerate(licenses.TEMPLATES)}
+
+
 def test_license_windows(spark):
     r = random.Random(12)
     fill = lambda: " ".join(r.choice(["some", "wrapped", "prose", "of", "the", "license", "or", "software"]) for _ in range(r.randint(0, 25)))
@@ -372,7 +384,7 @@ def test_license_windows(spark):
         w = f"{fill()} {' '.join(t)} {fill()}".split()
         rows.append((10 + i, "".join(x + ("\n" if k % 9 == 8 else " ") for k, x in enumerate(w))))
     got = {}
-    for x in licenses.scan(docs(spark, rows), licenses.Params(windows=True)).collect():
+    for x in licenses.scan(docs(spark, rows), licenses.Params(windows=True, resolve=False)).collect():
         got.setdefault(x.doc_id, {})[x.license] = pytest.approx(x.dice)
     want = {}
     for i, t in rows:
@@ -565,6 +577,16 @@ def test_html(spark, model):
     assert html_extract.main_text(d.limit(0), model).count() == 0
 
 
+def test_html_is_linear(model):
+    """Tags and quotes that never end, raw elements that never close, deep nests."""
+    zero = html_extract.Model(np.zeros(html_extract.N_FEATURES), np.zeros((2, 2, 2)))
+    for x in ("<a " * 300_000, '<a ">"' * 150_000, '<a "' * 200_000, "<script>" + "</script" * 100_000, "<div>" * 30_000 + "<li>x" * 30_000, "<div>" * 50_000 + "</b1>" * 100_000):
+        start = time.time()
+        html_extract.extract([x], zero)
+        assert time.time() - start < 10
+    assert html_extract.parse("<p a='>'>x<p b=\"y>z").texts == ["x", "z"] and html_extract.parse("a <b c <!-- d").texts == ["a <b c"]
+
+
 def test_html_model(model):
     """Held-out generated pages, and sum-product against enumeration."""
     wrong = total = 0
