@@ -167,7 +167,7 @@ def test_ngram_join(spark):
     got = {(x.doc_id, x.n_shingles): x for x in ngram_join.join(docs(spark, chain)).collect()}
     assert {k: x.component_id for k, x in got.items()} == {(5, 56): 5, (None, 56): 5, (6, 56): 5, (6, 2): 6, (None, 0): None, (None, 2): None}
     assert len({got[k].component for k in ((5, 56), (None, 56), (6, 56))}) == 1 and got[None, 0].component is None
-    few = ngram_join.Params(broadcast_ids=0, sketch_bits=8, fragments=3)
+    few = ngram_join.Params(broadcast_ids=0, broadcast_groups=0, sketch_bits=8, fragments=3)
     assert {x.doc_id: (x.n_shingles, x.component_id) for x in ngram_join.join(docs(spark, rows), few).collect()} == want
 
 

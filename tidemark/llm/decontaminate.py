@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks, in_arrow, materialise, mix64, slices, word_hashes
+from tidemark.llm.common import chunks, few, in_arrow, materialise, mix64, slices, word_hashes
 
 
 @dataclass(frozen=True)
@@ -234,7 +234,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> DataFr
                     base += len(raws)
                 yield b.filter(pa.array([i not in bad for i in range(len(texts))], pa.bool_()))
 
-        docs = in_arrow(docs, run, docs.schema)
+        docs = few(in_arrow(docs, run, docs.schema), docs)
         if not only:
             docs = materialise(docs, "clean")
             held.destroy()

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import drop_table, materialise
 
 
-def components(edges: DataFrame, max_rounds: int = 60, broadcast_edges: int = 200_000) -> DataFrame:
+def components(edges: DataFrame, max_rounds: int = 60, broadcast_edges: int = 30_000) -> DataFrame:
     """(node, root) of every node that has an edge: root is the smallest node of its component. edges: (a, b), of any
     type with an order; loops, nulls and repetitions are left out. An empty table gives an empty result."""
 

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise, n_words, words
+from tidemark.llm.common import few, materialise, n_words, words
 
 
 @dataclass(frozen=True)
@@ -100,7 +100,7 @@ def mix(docs: DataFrame, p: Params = Params(), text: str = "text") -> DataFrame:
     result. Columns named like a result column are replaced, all others carried along.
     """
     rest = [c for c in docs.columns if c != text and c.lower() not in _OWN]
-    sized = materialise(_measured(docs, rest, p, text), "sizes")
+    sized = materialise(few(_measured(docs, rest, p, text), docs), "sizes")
     return _taken(sized, sized, p).select(*(F.col("row")[c].alias(c) for c in rest), *_OWN)
 
 
@@ -109,10 +109,10 @@ def emit(docs: DataFrame, p: Params = Params(), text: str = "text") -> DataFrame
     that epoch). The document at a source's cut has its first words only, joined by blanks. Each row is taken as mix()
     says of it. Columns named epoch and words are replaced, all others carried along."""
     rest = [c for c in docs.columns if c.lower() not in ("epoch", "words")]
-    sized = materialise(_measured(docs, [], p, text).drop("row"), "sizes")
+    sized = materialise(few(_measured(docs, [], p, text).drop("row"), docs), "sizes")
     d = _taken(_measured(docs, rest, p, text), sized, p).filter("taken > 0")
     d = d.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.floor((F.col("taken") - 1) / F.col("size")).cast("int"))))
     here = F.least(F.col("size"), F.col("taken") - F.col("epoch") * F.col("size")).cast("int")
     whole = F.col("row")[text]
     said = F.when(here == F.col("size"), whole).otherwise(F.array_join(F.slice(words(whole), 1, here), " "))
-    return d.select(*((said if c == text else F.col("row")[c]).alias(c) for c in rest), "epoch", here.cast("long").alias("words"))
+    return few(d, docs).select(*((said if c == text else F.col("row")[c]).alias(c) for c in rest), "epoch", here.cast("long").alias("words"))

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks, drop_table, in_arrow, materialise, mix64, shingle_hashes, slices, word_hashes
+from tidemark.llm.common import chunks, drop_table, few, in_arrow, materialise, mix64, shingle_hashes, slices, word_hashes
 from tidemark.llm.graph import components
 
 
@@ -46,6 +46,8 @@ class Params:
     sketch_bits: int = 22
     #: Tables of so many ids at most are sent to all tasks; larger ones are shuffled.
     broadcast_ids: int = 200_000
+    #: Likewise for groups that have members of several components.
+    broadcast_groups: int = 30_000
 
 
 _U = np.uint64
@@ -336,7 +338,7 @@ def join(docs: DataFrame, p: Params = Params()) -> DataFrame:
     spark: SparkSession = docs.sparkSession
     shards = max(8, 2 * docs.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
     order = global_order(docs, p)
-    table = materialise(groups(signatures(docs, order, shards, p), shards, p), "prefixes")
+    table = materialise(few(groups(signatures(docs, order, shards, p), shards, p), docs), "prefixes")
     members = table.filter("kind = 0").select("doc_id", "text_hash", "n", "fp")
     classes = table.filter("kind = 0").groupBy("fp").agg(F.min("doc_id").alias("low"), F.min("text_hash").alias("text_hash"), F.first("bits").alias("bits"))
     classes = materialise(classes, "classes")
@@ -360,7 +362,7 @@ def join(docs: DataFrame, p: Params = Params()) -> DataFrame:
         asked = materialise(classes.join(fps, "fp", "left_semi").select("text_hash").distinct(), "asked")
         asked = F.broadcast(asked) if asked.count() <= p.broadcast_ids else asked
         chosen = docs.select("text", F.xxhash64("text").alias("text_hash")).join(asked, "text_hash", "left_semi")
-        parts = materialise(fragments(chosen, order, p).dropDuplicates(["fp", "frag"]), "fragments")
+        parts = materialise(few(fragments(chosen, order, p).dropDuplicates(["fp", "frag"]), docs), "fragments")
         found = materialise(_links(verified(pairs, parts, p), p), "links")
         drop_table(parts)
         return found
@@ -390,6 +392,8 @@ def join(docs: DataFrame, p: Params = Params()) -> DataFrame:
     placed = with_home(group.select("gid", "fp", "n"), roots, "fp")
     homes_of = placed.groupBy("gid", "home_fp").agg(F.count(F.lit(1)).alias("k"))
     open_ = homes_of.groupBy("gid").agg(F.count(F.lit(1)).alias("homes"), F.max(F.struct("k", "home_fp"))["home_fp"].alias("big")).filter("homes > 1").select("gid", "big")
+    open_ = materialise(open_, "open-groups")
+    open_ = F.broadcast(open_) if open_.count() <= p.broadcast_groups else open_
     left = materialise(placed.join(open_, "gid").join(bits, "fp"), "open")
     x = left.filter("home_fp <> big").select("gid", F.col("fp").alias("x"), F.col("n").alias("nx"), F.col("home_fp").alias("hx"), F.col("bits").alias("ba"))
     y = left.select(F.col("gid").alias("g"), F.col("fp").alias("y"), F.col("n").alias("ny"), F.col("home_fp").alias("hy"), F.col("bits").alias("bb"), "big")

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise
+from tidemark.llm.common import few, materialise
 
 
 @dataclass(frozen=True)
@@ -133,7 +133,7 @@ def term_spans(docs: DataFrame, found: DataFrame, p: Params, text: str) -> DataF
     pair = materialise(pair.filter(_least_share(F.col("n_et"), F.col("n_w"), p) >= enough).drop("n_w"), "pairs")
     asked = _small(materialise(pair.select("term").distinct(), "terms"), p)
     said = _prepared(docs.select(text), text).select("fp", F.explode(_terms(p)).alias("term"))
-    said = materialise(said.join(asked, "term").distinct(), "term-texts")
+    said = materialise(few(said.join(asked, "term").distinct(), docs), "term-texts")
     pair = pair.join(said.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")), "term")
     pmi = F.log2(_least_share(F.col("n_et"), F.greatest("n_t", "n_et"), p) * F.col("n") / F.col("n_e"))
     share = pmi / F.greatest(F.log2(F.col("n") / F.col("n_e")), F.lit(1e-9))
@@ -166,7 +166,7 @@ def find(docs: DataFrame, p: Params = Params(), text: str = "text") -> DataFrame
     kinds in order, each by start, and disclosing terms last, as kind term.
     """
     docs = docs.select("doc_id", text)
-    found = materialise(_with_base(_prepared(docs, text)).select("doc_id", "fp", "_base", F.when(F.size("_base") > 0, _terms(p)).alias("_w")), "found")
+    found = materialise(few(_with_base(_prepared(docs, text)), docs).select("doc_id", "fp", "_base", F.when(F.size("_base") > 0, _terms(p)).alias("_w")), "found")
     d = _spans(found.drop("_w"), term_spans(docs, found, p, text), p)
     count = lambda k: F.size(F.filter("_base", lambda s: s["kind"] == k)).cast("long")
     return d.select("doc_id", *(count(k).alias(f"n_{kind}") for k, kind in enumerate(KINDS)), F.sha2(_joined(F.col("_base")), 256).alias("base_sha256"), _joined(F.col("_all")).alias("spans"))
@@ -177,7 +177,7 @@ def sanitise(docs: DataFrame, p: Params = Params(), text: str = "text") -> DataF
     removed ([TERM]); overlapping spans become one, of the first one's kind. All rows and columns stay, whatever the
     columns' names; repeated rows fare alike, an empty table stays empty. A null text stays null, n_chars, where there
     is one, becomes the new text's length. Whole texts are read."""
-    found = materialise(_with_base(_prepared(docs.select(text), text)).select("fp", "_base", F.when(F.size("_base") > 0, _terms(p)).alias("_w")), "found")
+    found = materialise(few(_with_base(_prepared(docs.select(text), text)), docs).select("fp", "_base", F.when(F.size("_base") > 0, _terms(p)).alias("_w")), "found")
     terms = term_spans(docs, found, p, text)
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
     d = _spans(_with_base(docs.select(row, F.col(text).alias("_said")).transform(_prepared, "_said")), terms, p)
@@ -200,4 +200,4 @@ def sanitise(docs: DataFrame, p: Params = Params(), text: str = "text") -> DataF
             old = F.when(F.col("_new").isNotNull(), F.length("_new").cast(docs.schema[c].dataType)).otherwise(old)
         return old.alias(c)
 
-    return d.select(*map(column, docs.columns))
+    return few(d.select(*map(column, docs.columns)), docs)

@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACE, materialise, words
+from tidemark.llm.common import SPACE, few, materialise, words
 
 #: Characters counted as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -161,7 +161,7 @@ def judge(docs: DataFrame, p: Params = Params(), text: str = "text") -> DataFram
     """
     own = (*_COUNTS, "base_failed", "kept")
     carried = [c for c in docs.columns if c != text and c.lower() not in own]
-    measured = materialise(measures(_apart(docs, carried, text), "_said"), "measures")
+    measured = materialise(few(measures(_apart(docs, carried, text), "_said"), docs), "measures")
     d = _verdict(measured, limits(measured, p), p)
     return d.select(*(F.col("_row")[c].alias(c) for c in carried), *own)
 
@@ -169,6 +169,6 @@ def judge(docs: DataFrame, p: Params = Params(), text: str = "text") -> DataFram
 def filtered(docs: DataFrame, p: Params = Params(), text: str = "text") -> DataFrame:
     """The rows of docs whose verdict is to keep, all columns as they were: each row by its own text, whatever its id.
     Texts are measured twice, for the limits and for the verdict, instead of being written."""
-    measured = materialise(measures(_apart(docs, [], text), "_said").drop("_row"), "measures")
+    measured = materialise(few(measures(_apart(docs, [], text), "_said").drop("_row"), docs), "measures")
     d = _verdict(measures(_apart(docs, docs.columns, text), "_said"), limits(measured, p), p)
     return d.filter("kept").select(*(F.col("_row")[c].alias(c) for c in docs.columns))

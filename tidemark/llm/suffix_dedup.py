@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import in_arrow, materialise, mix64, slices
+from tidemark.llm.common import few, in_arrow, materialise, mix64, slices
 from tidemark.llm.induced import BLOCK, Store, Text, suffixes
 
 
@@ -493,10 +493,11 @@ def spans(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """(doc_id, t0, t1, start, end): byte ranges of repeats; ranges of a document may overlap. docs: (doc_id, t0, t1, text)."""
     spark: SparkSession = docs.sparkSession
     shards = max(8, 4 * docs.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    found = materialise(folded(sampled(docs, shards, hot_cells(docs, p), p), shards, p), "spans")
+    found = materialise(few(folded(sampled(docs, shards, hot_cells(docs, p), p), shards, p), docs), "spans")
     more = sorted_spans(docs, found.filter(F.col("kind") == CANDIDATE), p)
     keep = ["doc_id", "t0", "t1", "start", "end"]
-    return materialise(found.filter(F.col("kind") == SPAN).select(*keep).unionByName(more.select(*keep)), "repeats")
+    every = found.filter(F.col("kind") == SPAN).select(*keep).unionByName(more.select(*keep))
+    return materialise(few(every, docs), "repeats")
 
 
 #: Stands in for a null doc_id: before all others.
@@ -545,4 +546,4 @@ def dedup(docs: DataFrame, p: Params = Params(), keep_text: bool = False) -> Dat
             n = 7 if keep_text else 5
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols[:n], kinds, strict=False)], names[:n])
 
-    return in_arrow(d, run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + extra)
+    return few(in_arrow(d, run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + extra), docs)
