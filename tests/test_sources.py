@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.test_decide import lexicon, messages, view
+from tidemark import __main__ as main
 from tidemark.functions.text import Expression
 from tidemark.operators.definitions import term_counts, term_id, terms
 from tidemark.plans import fixture, job, sinks
@@ -73,17 +74,60 @@ def test_job(spark, tmp_path):
     config = paths.TableConfig({n: str(tmp_path / n) for n in names})
     now = lambda: dt.datetime(2026, 8, 16, 10)
     read = lambda ds, part, ids: tables.relevant(m, ids)
-    job.run(spark, args, config, rows, read, lexicon(spark, {"lex": [(1, [1], [])]}), e, now=now)
+    load = tables.lexicon_of(lexicon(spark, {"lex": [(1, [1], [])]}), e)
+    job.run(spark, args, config, lambda: rows, read, load, now=now)
     got = {n: spark.read.parquet(config[n]) for n in names[:1] + names[2:6]}
     assert {x.message_id for x in got["lexicon_hit_summary"].collect()} == {"a"} and got["lexicon_hit_unrestricted"].count() == 1
     assert [x.record_id for x in got["pipeline_record_audit"].collect()] == ["z"] and got["feature_hit_summary"].first().feature_hit_type == "tag"
     assert sorted(x.job_status for x in got["pipeline_stage_audit"].collect()) == ["IN_PROGRESS", "SUCCESS"]
     with pytest.raises(ValueError):
-        job.run(spark, args, config, rows.withColumn("feature_definition", F.lit("")), read, lexicon(spark, {"lex": [(1, [1], [])]}), e, now=now)
+        job.run(spark, args, config, lambda: rows.withColumn("feature_definition", F.lit("")), read, load, now=now)
     last = spark.read.parquet(config["pipeline_stage_audit"]).filter("job_status = 'FAILED'").collect()
     assert len(last) == 1 and last[0].error_count == "0" and "ValueError" in last[0].error_message
 
 
+def test_main(spark, tmp_path):
+    """From JSON files and folders alone: bucket by trigger, the latest lexicon folder, only the features that the view
+    names; a feature without files and one with a pattern of unbounded cost fail their own messages."""
+    (tmp_path / "lex/20260101_101").mkdir(parents=True)
+    new = tmp_path / "lex/20260301_101"
+    new.mkdir()
+    term = lambda f: json.dumps({"results": [{"termId": f"{f}::1", "compilationStatus": "PASS", "translatedPattern": ["p"], "hyperscanExpressionId": 1}]})
+    for f, pattern in (("lex", "bomb"), ("slow", r"(?:a+)+(?=b)"), ("other", "(")):
+        (new / f"{f}-compile-results.json").write_text(term(f))
+        (new / f"{f}-expressions.json").write_text(json.dumps({"expressions": [{"id": 1, "pattern": pattern, "flags": "i"}]}))
+    ids = [("a", "lex"), ("b", "slow"), ("c", "none"), ("r", "lex")]
+    view(spark, [(m, "1", "Lexicon", "N", None, f) for m, f in ids]).write.parquet(str(tmp_path / "view"))
+    for name, keep in (("unrestricted", ("a", "b", "c")), ("restricted", ("r",))):
+        messages(spark, [(m, None, "a Bomb aab", []) for m in keep]).drop("dataset_id", "restricted").write.parquet(str(tmp_path / f"live/ds/part/{name}"))
+    names = ["lexicon_hit_summary", "lexicon_hit_restricted", "lexicon_hit_unrestricted", "feature_hit_summary", "pipeline_stage_audit", "pipeline_record_audit", "csv_mirror"]
+    files = {
+        "args": {"dataset_details": [{"dataset_id": "ds", "dataset_partition_value": "part"}], "feature_partition_value": "fp", "pipeline_exec_id": "e", "policy_engine_id": "101", "process_id": "p", "trigger_type": "live"},
+        "tables": {n: str(tmp_path / n) for n in names} | {"feature_decision_view": str(tmp_path / "view")},
+        "settings": {"message_roots": {"live": str(tmp_path / "live")}, "lexicon_root": str(tmp_path / "lex")},
+    }
+    for n, x in files.items():
+        (tmp_path / f"{n}.json").write_text(json.dumps(x))
+    argv = [str(tmp_path / f"{n}.json") for n in files]
+    assert main.main(argv, spark) == 0 and main.main([], spark) == 2
+    got = {n: spark.read.parquet(str(tmp_path / n)).collect() for n in names[:-1]}
+    assert {x.message_id for x in got["lexicon_hit_unrestricted"]} == {"a"} and {x.message_id for x in got["lexicon_hit_restricted"]} == {"r"}
+    errors = {x.record_id: x.error_message for x in got["pipeline_record_audit"]}
+    assert set(errors) == {"b", "c"} and "linear time" in errors["b"] and "can't be read" in errors["c"]
+    assert sorted(x.job_status for x in got["pipeline_stage_audit"]) == ["IN_PROGRESS", "SUCCESS"]
+    (tmp_path / "args.json").write_text(json.dumps(files["args"] | {"policy_engine_id": "9"}))
+    with pytest.raises(FileNotFoundError):
+        main.main(argv, spark)
+    assert "FAILED" in {x.job_status for x in spark.read.parquet(str(tmp_path / "pipeline_stage_audit")).collect()}
+
+
+def test_stand_in_format(spark, tmp_path):
+    """Messages in another format than Parquet: the format is a parameter, as an Avro source's name would be."""
+    messages(spark, [("a", "s", "b", [("x", "y")])]).drop("dataset_id", "restricted").write.format("orc").save(str(tmp_path / "ds/p/unrestricted"))
+    row = tables.read_dataset(spark, str(tmp_path), "ds", "p", fmt="orc").first()
+    assert row.message_id == "a" and not row.restricted and row.attachments[0].content.clean_text == "y"
+
+
 def test_stream(spark, tmp_path):
     m = messages(spark, [("a", "bomb", "a bomb", [])])
     m.write.parquet(str(tmp_path / "in"))

@@ -1,9 +1,11 @@
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import Expression, Stripped, all_ends, is_blank, literal_positions, scan_text, strip_markup, within_size
+from tidemark.functions import patterns
+from tidemark.functions.text import Expression, Stripped, all_ends, check_expression, is_blank, literal_positions, scan, scan_text, strip_markup, within_size
 
 
 def test_strip_and_places():
@@ -43,6 +45,61 @@ def test_all_ends_against_brute_force():
             assert all_ends(text, pattern) == brute(text, pattern), (text, pattern)
 
 
+PATTERNS = ["a+b", "ab|ba", "(a|ab)(b|a)?", "[ab]{2,3}", "a.?b", "(?:a|b)+b", "(a+)+b", "a*b*a", "^a+", "[^b]+", "(?:ab){1,2}", "x{0}a", r"\w+ \w+"]
+
+
+def test_automaton_against_brute_force():
+    r = random.Random(5)
+    for _ in range(150):
+        text = "".join(r.choice("abAB \n") for _ in range(r.randint(0, 12)))
+        for pattern in PATTERNS:
+            assert patterns.linear_ends(text, pattern, "i") == brute(text, pattern) == all_ends(text, pattern), (text, pattern)
+
+
+def test_automaton_places():
+    """Conditions on places hold in the whole text."""
+    for pattern, text, want in ((r"\bab", "ab xab ab", [(0, 2), (7, 9)]), ("a+$", "aa aa\n", [(3, 5)]), (r"a+\Z", "aa aa", [(3, 5)]), (r"a\B", "ab a", [(0, 1)]), ("(?:^|,)a", "a,a", [(0, 1), (1, 3)])):
+        assert patterns.linear_ends(text, pattern, "i") == want, pattern
+
+
+def test_no_pattern_explodes():
+    assert patterns.explosive("(a+)+$", "i") and patterns.explosive(".*.*x", "") and patterns.explosive("(a|aa)*b", "") and not patterns.explosive(r"th\w{1,3}d", "i") and not patterns.explosive("a+b{3}(c|d)", "")
+    start = time.time()
+    assert all_ends("a" * 3000 + "!", "(a+)+$") == [] and len(all_ends("ab" * 500, "(a|b|ab)*c?")) == 1000
+    assert time.time() - start < 20
+    for bad in (r"(a+)+\1", "(?:a*)*(?=b)", "((a{1,200}){1,200})*", "("):
+        assert check_expression(Expression("f", 1, bad)) is not None
+    assert check_expression(Expression("f", 1, r"a+\.b")) is None
+
+
+def test_required_literals():
+    need = lambda p, f="i": patterns.required(p, f)
+    assert need(r"mit license\.") == ("license.",) and need("(foo|barn)x+") == ("barn", "foo") and need("a?") is None and need(r"\d+") is None
+    assert need("(?:abc){2}d*") == ("abc",) and need("Straße") == ("strasse",) and need("x| ") is None
+    # a match implies the literal, whatever the case
+    assert all_ends("\u017fecret \u212ane", "secret") == [(0, 6)] and scan_text("the \u017fecret", [Expression("f", 1, "secret")]) == [(1, 4, 10, "\u017fecret")]
+    r = random.Random(6)
+    for _ in range(300):
+        text = "".join(r.choice("abAB k\u212a\u017fs") for _ in range(r.randint(0, 14)))
+        for pattern in ("a+b", "ab ks", "(?:ab|ba)k", "s[ab]k+", "kk|ss"):
+            if all_ends(text, pattern):
+                assert any(w in patterns.fold(text) for w in patterns.required(pattern, "i"))
+
+
+def test_filter_ahead(spark):
+    """What the filter ahead of Python keeps out has no match."""
+    r = random.Random(7)
+    e = [Expression("f", 1, "secret key"), Expression("f", 2, "mit\x00license", kind="combination"), Expression("g", 3, r"tok(en|ens)\b"), Expression("h", 4, r"\d{3}")]
+    texts = ["".join(r.choice(["secret", "SECRET", "\u017fecret", " ", "<b>", "key", "mit", "licen\u017fe", "token", "12", "3", "\n"]) for _ in range(r.randint(0, 8))) for _ in range(300)]
+    rows = [(str(i), "MESSAGE_BODY", 1, None, t, fs) for i, t in enumerate(texts) for fs in (["f"], ["g"], ["f", "h"])]
+    d = spark.createDataFrame(rows, "message_id string, area string, area_ord int, attachment_id string, text string, features array<string>")
+    got = sorted((x.message_id, x.expression_id, x.start, x.end, x.text) for x in scan(d, e).collect())
+    want = sorted((m, *x) for m, _, _, _, t, fs in rows for x in scan_text(t, [y for y in e if y.feature in fs]))
+    assert got == want and want
+    many = [Expression("f", k, f"word{k}x") for k in range(200)] + e[:1]
+    assert scan_text("a word7x and word77x, secret key", many) == [(7, 2, 8, "word7x"), (77, 13, 20, "word77x"), (1, 22, 32, "secret key")]
+
+
 def test_scan_text():
     e = [Expression("f", 1, "insider"), Expression("f", 2, "mit\x00license", kind="combination")]
     assert scan_text("an Insider  <b>x</b> MIT license", e) == [(1, 3, 10, "Insider"), (2, 21, 32, "MIT license")]

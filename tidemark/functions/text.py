@@ -17,6 +17,13 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions import patterns
+
+try:
+    import ahocorasick
+except ImportError:
+    ahocorasick = None
+
 #: The characters that the JVM counts as white space.
 JAVA_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f "
 JAVA_SPACE += "\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2008\u2009\u200a\u2028\u2029\u205f\u3000"
@@ -79,47 +86,106 @@ class Expression:
     kind: str = "plain"
 
 
-_META = regex.compile(r"[\\.^$*+?{}\[\]|()]")
-
-
 @lru_cache(4096)
-def _compiled(pattern: str, flags: str) -> tuple[object, str | None]:
-    """The scanner for all ends, and a literal that a matching text must hold (lower case), if it is known."""
+def _compiled(pattern: str, flags: str):
+    """The scanner for all ends; None if the pattern has to run on an automaton."""
+    if patterns.explosive(pattern, flags):
+        patterns.automaton(pattern, flags)
+        return None
     f = (regex.I if "i" in flags else 0) | (regex.S if "s" in flags else 0) | (regex.M if "m" in flags else 0)
-    if not _META.search(pattern):
-        return regex.compile(pattern, f), pattern.lower()
-    return regex.compile("(?rp)" + pattern, f), None
+    plain = patterns.required(pattern, flags) is not None and not regex.search(r"[\\.^$*+?{}\[\]|()]", pattern)
+    return regex.compile(pattern if plain else "(?rp)" + pattern, f)
 
 
-def all_ends(text: str, pattern: str, flags: str = "i", timeout: float | None = 30) -> list[tuple[int, int]]:
-    """(start, end) of each match end with its leftmost start, by end; empty matches don't count."""
-    scanner, literal = _compiled(pattern, flags)
-    if literal is not None and literal.isascii() and literal not in text.lower():
-        return []
+def all_ends(text: str, pattern: str, flags: str = "i") -> list[tuple[int, int]]:
+    """(start, end) of each match end with its leftmost start, by end; empty matches don't count. No limit of time:
+    patterns that may explode run on an automaton."""
+    scanner = _compiled(pattern, flags)
+    if scanner is None:
+        return patterns.linear_ends(text, pattern, flags)
     found: dict[int, int] = {}
-    for m in scanner.finditer(text, overlapped=True, timeout=timeout):
+    for m in scanner.finditer(text, overlapped=True):
         a, b = m.span()
         if a < b:
             found[b] = min(a, found.get(b, a))
     return sorted(((a, b) for b, a in found.items()), key=lambda x: (x[1], x[0]))
 
 
-def scan_text(text: str | None, expressions: list[Expression]) -> list[tuple[int, int, int, str]]:
-    """(expression_id, start, end, matched stripped text) in original places; a text of white space has none."""
+def _leaves(e: Expression) -> list[str]:
+    return e.pattern.split("\x00") if e.kind == "combination" else [e.pattern]
+
+
+def check_expression(e: Expression) -> str | None:
+    """What is wrong with an expression, if anything: a pattern that can't be read, or not run in bounded time."""
+    try:
+        for x in _leaves(e):
+            _compiled(x, e.flags)
+    except (regex.error, ValueError, RecursionError) as err:
+        return f"expression {e.expression_id}: {err}"
+    return None
+
+
+class Lexicon:
+    """The expressions by feature, with the literals that tell which of them may match a text."""
+
+    def __init__(self, expressions: list[Expression]):
+        self.by: dict[str, list[tuple[Expression, list[tuple[str, ...]]]]] = {}
+        for e in expressions:
+            # each leaf that is known to need a literal; all of them have to match
+            needs = [r for x in _leaves(e) if (r := patterns.required(x, e.flags)) is not None]
+            self.by.setdefault(e.feature, []).append((e, needs))
+        self.words = sorted({w for es in self.by.values() for _, needs in es for r in needs for w in r})
+        self._finder = None
+
+    def said(self, folded: str) -> set[str]:
+        """Those of the literals that a folded text holds."""
+        if len(self.words) <= 64 or ahocorasick is None:
+            return {w for w in self.words if w in folded}
+        if self._finder is None:
+            self._finder = ahocorasick.Automaton()
+            for w in self.words:
+                self._finder.add_word(w, w)
+            self._finder.make_automaton()
+        return {w for _, w in self._finder.iter(folded)}
+
+    def maybe(self, texts: Column, features: Column, most: int = 500) -> Column:
+        """Whether a text may match an expression of its features, as SQL: always true for features of which an
+        expression needs no literal, and with more literals than a regular expression is good for."""
+        open_ = sorted(f for f, es in self.by.items() if not all(needs for _, needs in es))
+        words = sorted({min(needs, key=lambda r: (-min(map(len, r)), r)) for es in self.by.values() for _, needs in es if needs})
+        words = sorted({w for r in words for w in r})
+        if len(words) > most or len(open_) > most:
+            return F.lit(True)
+        some = texts.rlike("(?iu)" + "|".join(re.sub(r"([^\w\s])", r"\\\1", w) for w in words)) if words else F.lit(False)
+        return some | F.arrays_overlap(features, F.array(*map(F.lit, open_))) if open_ else some
+
+
+def _scan(text: str | None, lexicon: Lexicon, features: list[str]) -> list[tuple[str, int, int, int, str]]:
+    """(feature, expression_id, start, end, matched stripped text) in original places."""
     if not text or not text.strip(JAVA_SPACE):
         return []
+    said = lexicon.said(patterns.fold(text))
+    todo = [e for f in features for e, needs in lexicon.by.get(f, []) if all(any(w in said for w in r) for r in needs)]
+    if not todo:
+        return []
     s = Stripped(text)
     out = []
-    for e in expressions:
+    for e in todo:
         if e.kind == "combination":
-            leaves = [all_ends(s.text, leaf, e.flags) for leaf in e.pattern.split("\x00")]
+            leaves = [all_ends(s.text, leaf, e.flags) for leaf in _leaves(e)]
             spans = [(min(a for x in leaves for a, _ in x), max(b for x in leaves for _, b in x))] if all(leaves) else []
         else:
             spans = all_ends(s.text, e.pattern, e.flags)
-        out += [(e.expression_id, s.original(a), s.original(b), s.text[a:b]) for a, b in spans]
+        out += [(e.feature, e.expression_id, s.original(a), s.original(b), s.text[a:b]) for a, b in spans]
     return out
 
 
+def scan_text(text: str | None, expressions: list[Expression]) -> list[tuple[int, int, int, str]]:
+    """(expression_id, start, end, matched stripped text) in original places; a text of white space has none."""
+    lexicon = Lexicon(expressions)
+    return [x[1:] for x in _scan(text, lexicon, list(lexicon.by))]
+
+
 RAW_SCHEMA = "message_id string, area string, area_ord int, attachment_id string, feature string, expression_id int, start int, end int, text string, scan_error string"
 
 
@@ -127,17 +193,17 @@ def scan(areas: DataFrame, expressions: list[Expression]) -> DataFrame:
     """Raw matches of areas (message_id, area, area_ord, attachment_id, text, features): every text is stripped once and
     scanned for each of its features' expressions. An error in a text gives one row with scan_error, and no matches.
 
-    expressions is a lexicon, of a size that the driver has read; it goes along with the tasks."""
-    by: dict[str, list[Expression]] = {}
-    for e in expressions:
-        by.setdefault(e.feature, []).append(e)
+    Texts that hold none of the literals that their expressions need don't reach Python. expressions is a lexicon, of a
+    size that the driver has read and checked; it is sent to each executor once."""
+    lexicon = Lexicon(expressions)
+    held = areas.sparkSession.sparkContext.broadcast(lexicon)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
             for mid, area, o, att, text, feats in zip(*(b.column(k).to_pylist() for k in range(6)), strict=True):
                 try:
-                    got = [(f, *x) for f in sorted(feats or []) for x in scan_text(text, by.get(f, []))]
+                    got = _scan(text, held.value, sorted(feats or []))
                     if got and area == "ATTACHMENT" and not (att or "").strip():
                         raise ValueError("an attachment with a match has no id")
                     rows += [(mid, area, o, att, f, i, a, z, t, None) for f, i, a, z, t in got]
@@ -148,7 +214,8 @@ def scan(areas: DataFrame, expressions: list[Expression]) -> DataFrame:
             cols = list(zip(*rows, strict=True)) or [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
 
-    return areas.select("message_id", "area", "area_ord", "attachment_id", "text", "features").mapInArrow(run, RAW_SCHEMA)
+    d = areas.select("message_id", "area", "area_ord", "attachment_id", "text", "features")
+    return d.filter(lexicon.maybe(F.col("text"), F.col("features"))).mapInArrow(run, RAW_SCHEMA)
 
 
 def literal_positions(texts: DataFrame, literal: str, text: str = "text") -> DataFrame:

@@ -22,9 +22,9 @@ def members(view: DataFrame) -> DataFrame:
     seq of the first of them, under which they are scanned and counted once."""
     d = with_definition(view)
     by = ["feature_id", "features_to_apply", "sub_feature_type", "feature_type", "is_noise_reduction", "operator", "feature_name", "feature_definition"]
-    seq = F.row_number().over(Window.partitionBy("message_id").orderBy(*by, *[c for c in view.columns if c not in (*by, "message_id")]))
-    d = d.withColumns({"seq": seq, "is_nr": F.coalesce(F.col("is_noise_reduction") == "Y", F.lit(False))})
-    return d.withColumn("same_as", F.min("seq").over(Window.partitionBy(*[F.coalesce(F.col(c), F.lit("\x00")) for c in view.columns])))
+    order = Window.partitionBy("message_id").orderBy(*by, *[c for c in view.columns if c not in (*by, "message_id")])
+    # rows that are equal in all columns have the rank of the first of them
+    return d.withColumns({"seq": F.row_number().over(order), "same_as": F.rank().over(order), "is_nr": F.coalesce(F.col("is_noise_reduction") == "Y", F.lit(False))})
 
 
 def grouped(m: DataFrame) -> DataFrame:

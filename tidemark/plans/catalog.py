@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +14,7 @@ from tidemark import store
 from tidemark.functions import text as tx
 from tidemark.operators import decide
 from tidemark.operators import definitions as df
-from tidemark.plans import fixture, outputs, sinks
+from tidemark.plans import fixture, job, outputs, sinks
 from tidemark.sources import paths, tables
 
 EXEC, BY, STAGE = "pe-1", "tidemark", "SCAN"
@@ -29,12 +31,29 @@ def view_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.union_views(parts)
 
 
-_results: dict[tuple[str, str], tuple[outputs.Result, DataFrame]] = {}
+_results: dict[tuple, tuple[outputs.Result, DataFrame]] = {}
+_jobs: dict[tuple, str] = {}
+
+
+def forget() -> None:
+    """Evaluate anew from now on."""
+    _results.clear()
+    _jobs.clear()
+
+
+def _key(spark: SparkSession, sf_dir: str) -> tuple:
+    """The session and the state of the tables that the evaluation reads."""
+    at = []
+    for t in ("documents", "conversations"):
+        path, fs = paths.file_system(spark, f"{sf_dir}/{t}.parquet")
+        s = fs.getFileStatus(path)
+        at.append((s.getModificationTime(), s.getLen()))
+    return (spark.sparkContext.applicationId, sf_dir, *at)
 
 
 def evaluated(spark: SparkSession, sf_dir: str) -> tuple[outputs.Result, DataFrame]:
-    """The evaluation that the result tables share, once for each session and folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """The evaluation that the result tables share, once for each session and state of the tables."""
+    key = _key(spark, sf_dir)
     if key not in _results:
         view = view_of(spark, sf_dir)
         r = outputs.evaluate(fixture.messages(spark, sf_dir), view, store.materialise(fixture.terms(spark), "terms"), fixture.expressions())
@@ -42,6 +61,37 @@ def evaluated(spark: SparkSession, sf_dir: str) -> tuple[outputs.Result, DataFra
     return _results[key]
 
 
+def evaluation(spark, sf_dir):
+    """The evaluation alone: matches by pattern set."""
+    r, _ = evaluated(spark, sf_dir)
+    return r.raw.groupBy("feature", "area").agg(F.count(F.lit(1)).alias("n"))
+
+
+def deployed(spark: SparkSession, sf_dir: str) -> str:
+    """The test tables as a deployment's folders, with the job run over them: the folder below which its tables are."""
+    key = _key(spark, sf_dir)
+    if key not in _jobs:
+        base = f"{store.shared_dir(spark)}/tidemark/deployed-{uuid.uuid4().hex}"
+        m = fixture.messages(spark, sf_dir).drop("channel")
+        for ds in ("docs", "conv"):
+            for name, flag in (("restricted", True), ("unrestricted", False)):
+                part = m.filter((F.col("dataset_id") == ds) & (F.col("restricted") == flag)).drop("dataset_id", "restricted")
+                part.write.parquet(f"{base}/live/{ds}/part-{ds}/{name}")
+        fixture.view(spark, sf_dir).write.parquet(f"{base}/feature_decision_view")
+        for folder in ("20260101_101", "20260816_101", "20260901_7"):
+            for name, text in fixture.lexicon_files().items() if folder == "20260816_101" else [("empty.json", "{}")]:
+                paths.write_text(spark, f"{base}/lexicon/{folder}/{name}", text)
+        names = "feature_decision_view lexicon_hit_summary lexicon_hit_restricted lexicon_hit_unrestricted feature_hit_summary pipeline_stage_audit pipeline_record_audit csv_mirror".split()
+        args = {"dataset_details": [{"dataset_id": d, "dataset_partition_value": f"part-{d}"} for d in ("docs", "conv")], "feature_partition_value": FEATURE_PARTITION, "pipeline_exec_id": EXEC, "policy_engine_id": "101", "process_id": "proc-1", "trigger_type": "policy-alert-live"}
+        files = {"args": args, "tables": {n: f"{base}/{n}" for n in names}, "settings": {"message_roots": {"policy-alert-live": f"{base}/live"}, "lexicon_root": f"{base}/lexicon"}}
+        for n, x in files.items():
+            paths.write_text(spark, f"{base}/{n}.json", json.dumps(x))
+        parsed = [kind.parse(paths.read_text(spark, f"{base}/{n}.json")) for n, kind in zip(files, (paths.RuntimeArgs, paths.TableConfig, paths.Settings), strict=True)]
+        job.run_files(spark, *parsed, now=lambda: dt.datetime(2026, 8, 16, 10))
+        _jobs[key] = base
+    return _jobs[key]
+
+
 def view_filter(spark, sf_dir):
     d = tables.view_rows(fixture.view(spark, sf_dir, "docs"), "part-docs", FEATURE_PARTITION, "proc-1")
     return d.groupBy("feature_id", "feature_type").agg(F.count(F.lit(1)).alias("n"), F.min("message_id").alias("first_id"))
@@ -127,13 +177,20 @@ def suppression(spark, sf_dir):
 
 def hit_summary(spark, sf_dir):
     r, m = evaluated(spark, sf_dir)
-    d = outputs.hit_summary(r, m, EXEC, BY, _ts()).select("message_id", "process_id", F.explode("evaluated_lexicons").alias("e"), "created_ts")
+    return _flat_summary(outputs.hit_summary(r, m, EXEC, BY, _ts()))
+
+
+def _flat_summary(d):
+    d = d.select("message_id", "process_id", F.explode("evaluated_lexicons").alias("e"), "created_ts")
     return d.select("message_id", "process_id", F.col("e.id").alias("id"), F.col("e.name").alias("name"), F.col("e.total_terms_count").alias("total_terms"), F.col("e.regex_hit_count").alias("n_terms"), F.explode_outer("e.term_dtls").alias("t"), "created_ts").select("message_id", "process_id", "id", "name", "total_terms", "n_terms", F.col("t.term_id").alias("term_id"), F.col("t.term_regex_pattern").alias("pattern"), F.col("t.regex_match_hit_count").alias("hits"), "created_ts")
 
 
 def _detail(spark, sf_dir, restricted):
     r, m = evaluated(spark, sf_dir)
-    d = outputs.hit_detail(r, m, EXEC, BY, _ts()).filter(F.col("restricted") == restricted)
+    return _flat_detail(outputs.hit_detail(r, m, EXEC, BY, _ts()).filter(F.col("restricted") == restricted))
+
+
+def _flat_detail(d):
     d = d.select("message_id", "dataset_partition_value", F.explode("evaluated_lexicons").alias("e")).select("message_id", "dataset_partition_value", F.col("e.id").alias("id"), F.explode("e.term_dtls").alias("t"))
     hit = "array<struct<text:string,start:bigint,length:bigint>>"
     j = F.from_json("t.matched_text", f"hit_details_hs array<struct<message_id:string,msg_text:{hit},subject:{hit},attachment_text:array<struct<attachment_id:string,att_text:{hit}>>>>")["hit_details_hs"][0]
@@ -155,7 +212,11 @@ def hit_detail_unrestricted(spark, sf_dir):
 
 def feature_hit_summary(spark, sf_dir):
     r, _ = evaluated(spark, sf_dir)
-    d = outputs.feature_hit_summary(r, F.lit("tag"), EXEC, BY, _ts()).select("message_id", "dataset_partition_value", "feature_hit_type", F.explode("features").alias("f"))
+    return _flat_features(outputs.feature_hit_summary(r, F.lit("tag"), EXEC, BY, _ts()))
+
+
+def _flat_features(d):
+    d = d.select("message_id", "dataset_partition_value", "feature_hit_type", F.explode("features").alias("f"))
     sub = F.array_join(F.transform(F.coalesce("f.sub_features", F.array().cast("array<struct<type:string,name:string,hit_status:boolean>>")), lambda x: F.concat_ws(":", x["name"], x["hit_status"].cast("string"))), ",")
     return d.select("message_id", "dataset_partition_value", "feature_hit_type", F.col("f.id").alias("id"), F.col("f.name").alias("name"), F.col("f.type").alias("type"), F.col("f.is_noise_reduction").alias("is_nr"), F.col("f.hit_status").alias("hit"), sub.alias("subs"))
 
@@ -184,14 +245,120 @@ def union_messages(spark, sf_dir):
 
 def regex_all_ends(spark, sf_dir):
     """Patterns of variable length: every end counts."""
-    e = [tx.Expression("f", 1, r"th\w{1,3}d"), tx.Expression("f", 2, r"\d{4,6}"), tx.Expression("f", 3, "mit\x00license", kind="combination")]
+    e = [tx.Expression("f", 1, "th[a-z]{1,3}d"), tx.Expression("f", 2, "[0-9]{4,6}"), tx.Expression("f", 3, "mit\x00license", kind="combination")]
     a = decide.areas(fixture.messages(spark, sf_dir)).withColumn("features", F.array(F.lit("f")))
     return tx.scan(a, e)
 
 
+def suppressed_count(spark, sf_dir):
+    r, m = evaluated(spark, sf_dir)
+    return outputs.suppressed_counts(r, m)
+
+
+def term_count(spark, sf_dir):
+    return df.term_counts(fixture.terms(spark))
+
+
+def term_errors(spark, sf_dir):
+    """Compile results that can't be read, and terms that clash."""
+    ok = {"compilationStatus": "PASS", "hyperscanExpressionId": 1}
+    cases = {
+        "malformed": "{oops", "blank": " ", "missing": None, "empty": json.dumps({"results": []}), "failed": json.dumps({"results": [ok | {"termId": "x", "compilationStatus": "FAILED"}]}),
+        "unnumbered": json.dumps({"results": [ok | {"termId": "unnumbered"}]}), "worded": json.dumps({"results": [ok | {"termId": "worded::one"}]}), "bare": json.dumps({"results": [{"termId": "bare::1", "compilationStatus": "Pass"}]}),
+        "clash": json.dumps({"results": [ok | {"termId": "clash::1"}, ok | {"termId": "clash::2", "hyperscanExpressionId": 3, "requiredExpressionIds": [2, 1]}]}),
+        "fine": json.dumps({"results": [ok | {"termId": "a::b::7", "extra": 1}]}),
+    }
+    t = df.terms(spark.createDataFrame(list(cases.items()), "feature string, json string"))
+    return t.select("feature", F.col("term_number").cast("long").alias("term_number"), "term_id", F.array_join(F.col("required").cast("array<string>"), ",").alias("required"), "error")
+
+
+def duplicate_members(spark, sf_dir):
+    """Equal view rows count as members but share same_as."""
+    v = view_of(spark, sf_dir)
+    m = decide.members(v.unionByName(v.filter(F.substring("message_id", -1, 1) == "3")))
+    g = decide.grouped(m).select("message_id", "feature_id", "n_members", F.col("group_error").isNotNull().alias("bad"))
+    n = m.groupBy("message_id", "feature_id").agg(F.count_distinct("same_as").alias("n_different"))
+    return g.join(n, ["message_id", "feature_id"])
+
+
+def message_errors(spark, sf_dir):
+    """Failures that only a scanned or evaluated group can meet: attachments without an id, feature ids that are no numbers,
+    pattern sets with an error; and those of groups, which come first. Conversations alone."""
+    m = fixture.messages(spark, sf_dir).filter("dataset_id = 'conv'")
+    n = F.substring("message_id", 2, 20).cast("long")
+    lost = F.transform("attachments", lambda a: a.withField("metadata.attachment_id", F.when(n % 3 == 0, F.lit(None)).otherwise(a["metadata"]["attachment_id"])))
+    v = tables.view_rows(fixture.view(spark, sf_dir, "conv"), "part-conv", FEATURE_PARTITION, "proc-1").filter("feature_id = '4'")
+    v = v.withColumns({"operator": F.when(n % 7 == 0, "XOR").otherwise(F.col("operator")), "feature_id": F.when(n % 5 == 0, "four").otherwise(F.col("feature_id"))})
+    v = v.withColumn("feature_definition", F.when((n % 11 == 0) & (F.col("features_to_apply") == "lex_with"), F.replace("feature_definition", F.lit("lex_with"), F.lit("broken"))).otherwise(F.col("feature_definition")))
+    t = tables.with_errors(fixture.terms(spark), [("broken", "it is")])
+    r = outputs.evaluate(m.withColumn("attachments", lost), v, store.materialise(t, "terms"), fixture.expressions())
+    return r.messages.select("message_id", "error")
+
+
+def path_functions(spark, sf_dir):
+    """URIs, listings and files of the shared folder, and the order of the job's own checks."""
+    base = f"{store.shared_dir(spark)}/tidemark/paths-{uuid.uuid4().hex}"
+    paths.write_text(spark, f"{base}/a_1/x.json", "one é")
+    paths.write_text(spark, f"{base}/b_1/deep/y.json", "two")
+
+    def said(f, *args):
+        try:
+            return str(f(*args))
+        except Exception as e:
+            return type(e).__name__
+
+    rows = [
+        ("uri", said(paths.parse_uri, "gs://b/c/d")), ("uri_bad", said(paths.parse_uri, "gs://b")), ("children", ",".join(paths.list_children(spark, base))), ("children_none", said(paths.list_children, spark, f"{base}/no")),
+        ("objects", ",".join(x.split(base)[-1] for x in paths.list_objects(spark, base))), ("text", paths.read_text(spark, f"{base}/a_1/x.json")), ("bytes", str(len(paths.read_bytes(spark, f"{base}/a_1/x.json")))),
+        ("exists", f"{paths.exists(spark, f'{base}/a_1')},{paths.exists(spark, f'{base}/c')}"), ("latest", paths.resolve_base(spark, base, "1")[len(base):]), ("latest_none", said(paths.resolve_base, spark, base, "2")),
+        ("patterns", paths.patterns_path("b/", "f")), ("terms", paths.terms_path("b/", "f")), ("base_bad", said(paths.terms_path, "b", "f")), ("feature_bad", said(paths.patterns_path, "b/", " ")),
+        ("bucket", paths.message_bucket({"live": "x"}, "live")), ("bucket_bad", said(paths.message_bucket, {}, "live")), ("no_messages", said(tables.read_dataset, spark, base, "ds", "p")), ("no_views", said(tables.union_views, [])),
+    ]
+    store.forget(spark, base)
+    return spark.createDataFrame(rows, "name string, said string")
+
+
+def dataset_reader(spark, sf_dir):
+    """Messages from their folders, restricted and not, with all fields, those of the view's ids only."""
+    base, ids = deployed(spark, sf_dir), view_of(spark, sf_dir)
+    d = tables.union_messages([tables.read_dataset(spark, f"{base}/live", ds, f"part-{ds}", ids) for ds in ("docs", "conv")])
+    return d.select("message_id", "dataset_id", "restricted", F.length("message.content.raw_text").cast("long").alias("n_chars"), F.size("attachments").cast("long").alias("n_attachments"), (F.col("source").isNull() & F.col("processing").isNull()).alias("absent_is_null"))
+
+
+def job_hit_summary(spark, sf_dir):
+    return _flat_summary(spark.read.parquet(f"{deployed(spark, sf_dir)}/lexicon_hit_summary"))
+
+
+def job_hit_restricted(spark, sf_dir):
+    return _flat_detail(spark.read.parquet(f"{deployed(spark, sf_dir)}/lexicon_hit_restricted"))
+
+
+def job_hit_unrestricted(spark, sf_dir):
+    return _flat_detail(spark.read.parquet(f"{deployed(spark, sf_dir)}/lexicon_hit_unrestricted"))
+
+
+def job_feature_summary(spark, sf_dir):
+    return _flat_features(spark.read.parquet(f"{deployed(spark, sf_dir)}/feature_hit_summary"))
+
+
+def job_record_audit(spark, sf_dir):
+    return spark.read.parquet(f"{deployed(spark, sf_dir)}/pipeline_record_audit")
+
+
+def job_stage_audit(spark, sf_dir):
+    d = spark.read.parquet(f"{deployed(spark, sf_dir)}/pipeline_stage_audit")
+    return d.withColumn("end_time", F.when(F.col("end_time").isNotNull(), F.col("end_time") + F.expr("interval 5 minutes")))
+
+
+def job_csv(spark, sf_dir):
+    d = spark.read.option("header", True).csv(f"{deployed(spark, sf_dir)}/csv_mirror")
+    return d.withColumn("created_ts", F.to_timestamp("created_ts"))
+
+
 _ALL = [
     view_filter, view_union, relevant_messages, group_view, latest_folder, feature_definition_json, scope_predicate, attachment_size, html_strip, literal_positions, term_metadata, and_not,
-    group_hit, category_order, short_circuit, suppression, hit_summary, hit_detail_restricted, hit_detail_unrestricted, feature_hit_summary, record_audit, stage_audit, csv_mirror, union_messages, regex_all_ends,
+    group_hit, category_order, short_circuit, suppression, suppressed_count, hit_summary, hit_detail_restricted, hit_detail_unrestricted, feature_hit_summary, record_audit, stage_audit, csv_mirror, union_messages, regex_all_ends,
+    evaluation, term_count, term_errors, duplicate_members, message_errors, path_functions, dataset_reader, job_hit_summary, job_hit_restricted, job_hit_unrestricted, job_feature_summary, job_record_audit, job_stage_audit, job_csv,
 ]
 
 
@@ -262,7 +429,100 @@ def _detail_sql(restricted: bool) -> str:
     )
 
 
+def _csv_sql() -> str:
+    """Restricted details as JSON, as the mirror has them."""
+    hit = "{'text': said, 'start': s, 'length': len}"
+    none = "CAST([] AS STRUCT(\"text\" VARCHAR, \"start\" BIGINT, \"length\" BIGINT)[])"
+    return (
+        f", occ AS (SELECT f.message_id, m.ds, f.feature_id, f.feature || '::' || t.n AS term_id, f.area, f.attachment_id, regexp_replace(f.said, '{_RUN}', ' ', 'g') AS said, f.s, CAST(f.len AS BIGINT) AS len "
+        "FROM fin f JOIN msgs m USING (message_id) JOIN terms t ON t.feature = f.feature WHERE m.restricted),\n"
+        f"att AS (SELECT message_id, feature_id, term_id, attachment_id, list({hit} ORDER BY s) AS att_text FROM occ WHERE area = 'ATTACHMENT' GROUP BY ALL),\n"
+        "attl AS (SELECT message_id, feature_id, term_id, list({'attachment_id': attachment_id, 'att_text': att_text} ORDER BY CAST(split_part(attachment_id, '-', 2) AS INTEGER)) AS l FROM att GROUP BY ALL),\n"
+        f"part AS (SELECT message_id, any_value(ds) AS ds, feature_id, term_id, list({hit} ORDER BY s) FILTER (WHERE area = 'MESSAGE_BODY') AS b, list({hit} ORDER BY s) FILTER (WHERE area = 'SUBJECT') AS u FROM occ GROUP BY message_id, feature_id, term_id),\n"
+        "said AS (SELECT p.message_id, p.ds, p.feature_id, p.term_id, CAST(to_json({'hit_details_hs': [{'message_id': p.message_id, "
+        f"'msg_text': coalesce(b, {none}), 'subject': coalesce(u, {none}), 'attachment_text': coalesce(l, CAST([] AS STRUCT(attachment_id VARCHAR, att_text STRUCT(\"text\" VARCHAR, \"start\" BIGINT, \"length\" BIGINT)[])[]))}}]}}) AS VARCHAR) AS matched_text "
+        "FROM part p LEFT JOIN attl USING (message_id, feature_id, term_id)),\n"
+        "byf AS (SELECT message_id, any_value(ds) AS ds, feature_id, list({'term_id': term_id, 'matched_text': matched_text} ORDER BY term_id, matched_text) AS term_dtls FROM said GROUP BY message_id, feature_id)\n"
+        "SELECT message_id, 'proc-1' AS process_id, 'pe-1' AS pipeline_exec_id, any_value(ds) AS dataset_partition_value, CAST(to_json(list({'id': feature_id, 'term_dtls': term_dtls} ORDER BY feature_id)) AS VARCHAR) AS evaluated_lexicons, "
+        "'tidemark' AS created_by, TIMESTAMPTZ '2026-08-16 10:00:00+00' AS created_ts FROM byf GROUP BY message_id"
+    )
+
+
+def _all_ends_sql() -> str:
+    """All starts and lengths of the patterns' matches within runs of letters and digits, between tags."""
+    cut = lambda name, source, text, pattern: (
+        f"{name}_ AS (SELECT * EXCLUDE ({text}), string_split_regex({text}, '{pattern}') AS pc, regexp_extract_all({text}, '{pattern}') AS ms FROM {source})"
+    )
+    before = "CAST(coalesce(list_sum(list_transform(pc[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS BIGINT)"
+    ahead = "CAST(coalesce(list_sum(list_transform(pc[1:i - 1], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS BIGINT)"
+    run = "[0-9A-Za-z]*([tT][hH][A-Za-z]{1,3}[dD]|[0-9]{4})[0-9A-Za-z]*"
+    keys = "message_id, area, area_ord, attachment_id"
+    word = lambda name, pattern: f"{cut(name, 'pieces', 'piece', pattern)},\n{name} AS (SELECT {keys}, off + {before} AS off, ms[i] AS w FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM {name}_))"
+    one = lambda k, pattern: (
+        f"SELECT {keys}, {k} AS expression_id, min(s) AS s, e FROM (SELECT {keys}, off + i - 1 AS s, off + i - 1 + l AS e FROM (SELECT *, unnest(range(1, length(w) + 1)) AS i FROM runs) a, (VALUES (4), (5), (6)) v(l) "
+        f"WHERE i + l - 1 <= length(w) AND regexp_full_match(substr(w, i, l), '{pattern}')) GROUP BY {keys}, e"
+    )
+    return (
+        ", texts AS (SELECT message_id, 'SUBJECT' AS area, 0 AS area_ord, CAST(NULL AS VARCHAR) AS attachment_id, subject AS text, subject AS whole FROM msgs UNION ALL SELECT message_id, 'MESSAGE_BODY', 1, NULL, body, body FROM msgs "
+        "UNION ALL SELECT message_id, 'ATTACHMENT', CAST(1 + row_number() OVER (PARTITION BY message_id ORDER BY CAST(split_part(attachment_id, '-', 2) AS INTEGER)) AS INTEGER), attachment_id, text, text FROM atts),\n"
+        f"{cut('tagged', '(SELECT * EXCLUDE (whole) FROM texts WHERE text IS NOT NULL)', 'text', '<[^>]*>')},\n"
+        f"pieces AS (SELECT {keys}, {ahead} AS off, pc[i] AS piece FROM (SELECT *, unnest(range(1, len(pc) + 1)) AS i FROM tagged_)),\n"
+        f"{word('runs', run)},\n{word('mit', '(?i)mit')},\n{word('lic', '(?i)license')},\n"
+        f"ends AS ({one(1, '(?i)th[a-z]{1,3}d')} UNION ALL {one(2, '[0-9]{4,6}')} UNION ALL "
+        f"SELECT {keys}, 3, s, e FROM (SELECT m.message_id, m.area, m.area_ord, m.attachment_id, least(min(m.off), min(l.off)) AS s, greatest(max(m.off) + 3, max(l.off) + 7) AS e "
+        "FROM mit m JOIN lic l ON l.message_id = m.message_id AND l.area_ord = m.area_ord GROUP BY m.message_id, m.area, m.area_ord, m.attachment_id))\n"
+        f"SELECT e.message_id, e.area, CAST(e.area_ord AS INTEGER) AS area_ord, e.attachment_id, 'f' AS feature, CAST(expression_id AS INTEGER) AS expression_id, CAST(s AS INTEGER) AS \"start\", CAST(e AS INTEGER) AS \"end\", "
+        f"regexp_replace(substr(t.whole, s + 1, e - s), '{_RUN}', ' ', 'g') AS text, CAST(NULL AS VARCHAR) AS scan_error FROM ends e JOIN texts t ON t.message_id = e.message_id AND t.area_ord = e.area_ord"
+    )
+
+
+_TERM_ERRORS = "(VALUES ('malformed', 'term metadata can''t be read'), ('blank', 'term metadata can''t be read'), ('missing', 'term metadata can''t be read'), ('clash', 'two terms claim expression 1')) b(feature, error)"
+_PATHS = [
+    ("uri", "('b', 'c/d')"), ("uri_bad", "ValueError"), ("children", "a_1,b_1"), ("children_none", "[]"), ("objects", "/a_1/x.json,/b_1/deep/y.json"), ("text", "one é"), ("bytes", "6"), ("exists", "True,False"), ("latest", "/b_1/"),
+    ("latest_none", "FileNotFoundError"), ("patterns", "b/f.hdb"), ("terms", "b/f-compile-results.json"), ("base_bad", "ValueError"), ("feature_bad", "ValueError"), ("bucket", "x"), ("bucket_bad", "ValueError"),
+    ("no_messages", "NoMessagesFound"), ("no_views", "ValueError"),
+]
+
+
+def _more_sql(base: str, full: str, direct: dict[str, str]) -> dict[str, str]:
+    quoted = lambda x: x.replace("'", "''")
+    conv = "c AS (SELECT message_id, n FROM msgs WHERE ds = 'conv')"
+    # a message fails at the first of: its group, its pattern sets, its texts, its feature ids
+    has = lambda what, where: f"EXISTS (SELECT 1 FROM areas a WHERE a.message_id = c.message_id AND {where} AND regexp_matches(a.text, '(?i){what}'))"
+    hit = f"({has('token', 'a.area = ' + chr(39) + 'ATTACHMENT' + chr(39))} OR {has('license', 'a.area = ' + chr(39) + 'ATTACHMENT' + chr(39))})"
+    return {
+        "csv_mirror": full + _csv_sql(),
+        "job_csv": full + _csv_sql(),
+        "regex_all_ends": f"WITH {_MESSAGES}" + _all_ends_sql(),
+        "evaluation": f"{full} SELECT feature, area, count(*) AS n FROM (SELECT DISTINCT r.* EXCLUDE (said), v.in_subject, v.in_body, v.in_att FROM v JOIN ok USING (message_id) JOIN raw r ON r.message_id = v.message_id AND r.feature = v.feature "
+        "WHERE (v.category = 0 OR v.message_id NOT IN (SELECT message_id FROM stopped)) AND CASE r.area WHEN 'SUBJECT' THEN in_subject WHEN 'MESSAGE_BODY' THEN in_body ELSE in_att END) GROUP BY feature, area",
+        "suppressed_count": f"{full} SELECT f.message_id, count(*) - coalesce(any_value(k), 0) AS suppressed FROM found f LEFT JOIN (SELECT message_id, count(*) AS k FROM fin GROUP BY message_id) USING (message_id) WHERE f.category = 2 GROUP BY f.message_id",
+        "term_count": "SELECT * FROM (VALUES " + ", ".join(f"('{f}', CAST(1 AS BIGINT))" for f, *_ in fixture.TERMS) + ") t(feature, term_count)",
+        "term_errors": "SELECT feature, CAST(n AS BIGINT) AS term_number, id AS term_id, r AS required, e AS error FROM (VALUES ('unnumbered', NULL, NULL, '1', 'termId has no number'), ('worded', NULL, NULL, '1', 'termId has no number'), "
+        "('bare', 1, 'bare::1', NULL, 'term has no expression'), ('clash', 1, 'clash::1', '1', NULL), ('clash', 2, 'clash::2', '2,1', NULL), ('fine', 7, 'fine::7', '1', NULL)) t(feature, n, id, r, e) "
+        f"UNION ALL SELECT feature, NULL, NULL, NULL, error FROM {_TERM_ERRORS}",
+        "duplicate_members": f"{base} SELECT message_id, feature_id, count(*) * CASE WHEN right(message_id, 1) = '3' THEN 2 ELSE 1 END AS n_members, any_value(op) IS NULL AND right(message_id, 1) = '3' OR bool_or(lost) AS bad, count(*) AS n_different FROM v GROUP BY message_id, feature_id",
+        "message_errors": f"WITH {_MESSAGES}, {conv} SELECT message_id, CASE WHEN n % 7 = 0 THEN 'unknown operator' WHEN n % 11 = 0 THEN 'broken: it is' WHEN n % 3 = 0 AND {hit} THEN 'ValueError: an attachment with a match has no id' "
+        "WHEN n % 5 = 0 THEN 'feature_id is no number: four' END AS error FROM c",
+        "path_functions": "SELECT * FROM (VALUES " + ", ".join(f"('{k}', '{quoted(v)}')" for k, v in _PATHS) + ") t(name, said)",
+        "dataset_reader": f"SELECT *, true AS absent_is_null FROM ({direct['relevant_messages']})",
+        "job_hit_summary": direct["hit_summary"],
+        "job_hit_restricted": direct["hit_detail_restricted"],
+        "job_hit_unrestricted": direct["hit_detail_unrestricted"],
+        "job_feature_summary": direct["feature_hit_summary"],
+        "job_record_audit": direct["record_audit"],
+        "job_stage_audit": direct["stage_audit"],
+    }
+
+
 def oracle_sql() -> dict[str, str]:
+    direct = _direct_sql()
+    base = f"WITH {_MESSAGES},\n{_view_sql()}"
+    terms = "terms(feature, n, shown) AS (VALUES " + ", ".join(f"('{f}', {n}, '{' & '.join(shown)}')" for f, n, _, _, shown in fixture.TERMS) + ")"
+    return direct | _more_sql(base, f"{base},\n{_scan_sql()},\n{terms}\n", direct)
+
+
+def _direct_sql() -> dict[str, str]:
     terms = "terms(feature, n, shown) AS (VALUES " + ", ".join(f"('{f}', {n}, '{' & '.join(shown)}')" for f, n, _, _, shown in fixture.TERMS) + ")"
     base = f"WITH {_MESSAGES},\n{_view_sql()}"
     full = f"{base},\n{_scan_sql()},\n{terms}\n"

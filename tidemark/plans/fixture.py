@@ -51,13 +51,26 @@ def expressions() -> list[Expression]:
     return [Expression(f, i, p) for f, i, p in EXPRESSIONS]
 
 
+def lexicon_files() -> dict[str, str]:
+    """The lexicon as the files of its folder: name and text."""
+    out = {f"{f}-compile-results.json": text for f, text in _metadata()}
+    by: dict[str, list] = {}
+    for f, i, p in EXPRESSIONS:
+        by.setdefault(f, []).append({"id": i, "pattern": p, "flags": "i"})
+    return out | {f"{f}-expressions.json": json.dumps({"expressions": e}) for f, e in by.items()} | {"unused-expressions.json": json.dumps({"expressions": [{"id": 1, "pattern": "("}]})}
+
+
 def metadata(spark: SparkSession) -> DataFrame:
     """Compile results (feature, json)."""
+    return spark.createDataFrame(_metadata(), "feature string, json string")
+
+
+def _metadata() -> list[tuple[str, str]]:
     by: dict[str, list] = {}
     for f, n, req, exc, shown in TERMS:
         by.setdefault(f, []).append({"termId": f"{f}::{n}", "compilationStatus": "pass", "translatedPattern": shown, "requiresExclusionCheck": bool(exc), "hyperscanExpressionId": req[0], "requiredExpressionIds": req if exc else [], "excludedExpressionIds": exc})
     by["lex_license"].append({"termId": "lex_license::2", "compilationStatus": "FAILED", "translatedPattern": ["x"], "hyperscanExpressionId": 2})
-    return spark.createDataFrame([(f, json.dumps({"results": r})) for f, r in by.items()], "feature string, json string")
+    return [(f, json.dumps({"results": r})) for f, r in by.items()]
 
 
 def terms(spark: SparkSession) -> DataFrame:

@@ -8,11 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import Expression
 from tidemark.operators.decide import members
 from tidemark.operators.definitions import check_definitions
 from tidemark.plans import outputs, sinks
-from tidemark.sources import tables
-from tidemark.sources.paths import RuntimeArgs, TableConfig
+from tidemark.sources import paths, tables
+from tidemark.sources.paths import RuntimeArgs, Settings, TableConfig
 
 STAGE = "SCAN"
 CREATED_BY = "tidemark"
@@ -22,17 +23,16 @@ def run(
     spark: SparkSession,
     args: RuntimeArgs,
     config: TableConfig,
-    view: DataFrame,
+    read_view: Callable[[], DataFrame],
     read_messages: Callable[[str, str, DataFrame], DataFrame],
-    terms: DataFrame,
-    lexicon: DataFrame,
+    load_lexicon: Callable[[list[str]], tuple[DataFrame, list[Expression]]],
     attachment_limit: int | None = None,
     now: Callable[[], dt.datetime] = lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
     fmt: str = "parquet",
 ) -> None:
     """Scan all datasets of the arguments and append the tables named in config. A row of the stage audit says that the
     job began, another how it ended; a failure is raised again after that. read_messages(dataset_id, partition, ids)
-    gives a dataset's messages."""
+    gives a dataset's messages; load_lexicon(features) the terms and expressions of the features that the view names."""
     start = now()
 
     def audit(status: str, end: dt.datetime | None = None, count: str | None = None, error: str | None = None) -> None:
@@ -41,12 +41,14 @@ def run(
 
     audit("IN_PROGRESS")
     try:
+        view = read_view()
         parts = [tables.view_rows(view, d.dataset_partition_value, args.feature_partition_value, args.process_id) for d in args.dataset_details]
         rows = tables.union_views(parts).persist()
         check_definitions(rows)
+        terms, expressions = load_lexicon(tables.features_of(rows))
         ids = rows.select("message_id").distinct()
         messages = tables.union_messages([read_messages(d.dataset_id, d.dataset_partition_value, ids) for d in args.dataset_details])
-        r = outputs.evaluate(messages, rows, terms, tables.expressions(lexicon), attachment_limit)
+        r = outputs.evaluate(messages, rows, terms, expressions, attachment_limit)
         m = members(rows)
         stamp, day = F.lit(now()).cast("timestamp"), F.lit(start.date())
         exec_id = args.pipeline_exec_id
@@ -59,7 +61,25 @@ def run(
         sinks.write_feature_hit_summary(outputs.feature_hit_summary(r, F.col("hit_type"), exec_id, CREATED_BY, stamp), config["feature_hit_summary"], fmt)
         sinks.write_record_audit(outputs.record_audit(r, args.trigger_type, exec_id, STAGE, CREATED_BY, day, stamp), config["pipeline_record_audit"], fmt)
         sinks.write_csv_mirror(detail, config["csv_mirror"])
+        detail.unpersist()
+        rows.unpersist()
     except Exception as e:
         audit("FAILED", now(), "0", f"{type(e).__name__}: {e}")
         raise
     audit("SUCCESS", now())
+
+
+def run_files(spark: SparkSession, args: RuntimeArgs, config: TableConfig, settings: Settings, **more) -> None:
+    """The job over a deployment's folders: messages below the root of the trigger type, the view named feature_decision_view
+    in config, the lexicon in the latest folder of the policy engine."""
+    root = paths.message_bucket(settings.message_roots, args.trigger_type)
+
+    def lexicon(features: list[str]) -> tuple[DataFrame, list[Expression]]:
+        return tables.load_lexicon(spark, paths.resolve_base(spark, settings.lexicon_root, args.policy_engine_id))(features)
+
+    run(
+        spark, args, config,
+        lambda: spark.read.format(settings.fmt).load(config["feature_decision_view"]),
+        lambda ds, part, ids: tables.read_dataset(spark, root, ds, part, ids, settings.fmt),
+        lexicon, settings.attachment_limit, fmt=settings.fmt, **more,
+    )

@@ -75,6 +75,14 @@ def final_matches(r: Result, members: DataFrame) -> DataFrame:
     return decide.suppressed(by_category(r, members, 2), by_category(r, members, 1))
 
 
+def suppressed_counts(r: Result, members: DataFrame) -> DataFrame:
+    """(message_id, suppressed) of every message that wasn't stopped and has lexicon occurrences: how many of them a
+    disclaimer contains."""
+    lexicon = by_category(r, members, 2).groupBy("message_id").agg(F.count(F.lit(1)).alias("n"))
+    left = final_matches(r, members).groupBy("message_id").agg(F.count(F.lit(1)).alias("k"))
+    return lexicon.join(left, "message_id", "left").select("message_id", (F.col("n") - F.coalesce("k", F.lit(0))).alias("suppressed"))
+
+
 def hit_summary(r: Result, members: DataFrame, exec_id: str, created_by: str, created_ts: Column) -> DataFrame:
     """lexicon-hit-summary: a row for every message that didn't fail, with an entry for each evaluated group; counts are
     those before suppression."""

@@ -42,6 +42,8 @@ TERMS = _st(
     ),
 )
 
+EXPRESSIONS = _st(("expressions", T.ArrayType(_st(("id", T.IntegerType()), ("pattern", _S), ("flags", _S), ("kind", _S)))))
+
 LEXICON_HIT_SUMMARY = _st(
     ("message_id", _S, False), ("process_id", _S, False), ("pipeline_exec_id", _S, False),
     ("evaluated_lexicons", T.ArrayType(_st(

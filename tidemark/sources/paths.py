@@ -20,25 +20,26 @@ def parse_uri(uri: str) -> tuple[str, str]:
     return m[1], m[2]
 
 
-def _fs(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """A path as Hadoop's, and its file system."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _fs(spark, path)
+    p, fs = file_system(spark, path)
     return fs.exists(p)
 
 
 def list_children(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below path, in order; none if path isn't there."""
-    p, fs = _fs(spark, path)
+    p, fs = file_system(spark, path)
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
 
 
 def list_objects(spark: SparkSession, path: str) -> list[str]:
     """All files below path."""
-    p, fs = _fs(spark, path)
+    p, fs = file_system(spark, path)
     it, out = fs.listFiles(p, True), []
     while it.hasNext():
         out.append(it.next().getPath().toString())
@@ -49,6 +50,16 @@ def read_text(spark: SparkSession, path: str) -> str:
     return spark.read.text(path, wholetext=True).first()[0]
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, in place of what is there."""
+    p, fs = file_system(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
 def read_bytes(spark: SparkSession, path: str) -> bytes:
     return bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
 
@@ -82,6 +93,10 @@ def terms_path(base: str, feature: str) -> str:
     return _below(base, feature, "-compile-results.json")
 
 
+def expressions_path(base: str, feature: str) -> str:
+    return _below(base, feature, "-expressions.json")
+
+
 @dataclass(frozen=True)
 class Dataset:
     dataset_id: str
@@ -121,6 +136,23 @@ class TableConfig:
         return self.tables[name]
 
 
+@dataclass(frozen=True)
+class Settings:
+    """Where a deployment keeps things: roots of messages by trigger type, the root of lexicon folders, the attachments'
+    limit in bytes of UTF-8 (null: none) and the format of messages, view and output tables."""
+
+    message_roots: dict[str, str]
+    lexicon_root: str
+    attachment_limit: int | None = None
+    fmt: str = "parquet"
+
+    @classmethod
+    def parse(cls, text: str) -> Settings:
+        """From JSON. Unknown keys are left out; missing roots are an error."""
+        d = json.loads(text)
+        return cls({str(k): str(v) for k, v in d["message_roots"].items()}, d["lexicon_root"], d.get("attachment_limit"), d.get("format", "parquet"))
+
+
 def message_bucket(buckets: dict[str, str], trigger_type: str) -> str:
     """The bucket of a trigger type; an unknown one is an error."""
     if trigger_type not in buckets:

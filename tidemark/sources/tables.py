@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.functions.text import Expression
+from tidemark.functions.text import Expression, check_expression
+from tidemark.operators.definitions import terms, with_definition
 from tidemark.sources import paths
 
 
@@ -91,3 +93,59 @@ def expressions(lexicon: DataFrame, features: list[str] | None = None, limit: in
     if len(rows) > limit:
         raise ValueError(f"the lexicon has more than {limit} expressions")
     return sorted((Expression(r.feature, r.expression_id, r.pattern, r.flags or "", r.kind or "plain") for r in rows), key=lambda e: (e.feature, e.expression_id))
+
+
+def features_of(view: DataFrame) -> list[str]:
+    """The pattern sets that a view's definitions name, in order: a lexicon's worth, written by people."""
+    rows = with_definition(view.select("feature_definition").distinct()).filter("feature is not null").select("feature").distinct().collect()
+    return sorted(r.feature for r in rows)
+
+
+def _files(spark: SparkSession, base: str, names: dict[str, str]) -> DataFrame:
+    """(feature, json) for names feature -> path; json is null where there is no file. One listing."""
+    there = {p.rsplit("/", 1)[-1] for p in paths.list_objects(spark, base)}
+    have = {f: p for f, p in names.items() if p.rsplit("/", 1)[-1] in there}
+    every = spark.createDataFrame([(f, p.rsplit("/", 1)[-1]) for f, p in names.items()], "feature string, file string")
+    if not have:
+        return every.select("feature", F.lit(None).cast("string").alias("json"))
+    read = spark.read.text(list(have.values()), wholetext=True).select(F.col("_metadata.file_name").alias("_file"), F.col("value").alias("json"))
+    return every.join(read, F.col("file") == F.col("_file"), "left").select("feature", "json")
+
+
+def checked(expressions: list[Expression]) -> tuple[list[Expression], list[tuple[str, str]]]:
+    """The expressions that can be matched in bounded time, and (feature, error) of the others."""
+    bad = [(e, check_expression(e)) for e in expressions]
+    return [e for e, err in bad if err is None], [(e.feature, err) for e, err in bad if err is not None]
+
+
+def load_lexicon(spark: SparkSession, base: str) -> Callable[[list[str]], tuple[DataFrame, list[Expression]]]:
+    """A function of the wanted features: their terms, errors included, and their expressions, from the files of a lexicon
+    folder. What can't be read is an error of the feature, not of the job."""
+
+    def load(features: list[str]) -> tuple[DataFrame, list[Expression]]:
+        t = terms(_files(spark, base, {f: paths.terms_path(base, f) for f in features}))
+        raw = _files(spark, base, {f: paths.expressions_path(base, f) for f in features})
+        got = raw.select("feature", F.from_json("json", schemas.EXPRESSIONS)["expressions"].alias("e")).collect()  # the wanted features' own
+        found = [Expression(r.feature, e.id, e.pattern, e.flags or "", e.kind or "plain") for r in got for e in r.e or () if e.id is not None and e.pattern]
+        good, bad = checked(sorted(found, key=lambda e: (e.feature, e.expression_id)))
+        bad += [(r.feature, "expressions can't be read") for r in got if r.e is None]
+        return with_errors(t, bad), good
+
+    return load
+
+
+def with_errors(t: DataFrame, errors: list[tuple[str, str]]) -> DataFrame:
+    """Terms, and a row for each (feature, error)."""
+    if not errors:
+        return t
+    return t.unionByName(t.sparkSession.createDataFrame(errors, "feature string, error string"), allowMissingColumns=True)
+
+
+def lexicon_of(t: DataFrame, lexicon: DataFrame) -> Callable[[list[str]], tuple[DataFrame, list[Expression]]]:
+    """The same from tables: terms, and (feature, expression_id, pattern, flags, kind)."""
+
+    def load(features: list[str]) -> tuple[DataFrame, list[Expression]]:
+        good, bad = checked(expressions(lexicon, features))
+        return with_errors(t.filter(F.col("feature").isin(features)), bad), good
+
+    return load
