@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, decontaminate, html_extract, licenses, mixing, ngram_join, pii, quality_crf, quality_rules, suffix_dedup
+from tidemark.llm import chat, decontaminate, html_extract, licenses, mixing, ngram_join, oracles, pii, quality_crf, quality_rules, suffix_dedup
 from tidemark.llm.common import read
 
 
@@ -71,4 +71,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    p = pii.Params()
+    return {
+        "op2_ngram_jaccard_join": oracles.NGRAM_JOIN,
+        "op4_decontaminate": oracles.DECONTAMINATE,
+        "op6_chat_tree": oracles.CHAT_TREE,
+        "op8_pii": oracles.pii(p.min_letters, p.deviations, p.least_disclosure),
+    }
