@@ -33,22 +33,24 @@ def _raw(area_rows: DataFrame, members: DataFrame, expressions: list[Expression]
 def evaluate(messages: DataFrame, view: DataFrame, terms: DataFrame, expressions: list[Expression], attachment_limit: int | None = None, materialise=store.materialise) -> Result:
     """Everything up to the evaluated groups. materialise(df, name) keeps what is read several times."""
     m = materialise(decide.members(view), "members")
-    g = decide.grouped(m)
+    g = materialise(decide.grouped(m), "grouped")
     bad = g.groupBy("message_id").agg(F.min_by("group_error", F.when(F.col("group_error").isNotNull(), F.col("ord"))).alias("error"))
     base = messages.select("message_id", "dataset_id", "restricted").join(m.groupBy("message_id").agg(F.min_by("process_id", "seq").alias("process_id")), "message_id").join(bad, "message_id")
+    base = materialise(base, "scanned")
     good = base.filter("error is null").select("message_id")
     area_rows = decide.areas(messages.join(good, "message_id", "left_semi"), attachment_limit)
     gm = m.join(good, "message_id", "left_semi")
+    gg = g.join(good, "message_id", "left_semi")
     # stage one: noise reduction
     raw_nr = materialise(_raw(area_rows, gm.filter("is_nr"), expressions), "raw-nr")
     found_nr = decide.term_matches(decide.member_matches(gm.filter("is_nr"), raw_nr), terms)
-    hit_nr = materialise(decide.group_hits(g.filter("is_nr").join(good, "message_id", "left_semi"), gm, found_nr).filter("hit").select("message_id").distinct(), "stopped")
+    hit_nr = materialise(decide.group_hits(gg.filter("is_nr"), gm.filter("is_nr"), found_nr).filter("hit").select("message_id").distinct(), "stopped")
     # stage two: the others, for messages that go on
     go = gm.filter("not is_nr").join(hit_nr, "message_id", "left_anti")
     raw = materialise(_raw(area_rows, go, expressions), "raw")
     every = raw_nr.unionByName(raw)
     found = materialise(found_nr.unionByName(decide.term_matches(decide.member_matches(go, raw), terms)), "found")
-    groups = decide.evaluated(decide.group_hits(g.join(good, "message_id", "left_semi"), gm, found))
+    groups = decide.evaluated(decide.group_hits(gg, gm, found))
     # errors that only a scanned or evaluated group can meet
     bad_scan = every.filter("scan_error is not null").groupBy("message_id").agg(F.min_by("scan_error", "area_ord").alias("_scan"))
     bad_terms = terms.filter("error is not null").groupBy("feature").agg(F.min("error").alias("_e"))
