@@ -81,10 +81,10 @@ def in_arrow(d: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa
     return d.mapInArrow(frugal, schema)
 
 
-def few(d: DataFrame, like: DataFrame) -> DataFrame:
-    """d in fewer, longer tasks: one for four partitions of `like`, one a core at least. What it writes is that many files;
+def few(d: DataFrame, like: DataFrame, times: int = 2) -> DataFrame:
+    """d in fewer, longer tasks: one for so many partitions of `like`, one a core at least. What it writes is that many files;
     Hadoop starts two child processes a local file, and listing very many small files is slow anywhere."""
-    return d.coalesce(max(d.sparkSession.sparkContext.defaultParallelism, like.rdd.getNumPartitions() // 4))
+    return d.coalesce(max(d.sparkSession.sparkContext.defaultParallelism, like.rdd.getNumPartitions() // times))
 
 
 def slices(b: pa.RecordBatch, text: str = "text", limit: int = 1_000_000) -> Iterator[pa.RecordBatch]:

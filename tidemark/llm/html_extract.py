@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import few, in_arrow, slices
+from tidemark.llm.common import in_arrow, slices
 
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q ruby rp rt s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -451,5 +451,5 @@ def main_text(pages: DataFrame, model: Model | None = None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
     d = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html")
-    d = few(in_arrow(d, run, "page_id long, url string, text string"), pages)
+    d = in_arrow(d, run, "page_id long, url string, text string")
     return d.withColumn("n_chars", F.length("text").cast("long"))

@@ -338,7 +338,7 @@ def join(docs: DataFrame, p: Params = Params()) -> DataFrame:
     spark: SparkSession = docs.sparkSession
     shards = max(8, 2 * docs.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
     order = global_order(docs, p)
-    table = materialise(few(groups(signatures(docs, order, shards, p), shards, p), docs), "prefixes")
+    table = materialise(few(groups(signatures(docs, order, shards, p), shards, p), docs, 4), "prefixes")
     members = table.filter("kind = 0").select("doc_id", "text_hash", "n", "fp")
     classes = table.filter("kind = 0").groupBy("fp").agg(F.min("doc_id").alias("low"), F.min("text_hash").alias("text_hash"), F.first("bits").alias("bits"))
     classes = materialise(classes, "classes")

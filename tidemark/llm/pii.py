@@ -109,6 +109,25 @@ def _small(d: DataFrame, p: Params) -> DataFrame:
     return F.broadcast(d) if d.count() <= p.broadcast_rows else d
 
 
+_SIEVE_BITS = 23
+
+
+def _sieve(terms: DataFrame) -> DataFrame:
+    """One row, bits: a bitmap of fixed size of the terms' hashes. What it lets through are the terms and, while they are
+    some hundred thousand, few others; with very many terms it lets everything through, to the same result."""
+    h = F.pmod(F.xxhash64("term"), F.lit(1 << _SIEVE_BITS))
+    words = terms.select(F.shiftright(h, 6).alias("id"), (h % 64).cast("int").alias("bit"))
+    words = words.groupBy("id").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("w"))
+    every = terms.sparkSession.range(1 << (_SIEVE_BITS - 6)).join(words, "id", "left").select("id", F.coalesce("w", F.lit(0).cast("long")).alias("w"))
+    return every.agg(F.transform(F.sort_array(F.collect_list(F.struct("id", "w"))), lambda x: x["w"]).alias("bits"))
+
+
+def _sieved(terms: Column) -> Column:
+    """Those of an array of terms that the row's bits let through."""
+    h = lambda x: F.pmod(F.xxhash64(x), F.lit(1 << _SIEVE_BITS))
+    return F.filter(terms, lambda x: F.get("bits", F.shiftright(h(x), 6).cast("int")).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), (h(x) % 64).cast("int"))) != 0)
+
+
 def _least_share(k: Column, n: Column, p: Params) -> Column:
     """The lower end of the Wilson interval of k of n. It falls as n grows."""
     z, k = p.deviations**2, F.least(k, n)
@@ -131,9 +150,11 @@ def term_spans(docs: DataFrame, found: DataFrame, p: Params, text: str) -> DataF
     seen = seen.filter(_least_share(F.col("n_e"), F.col("n_w"), p) >= enough)
     pair = seen.groupBy("who", "n_e", "term", "n_w", "n").agg(F.count(F.lit(1)).alias("n_et"))
     pair = materialise(pair.filter(_least_share(F.col("n_et"), F.col("n_w"), p) >= enough).drop("n_w"), "pairs")
-    asked = _small(materialise(pair.select("term").distinct(), "terms"), p)
-    said = _prepared(docs.select(text), text).select("fp", F.explode(_terms(p)).alias("term"))
-    said = materialise(few(said.join(asked, "term").distinct(), docs), "term-texts")
+    asked = materialise(pair.select("term").distinct(), "terms")
+    # before they are shuffled, all texts' terms pass a bitmap of those that are asked for
+    sieve = F.broadcast(materialise(_sieve(asked), "sieve"))  # one row of 1 MB
+    said = _prepared(docs.select(text), text).crossJoin(sieve).select("fp", F.explode(_sieved(_terms(p))).alias("term"))
+    said = materialise(few(said.join(_small(asked, p), "term").distinct(), docs), "term-texts")
     pair = pair.join(said.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")), "term")
     pmi = F.log2(_least_share(F.col("n_et"), F.greatest("n_t", "n_et"), p) * F.col("n") / F.col("n_e"))
     share = pmi / F.greatest(F.log2(F.col("n") / F.col("n_e")), F.lit(1e-9))
