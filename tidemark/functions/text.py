@@ -130,10 +130,14 @@ class Lexicon:
 
     def __init__(self, expressions: list[Expression]):
         self.by: dict[str, list[tuple[Expression, list[tuple[str, ...]]]]] = {}
+        #: One of these, in some case, stands in every text that an expression with a literal matches.
+        self.filters: set[str] = set()
         for e in expressions:
             # each leaf that is known to need a literal; all of them have to match
             needs = [r for x in _leaves(e) if (r := patterns.required(x, e.flags)) is not None]
-            self.by.setdefault(e.feature, []).append((e, needs))
+            self.by.setdefault(e.feature, []).append((e, [tuple(map(patterns.fold, r)) for r in needs]))
+            if needs:
+                self.filters.update(min(needs, key=lambda r: (-min(map(len, r)), r)))
         self.words = sorted({w for es in self.by.values() for _, needs in es for r in needs for w in r})
         self._finder = None
 
@@ -152,11 +156,10 @@ class Lexicon:
         """Whether a text may match an expression of its features, as SQL: always true for features of which an
         expression needs no literal, and with more literals than a regular expression is good for."""
         open_ = sorted(f for f, es in self.by.items() if not all(needs for _, needs in es))
-        words = sorted({min(needs, key=lambda r: (-min(map(len, r)), r)) for es in self.by.values() for _, needs in es if needs})
-        words = sorted({w for r in words for w in r})
+        words = sorted(set(map(patterns.in_any_case, self.filters)))
         if len(words) > most or len(open_) > most:
             return F.lit(True)
-        some = texts.rlike("(?iu)" + "|".join(re.sub(r"([^\w\s])", r"\\\1", w) for w in words)) if words else F.lit(False)
+        some = texts.rlike("(?isu)" + "|".join(words)) if words else F.lit(False)
         return some | F.arrays_overlap(features, F.array(*map(F.lit, open_))) if open_ else some
 
 

@@ -118,7 +118,7 @@ def checked(expressions: list[Expression]) -> tuple[list[Expression], list[tuple
     return [e for e, err in bad if err is None], [(e.feature, err) for e, err in bad if err is not None]
 
 
-def load_lexicon(spark: SparkSession, base: str) -> Callable[[list[str]], tuple[DataFrame, list[Expression]]]:
+def load_lexicon(spark: SparkSession, base: str, limit: int = 1_000_000) -> Callable[[list[str]], tuple[DataFrame, list[Expression]]]:
     """A function of the wanted features: their terms, errors included, and their expressions, from the files of a lexicon
     folder. What can't be read is an error of the feature, not of the job."""
 
@@ -127,6 +127,8 @@ def load_lexicon(spark: SparkSession, base: str) -> Callable[[list[str]], tuple[
         raw = _files(spark, base, {f: paths.expressions_path(base, f) for f in features})
         got = raw.select("feature", F.from_json("json", schemas.EXPRESSIONS)["expressions"].alias("e")).collect()  # the wanted features' own
         found = [Expression(r.feature, e.id, e.pattern, e.flags or "", e.kind or "plain") for r in got for e in r.e or () if e.id is not None and e.pattern]
+        if len(found) > limit:
+            raise ValueError(f"the lexicon has more than {limit} expressions")
         good, bad = checked(sorted(found, key=lambda e: (e.feature, e.expression_id)))
         bad += [(r.feature, "expressions can't be read") for r in got if r.e is None]
         return with_errors(t, bad), good
