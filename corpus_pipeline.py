@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, mixing, ngram_join, pii, quality_crf
-from tidemark.llm.common import WORD_RE, forget, read, shared_dir
+from tidemark.llm.common import WORD_RE, few, forget, read, shared_dir
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +38,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     said = docs.filter(some).select(row, F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"))
     said = said.join(keep, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("hash") == F.col("kept_hash")), "left_semi")
     first = said.groupBy("id", "hash").agg(F.min("row").alias("row")).select("row.*")
-    return first.unionByName(docs.filter(~some))
+    return few(first.unionByName(docs.filter(~some)), docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
