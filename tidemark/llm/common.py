@@ -64,9 +64,17 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: Rows of a batch that goes to Python, at most: with documents of some KB, a few MB on either side.
+BATCH_ROWS = 1000
+
+
 def in_arrow(d: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """d.mapInArrow(run, schema), after which the Python worker, which Spark keeps for other tasks, returns what memory it
-    has freed: an executor has more workers than tasks, and each would keep its own peak."""
+    """d.mapInArrow(run, schema) in batches of BATCH_ROWS rows (the session's setting is lowered to that), after which the
+    Python worker, which Spark keeps for other tasks, returns what memory it has freed: an executor has more workers than
+    tasks, and each would keep its own peak."""
+    conf, key = d.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
 
     def frugal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
@@ -83,7 +91,8 @@ def in_arrow(d: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa
 
 def few(d: DataFrame, like: DataFrame, times: int = 2) -> DataFrame:
     """d in fewer, longer tasks: one for so many partitions of `like`, one a core at least. What it writes is that many files;
-    Hadoop starts two child processes a local file, and listing very many small files is slow anywhere."""
+    Hadoop starts two child processes a local file, and listing very many small files is slow anywhere. To be put ahead of
+    in_arrow, not behind it: a task keeps the buffers of each Python worker that it has fed until its end."""
     return d.coalesce(max(d.sparkSession.sparkContext.defaultParallelism, like.rdd.getNumPartitions() // times))
 
 

@@ -234,7 +234,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> DataFr
                     base += len(raws)
                 yield b.filter(pa.array([i not in bad for i in range(len(texts))], pa.bool_()))
 
-        docs = few(in_arrow(docs, run, docs.schema), docs)
+        docs = in_arrow(few(docs, docs), run, docs.schema)
         if not only:
             docs = materialise(docs, "clean")
             held.destroy()

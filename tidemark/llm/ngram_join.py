@@ -185,7 +185,7 @@ def signatures(docs: DataFrame, order: Order, shards: int, p: Params = Params())
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn = 0
         for b in batches:
-            for x in slices(b, limit=2_000_000):
+            for x in slices(b):
                 raws = [(t or "").encode("utf-8", "surrogatepass") for t in x.column("text").to_pylist()]
                 ids = x.column("doc_id").to_pylist()
                 h, d, n, fp = _sets(raws, p)
@@ -228,7 +228,7 @@ def _unpack(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(a), np.concatenate(b), np.concatenate(c).astype(np.int64)
 
 
-def groups(signed: DataFrame, shards: int, p: Params = Params()) -> DataFrame:
+def groups(signed: DataFrame, shards: int, docs: DataFrame, p: Params = Params()) -> DataFrame:
     """Kind 0 rows as they are; kind 2 rows (gid, fp, n): the members of each group, once for all prefix n-grams of a
     shard that have these members. gid is a hash of the members. A shard at a time, in sorted partitions."""
 
@@ -279,7 +279,7 @@ def groups(signed: DataFrame, shards: int, p: Params = Params()) -> DataFrame:
         if blobs and (out := shard_rows(blobs)):
             yield out
 
-    d = signed.repartition(shards, "shard").sortWithinPartitions("shard")
+    d = few(signed.repartition(shards, "shard").sortWithinPartitions("shard"), docs, 4)  # each shard stays in one stretch
     return in_arrow(d, run, "kind int, gid long, doc_id long, text_hash long, n long, fp long, pivot long, pn long, nxt long, nn long, alt long, an long, bits array<bigint>")
 
 
@@ -338,7 +338,7 @@ def join(docs: DataFrame, p: Params = Params()) -> DataFrame:
     spark: SparkSession = docs.sparkSession
     shards = max(8, 2 * docs.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
     order = global_order(docs, p)
-    table = materialise(few(groups(signatures(docs, order, shards, p), shards, p), docs, 4), "prefixes")
+    table = materialise(groups(signatures(docs, order, shards, p), shards, docs, p), "prefixes")
     members = table.filter("kind = 0").select("doc_id", "text_hash", "n", "fp")
     classes = table.filter("kind = 0").groupBy("fp").agg(F.min("doc_id").alias("low"), F.min("text_hash").alias("text_hash"), F.first("bits").alias("bits"))
     classes = materialise(classes, "classes")

@@ -122,10 +122,10 @@ def _sieve(terms: DataFrame) -> DataFrame:
     return every.agg(F.transform(F.sort_array(F.collect_list(F.struct("id", "w"))), lambda x: x["w"]).alias("bits"))
 
 
-def _sieved(terms: Column) -> Column:
-    """Those of an array of terms that the row's bits let through."""
-    h = lambda x: F.pmod(F.xxhash64(x), F.lit(1 << _SIEVE_BITS))
-    return F.filter(terms, lambda x: F.get("bits", F.shiftright(h(x), 6).cast("int")).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), (h(x) % 64).cast("int"))) != 0)
+def _passes() -> Column:
+    """Whether the row's bits let its term through; in generated code, so that the bits are not copied row by row."""
+    h = F.pmod(F.xxhash64("term"), F.lit(1 << _SIEVE_BITS))
+    return F.get("bits", F.shiftright(h, 6).cast("int")).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), (h % 64).cast("int"))) != 0
 
 
 def _least_share(k: Column, n: Column, p: Params) -> Column:
@@ -153,7 +153,8 @@ def term_spans(docs: DataFrame, found: DataFrame, p: Params, text: str) -> DataF
     asked = materialise(pair.select("term").distinct(), "terms")
     # before they are shuffled, all texts' terms pass a bitmap of those that are asked for
     sieve = F.broadcast(materialise(_sieve(asked), "sieve"))  # one row of 1 MB
-    said = _prepared(docs.select(text), text).crossJoin(sieve).select("fp", F.explode(_sieved(_terms(p))).alias("term"))
+    said = _prepared(docs.select(text), text).select("fp", F.explode(_terms(p)).alias("term"))
+    said = said.crossJoin(sieve).filter(_passes()).select("fp", "term")
     said = materialise(few(said.join(_small(asked, p), "term").distinct(), docs), "term-texts")
     pair = pair.join(said.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")), "term")
     pmi = F.log2(_least_share(F.col("n_et"), F.greatest("n_t", "n_et"), p) * F.col("n") / F.col("n_e"))

@@ -218,13 +218,13 @@ def with_score(docs: DataFrame, model: Model, carry: list[str], name: str = "sco
     schema = T.StructType([*(docs.schema[c] for c in carry), T.StructField(name, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in (x for whole in batches for x in slices(whole, text)):
+        for b in (x for whole in batches for x in slices(whole, text, 400_000)):
             texts = b.column(b.schema.get_field_index(text)).to_pylist()
             s = [score_texts(raws, model) for _, raws in chunks([None] * len(texts), texts, 1_000_000)]
             s = np.concatenate(s) if s else np.zeros(0)
             yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index(c)) for c in carry] + [pa.array(s, pa.float64())], [*carry, name])
 
-    return few(in_arrow(held, run, schema), docs)
+    return in_arrow(few(held, docs), run, schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> DataFrame:

@@ -322,7 +322,7 @@ def _reduce(blobs: list[bytes], p: Params) -> Iterator[pa.RecordBatch]:
         yield _batch(CANDIDATE, (r["gram"] >> _U(40)).astype(np.int64) & 0x7FFFFF, [r[c] for c in _DOC], at - r["lo"], at - r["hi"] + p.length, at)
 
 
-def folded(packed: DataFrame, shards: int, p: Params) -> DataFrame:
+def folded(packed: DataFrame, shards: int, docs: DataFrame, p: Params) -> DataFrame:
     """Step 2: spans, and the contexts that have to be sorted."""
 
     def reduced(kind: int, blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
@@ -350,7 +350,8 @@ def folded(packed: DataFrame, shards: int, p: Params) -> DataFrame:
         if blobs:
             yield from reduced(now[1], blobs)
 
-    return in_arrow(packed.repartition(shards, "shard").sortWithinPartitions("shard", "kind"), run, _SCHEMA).drop("packed")
+    d = few(packed.repartition(shards, "shard").sortWithinPartitions("shard", "kind"), docs)  # each shard stays in one stretch
+    return in_arrow(d, run, _SCHEMA).drop("packed")
 
 
 class Shard:
@@ -485,7 +486,7 @@ def sorted_spans(docs: DataFrame, candidates: DataFrame, p: Params) -> DataFrame
                 shard.close()
 
     got = in_arrow(d, fetch, "shard int, doc_id long, t0 long, t1 long, start long, bytes binary")
-    got = got.repartition(shards, "shard").sortWithinPartitions("shard", *key, "start")
+    got = few(got.repartition(shards, "shard").sortWithinPartitions("shard", *key, "start"), docs, 1)
     return in_arrow(got, sort, _SCHEMA).drop("packed")
 
 
@@ -493,11 +494,11 @@ def spans(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """(doc_id, t0, t1, start, end): byte ranges of repeats; ranges of a document may overlap. docs: (doc_id, t0, t1, text)."""
     spark: SparkSession = docs.sparkSession
     shards = max(8, 4 * docs.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    found = materialise(few(folded(sampled(docs, shards, hot_cells(docs, p), p), shards, p), docs), "spans")
+    found = materialise(folded(sampled(docs, shards, hot_cells(docs, p), p), shards, docs, p), "spans")
     more = sorted_spans(docs, found.filter(F.col("kind") == CANDIDATE), p)
     keep = ["doc_id", "t0", "t1", "start", "end"]
     every = found.filter(F.col("kind") == SPAN).select(*keep).unionByName(more.select(*keep))
-    return materialise(few(every, docs), "repeats")
+    return materialise(every, "repeats")
 
 
 #: Stands in for a null doc_id: before all others.
@@ -546,4 +547,4 @@ def dedup(docs: DataFrame, p: Params = Params(), keep_text: bool = False) -> Dat
             n = 7 if keep_text else 5
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols[:n], kinds, strict=False)], names[:n])
 
-    return few(in_arrow(d, run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + extra), docs)
+    return in_arrow(few(d, docs), run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + extra)
