@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, html_extract, licenses, mixing, ngram_join, oracles, pii, quality_crf, quality_rules, suffix_dedup
+from tidemark.llm import byte_bpe, chat, decontaminate, html_extract, licenses, mixing, ngram_join, oracles, pii, quality_crf, quality_rules, suffix_dedup
 from tidemark.llm.common import read
 
 
@@ -55,6 +57,12 @@ def op10_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_crf.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = byte_bpe.Params(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    d = byte_bpe.encode(read(spark, sf_dir, "documents"), p).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "ids")
+    return byte_bpe.decode(d, p).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_dedup": op1_suffix_dedup,
@@ -67,6 +75,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pii": op8_pii,
         "op9_html_extract": op9_html_extract,
         "op10_quality_crf": op10_quality_crf,
+        "op13_byte_bpe": op13_byte_bpe,
     }
 
 
