@@ -103,3 +103,31 @@ SELECT d.doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coa
   concat_ws(',', base.said, more.said) AS spans FROM d LEFT JOIN base USING (doc_id) LEFT JOIN more ON more.fp = d.fp
 """
     )
+
+
+_CRC = "xor(list_reduce([4294967295] || list_transform(string_split(k, ''), lambda x: CAST(ascii(x) AS BIGINT)), lambda s, b: xor(t[xor(s, b) % 256 + 1], s // 256)), 4294967295) % 11"
+
+#: Codes by a check sum from its table; lines, gaps, columns and rows as contracted.
+BRANCH_MERGE = f"""
+WITH tab AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END) AS v FROM (SELECT CAST(range AS BIGINT) AS i FROM range(256)))),
+d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+u AS (SELECT rid, doc_id, unnest(['row', 'lang', 'source'] || list_transform(range(len(ls)), lambda i: CAST(i AS VARCHAR))) AS name, unnest(['', lang, source] || ls) AS val, unnest(range(-3, len(ls))) AS n FROM d),
+k AS (SELECT *, 'L:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || name AS kl, 'R:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || name AS kr FROM u),
+c AS (SELECT rid, doc_id, name, val, n, (SELECT {_CRC} FROM (SELECT kl AS k)) AS l, (SELECT {_CRC} FROM (SELECT kr AS k)) AS r FROM k, tab),
+e AS (SELECT *, CASE WHEN n < -2 THEN NULL WHEN l IN (1, 2) OR l = 0 AND (n >= 0 OR val <> '') THEN l END AS le, CASE WHEN n < -2 THEN NULL WHEN r IN (1, 2) OR r = 0 AND (n >= 0 OR val <> '') THEN r END AS re,
+  CASE WHEN n >= 0 AND l IN (3, 4) THEN l END AS lg, CASE WHEN n >= 0 AND r IN (3, 4) THEN r END AS rg FROM c),
+m AS (SELECT *, le <> re AS clash, CASE WHEN le <> re THEN NULL ELSE coalesce(le, re) END AS ch, lg <> rg AS gclash, CASE WHEN lg <> rg THEN NULL ELSE coalesce(lg, rg) END AS g FROM e),
+o AS (SELECT *, CASE ch WHEN 0 THEN CASE WHEN n < 0 THEN '' END WHEN 1 THEN val || '!' WHEN 2 THEN val || '?' ELSE val END AS v, CASE g WHEN 3 THEN '!' WHEN 4 THEN '?' END AS nv FROM m),
+a AS (SELECT rid, any_value(doc_id) AS doc_id, max(l) FILTER (n = -3) AS lr, max(r) FILTER (n = -3) AS rr, bool_or(coalesce(le, lg) IS NOT NULL) AS lt, bool_or(coalesce(re, rg) IS NOT NULL) AS rt,
+  max(v) FILTER (n = -2) AS lang, max(val) FILTER (n = -2) AS blang, max(v) FILTER (n = -1) AS source, max(val) FILTER (n = -1) AS bsource,
+  coalesce(array_to_string(flatten(list([v, nv] ORDER BY n) FILTER (n >= 0)), chr(10)), '') AS text, array_to_string(list(val ORDER BY n) FILTER (n >= 0), chr(10)) AS btext,
+  count(ch) + count(g) AS ok, coalesce(count_if(clash AND (n < 0 OR le <> 0 AND re <> 0)), 0) AS ee, coalesce(count_if(clash AND n >= 0 AND (le = 0 OR re = 0)), 0) AS ed, coalesce(count_if(gclash), 0) AS ii FROM o GROUP BY rid),
+s AS (SELECT *, lr = 0 AND rr <> 0 AND rt OR rr = 0 AND lr <> 0 AND lt AS against, lr = 0 OR rr = 0 AS dropped FROM a),
+base AS (SELECT doc_id, CASE WHEN against THEN blang WHEN dropped THEN NULL ELSE lang END AS lang, CASE WHEN against THEN bsource WHEN dropped THEN NULL ELSE source END AS source,
+  CASE WHEN against THEN sha256(btext) WHEN dropped THEN NULL ELSE sha256(text) END AS text_sha256, CASE WHEN against THEN 0 WHEN dropped THEN 1 ELSE ok END AS n_clean, CASE WHEN dropped THEN 0 ELSE ee END AS n_edit_edit,
+  CASE WHEN against THEN 1 WHEN dropped THEN 0 ELSE ed END AS n_edit_delete, CASE WHEN dropped THEN 0 ELSE ii END AS n_insert_insert FROM s),
+new AS (SELECT -1 - doc_id AS doc_id, blang, bsource, CASE lr WHEN 3 THEN '!' ELSE '?' END AS v FROM s WHERE lr IN (3, 4) UNION ALL SELECT -2 - doc_id, blang, bsource, CASE rr WHEN 3 THEN '!' ELSE '?' END FROM s WHERE rr IN (3, 4)),
+one AS (SELECT doc_id, count(DISTINCT {{'a': blang, 'b': bsource, 'c': v}}) = 1 AS same, any_value(blang) AS lang, any_value(bsource) AS source, any_value(v) AS v FROM new GROUP BY doc_id)
+SELECT doc_id, lang, source, text_sha256, CAST(n_clean AS BIGINT) AS n_clean, CAST(n_edit_edit AS BIGINT) AS n_edit_edit, CAST(n_edit_delete AS BIGINT) AS n_edit_delete, CAST(n_insert_insert AS BIGINT) AS n_insert_insert FROM base
+UNION ALL SELECT doc_id, CASE WHEN same THEN lang END, CASE WHEN same THEN source END, CASE WHEN same THEN sha256(v) END, CAST(same AS BIGINT), 0, 0, CAST(NOT same AS BIGINT) FROM one
+"""
