@@ -59,8 +59,10 @@ def named(state: np.ndarray, name: str, modulus: int) -> np.ndarray:
 
 def numbered(state: np.ndarray, number: np.ndarray, modulus: int) -> np.ndarray:
     """Codes of numbers as names."""
-    state, digits = state.copy(), 1 + sum((number >= 10**k).astype(np.int8) for k in range(1, len(str(int(number.max(initial=0))))))
-    for k in range(int(np.max(digits, initial=1)) - 1, -1, -1):
+    state, digits = state.copy(), np.ones(len(number), np.int8)
+    for k in range(1, len(str(int(number.max(initial=0))))):
+        digits += number >= 10**k
+    for k in range(int(digits.max(initial=1)) - 1, -1, -1):
         has = np.flatnonzero(digits > k)
         state[has] = _on(state[has], 48 + number[has] // 10**k % 10)
     return (state ^ _FULL) % np.uint32(modulus)

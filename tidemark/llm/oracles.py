@@ -131,3 +131,15 @@ one AS (SELECT doc_id, count(DISTINCT {{'a': blang, 'b': bsource, 'c': v}}) = 1
 SELECT doc_id, lang, source, text_sha256, CAST(n_clean AS BIGINT) AS n_clean, CAST(n_edit_edit AS BIGINT) AS n_edit_edit, CAST(n_edit_delete AS BIGINT) AS n_edit_delete, CAST(n_insert_insert AS BIGINT) AS n_insert_insert FROM base
 UNION ALL SELECT doc_id, CASE WHEN same THEN lang END, CASE WHEN same THEN source END, CASE WHEN same THEN sha256(v) END, CAST(same AS BIGINT), 0, 0, CAST(NOT same AS BIGINT) FROM one
 """
+
+#: All scores of all items, in 64-bit integers.
+LEXICAL_SEARCH = f"""
+WITH t AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(string_split_regex(translate(text, '{_UPPER}', '{_LOWER}'), '{_NOT_ALNUM}'), lambda x: x <> '') AS ws FROM documents),
+q AS (SELECT DISTINCT item_id, unnest(list_filter(string_split_regex(translate(text, '{_UPPER}', '{_LOWER}'), '{_NOT_ALNUM}'), lambda x: x <> '')) AS term FROM benchmark),
+s AS (SELECT count(*) AS n_docs, CAST(sum(len(ws)) AS BIGINT) AS all_terms FROM t WHERE len(ws) > 0),
+f AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(ws) AS term FROM t) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w FROM f, s GROUP BY term),
+m AS (SELECT rid, doc_id, 100 - 50 + (50 * len(ws) * n_docs) // all_terms AS m FROM t, s WHERE len(ws) > 0),
+r AS (SELECT item_id, rid, any_value(doc_id) AS doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score FROM q JOIN f USING (term) JOIN w USING (term) JOIN m USING (rid) GROUP BY item_id, rid)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, rid) AS rank FROM r WHERE score > 0) WHERE rank <= 50
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import branch_merge, byte_bpe, chat, decontaminate, html_extract, licenses, mixing, ngram_join, oracles, pii, quality_crf, quality_rules, suffix_dedup
+from tidemark.llm import branch_merge, byte_bpe, chat, decontaminate, html_extract, lexical, licenses, mixing, ngram_join, oracles, pii, quality_crf, quality_rules, suffix_dedup
 from tidemark.llm.common import read
 
 
@@ -62,6 +62,10 @@ def op11_branch_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "lang", "source", F.sha2("text", 256).alias("text_sha256"), *branch_merge.COUNTS)
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(lexical.index(read(spark, sf_dir, "documents")), read(spark, sf_dir, "benchmark"))
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = byte_bpe.Params(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     d = byte_bpe.encode(read(spark, sf_dir, "documents"), p).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "ids")
@@ -81,6 +85,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_html_extract": op9_html_extract,
         "op10_quality_crf": op10_quality_crf,
         "op11_branch_merge": op11_branch_merge,
+        "op12_lexical_search": op12_lexical_search,
         "op13_byte_bpe": op13_byte_bpe,
     }
 
@@ -92,5 +97,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_decontaminate": oracles.DECONTAMINATE,
         "op6_chat_tree": oracles.CHAT_TREE,
         "op11_branch_merge": oracles.BRANCH_MERGE,
+        "op12_lexical_search": oracles.LEXICAL_SEARCH,
         "op8_pii": oracles.pii(p.min_letters, p.deviations, p.least_disclosure),
     }
