@@ -27,8 +27,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component: that of the smallest id, a null id last; of several texts of that id, the one of
-    the least hash; of several rows of that text, the least in all columns. Texts without words are no copies of
-    each other: all of them stay."""
+    the least hash; of several rows of that text, the one whose JSON has the least hash, so that columns may be of any
+    type. Texts without words are no copies of each other: all of them stay."""
     cols = docs.columns
     j = ngram_join.join(docs).filter("component is not null")
     keep = j.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("k")).select("k.doc_id", "k.text_hash")
@@ -37,7 +37,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     some = F.coalesce(F.col("text").rlike(WORD_RE), F.lit(False))
     said = docs.filter(some).select(row, F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"))
     said = said.join(keep, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("hash") == F.col("kept_hash")), "left_semi")
-    first = said.groupBy("id", "hash").agg(F.min("row").alias("row")).select("row.*")
+    least = F.sha2(F.to_json("row", {"ignoreNullFields": "false"}), 256)
+    first = said.groupBy("id", "hash").agg(F.min_by("row", least).alias("row")).select("row.*")
     return few(first.unionByName(docs.filter(~some)), docs)
 
 
