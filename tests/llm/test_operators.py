@@ -484,6 +484,15 @@ def test_quality_limits(spark):
         assert limit == pytest.approx(blend(*exact(lambda x: x[:2] == (lang, src)), of_lang), rel=0.01)
 
 
+def test_quality_limits_repeat(spark):
+    """The same limits to the last bit, however the rows are dealt out."""
+    r = random.Random(17)
+    rows = [(i, " ".join("w#A"[r.randint(0, 2)] * r.randint(2, 9) for _ in range(60)), r.choice(["en", "de", None]), r.choice("st")) for i in range(300)]
+    d = docs(spark, rows)
+    got = [sorted(map(str, quality_rules.limits(quality_rules.measures(d.repartition(n))).collect())) for n in (1, 3, 7)]
+    assert got[0] == got[1] == got[2] and len(got[0]) == 6
+
+
 # --- 8
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
@@ -577,6 +586,14 @@ def test_html(spark, model):
     assert html_extract.main_text(d.limit(0), model).count() == 0
 
 
+def test_html_slash_ends_no_raw_element():
+    """A slash in the tag ends elements of foreign content only; what stands in others is never shown."""
+    shown = lambda x: html_extract.parse(x).texts
+    assert shown('<p>a</p><script src="a.js"/>var hidden=1;</script><p>b</p>') == ["a", "b"]
+    assert shown("<p>a</p><iframe src=http://x/>fallback</iframe><p>b</p>") == ["a", "b"]
+    assert shown("<p>a<svg/>b</p><p>c<svg><text>d</text></svg>e</p>") == ["ab", "ce"]
+
+
 def test_html_is_linear(model):
     """Tags and quotes that never end, raw elements that never close, deep nests."""
     zero = html_extract.Model(np.zeros(html_extract.N_FEATURES), np.zeros((2, 2, 2)))

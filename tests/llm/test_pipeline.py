@@ -6,6 +6,7 @@ from collections import Counter
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.test_operators import WORD, brute_groups, brute_pii, brute_targets
@@ -129,6 +130,17 @@ def test_stage_of_odd_rows(spark, sf_dir, odd, name, stage):
         assert all(abs(taken[s] - t) <= 0.5 for s, t in brute_targets(sizes).items())
 
 
+def test_near_duplicates_of_any_type(spark, sf_dir):
+    """Columns without an order: the row that stays doesn't depend on how rows are dealt out."""
+    text = "one two three four five six seven"
+    d = spark.range(6).select(
+        F.lit(1).cast("long").alias("doc_id"), F.lit(text).alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"),
+        F.create_map(F.lit("k"), F.col("id")).alias("m"), F.array(F.create_map(F.col("id"), F.lit(None).cast("string"))).alias("a"), F.encode(F.col("id").cast("string"), "utf-8").alias("b"),
+    )
+    got = [[str(x) for x in corpus_pipeline.near_duplicates(spark, d.repartition(n), sf_dir).collect()] for n in (1, 4)]
+    assert len(got[0]) == 1 and got[0] == got[1]
+
+
 def test_run_of_empty_tables(spark, sf_dir, tmp_path):
     for t in ("documents", "labels", "benchmark"):
         table = pq.read_table(f"{sf_dir}/{t}.parquet")

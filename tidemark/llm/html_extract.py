@@ -28,6 +28,8 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Text inside these is never shown as part of a page.
 RAW = frozenset("script style title template noscript iframe svg math object audio video canvas textarea".split())
+#: Of these, elements that a slash ends in their tag; all of HTML's own stay open.
+FOREIGN = frozenset("svg math".split())
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = frozenset("ul ol dl table body html article section div aside nav main form".split())
 
@@ -189,7 +191,7 @@ def parse(text: str) -> Page:
         if not name:
             continue
         if name in RAW:
-            if not end and not attrs.endswith("/"):
+            if not end and not (name in FOREIGN and attrs.endswith("/")):
                 over = re.compile(rf"</{re.escape(name)}\b", re.I).search(text, at)
                 gt = text.find(">", over.end()) if over else -1
                 at = resume[0] = gt + 1 if gt >= 0 else len(text)

@@ -1,7 +1,9 @@
 """Quality rules with adaptive thresholds from mergeable quantile sketches, by SQL functions alone.
 
-Every text gets a handful of measures. A KLL sketch of each measure is built per (language, source); the sketches are
-merged into their language's and then into the corpus's. A sketch's limit is its median plus a multiple of the spread
+Every text gets a handful of measures. A sketch of each measure is built per (language, source): how many values fall
+into each step of a fixed geometric grid. Sketches merge by adding, whatever the order, so that a rerun or a lost executor
+gives the same limits to the last bit; a quantile is off by no more than half a step. They are merged into their language's
+and then into the corpus's. A sketch's limit is its median plus a multiple of the spread
 between its lower decile and its median (so up to half of a group may be junk without moving the limit). A group's limit
 is blended of its own and its language's, which is blended of the language's own and the corpus's, each weighing as its
 documents to `prior_docs`: a small group leans on the larger one, and no number of documents switches over. A join brings
@@ -10,6 +12,7 @@ the limits back to the documents.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -36,6 +39,7 @@ class Params:
     max_repeat_percent: int = 50
     #: The larger group weighs like so many documents of the smaller one.
     prior_docs: int = 200
+    #: A step of the grid is one k-th of its values wide.
     sketch_k: int = 200
     rules: tuple[Rule, ...] = field(
         default=(
@@ -104,32 +108,56 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def limits(measured: DataFrame, p: Params = Params()) -> DataFrame:
-    """One row for each (lang, source): the limit of every rule."""
-    names = [r.measure for r in p.rules]
-    group = measured.groupBy("lang", "source").agg(
-        F.count(F.lit(1)).alias("n"), *(F.kll_sketch_agg_double(m, F.lit(p.sketch_k)).alias(m) for m in names)
-    )
-    group = materialise(group, "sketches")  # one row a group; read three times below
+#: Values up to this share a step.
+_SMALLEST = 1e-6
 
-    def merge(by: list[str], tag: str) -> DataFrame:
-        return group.groupBy(*by).agg(
-            F.sum("n").alias(f"{tag}n"), *(F.kll_merge_agg_double(m, F.lit(p.sketch_k)).alias(f"{tag}{m}") for m in names)
-        )
 
-    lang = merge(["lang"], "l_").withColumnRenamed("lang", "l_lang")
-    full = group.join(lang, F.col("lang").eqNullSafe(F.col("l_lang"))).crossJoin(F.broadcast(merge([], "a_")))  # one row
-    out = []
-    for r in p.rules:
+def _step(x: Column, p: Params) -> Column:
+    """The number of a value's step; its logarithm is the same on every machine."""
+    return F.when(x <= _SMALLEST, 0).otherwise(1 + F.floor(F.log(x / _SMALLEST) / math.log1p(1 / p.sketch_k))).cast("int")
+
+
+def _value(step: Column, p: Params) -> Column:
+    return F.when(step == 0, 0.0).otherwise(_SMALLEST * F.exp((step - 0.5) * math.log1p(1 / p.sketch_k)))
+
 
-        def limit(tag: str, r=r) -> Column:
-            q = lambda rank: F.kll_sketch_get_quantile_double(F.col(f"{tag}{r.measure}"), F.lit(rank))
-            return q(0.5) + F.greatest(q(0.5) - q(0.1), F.lit(r.least_spread)) * r.factor
+def sketches(measured: DataFrame, p: Params = Params()) -> DataFrame:
+    """(lang, source, rule, step, n): a few thousand steps of each rule at most, however many documents there are."""
+    every = F.array(*(F.struct(F.lit(k).alias("rule"), _step(F.col(r.measure), p).alias("step")) for k, r in enumerate(p.rules)))
+    return measured.select("lang", "source", F.explode(every).alias("x")).groupBy("lang", "source", "x.rule", "x.step").agg(F.count(F.lit(1)).alias("n"))
 
-        own = lambda n: F.col(n) / (F.col(n) + p.prior_docs)
-        of_lang = own("l_n") * limit("l_") + (1 - own("l_n")) * limit("a_")
-        out.append((own("n") * limit("") + (1 - own("n")) * of_lang).alias(f"max_{r.measure}"))
-    return full.select("lang", "source", *out)
+
+def _limits_of(sketch: DataFrame, by: list[str], p: Params) -> DataFrame:
+    """(by, n, limits): the merged sketches' numbers of documents and limits, those in the order of the rules."""
+    merged = sketch.groupBy(*by, "rule", "step").agg(F.sum("n").alias("n"))
+    steps = merged.groupBy(*by, "rule").agg(F.sort_array(F.collect_list(F.struct("step", "n"))).alias("s"), F.sum("n").alias("n"))
+
+    def quantile(rank: float) -> Column:
+        # the step at which the running count gets there
+        start = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(-1).alias("at"))
+        there = F.ceil(F.col("n") * rank)
+        on = F.aggregate("s", start, lambda a, x: F.struct((a["n"] + x["n"]).alias("n"), F.when((a["at"] < 0) & (a["n"] + x["n"] >= there), x["step"]).otherwise(a["at"]).alias("at")), lambda a: a["at"])
+        return _value(on, p)
+
+    spread = F.element_at(F.array(*(F.lit(r.least_spread) for r in p.rules)), F.col("rule") + 1)
+    factor = F.element_at(F.array(*(F.lit(r.factor) for r in p.rules)), F.col("rule") + 1)
+    limit = F.col("q5") + F.greatest(F.col("q5") - F.col("q1"), spread) * factor
+    d = steps.withColumns({"q5": quantile(0.5), "q1": quantile(0.1)}).withColumn("limit", limit)
+    return d.groupBy(*by).agg(F.max("n").alias("n"), F.transform(F.sort_array(F.collect_list(F.struct("rule", "limit"))), lambda x: x["limit"]).alias("limits"))
+
+
+def limits(measured: DataFrame, p: Params = Params()) -> DataFrame:
+    """One row for each (lang, source): the limit of every rule."""
+    sketch = materialise(sketches(measured, p), "sketches")  # read three times below
+    tagged = lambda by, t: _limits_of(sketch, by, p).withColumnsRenamed({c: f"{t}{c}" for c in (*by, "n", "limits")})
+    full = tagged(["lang", "source"], "g_").join(tagged(["lang"], "l_"), F.col("g_lang").eqNullSafe(F.col("l_lang"))).crossJoin(F.broadcast(tagged([], "a_")))  # one row
+    own = lambda n: F.col(n) / (F.col(n) + p.prior_docs)
+    out = []
+    for k, r in enumerate(p.rules):
+        at = lambda t, k=k: F.col(f"{t}limits")[k]
+        of_lang = own("l_n") * at("l_") + (1 - own("l_n")) * at("a_")
+        out.append((own("g_n") * at("g_") + (1 - own("g_n")) * of_lang).alias(f"max_{r.measure}"))
+    return full.select(F.col("g_lang").alias("lang"), F.col("g_source").alias("source"), *out)
 
 
 _COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
