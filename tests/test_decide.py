@@ -49,7 +49,7 @@ def run(spark):
     def go(m, v, t, e, limit=None):
         vv = view(spark, v)
         r = outputs.evaluate(messages(spark, m), vv, lexicon(spark, t), e, limit)
-        return r, decide.members(vv)
+        return r
 
     return go
 
@@ -67,17 +67,17 @@ def test_tree(run):
         ("bad", None, "bomb", []),
     ]
     v = [x for k in ("stop", "sup", "not", "fires") for x in base(k)] + [("bad", "9", "Lexicon", "N", None, "lex"), ("bad", "9", "Lexicon", "N", None, "an")]
-    r, mem = run(m, v, t, e)
+    r = run(m, v, t, e)
     g = {(x.message_id, x.feature_id): x for x in r.groups.collect()}
     assert [k for k in g if k[0] == "stop"] == [("stop", "1")] and g["stop", "1"].short_circuited
     assert not g["not", "4"].hit and not g["fires", "4"].hit and g["sup", "3"].hit
-    final = {(x.message_id, x.feature, x.area, x.start) for x in outputs.final_matches(r, mem).collect()}
+    final = {(x.message_id, x.feature, x.area, x.start) for x in outputs.final_matches(r).collect()}
     assert final == {("sup", "lex", "MESSAGE_BODY", 34), ("sup", "lex", "MESSAGE_BODY", 39), ("sup", "lex", "ATTACHMENT", 0), ("fires", "an", "MESSAGE_BODY", 0)}
     assert {x.message_id: x.error for x in r.messages.collect() if x.error} == {"bad": "several members without an operator"}
-    s = {x.message_id: x.evaluated_lexicons for x in outputs.hit_summary(r, mem, "e", "b", stamp()).collect()}
+    s = {x.message_id: x.evaluated_lexicons for x in outputs.hit_summary(r, "e", "b", stamp()).collect()}
     counts = {t.term_id: t.regex_match_hit_count for x in s["sup"] if x.id == "3" for t in x.term_dtls}
     assert counts == {"lex::1": 3, "lex::2": 1} and set(s) == {"stop", "sup", "not", "fires"}  # before suppression
-    d = {x.message_id: x for x in outputs.hit_detail(r, mem, "e", "b", stamp()).collect()}
+    d = {x.message_id: x for x in outputs.hit_detail(r, "e", "b", stamp()).collect()}
     assert set(d) == {"sup", "fires"}
     j = json.loads(d["sup"].evaluated_lexicons[0].term_dtls[0].matched_text)["hit_details_hs"][0]
     assert j["msg_text"] == [{"text": "information", "start": 39, "length": 11}] and j["subject"] == []
@@ -93,10 +93,10 @@ def test_scope_limit_and_required(run):
     t = {"lex": [(7, [7], [])], "dec": [(9, [10, 11], [13])]}
     m = [("a", "bomb", "bomb one", [("x", "bomb two")]), ("b", None, "one", [])]
     v = [("a", "1", "Lexicon", "N", None, "lex", ("Message Body",)), ("a", "2", "Lexicon", "N", None, "lex"), ("a", "3", "Lexicon", "N", None, "dec"), ("b", "3", "Lexicon", "N", None, "dec")]
-    r, mem = run(m, v, t, e)
-    n = r.found.join(mem.select("message_id", "seq", "feature_id"), ["message_id", "seq"]).groupBy("message_id", "feature_id").count().collect()
+    r = run(m, v, t, e)
+    n = r.found.groupBy("message_id", "feature_id").count().collect()
     assert {(x.message_id, x.feature_id): x["count"] for x in n} == {("a", "1"): 1, ("a", "2"): 3, ("a", "3"): 2}
-    r, mem = run(m, v, t, e, 5)
+    r = run(m, v, t, e, 5)
     assert {x.area for x in r.found.collect()} == {"MESSAGE_BODY", "SUBJECT"}
 
 
@@ -104,7 +104,7 @@ def test_errors(run, spark):
     e = [Expression("lex", 1, "bomb")]
     v = [("a", "x1", "Lexicon", "N", None, "lex"), ("b", "1", "Lexicon", "N", None, "two"), ("c", "1", "Lexicon", "N", "OR", "lex"), ("c", "1", "Other", "N", "OR", "lex"), ("d", "1", "Lexicon", "N", None, "lex")]
     m = [("a", None, "bomb", []), ("b", None, "bomb", []), ("c", None, "bomb", []), ("d", None, "ok", [(None, "bomb")])]
-    r, _ = run(m, v, {"lex": [(1, [1], [])], "two": [(1, [4], []), (2, [4], [])]}, e)
+    r = run(m, v, {"lex": [(1, [1], [])], "two": [(1, [4], []), (2, [4], [])]}, e)
     err = {x.message_id: x.error for x in r.messages.collect()}
     assert err["a"].startswith("feature_id is no number") and "two terms claim expression 4" in err["b"] and err["c"].startswith("feature_type differs") and "no id" in err["d"]
     bad = spark.createDataFrame([("f", None), ("g", "{oops"), ("h", '{"body":{}}')], "feature_id string, feature_definition string")

@@ -5,7 +5,8 @@ import time
 from pyspark.sql import functions as F
 
 from tidemark.functions import patterns
-from tidemark.functions.text import Expression, Stripped, all_ends, check_expression, is_blank, literal_positions, scan, scan_text, strip_markup, within_size
+from tidemark.functions.text import Expression, Lexicon, Stripped, all_ends, check_expression, is_blank, literal_positions, scan, scan_text, strip_markup, within_size
+from tidemark.operators.candidates import candidates, folded, index
 
 
 def test_strip_and_places():
@@ -63,15 +64,45 @@ def test_automaton_places():
 
 
 def test_no_pattern_explodes():
-    assert patterns.explosive("(a+)+$", "i") and patterns.explosive(".*.*x", "") and patterns.explosive("(a|aa)*b", "") and not patterns.explosive(r"th\w{1,3}d", "i") and not patterns.explosive("a+b{3}(c|d)", "")
     start = time.time()
     assert all_ends("a" * 3000 + "!", "(a+)+$") == [] and len(all_ends("ab" * 500, "(a|b|ab)*c?")) == 1000
+    # a megabyte, one unbounded repeat
+    assert len(all_ends("a" * 1_000_000, "[a-z]+")) == 1_000_000
+    text = "buy " + "some words here " * 62_500 + "x"
+    assert all_ends(text, "buy.*x") == [(0, len(text))] and all_ends("no " + text[4:], "buy.*x") == []
+    assert all_ends("a" * 200_000 + "b", "(a|a){30}b") == [(199_970, 200_001)] and all_ends("a" * 100_000, "((a{1,200}){1,200})*b") == []
     assert time.time() - start < 20
-    for bad in (r"(a+)+\1", "(?:a*)*(?=b)", "((a{1,200}){1,200})*", "("):
-        assert check_expression(Expression("f", 1, bad)) is not None
+    for bad in (r"(a+)+\1", "(?:a*)*(?=b)", "(", "a++b", "[[:nothing:]]", r"\p{Nothing}"):
+        assert check_expression(Expression("f", 1, bad)) is not None, bad
     assert check_expression(Expression("f", 1, r"a+\.b")) is None
 
 
+CLASSES = {"alpha": str.isalpha, "digit": str.isdigit, "alnum": str.isalnum, "upper": str.isalpha, "lower": str.isalpha, "space": str.isspace, "punct": lambda c: c in "!-]_", "blank": lambda c: c in " \t", "xdigit": lambda c: c in "0123456789abcdefABCDEF"}
+
+
+def test_posix_classes():
+    """Against the same patterns with each class written out, and by the filter and the scan as by the matcher."""
+    some = "aZ9 \t\n!-]_éf"
+    r = random.Random(8)
+    for name, has in CLASSES.items():
+        inside = "".join(re.escape(c) for c in some if has(c) and c.isascii())
+        for pattern, plain in ((f"[[:{name}:]]{{2}}", f"[{inside}]{{2}}"), (f"[[:{name}:]]+[[:digit:]]+", f"[{inside}]+[0-9]+"), (f"a[^[:{name}:]-]?Z", f"a[^{inside}-]?Z"), (f"[x[:^{name}:]]+", f"[^{inside}]+"), (f"[][:{name}:]]+", f"[\\]{inside}]+")):
+            for _ in range(30):
+                text = "".join(r.choice(some) for _ in range(r.randint(0, 12)))
+                got = all_ends(text, pattern)
+                assert got == brute(text, plain) == patterns.linear_ends(text, pattern, "i"), (text, pattern)
+                squeezed = Stripped(text).text
+                assert [x[3] for x in scan_text(text, [Expression("f", 1, pattern)])] == ([squeezed[a:b] for a, b in all_ends(squeezed, pattern)] if text.strip() else []), (text, pattern)
+
+
+def test_other_syntax():
+    for pattern, text, want in (
+        (r"\p{Lu}\p{L}+", "x Éa", [(2, 4)]), (r"\P{L}", "aé1", [(2, 3)]), (r"[\p{Greek}x]+", "αxβ", [(0, 1), (0, 2), (0, 3)]), (r"\Qa+b\E", "aab a+b", [(4, 7)]), (r"\x{e9}t", "été", [(0, 2)]), (r"a\hb", "a\xa0b", [(0, 3)]),
+        ("a{e}", "a{e}", [(0, 4)]), ("[a&&b]", "&", [(0, 1)]), ("[[a]", "[", [(0, 1)]), (r"a\z", "ba", [(1, 2)]), ("(?i:A)b", "ab aB", [(0, 2)]),
+    ):
+        assert all_ends(text, pattern, "") == want, pattern
+
+
 def test_required_literals():
     need = lambda p, f="i": patterns.required(p, f)
     assert need(r"mit license\.") == ("license.",) and need("(foo|barn)x+") == ("barn", "foo") and need("a?") is None and need(r"\d+") is None
@@ -96,6 +127,11 @@ def test_filter_ahead(spark):
     got = sorted((x.message_id, x.expression_id, x.start, x.end, x.text) for x in scan(d, e).collect())
     want = sorted((m, *x) for m, _, _, _, t, fs in rows for x in scan_text(t, [y for y in e if y.feature in fs]))
     assert got == want and want
+    # the same by the index of literals
+    every = spark.createDataFrame([(str(i), 1, t) for i, t in enumerate(texts)], "message_id string, area_ord int, text string")
+    may = candidates(every, index(every, Lexicon(e)), "message_id")
+    d = d.join(may.withColumn("candidates", F.transform("candidates", lambda x: x["expression"])), "message_id", "left")
+    assert sorted((x.message_id, x.expression_id, x.start, x.end, x.text) for x in scan(d, e).collect()) == want
     many = [Expression("f", k, f"word{k}x") for k in range(200)] + e[2:3]
     assert scan_text("a word7x and word77x, secret key", many) == [(7, 2, 8, "word7x"), (77, 13, 20, "word77x"), (1, 22, 32, "secret key")]
 
@@ -115,3 +151,30 @@ def test_small_predicates(spark):
 def test_literal_positions(spark):
     d = spark.createDataFrame([(1, "License é license"), (2, "none"), (3, None)], "i int, text string")
     assert sorted(tuple(x) for x in literal_positions(d, "license").collect()) == [(1, 0, 7), (1, 10, 17)]
+
+
+def test_folding(spark):
+    """Letters that match in any case are folded to the same: what the matcher takes as equal meets in the index."""
+    pairs = [("\u00df", "\u1e9e"), ("k", "\u212a"), ("s", "\u017f"), ("i", "\u0130"), ("\u03c3", "\u03c2"), ("\u03a3", "\u03c2"), ("\u00b5", "\u03bc"), ("\u00e5", "\u212b"), ("\u03b8", "\u03d1"), ("\u1e61", "\u1e9b"), ("\ufb05", "\ufb06"), ("\u03b9", "\u1fbe"), ("\u0390", "\u1fd3"), ("A", "a"), ("\u01c4", "\u01c6")]
+    every = [chr(c) for c in range(0x20, 0x2fff) if chr(c).isalpha()]
+    pairs += [(c, d) for c in every for d in {c.lower(), c.upper()} if len(d) == 1 and d != c and re.fullmatch(c, d, re.I)]
+    d = spark.createDataFrame([(f"x{a}y {a}", f"x{b}y {b}") for a, b in pairs], "a string, b string").select("a", "b", folded(F.col("a")).alias("fa"), folded(F.col("b")).alias("fb"))
+    assert d.filter("fa <> fb").collect() == []
+
+
+def test_many_expressions(spark):
+    """Thousands of expressions: what the index lets through is what a full scan finds."""
+    r = random.Random(9)
+    syllable = lambda: "".join(r.choice("bcdfgklmnprst") + r.choice("aeiou") for _ in range(r.randint(1, 3)))
+    vocabulary = [syllable() for _ in range(2000)]
+    e = [Expression(f"f{k % 7}", k, r.choice(["{}", r"\b{}\b", "{}[a-z]*", "({}|{})x?", "{} {}", "{}.{{0,9}}{}", "[0-9]+ {}"]).format(*(r.choice(vocabulary) for _ in range(2)))) for k in range(3000)]
+    texts = [" ".join(r.choice(vocabulary) for _ in range(r.randint(0, 25))) for _ in range(60)]
+    rows = [(str(i), "MESSAGE_BODY", 1, None, t, ["f1", "f4", "f6"]) for i, t in enumerate(texts)]
+    d = spark.createDataFrame(rows, "message_id string, area string, area_ord int, attachment_id string, text string, features array<string>")
+    lexicon = Lexicon(e)
+    may = candidates(d, index(d, lexicon), "message_id").withColumn("candidates", F.transform("candidates", lambda x: x["expression"]))
+    n = may.select(F.explode("candidates")).count()
+    got = sorted((x.message_id, x.expression_id, x.start, x.end) for x in scan(d.join(may, "message_id", "left"), lexicon).collect())
+    own = [x for x in e if x.feature in ("f1", "f4", "f6")]
+    assert got == sorted((str(i), x.expression_id, a, z) for i, t in enumerate(texts) for x in own for a, z in all_ends(t, x.pattern)) and len(got) > 500
+    assert n < 0.2 * len(e) * len(texts)

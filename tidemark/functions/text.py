@@ -10,10 +10,8 @@ import re
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -86,41 +84,26 @@ class Expression:
     kind: str = "plain"
 
 
-@lru_cache(4096)
-def _compiled(pattern: str, flags: str):
-    """The scanner for all ends; None if the pattern has to run on an automaton."""
-    if patterns.explosive(pattern, flags):
-        patterns.automaton(pattern, flags)
-        return None
-    f = (regex.I if "i" in flags else 0) | (regex.S if "s" in flags else 0) | (regex.M if "m" in flags else 0)
-    plain = patterns.required(pattern, flags) is not None and not regex.search(r"[\\.^$*+?{}\[\]|()]", pattern)
-    return regex.compile(pattern if plain else "(?rp)" + pattern, f)
-
-
 def all_ends(text: str, pattern: str, flags: str = "i") -> list[tuple[int, int]]:
     """(start, end) of each match end with its leftmost start, by end; empty matches don't count. No limit of time:
-    patterns that may explode run on an automaton."""
-    scanner = _compiled(pattern, flags)
-    if scanner is None:
-        return patterns.linear_ends(text, pattern, flags)
-    found: dict[int, int] = {}
-    for m in scanner.finditer(text, overlapped=True):
-        a, b = m.span()
-        if a < b:
-            found[b] = min(a, found.get(b, a))
-    return sorted(((a, b) for b, a in found.items()), key=lambda x: (x[1], x[0]))
+    nothing is tried twice."""
+    return patterns.compiled(pattern, flags)(text)
 
 
 def _leaves(e: Expression) -> list[str]:
     return e.pattern.split("\x00") if e.kind == "combination" else [e.pattern]
 
 
+def _needs(e: Expression) -> list[tuple[str, ...]]:
+    return [r for x in _leaves(e) if (r := patterns.required(x, e.flags)) is not None]
+
+
 def check_expression(e: Expression) -> str | None:
-    """What is wrong with an expression, if anything: a pattern that can't be read, or not run in bounded time."""
+    """What is wrong with an expression, if anything: a pattern that can't be read, or not be followed."""
     try:
         for x in _leaves(e):
-            _compiled(x, e.flags)
-    except (regex.error, ValueError, RecursionError) as err:
+            patterns.compiled(x, e.flags)
+    except (ValueError, RecursionError) as err:
         return f"expression {e.expression_id}: {err}"
     return None
 
@@ -129,18 +112,21 @@ class Lexicon:
     """The expressions by feature, with the literals that tell which of them may match a text."""
 
     def __init__(self, expressions: list[Expression]):
-        self.by: dict[str, list[tuple[Expression, list[tuple[str, ...]]]]] = {}
-        #: One of these, in some case, stands in every text that an expression with a literal matches.
-        self.filters: set[str] = set()
-        for e in expressions:
-            # each leaf that is known to need a literal; all of them have to match
-            needs = [r for x in _leaves(e) if (r := patterns.required(x, e.flags)) is not None]
-            self.by.setdefault(e.feature, []).append((e, [tuple(map(patterns.fold, r)) for r in needs]))
-            if needs:
-                self.filters.update(min(needs, key=lambda r: (-min(map(len, r)), r)))
-        self.words = sorted({w for es in self.by.values() for _, needs in es for r in needs for w in r})
+        self.all = list(expressions)
+        #: for each expression, the literals of each leaf that is known to need one; all of the leaves have to match
+        self.needs = [[tuple(map(patterns.fold, r)) for r in _needs(e)] for e in self.all]
+        self.by: dict[str, list[int]] = {}
+        for k, e in enumerate(self.all):
+            self.by.setdefault(e.feature, []).append(k)
+        #: by feature, the expressions that need no literal
+        self.open = {f: own for f, ks in self.by.items() if (own := [k for k in ks if not self.needs[k]])}
+        self.words = sorted({w for needs in self.needs for r in needs for w in r})
         self._finder = None
 
+    def literals(self) -> list[tuple[int, int, str]]:
+        """(expression, leaf, word): a text with a match has one of the words of each leaf, in some case."""
+        return [(k, j, w) for k, e in enumerate(self.all) for j, r in enumerate(_needs(e)) for w in r]
+
     def said(self, folded: str) -> set[str]:
         """Those of the literals that a folded text holds."""
         if len(self.words) <= 64 or ahocorasick is None:
@@ -152,23 +138,36 @@ class Lexicon:
             self._finder.make_automaton()
         return {w for _, w in self._finder.iter(folded)}
 
+    def wanted(self, text: str, features: list[str], among: list[int] | None) -> list[Expression]:
+        """The expressions of some features that may match a text: of those known to be candidates, or of all."""
+        folded = patterns.fold(text)
+        if among is None:
+            said = self.said(folded)
+            return [self.all[k] for f in features for k in self.by.get(f, ()) if all(any(w in said for w in r) for r in self.needs[k])]
+        own = set(features)
+        some = [k for k in among if self.all[k].feature in own and all(any(w in folded for w in r) for r in self.needs[k])]
+        return [self.all[k] for k in sorted({*some, *(k for f in features for k in self.open.get(f, ()))})]
+
     def maybe(self, texts: Column, features: Column, most: int = 500) -> Column:
-        """Whether a text may match an expression of its features, as SQL: always true for features of which an
-        expression needs no literal, and with more literals than a regular expression is good for."""
-        open_ = sorted(f for f, es in self.by.items() if not all(needs for _, needs in es))
-        words = sorted(set(map(patterns.in_any_case, self.filters)))
-        if len(words) > most or len(open_) > most:
+        """Whether a text may match an expression of its features, as SQL, where no candidates are known (a stream can't look
+        at its texts twice): always true with more literals than a regular expression is good for."""
+        filters = {w for e in self.all if (needs := _needs(e)) for w in min(needs, key=lambda r: (-min(map(len, r)), r))}
+        words = sorted(set(map(patterns.in_any_case, filters)))
+        if len(words) > most or len(self.open) > most:
             return F.lit(True)
         some = texts.rlike("(?isu)" + "|".join(words)) if words else F.lit(False)
-        return some | F.arrays_overlap(features, F.array(*map(F.lit, open_))) if open_ else some
+        return some | self.unfiltered(features) if self.open else some
 
+    def unfiltered(self, features: Column) -> Column:
+        """Whether one of the features has an expression that needs no literal."""
+        return F.arrays_overlap(features, F.array(*map(F.lit, sorted(self.open)))) if self.open else F.lit(False)
 
-def _scan(text: str | None, lexicon: Lexicon, features: list[str]) -> list[tuple[str, int, int, int, str]]:
+
+def _scan(text: str | None, lexicon: Lexicon, features: list[str], among: list[int] | None = None) -> list[tuple[str, int, int, int, str]]:
     """(feature, expression_id, start, end, matched stripped text) in original places."""
     if not text or not text.strip(JAVA_SPACE):
         return []
-    said = lexicon.said(patterns.fold(text))
-    todo = [e for f in features for e, needs in lexicon.by.get(f, []) if all(any(w in said for w in r) for r in needs)]
+    todo = lexicon.wanted(text, features, among)
     if not todo:
         return []
     s = Stripped(text)
@@ -192,33 +191,38 @@ def scan_text(text: str | None, expressions: list[Expression]) -> list[tuple[int
 RAW_SCHEMA = "message_id string, area string, area_ord int, attachment_id string, feature string, expression_id int, start int, end int, text string, scan_error string"
 
 
-def scan(areas: DataFrame, expressions: list[Expression]) -> DataFrame:
-    """Raw matches of areas (message_id, area, area_ord, attachment_id, text, features): every text is stripped once and
-    scanned for each of its features' expressions. An error in a text gives one row with scan_error, and no matches.
+def scan(areas: DataFrame, expressions: list[Expression] | Lexicon, key: str = "message_id") -> DataFrame:
+    """Raw matches of areas (key, area, area_ord, attachment_id, text, features): every text is stripped once and scanned for
+    each of its features' expressions. An error in a text gives one row with scan_error, and no matches. A column
+    candidates tells which expressions may match (by their place in the lexicon); without it, one regular expression
+    keeps texts from Python that hold none of the literals.
 
-    Texts that hold none of the literals that their expressions need don't reach Python. expressions is a lexicon, of a
-    size that the driver has read and checked; it is sent to each executor once."""
-    lexicon = Lexicon(expressions)
+    expressions is a lexicon, of a size that the driver has read and checked; it is sent to each executor once."""
+    lexicon = expressions if isinstance(expressions, Lexicon) else Lexicon(expressions)
     held = areas.sparkSession.sparkContext.broadcast(lexicon)
+    schema = RAW_SCHEMA.replace("message_id", key)
+    names = [c.split()[0] for c in schema.split(", ")]
+    kinds = [pa.int32() if c.split()[1] == "int" else pa.string() for c in schema.split(", ")]
+    known = "candidates" in areas.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for mid, area, o, att, text, feats in zip(*(b.column(k).to_pylist() for k in range(6)), strict=True):
+            among = b.column(6).to_pylist() if known else [None] * b.num_rows
+            for mid, area, o, att, text, feats, some in zip(*(b.column(k).to_pylist() for k in range(6)), among, strict=True):
                 try:
-                    got = _scan(text, held.value, sorted(feats or []))
+                    got = _scan(text, held.value, sorted(feats or []), (some or []) if known else None)
                     if got and area == "ATTACHMENT" and not (att or "").strip():
                         raise ValueError("an attachment with a match has no id")
                     rows += [(mid, area, o, att, f, i, a, z, t, None) for f, i, a, z, t in got]
                 except Exception as e:  # the message fails, not the task
                     rows.append((mid, area, o, att, None, None, None, None, None, f"{type(e).__name__}: {e}"))
-            names = [c.split()[0] for c in RAW_SCHEMA.split(", ")]
-            kinds = [pa.int32() if c.split()[1] == "int" else pa.string() for c in RAW_SCHEMA.split(", ")]
             cols = list(zip(*rows, strict=True)) or [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
 
-    d = areas.select("message_id", "area", "area_ord", "attachment_id", "text", "features")
-    return d.filter(lexicon.maybe(F.col("text"), F.col("features"))).mapInArrow(run, RAW_SCHEMA)
+    d = areas.select(key, "area", "area_ord", "attachment_id", "text", "features", *(["candidates"] if known else []))
+    may = (F.size("candidates") > 0) | lexicon.unfiltered(F.col("features")) if known else lexicon.maybe(F.col("text"), F.col("features"))
+    return d.filter(may).mapInArrow(run, schema)
 
 
 def literal_positions(texts: DataFrame, literal: str, text: str = "text") -> DataFrame:

@@ -1,8 +1,12 @@
 """The decision tree as relations: groups, order, term resolution, hits, short circuit and suppression.
 
-members   a row for each message and feature row, in a fixed order (seq)
-groups    members of a message and feature_id; category 0 noise reduction, 1 disclaimer, 2 other; ord the order of evaluation
+copies    a message as one dataset and folder has it; rows of a view go to each copy of their message
+members   a row for each copy and feature row, in a fixed order (seq)
+groups    members of a copy and feature_id; category 0 noise reduction, 1 disclaimer, 2 other; ord the order of evaluation
 raw       matches of expressions in areas
+
+Everything is joined, grouped and windowed by the copy (or by more columns, that one first), so that tables laid out by it
+are never shuffled again. Joins are by the copy alone; what else has to be equal is looked up in arrays of one copy's rows.
 """
 
 from __future__ import annotations
@@ -16,42 +20,59 @@ from tidemark.operators.definitions import has_scope, with_definition
 AREAS = {"SUBJECT": "subject", "MESSAGE_BODY": "message body", "ATTACHMENT": "attachment"}
 
 
-def members(view: DataFrame) -> DataFrame:
+def copies(messages: DataFrame, attachment_limit: int | None = None) -> DataFrame:
+    """(copy, message_id, dataset_id, restricted, n_rows, areas): a message of two datasets, or of both folders of one, is two
+    copies; rows that are equal in these and in all texts are one copy, with their number. areas are the texts that can
+    match, struct(area, area_ord, attachment_id, text). The name of a copy tells what is in it, so that a task that is run
+    again gives the same names."""
+    d = messages.select("message_id", "dataset_id", "restricted", _areas(attachment_limit).alias("areas"))
+    name = F.substring(F.sha2(F.to_json(F.struct("message_id", "dataset_id", "restricted", "areas"), {"ignoreNullFields": "false"}), 256), 1, 40)
+    d = d.groupBy(name.alias("copy")).agg(F.first(F.struct(*d.columns)).alias("d"), F.count(F.lit(1)).alias("n_rows"))
+    return d.select("copy", "d.message_id", "d.dataset_id", "d.restricted", "n_rows", "d.areas")
+
+
+def members(view: DataFrame, key: str = "message_id") -> DataFrame:
     """View rows with their definitions, is_nr and seq. Rows of a message are ordered by feature_id, features_to_apply,
     sub_feature_type and then the other columns; equal rows stay apart (they count as members) but share same_as, the
     seq of the first of them, under which they are scanned and counted once."""
     d = with_definition(view)
     by = ["feature_id", "features_to_apply", "sub_feature_type", "feature_type", "is_noise_reduction", "operator", "feature_name", "feature_definition"]
-    order = Window.partitionBy("message_id").orderBy(*by, *[c for c in view.columns if c not in (*by, "message_id")])
+    order = Window.partitionBy(key).orderBy(*by, *[c for c in view.columns if c not in (*by, key, "message_id")])
     # rows that are equal in all columns have the rank of the first of them
     return d.withColumns({"seq": F.row_number().over(order), "same_as": F.rank().over(order), "is_nr": F.coalesce(F.col("is_noise_reduction") == "Y", F.lit(False))})
 
 
-def grouped(m: DataFrame) -> DataFrame:
-    """A row for each (message_id, feature_id): type, is_nr, operator, feature_name, n_members, first_seq, group_error,
-    category and ord. Members must agree on type and noise flag, and several members on an operator, which must be there."""
-    same = lambda c: F.count_distinct(F.struct(c))
-    g = m.groupBy("message_id", "feature_id").agg(
+def grouped(m: DataFrame, key: str = "message_id") -> DataFrame:
+    """A row for each (key, feature_id): type, is_nr, operator, feature_name, n_members, first_seq, total_terms, members
+    (struct(seq, features_to_apply, sub_feature_type), equal rows once), group_error, category and ord. Members must agree
+    on type and noise flag, and several members on an operator, which must be there."""
+    said = lambda c: F.struct(F.col(c).isNull(), F.coalesce(c, F.lit("")))
+    differs = lambda c: F.min(said(c)) != F.max(said(c))
+    first = F.col("seq") == F.col("same_as")
+    g = m.groupBy(key, "feature_id").agg(
+        *([F.min("message_id").alias("message_id")] if key != "message_id" else []),
         F.count(F.lit(1)).alias("n_members"),
         F.min("seq").alias("first_seq"),
         *(F.min_by(c, "seq").alias(c) for c in ("feature_type", "is_nr", "operator", "feature_name")),
-        same("feature_type").alias("_t"), same("is_noise_reduction").alias("_n"), same("operator").alias("_o"),
+        F.sum(F.when(first, F.col("total_terms"))).alias("total_terms"),
+        F.sort_array(F.collect_list(F.when(first, F.struct("seq", "features_to_apply", "sub_feature_type")))).alias("members"),
+        differs("feature_type").alias("_t"), differs("is_noise_reduction").alias("_n"), differs("operator").alias("_o"),
     )
     several = F.col("n_members") > 1
     error = (
-        F.when(F.col("_t") > 1, F.lit("feature_type differs within the group"))
-        .when(F.col("_n") > 1, F.lit("is_noise_reduction differs within the group"))
-        .when(several & (F.col("_o") > 1), F.lit("operator differs within the group"))
+        F.when(F.col("_t"), F.lit("feature_type differs within the group"))
+        .when(F.col("_n"), F.lit("is_noise_reduction differs within the group"))
+        .when(several & F.col("_o"), F.lit("operator differs within the group"))
         .when(several & is_blank(F.col("operator")), F.lit("several members without an operator"))
         .when(several & ~F.upper("operator").isin("AND", "OR"), F.lit("unknown operator"))
     )
     category = F.when(F.col("is_nr"), 0).when(F.lower("feature_type") == "disclaimer", 1).otherwise(2)
     g = g.withColumns({"group_error": error, "category": category}).drop("_t", "_n", "_o")
-    return g.withColumn("ord", F.row_number().over(Window.partitionBy("message_id").orderBy("category", "first_seq")))
+    return g.withColumn("ord", F.row_number().over(Window.partitionBy(key).orderBy("category", "first_seq")))
 
 
-def areas(messages: DataFrame, attachment_limit: int | None = None) -> DataFrame:
-    """(message_id, area, area_ord, attachment_id, text) of every text that can match: subject, raw body, attachments, in
+def _areas(attachment_limit: int | None) -> Column:
+    """Of a message, struct(area, area_ord, attachment_id, text) of every text that can match: subject, raw body, attachments, in
     this order. Blank texts and attachments above the limit (bytes of UTF-8) are left out."""
     c = F.col("message.content")
     one = lambda name, o, att, text: F.struct(F.lit(name).alias("area"), o.alias("area_ord"), att.cast("string").alias("attachment_id"), text.alias("text"))
@@ -60,8 +81,13 @@ def areas(messages: DataFrame, attachment_limit: int | None = None) -> DataFrame
         lambda a, i: one("ATTACHMENT", (i + 2).cast("int"), a["metadata"]["attachment_id"], a["content"]["clean_text"]),
     )
     own = F.array(one("SUBJECT", F.lit(0), F.lit(None), c["subject"]), one("MESSAGE_BODY", F.lit(1), F.lit(None), c["raw_text"]))
-    d = messages.select("message_id", F.explode(F.when(F.col("attachments").isNull(), own).otherwise(F.concat(own, attached))).alias("a")).select("message_id", "a.*")
-    return d.filter(~is_blank(F.col("text")) & ((F.col("area") != "ATTACHMENT") | within_size(F.col("text"), attachment_limit)))
+    every = F.when(F.col("attachments").isNull(), own).otherwise(F.concat(own, attached))
+    return F.filter(every, lambda a: ~is_blank(a["text"]) & ((a["area"] != "ATTACHMENT") | within_size(a["text"], attachment_limit)))
+
+
+def areas(messages: DataFrame, attachment_limit: int | None = None) -> DataFrame:
+    """(message_id, area, area_ord, attachment_id, text) of every text that can match."""
+    return messages.select("message_id", F.explode(_areas(attachment_limit)).alias("a")).select("message_id", "a.*")
 
 
 def in_scope(scope: Column, area: Column) -> Column:
@@ -71,59 +97,70 @@ def in_scope(scope: Column, area: Column) -> Column:
     return e
 
 
-def requests(area_rows: DataFrame, m: DataFrame) -> DataFrame:
-    """area_rows with features: the distinct pattern sets that some member asks for in that area. Texts travel once."""
-    want = m.select("message_id", "feature", *(has_scope(F.col("scope"), s).alias(a) for a, s in AREAS.items()))
-    want = want.groupBy("message_id").agg(*(F.sort_array(F.collect_set(F.when(F.col(a), F.col("feature")))).alias(a) for a in AREAS))
-    pick = F.coalesce(*(F.when(F.col("area") == a, F.col(a)) for a in AREAS))
-    d = area_rows.join(want, "message_id").withColumn("features", pick).drop(*AREAS)
-    return d.filter(F.size("features") > 0)
+def requests(m: DataFrame, key: str = "copy") -> DataFrame:
+    """(key, wants): by area, the distinct pattern sets that some member asks for there."""
+    said = lambda a, s: F.sort_array(F.collect_set(F.when(has_scope(F.col("scope"), s), F.col("feature")))).alias(a)
+    return m.groupBy(key).agg(*(said(a, s) for a, s in AREAS.items())).select(key, F.struct(*AREAS).alias("wants"))
+
+
+def asked(copies: DataFrame, wants: DataFrame, candidates: DataFrame) -> DataFrame:
+    """The texts to scan: (copy, area, area_ord, attachment_id, text, features, candidates). A text travels once, for all of
+    its pattern sets; the tables are laid out by copy."""
+    d = copies.select("copy", "areas").join(wants.hint("shuffle_hash"), "copy").join(candidates.hint("shuffle_hash"), "copy", "left")
+    d = d.select("copy", "wants", F.col("candidates").alias("_c"), F.explode("areas").alias("a")).select("copy", "a.*", "wants", "_c")
+    pick = F.coalesce(*(F.when(F.col("area") == a, F.col("wants")[a]) for a in AREAS))
+    own = F.transform(F.filter(F.coalesce("_c", F.array().cast("array<struct<area_ord:int,expression:int>>")), lambda x: x["area_ord"] == F.col("area_ord")), lambda x: x["expression"])
+    return d.withColumns({"features": pick, "candidates": own}).drop("wants", "_c").filter(F.size("features") > 0)
 
 
 def member_matches(m: DataFrame, raw: DataFrame) -> DataFrame:
-    """Raw matches of every member (message_id, seq), within its scope; equal members once."""
-    d = m.filter("seq = same_as").select("message_id", "seq", "feature", "scope").join(raw.filter("scan_error is null").drop("scan_error"), ["message_id", "feature"])
-    return d.filter(in_scope(F.col("scope"), F.col("area"))).drop("scope")
+    """Raw matches of every member (copy, seq, feature_id), within its scope; equal members once."""
+    scopes = F.struct(*(has_scope(F.col("scope"), s).alias(a) for a, s in AREAS.items()))
+    own = m.filter("seq = same_as").groupBy("copy").agg(F.min("message_id").alias("message_id"), F.collect_list(F.struct("seq", "feature_id", "feature", scopes.alias("scopes"))).alias("own"))
+    d = raw.filter("scan_error is null").drop("scan_error").join(own, "copy")
+    there = lambda x: F.coalesce(*(F.when(F.col("area") == a, x["scopes"][a]) for a in AREAS))
+    d = d.withColumn("x", F.explode(F.filter("own", lambda x: (x["feature"] == F.col("feature")) & there(x)))).drop("own")
+    return d.select("copy", "message_id", "x.seq", "x.feature_id", *(c for c in raw.columns if c not in ("copy", "scan_error")))
 
 
 def term_matches(matches: DataFrame, terms: DataFrame) -> DataFrame:
-    """Occurrences of resolved terms: (message_id, seq, feature, term_number, term_id, pattern, req_pos, area, area_ord,
-    attachment_id, start, end, text).
+    """Occurrences of resolved terms: (copy, message_id, seq, feature_id, feature, term_number, term_id, pattern, req_pos, area,
+    area_ord, attachment_id, start, end, text).
 
     A term is resolved for a member if all its required expressions matched somewhere in the member's scope, and not
     all of its excluded ones, if it has any. Its occurrences are those of the required expressions. Expressions that no
     term has are left out. The display pattern falls back on the first required expression's text."""
-    t = terms.filter("error is null").select("feature", "term_number", "term_id", "pattern", "required", "excluded")
-    ids = matches.groupBy("message_id", "seq", "feature").agg(F.collect_set("expression_id").alias("ids"))
-    hit = ids.join(t, "feature").filter(F.size(F.array_except("required", "ids")) == 0)
-    hit = hit.filter((F.size("excluded") == 0) | (F.size(F.array_except("excluded", "ids")) > 0)).drop("ids", "excluded")
-    hit = hit.select("message_id", "seq", "term_number", "term_id", "pattern", F.posexplode("required").alias("req_pos", "expression_id"))
-    d = hit.join(matches, ["message_id", "seq", "expression_id"])
-    return d.select("message_id", "seq", "feature", "term_number", "term_id", F.when(F.col("pattern") != "", F.col("pattern")).otherwise(F.col("text")).alias("pattern"), "req_pos", "area", "area_ord", "attachment_id", "start", "end", "text")
-
-
-def group_hits(groups: DataFrame, m: DataFrame, found: DataFrame) -> DataFrame:
-    """groups with hit, and members: an array of struct(seq, features_to_apply, sub_feature_type, hit), equal rows once.
-    One member decides alone; else the operator does."""
-    hits = found.select("message_id", F.col("seq").alias("same_as")).distinct().withColumn("hit", F.lit(True))
-    d = m.join(hits, ["message_id", "same_as"], "left").filter("seq = same_as")
-    one = F.struct("seq", "features_to_apply", "sub_feature_type", F.coalesce("hit", F.lit(False)).alias("hit"))
-    d = d.groupBy("message_id", "feature_id").agg(F.sort_array(F.collect_list(one)).alias("members"), F.sum("total_terms").alias("total_terms"))
-    g = groups.join(d.withColumnsRenamed({"message_id": "_m", "feature_id": "_f"}), (F.col("message_id") == F.col("_m")) & F.col("feature_id").eqNullSafe(F.col("_f"))).drop("_m", "_f")
+    t = terms.filter("error is null").select("feature", "term_number", "term_id", "pattern", F.size("required").alias("n_req"), F.size("excluded").alias("n_exc"), "required", "excluded")
+    part = lambda c, no: t.select("feature", "term_number", "term_id", "pattern", "n_req", "n_exc", F.posexplode(c).alias("req_pos", "expression_id"), F.lit(no).alias("no"))
+    d = matches.join(part("required", False).unionByName(part("excluded", True)), ["feature", "expression_id"])
+    own = Window.partitionBy("copy", "seq", "feature", "term_number")
+    seen = lambda no: F.size(F.collect_set(F.when(F.col("no") == no, F.col("expression_id"))).over(own))
+    d = d.withColumns({"_r": seen(False), "_e": seen(True)}).filter((~F.col("no")) & (F.col("_r") == F.col("n_req")) & ((F.col("n_exc") == 0) | (F.col("_e") < F.col("n_exc"))))
+    shown = F.when(F.col("pattern") != "", F.col("pattern")).otherwise(F.col("text")).alias("pattern")
+    return d.select("copy", "message_id", "seq", "feature_id", "feature", "term_number", "term_id", shown, "req_pos", "area", "area_ord", "attachment_id", "start", "end", "text")
+
+
+def group_hits(groups: DataFrame, found: DataFrame) -> DataFrame:
+    """groups with hit, and their members with it. One member decides alone; else the operator does."""
+    hits = found.groupBy("copy").agg(F.collect_set("seq").alias("_seqs"))
+    g = groups.join(hits, "copy", "left")
+    told = F.transform("members", lambda x: x.withField("hit", F.coalesce(F.array_contains(F.col("_seqs"), x["seq"]), F.lit(False))))
+    g = g.withColumn("members", told).drop("_seqs")
     any_, all_ = F.exists("members", lambda x: x["hit"]), F.forall("members", lambda x: x["hit"])
     return g.withColumn("hit", F.when(F.col("n_members") == 1, any_).when(F.upper("operator") == "AND", all_).otherwise(any_))
 
 
 def evaluated(groups: DataFrame) -> DataFrame:
     """The groups up to the first noise reduction group that is hit, that one included; with short_circuited."""
-    stop = F.min(F.when(F.col("is_nr") & F.col("hit"), F.col("ord"))).over(Window.partitionBy("message_id"))
+    stop = F.min(F.when(F.col("is_nr") & F.col("hit"), F.col("ord"))).over(Window.partitionBy("copy"))
     d = groups.withColumn("_stop", stop).withColumn("short_circuited", F.col("_stop").isNotNull())
     return d.filter(F.col("_stop").isNull() | (F.col("ord") <= F.col("_stop"))).drop("_stop")
 
 
-def suppressed(lexicon: DataFrame, disclaimers: DataFrame) -> DataFrame:
-    """Lexicon occurrences that no disclaimer occurrence contains, in the same message, area and attachment. An anti join on
-    equal keys with the containment as its condition."""
-    d = disclaimers.select("message_id", "area", "attachment_id", "start", "end").distinct().withColumnsRenamed({c: f"_{c}" for c in ("message_id", "area", "attachment_id", "start", "end")})
-    same = (F.col("message_id") == F.col("_message_id")) & (F.col("area") == F.col("_area")) & F.col("attachment_id").eqNullSafe(F.col("_attachment_id"))
-    return lexicon.join(d, same & (F.col("_start") <= F.col("start")) & (F.col("end") <= F.col("_end")), "left_anti")
+def with_contained(occurrences: DataFrame, is_disclaimer: Column) -> DataFrame:
+    """The occurrences that aren't a disclaimer's, with contained: whether one of a disclaimer contains it, in the same copy,
+    area and attachment. In order of starts, the furthest end of the disclaimers so far tells; no pairs are made."""
+    d = occurrences.withColumn("_d", is_disclaimer)
+    order = Window.partitionBy("copy", "area", "attachment_id").orderBy("start", F.desc("_d")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    far = F.max(F.when(F.col("_d"), F.col("end"))).over(order)
+    return d.withColumn("contained", F.coalesce(far >= F.col("end"), F.lit(False))).filter("not _d").drop("_d")

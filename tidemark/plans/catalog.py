@@ -31,7 +31,7 @@ def view_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.union_views(parts)
 
 
-_results: dict[tuple, tuple[outputs.Result, DataFrame]] = {}
+_results: dict[tuple, outputs.Result] = {}
 _jobs: dict[tuple, str] = {}
 
 
@@ -51,20 +51,19 @@ def _key(spark: SparkSession, sf_dir: str) -> tuple:
     return (spark.sparkContext.applicationId, sf_dir, *at)
 
 
-def evaluated(spark: SparkSession, sf_dir: str) -> tuple[outputs.Result, DataFrame]:
+def evaluated(spark: SparkSession, sf_dir: str) -> outputs.Result:
     """The evaluation that the result tables share, once for each session and state of the tables."""
     key = _key(spark, sf_dir)
     if key not in _results:
         view = view_of(spark, sf_dir)
-        r = outputs.evaluate(fixture.messages(spark, sf_dir), view, store.materialise(fixture.terms(spark), "terms"), fixture.expressions())
-        _results[key] = r, store.materialise(decide.members(view), "members")
+        _results[key] = outputs.evaluate(fixture.messages(spark, sf_dir), view, store.materialise(fixture.terms(spark), "terms"), fixture.expressions())
     return _results[key]
 
 
 def evaluation(spark, sf_dir):
     """The evaluation alone: matches by pattern set."""
-    r, _ = evaluated(spark, sf_dir)
-    return r.raw.groupBy("feature", "area").agg(F.count(F.lit(1)).alias("n"))
+    r = evaluated(spark, sf_dir)
+    return r.raw.filter("scan_error is null").groupBy("feature", "area").agg(F.count(F.lit(1)).alias("n"))
 
 
 def deployed(spark: SparkSession, sf_dir: str) -> str:
@@ -150,12 +149,12 @@ def term_metadata(spark, sf_dir):
 
 
 def and_not(spark, sf_dir):
-    r, m = evaluated(spark, sf_dir)
+    r = evaluated(spark, sf_dir)
     return r.found.filter("feature = 'lex_token'").groupBy("message_id", "term_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 def group_hit(spark, sf_dir):
-    r, _ = evaluated(spark, sf_dir)
+    r = evaluated(spark, sf_dir)
     return r.groups.groupBy("feature_id", "hit").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -165,19 +164,19 @@ def category_order(spark, sf_dir):
 
 
 def short_circuit(spark, sf_dir):
-    r, _ = evaluated(spark, sf_dir)
-    return r.groups.groupBy("message_id").agg(F.max("short_circuited").alias("short_circuited"), F.count(F.lit(1)).alias("n_groups"))
+    r = evaluated(spark, sf_dir)
+    return r.groups.groupBy("copy", "message_id").agg(F.max("short_circuited").alias("short_circuited"), F.count(F.lit(1)).alias("n_groups")).drop("copy")
 
 
 def suppression(spark, sf_dir):
-    r, m = evaluated(spark, sf_dir)
-    d = outputs.final_matches(r, m).filter("feature_id = '3'")
+    r = evaluated(spark, sf_dir)
+    d = outputs.final_matches(r).filter("feature_id = '3'")
     return d.select("message_id", "area", "attachment_id", F.col("start").cast("long").alias("start_pos"), F.col("end").cast("long").alias("end_pos"))
 
 
 def hit_summary(spark, sf_dir):
-    r, m = evaluated(spark, sf_dir)
-    return _flat_summary(outputs.hit_summary(r, m, EXEC, BY, _ts()))
+    r = evaluated(spark, sf_dir)
+    return _flat_summary(outputs.hit_summary(r, EXEC, BY, _ts()))
 
 
 def _flat_summary(d):
@@ -186,8 +185,8 @@ def _flat_summary(d):
 
 
 def _detail(spark, sf_dir, restricted):
-    r, m = evaluated(spark, sf_dir)
-    return _flat_detail(outputs.hit_detail(r, m, EXEC, BY, _ts()).filter(F.col("restricted") == restricted))
+    r = evaluated(spark, sf_dir)
+    return _flat_detail(outputs.hit_detail(r, EXEC, BY, _ts()).filter(F.col("restricted") == restricted))
 
 
 def _flat_detail(d):
@@ -211,7 +210,7 @@ def hit_detail_unrestricted(spark, sf_dir):
 
 
 def feature_hit_summary(spark, sf_dir):
-    r, _ = evaluated(spark, sf_dir)
+    r = evaluated(spark, sf_dir)
     return _flat_features(outputs.feature_hit_summary(r, F.lit("tag"), EXEC, BY, _ts()))
 
 
@@ -222,7 +221,7 @@ def _flat_features(d):
 
 
 def record_audit(spark, sf_dir):
-    r, _ = evaluated(spark, sf_dir)
+    r = evaluated(spark, sf_dir)
     return outputs.record_audit(r, "policy-alert-live", EXEC, STAGE, BY, F.to_date(F.lit("2026-08-16")), _ts())
 
 
@@ -233,8 +232,8 @@ def stage_audit(spark, sf_dir):
 
 
 def csv_mirror(spark, sf_dir):
-    r, m = evaluated(spark, sf_dir)
-    return outputs.csv_mirror(outputs.hit_detail(r, m, EXEC, BY, _ts()))
+    r = evaluated(spark, sf_dir)
+    return outputs.csv_mirror(outputs.hit_detail(r, EXEC, BY, _ts()))
 
 
 def union_messages(spark, sf_dir):
@@ -251,8 +250,8 @@ def regex_all_ends(spark, sf_dir):
 
 
 def suppressed_count(spark, sf_dir):
-    r, m = evaluated(spark, sf_dir)
-    return outputs.suppressed_counts(r, m)
+    r = evaluated(spark, sf_dir)
+    return outputs.suppressed_counts(r).select("message_id", "suppressed")
 
 
 def term_count(spark, sf_dir):

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import Expression
-from tidemark.operators.decide import members
 from tidemark.operators.definitions import check_definitions
 from tidemark.plans import outputs, sinks
 from tidemark.sources import paths, tables
@@ -49,11 +48,10 @@ def run(
         ids = rows.select("message_id").distinct()
         messages = tables.union_messages([read_messages(d.dataset_id, d.dataset_partition_value, ids) for d in args.dataset_details])
         r = outputs.evaluate(messages, rows, terms, expressions, attachment_limit)
-        m = members(rows)
         stamp, day = F.lit(now()).cast("timestamp"), F.lit(start.date())
         exec_id = args.pipeline_exec_id
-        sinks.write_hit_summary(outputs.hit_summary(r, m, exec_id, CREATED_BY, stamp), config["lexicon_hit_summary"], fmt)
-        detail = outputs.hit_detail(r, m, exec_id, CREATED_BY, stamp).persist()
+        sinks.write_hit_summary(outputs.hit_summary(r, exec_id, CREATED_BY, stamp), config["lexicon_hit_summary"], fmt)
+        detail = outputs.hit_detail(r, exec_id, CREATED_BY, stamp).persist()
         sinks.write_hit_detail(detail, config["lexicon_hit_restricted"], True, fmt)
         sinks.write_hit_detail(detail, config["lexicon_hit_unrestricted"], False, fmt)
         hit_type = rows.groupBy("message_id").agg(F.min_by("feature_tagging_type", F.struct("feature_id", "features_to_apply", "sub_feature_type")).alias("hit_type"))

@@ -1,7 +1,10 @@
 """The scan from end to end, and its output tables.
 
-view, messages -> members, groups, areas -> raw matches (noise reduction first; the rest only for messages that it
-doesn't stop) -> term occurrences -> hits -> evaluated groups -> tables.
+messages -> copies; view -> members and groups of each copy -> candidates -> raw matches (noise reduction first; the rest
+only for copies that it doesn't stop) -> term occurrences -> hits -> evaluated groups -> tables.
+
+Bodies are shuffled once, when the copies are laid out; everything behind that is laid out by the copy too, and neither
+joined, grouped nor windowed by anything that would need another shuffle.
 """
 
 from __future__ import annotations
@@ -12,13 +15,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas, store
-from tidemark.functions.text import Expression, scan
+from tidemark.functions.text import Expression, Lexicon, scan
 from tidemark.operators import decide
+from tidemark.operators.candidates import candidates, index
 
 
 @dataclass
 class Result:
-    """messages: message_id, process_id, restricted, dataset_id and error; the others have no failed message."""
+    """messages: copy, message_id, process_id, restricted, dataset_id, n_rows and error; the others, by copy, have no failed
+    message."""
 
     messages: DataFrame
     groups: DataFrame
@@ -26,77 +31,88 @@ class Result:
     raw: DataFrame
 
 
-def _raw(area_rows: DataFrame, members: DataFrame, expressions: list[Expression]) -> DataFrame:
-    return scan(decide.requests(area_rows, members), expressions)
+def evaluate(messages: DataFrame, view: DataFrame, terms: DataFrame, expressions: list[Expression], attachment_limit: int | None = None) -> Result:
+    """Everything up to the evaluated groups. Each copy of a message is evaluated by itself."""
+    lexicon, laid = Lexicon(expressions), store.layout
+    copies = laid(decide.copies(messages, attachment_limit), "copies", "copy")
+    ids = copies.select("copy", "message_id")
+    m = laid(decide.members(store.deal(view.join(ids, "message_id"), "copy"), "copy"), "members", "copy", dealt=True)
+    g = laid(decide.grouped(m, "copy"), "grouped", "copy", dealt=True)
+    bad = g.groupBy("copy").agg(F.min_by("group_error", F.when(F.col("group_error").isNotNull(), F.col("ord"))).alias("error"))
+    base = copies.drop("areas").join(m.groupBy("copy").agg(F.min_by("process_id", "seq").alias("process_id")), "copy").join(bad, "copy")
+    good = bad.filter("error is null").select("copy")
+    gm, gg = m.join(good, "copy", "left_semi"), g.join(good, "copy", "left_semi")
+    texts = copies.select("copy", F.explode("areas").alias("a")).select("copy", "a.area_ord", "a.text")
+    may = laid(candidates(texts, store.materialise(index(texts, lexicon), "index"), "copy"), "candidates", "copy", dealt=True)
 
+    def raw(of: DataFrame, name: str) -> DataFrame:
+        return laid(scan(decide.asked(copies, decide.requests(of), may), lexicon, "copy"), name, "copy", dealt=True)
 
-def evaluate(messages: DataFrame, view: DataFrame, terms: DataFrame, expressions: list[Expression], attachment_limit: int | None = None, materialise=store.materialise) -> Result:
-    """Everything up to the evaluated groups. materialise(df, name) keeps what is read several times."""
-    m = materialise(decide.members(view), "members")
-    g = materialise(decide.grouped(m), "grouped")
-    bad = g.groupBy("message_id").agg(F.min_by("group_error", F.when(F.col("group_error").isNotNull(), F.col("ord"))).alias("error"))
-    base = messages.select("message_id", "dataset_id", "restricted").join(m.groupBy("message_id").agg(F.min_by("process_id", "seq").alias("process_id")), "message_id").join(bad, "message_id")
-    base = materialise(base, "scanned")
-    good = base.filter("error is null").select("message_id")
-    area_rows = decide.areas(messages.join(good, "message_id", "left_semi"), attachment_limit)
-    gm = m.join(good, "message_id", "left_semi")
-    gg = g.join(good, "message_id", "left_semi")
     # stage one: noise reduction
-    raw_nr = materialise(_raw(area_rows, gm.filter("is_nr"), expressions), "raw-nr")
-    found_nr = decide.term_matches(decide.member_matches(gm.filter("is_nr"), raw_nr), terms)
-    hit_nr = materialise(decide.group_hits(gg.filter("is_nr"), gm.filter("is_nr"), found_nr).filter("hit").select("message_id").distinct(), "stopped")
-    # stage two: the others, for messages that go on
-    go = gm.filter("not is_nr").join(hit_nr, "message_id", "left_anti")
-    raw = materialise(_raw(area_rows, go, expressions), "raw")
-    every = raw_nr.unionByName(raw)
-    found = materialise(found_nr.unionByName(decide.term_matches(decide.member_matches(go, raw), terms)), "found")
-    groups = decide.evaluated(decide.group_hits(gg, gm, found))
+    nr = gm.filter("is_nr")
+    raw_nr = raw(nr, "raw-nr")
+    found_nr = decide.term_matches(decide.member_matches(nr, raw_nr), terms)
+    stopped = decide.group_hits(gg.filter("is_nr"), found_nr).filter("hit").select("copy").distinct()
+    # stage two: the others, for copies that go on
+    go = gm.filter("not is_nr").join(stopped, "copy", "left_anti")
+    raw_more = raw(go, "raw")
+    found = laid(found_nr.unionByName(decide.term_matches(decide.member_matches(go, raw_more), terms)), "found", "copy")
+    groups = decide.evaluated(decide.group_hits(gg, found))
+    every = raw_nr.unionByName(raw_more)
     # errors that only a scanned or evaluated group can meet
-    bad_scan = every.filter("scan_error is not null").groupBy("message_id").agg(F.min_by("scan_error", "area_ord").alias("_scan"))
+    bad_scan = every.filter("scan_error is not null").groupBy("copy").agg(F.min_by("scan_error", "area_ord").alias("_scan"))
     bad_terms = terms.filter("error is not null").groupBy("feature").agg(F.min("error").alias("_e"))
-    reached = groups.select("message_id", F.col("feature_id").alias("_f")).join(gm.select("message_id", F.col("feature_id").alias("_f"), "feature"), ["message_id", "_f"])
-    bad_lexicon = reached.join(bad_terms, "feature").groupBy("message_id").agg(F.min(F.concat_ws(": ", "feature", "_e")).alias("_lex"))
-    bad_id = groups.filter(F.col("feature_id").try_cast("bigint").isNull()).groupBy("message_id").agg(F.min(F.concat(F.lit("feature_id is no number: "), F.coalesce("feature_id", F.lit("null")))).alias("_id"))
-    base = base.join(bad_lexicon, "message_id", "left").join(bad_scan, "message_id", "left").join(bad_id, "message_id", "left")
-    base = materialise(base.withColumn("error", F.coalesce("error", "_lex", "_scan", "_id")).drop("_lex", "_scan", "_id"), "messages")
-    ok = base.filter("error is null").select("message_id")
-    groups = materialise(groups.join(ok, "message_id", "left_semi"), "groups")
-    return Result(base, groups, found.join(ok, "message_id", "left_semi"), every)
+    reached = groups.groupBy("copy").agg(F.collect_set(F.coalesce("feature_id", F.lit(""))).alias("_reached"), F.min(F.when(F.col("feature_id").try_cast("bigint").isNull(), F.concat(F.lit("feature_id is no number: "), F.coalesce("feature_id", F.lit("null"))))).alias("_id"))
+    sets = gm.groupBy("copy").agg(F.collect_set(F.struct(F.coalesce("feature_id", F.lit("")).alias("id"), "feature")).alias("_sets"))
+    named = reached.join(sets, "copy").select("copy", F.explode(F.array_distinct(F.transform(F.filter("_sets", lambda x: F.array_contains(F.col("_reached"), x["id"])), lambda x: x["feature"]))).alias("feature"))
+    bad_lexicon = named.join(bad_terms, "feature").groupBy("copy").agg(F.min(F.concat_ws(": ", "feature", "_e")).alias("_lex"))
+    base = base.join(bad_lexicon, "copy", "left").join(bad_scan, "copy", "left").join(reached.select("copy", "_id"), "copy", "left")
+    base = laid(base.withColumn("error", F.coalesce("error", "_lex", "_scan", "_id")).drop("_lex", "_scan", "_id"), "messages", "copy")
+    ok = base.filter("error is null").select("copy")
+    groups = laid(groups.join(ok, "copy", "left_semi"), "groups", "copy")
+    return Result(base, groups, found.join(ok, "copy", "left_semi"), every)
+
+
+def _each(d: DataFrame) -> DataFrame:
+    """A row for each of the equal rows that a copy stands for."""
+    return d.withColumn("_", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n_rows")))).drop("_")
+
+
+def by_category(r: Result, *categories: int) -> DataFrame:
+    """Occurrences in evaluated groups of some categories, with category, of copies that weren't stopped; is the group hit or
+    not."""
+    own = r.groups.filter(F.col("category").isin(*categories) & ~F.col("short_circuited")).groupBy("copy").agg(F.map_from_entries(F.collect_list(F.struct(F.coalesce("feature_id", F.lit("")), "category"))).alias("_c"))
+    d = r.found.join(own, "copy").withColumn("category", F.try_element_at("_c", F.coalesce("feature_id", F.lit(""))))
+    return d.filter("category is not null").drop("_c")
 
 
-def by_category(r: Result, members: DataFrame, category: int) -> DataFrame:
-    """Occurrences in evaluated groups of a category: found's columns and feature_id, is the group hit or not."""
-    g = r.groups.filter((F.col("category") == category) & ~F.col("short_circuited")).select("message_id", "feature_id")
-    m = members.select("message_id", "seq", "feature_id")
-    return r.found.join(m, ["message_id", "seq"]).join(g, ["message_id", "feature_id"], "left_semi")
+def _judged(r: Result) -> DataFrame:
+    """Lexicon occurrences with contained."""
+    return decide.with_contained(by_category(r, 1, 2), F.col("category") == 1)
 
 
-def final_matches(r: Result, members: DataFrame) -> DataFrame:
+def final_matches(r: Result) -> DataFrame:
     """What goes into the hit details: occurrences of category 2 that no disclaimer contains, of messages that weren't
     stopped; whether the group as a whole is hit doesn't matter."""
-    return decide.suppressed(by_category(r, members, 2), by_category(r, members, 1))
+    return _judged(r).filter("not contained").drop("contained", "category")
 
 
-def suppressed_counts(r: Result, members: DataFrame) -> DataFrame:
-    """(message_id, suppressed) of every message that wasn't stopped and has lexicon occurrences: how many of them a
+def suppressed_counts(r: Result) -> DataFrame:
+    """(copy, message_id, suppressed) of every copy that wasn't stopped and has lexicon occurrences: how many of them a
     disclaimer contains."""
-    lexicon = by_category(r, members, 2).groupBy("message_id").agg(F.count(F.lit(1)).alias("n"))
-    left = final_matches(r, members).groupBy("message_id").agg(F.count(F.lit(1)).alias("k"))
-    return lexicon.join(left, "message_id", "left").select("message_id", (F.col("n") - F.coalesce("k", F.lit(0))).alias("suppressed"))
+    return _judged(r).groupBy("copy", "message_id").agg(F.count_if("contained").alias("suppressed"))
 
 
-def hit_summary(r: Result, members: DataFrame, exec_id: str, created_by: str, created_ts: Column) -> DataFrame:
+def hit_summary(r: Result, exec_id: str, created_by: str, created_ts: Column) -> DataFrame:
     """lexicon-hit-summary: a row for every message that didn't fail, with an entry for each evaluated group; counts are
     those before suppression."""
-    m = members.select("message_id", "seq", "feature_id")
-    t = r.found.join(m, ["message_id", "seq"]).groupBy("message_id", "feature_id", "term_id").agg(F.min_by("pattern", F.struct("req_pos", "area_ord", "end", "start")).alias("p"), F.count(F.lit(1)).alias("n"))
-    t = t.groupBy("message_id", "feature_id").agg(F.array_sort(F.collect_list(F.struct("term_id", F.col("p").alias("term_regex_pattern"), F.col("n").alias("regex_match_hit_count")))).alias("term_dtls"))
-    g = r.groups.join(t, ["message_id", "feature_id"], "left")
-    dtls = F.coalesce("term_dtls", F.array().cast("array<struct<term_id:string,term_regex_pattern:string,regex_match_hit_count:bigint>>"))
-    entry = F.struct("ord", F.col("feature_id").alias("id"), F.col("feature_name").alias("name"), F.col("total_terms").alias("total_terms_count"), F.size(dtls).cast("long").alias("regex_hit_count"), dtls.alias("term_dtls"))
-    e = g.groupBy("message_id").agg(F.sort_array(F.collect_list(entry)).alias("e"))
-    e = e.select("message_id", F.transform("e", lambda x: x.dropFields("ord")).alias("evaluated_lexicons"))
-    d = r.messages.filter("error is null").join(e, "message_id", "left")
+    t = r.found.groupBy("copy", "feature_id", "term_id").agg(F.min_by("pattern", F.struct("req_pos", "area_ord", "end", "start")).alias("p"), F.count(F.lit(1)).alias("n"))
+    t = t.groupBy("copy", "feature_id").agg(F.array_sort(F.collect_list(F.struct("term_id", F.col("p").alias("term_regex_pattern"), F.col("n").alias("regex_match_hit_count")))).alias("term_dtls"))
+    t = t.groupBy("copy").agg(F.map_from_entries(F.collect_list(F.struct(F.coalesce("feature_id", F.lit("")), "term_dtls"))).alias("t"))
+    g = r.groups.groupBy("copy").agg(F.sort_array(F.collect_list(F.struct("ord", F.col("feature_id").alias("id"), F.col("feature_name").alias("name"), F.col("total_terms").alias("total_terms_count")))).alias("g"))
+    dtls = lambda x: F.coalesce(F.try_element_at("t", F.coalesce(x["id"], F.lit(""))), F.array().cast("array<struct<term_id:string,term_regex_pattern:string,regex_match_hit_count:bigint>>"))
+    e = g.join(t, "copy", "left").select("copy", F.transform("g", lambda x: F.struct(x["id"].alias("id"), x["name"].alias("name"), x["total_terms_count"].alias("total_terms_count"), F.size(dtls(x)).cast("long").alias("regex_hit_count"), dtls(x).alias("term_dtls"))).alias("evaluated_lexicons"))
+    d = _each(r.messages.filter("error is null").join(e, "copy", "left"))
     none = F.array().cast(schemas.LEXICON_HIT_SUMMARY["evaluated_lexicons"].dataType)
     return d.select("message_id", "process_id", F.lit(exec_id).alias("pipeline_exec_id"), F.coalesce("evaluated_lexicons", none).alias("evaluated_lexicons"), F.lit(created_by).alias("created_by"), created_ts.alias("created_ts"))
 
@@ -118,17 +134,20 @@ def matched_text() -> Column:
     return F.to_json(F.struct(F.array(F.struct(F.col("message_id"), part("MESSAGE_BODY").alias("msg_text"), part("SUBJECT").alias("subject"), grouped.alias("attachment_text"))).alias("hit_details_hs")))
 
 
-def hit_detail(r: Result, members: DataFrame, exec_id: str, created_by: str, created_ts: Column, partition: Column | None = None) -> DataFrame:
-    """lexicon-hit-detail of restricted and unrestricted messages, with the column restricted. The partition value is the
-    dataset's id unless another column is given. Messages without a surviving occurrence have no row."""
-    f = final_matches(r, members).groupBy("message_id", "feature_id", "term_id").agg(matched_text().alias("matched_text"))
-    f = f.groupBy("message_id", "feature_id").agg(F.array_sort(F.collect_list(F.struct("term_id", "matched_text"))).alias("term_dtls"))
-    f = f.join(r.groups.select("message_id", "feature_id", "ord"), ["message_id", "feature_id"])
-    f = f.groupBy("message_id").agg(F.sort_array(F.collect_list(F.struct("ord", F.col("feature_id").alias("id"), "term_dtls"))).alias("e"))
-    d = r.messages.filter("error is null").join(f, "message_id")
+def hit_detail(r: Result, exec_id: str, created_by: str, created_ts: Column, partition: Column | None = None) -> DataFrame:
+    """lexicon-hit-detail of restricted and unrestricted messages, with the column restricted: a copy's row has what was found
+    in that copy's texts. The partition value is the dataset's id unless another column is given. Messages without a
+    surviving occurrence have no row."""
+    f = final_matches(r).groupBy("copy", "message_id", "feature_id", "term_id").agg(matched_text().alias("matched_text"))
+    f = f.groupBy("copy", "feature_id").agg(F.array_sort(F.collect_list(F.struct("term_id", "matched_text"))).alias("term_dtls"))
+    f = f.groupBy("copy").agg(F.map_from_entries(F.collect_list(F.struct(F.coalesce("feature_id", F.lit("")), "term_dtls"))).alias("t"))
+    g = r.groups.groupBy("copy").agg(F.sort_array(F.collect_list(F.struct("ord", "feature_id"))).alias("g"))
+    dtls = lambda x: F.try_element_at("t", F.coalesce(x["feature_id"], F.lit("")))
+    f = f.join(g, "copy").select("copy", F.transform(F.filter("g", lambda x: dtls(x).isNotNull()), lambda x: F.struct(x["feature_id"].alias("id"), dtls(x).alias("term_dtls"))).alias("e"))
+    d = _each(r.messages.filter("error is null").join(f, "copy"))
     return d.select(
         "message_id", "process_id", F.lit(exec_id).alias("pipeline_exec_id"), (F.col("dataset_id") if partition is None else partition).alias("dataset_partition_value"),
-        F.transform("e", lambda x: x.dropFields("ord")).alias("evaluated_lexicons"), F.lit(created_by).alias("created_by"), created_ts.alias("created_ts"), "restricted",
+        F.col("e").alias("evaluated_lexicons"), F.lit(created_by).alias("created_by"), created_ts.alias("created_ts"), "restricted",
     )
 
 
@@ -140,8 +159,8 @@ def feature_hit_summary(r: Result, hit_type: Column, exec_id: str, created_by: s
         "ord", F.col("feature_id").try_cast("bigint").alias("id"), F.col("feature_name").alias("name"), F.col("feature_type").alias("type"),
         F.col("is_nr").alias("is_noise_reduction"), F.col("hit").alias("hit_status"), F.when(F.col("n_members") > 1, sub).alias("sub_features"),
     )
-    e = r.groups.groupBy("message_id").agg(F.sort_array(F.collect_list(entry)).alias("e"))
-    d = r.messages.filter("error is null").join(e, "message_id", "left")
+    e = r.groups.groupBy("copy").agg(F.sort_array(F.collect_list(entry)).alias("e"))
+    d = _each(r.messages.filter("error is null").join(e, "copy", "left"))
     none = F.array().cast(schemas.FEATURE_HIT_SUMMARY["features"].dataType)
     return d.select(
         "message_id", F.col("dataset_id").alias("dataset_partition_value"), F.lit(exec_id).alias("pipeline_exec_id"), "process_id", hit_type.alias("feature_hit_type"),
@@ -151,7 +170,7 @@ def feature_hit_summary(r: Result, hit_type: Column, exec_id: str, created_by: s
 
 def record_audit(r: Result, trigger_type: str, exec_id: str, stage: str, created_by: str, day: Column, created_ts: Column) -> DataFrame:
     """A row for each failed message."""
-    return r.messages.filter("error is not null").select(
+    return _each(r.messages.filter("error is not null")).select(
         "process_id", F.lit(trigger_type).alias("trigger_type"), F.lit(exec_id).alias("pipelinex_exec_id"), F.lit(stage).alias("stage_name"), F.col("message_id").alias("record_id"),
         F.lit("FAILED").alias("status"), F.lit(1).alias("return_code"), F.col("error").alias("error_message"), day.alias("execution_date"), F.lit(created_by).alias("created_by"), created_ts.alias("created_ts"),
     )

@@ -44,6 +44,37 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def layout(df: DataFrame, name: str, key: str, dealt: bool = False) -> DataFrame:
+    """Write df dealt out by a key into as many buckets as the session has shuffle partitions, and read it back: joins,
+    groups and windows by that key, of all tables laid out so, need no further shuffle. dealt: df is dealt out already
+    (by deal(), or read from such tables and kept in its tasks). The table goes when the process ends."""
+    spark = df.sparkSession
+    table = f"spark_catalog.default.tidemark_{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/tidemark/{table.rpartition('.')[2]}"
+    d = df if dealt else deal(df, key)
+    d.write.bucketBy(buckets(spark), key).option("path", path).format("parquet").saveAsTable(table)
+    atexit.register(_undo, spark, table, path)
+    out = spark.table(table)
+    out._tidemark_path = path
+    return out
+
+
+def buckets(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def deal(df: DataFrame, key: str) -> DataFrame:
+    return df.repartition(buckets(df.sparkSession), key)
+
+
+def _undo(spark: SparkSession, table: str, path: str) -> None:
+    try:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    except Exception:  # the session may have ended
+        pass
+    forget(spark, path)
+
+
 def drop_table(df: DataFrame) -> None:
     """Delete a table that materialise() wrote and that no later step reads."""
     if path := getattr(df, "_tidemark_path", None):
