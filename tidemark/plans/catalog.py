@@ -66,6 +66,36 @@ def evaluation(spark, sf_dir):
     return r.raw.filter("scan_error is null").groupBy("feature", "area").agg(F.count(F.lit(1)).alias("n"))
 
 
+def copies_evaluated(spark: SparkSession, sf_dir: str) -> outputs.Result:
+    """The same for messages that stand in several datasets and folders."""
+    key = ("copies", *_key(spark, sf_dir))
+    if key not in _results:
+        view = tables.view_rows(fixture.view(spark, sf_dir, "docs"), "part-docs", FEATURE_PARTITION, "proc-1")
+        _results[key] = outputs.evaluate(fixture.copied_messages(spark, sf_dir), view, store.materialise(fixture.terms(spark), "terms"), fixture.expressions())
+    return _results[key]
+
+
+def copies_detail(spark, sf_dir):
+    """Details of each copy by itself: what a restricted copy says is in no unrestricted row."""
+    d = outputs.hit_detail(copies_evaluated(spark, sf_dir), EXEC, BY, _ts())
+    parts = [_flat_detail(d.filter(F.col("restricted") == x)).withColumn("restricted", F.lit(x)) for x in (True, False)]
+    return parts[0].unionByName(parts[1])
+
+
+def copies_summary(spark, sf_dir):
+    """Evaluated groups and matches of each copy; equal rows count one by one."""
+    d = _flat_summary(outputs.hit_summary(copies_evaluated(spark, sf_dir), EXEC, BY, _ts()))
+    return d.groupBy("message_id", "id", "term_id", "pattern", "hits").agg(F.count(F.lit(1)).alias("n_copies"))
+
+
+def posix_patterns(spark, sf_dir):
+    """POSIX classes: runs of letters before digits, at all ends; three digits; capitals within words."""
+    e = [tx.Expression("f", 1, "[[:alpha:]]+[[:digit:]]+"), tx.Expression("f", 2, "[[:digit:]]{3}"), tx.Expression("f", 3, "[[:lower:]][[:upper:]]{2}", "")]
+    m = fixture.messages(spark, sf_dir).filter("dataset_id = 'docs'")
+    a = decide.areas(m).filter("area = 'MESSAGE_BODY'").withColumn("features", F.array(F.lit("f")))
+    return tx.scan(a, e).select("message_id", "expression_id", F.col("start").cast("long").alias("start_pos"), F.col("end").cast("long").alias("end_pos"), "text", "scan_error")
+
+
 def deployed(spark: SparkSession, sf_dir: str) -> str:
     """The test tables as a deployment's folders, with the job run over them: the folder below which its tables are."""
     key = _key(spark, sf_dir)
@@ -357,7 +387,7 @@ def job_csv(spark, sf_dir):
 _ALL = [
     view_filter, view_union, relevant_messages, group_view, latest_folder, feature_definition_json, scope_predicate, attachment_size, html_strip, literal_positions, term_metadata, and_not,
     group_hit, category_order, short_circuit, suppression, suppressed_count, hit_summary, hit_detail_restricted, hit_detail_unrestricted, feature_hit_summary, record_audit, stage_audit, csv_mirror, union_messages, regex_all_ends,
-    evaluation, term_count, term_errors, duplicate_members, message_errors, path_functions, dataset_reader, job_hit_summary, job_hit_restricted, job_hit_unrestricted, job_feature_summary, job_record_audit, job_stage_audit, job_csv,
+    copies_detail, copies_summary, posix_patterns, evaluation, term_count, term_errors, duplicate_members, message_errors, path_functions, dataset_reader, job_hit_summary, job_hit_restricted, job_hit_unrestricted, job_feature_summary, job_record_audit, job_stage_audit, job_csv,
 ]
 
 
@@ -378,6 +408,16 @@ areas AS (SELECT * FROM (
   UNION ALL SELECT message_id, 'ATTACHMENT', attachment_id, text FROM atts) WHERE trim(coalesce(text, '')) <> '')"""
 
 
+#: One message a copy, its name the message's and what tells the copies apart.
+_COPIES = """src AS (SELECT doc_id, text, split_part(text, chr(10), 1) AS line, doc_id % 2 = 0 AS r FROM documents),
+msgs AS (
+  SELECT 'd' || doc_id || ':1' AS message_id, doc_id AS n, 'docs' AS ds, r AS restricted, text AS body, line AS subject, NULL AS channel, CASE WHEN doc_id % 11 = 0 THEN 2 ELSE 1 END AS times FROM src
+  UNION ALL SELECT 'd' || doc_id || ':2', doc_id, 'docs', NOT r, replace(text, 'license', 'token'), NULL, NULL, 1 FROM src WHERE doc_id % 5 = 0
+  UNION ALL SELECT 'd' || doc_id || ':3', doc_id, 'conv', r, line, NULL, NULL, 1 FROM src WHERE doc_id % 7 = 0),
+areas AS (SELECT * FROM (
+  SELECT message_id, 'SUBJECT' AS area, CAST(NULL AS VARCHAR) AS attachment_id, subject AS text FROM msgs UNION ALL SELECT message_id, 'MESSAGE_BODY', NULL, body FROM msgs) WHERE trim(coalesce(text, '')) <> '')"""
+
+
 def _view_sql() -> str:
     rows = []
     for fid, ftype, nr, op, name, members in fixture.FEATURES:
@@ -475,6 +515,37 @@ def _all_ends_sql() -> str:
     )
 
 
+def _copies_sql() -> dict[str, str]:
+    terms = "terms(feature, n, shown) AS (VALUES " + ", ".join(f"('{f}', {n}, '{' & '.join(shown)}')" for f, n, _, _, shown in fixture.TERMS) + ")"
+    # a view of documents alone, whatever dataset a copy is in
+    view = _view_sql().replace("m.ds = 'docs' AND ", "").replace("'part-' || m.ds", "'part-docs'")
+    full = f"WITH {_COPIES},\n{view},\n{_scan_sql()},\n{terms}"
+    return {
+        "copies_detail": f"{full} SELECT split_part(f.message_id, ':', 1) AS message_id, m.ds AS dataset_partition_value, f.feature_id AS id, f.feature || '::' || t.n AS term_id, f.area, f.attachment_id, lower(regexp_replace(f.said, '{_RUN}', ' ', 'g')) AS said, "
+        "f.s AS start_pos, CAST(f.len AS BIGINT) AS length, m.restricted FROM fin f JOIN msgs m USING (message_id) JOIN terms t ON t.feature = f.feature, unnest(range(m.times))",
+        "copies_summary": f"{full}, x AS (SELECT message_id, feature_id, feature, count(*) AS hits, arg_min(said, (CASE area WHEN 'SUBJECT' THEN 0 ELSE 1 END, s)) AS said FROM found GROUP BY ALL) "
+        "SELECT split_part(e.message_id, ':', 1) AS message_id, e.feature_id AS id, x.feature || '::' || t.n AS term_id, CASE WHEN t.shown = '' THEN x.said ELSE t.shown END AS pattern, x.hits, CAST(sum(m.times) AS BIGINT) AS n_copies "
+        "FROM ev e JOIN msgs m USING (message_id) LEFT JOIN x USING (message_id, feature_id) LEFT JOIN terms t ON t.feature = x.feature GROUP BY ALL",
+    }
+
+
+def _posix_sql() -> str:
+    """The matches within pieces between tags, each run's ends unfolded."""
+    before = "CAST(coalesce(list_sum(list_transform(pc[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS BIGINT)"
+    ahead = "CAST(coalesce(list_sum(list_transform(pc[1:i - 1], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS BIGINT)"
+    cut = lambda text, pattern: f"string_split_regex({text}, '{pattern}') AS pc, regexp_extract_all({text}, '{pattern}') AS ms"
+    runs = lambda pattern: f"SELECT message_id, off + {before} AS off, ms[i] AS w FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM (SELECT message_id, off, {cut('piece', pattern)} FROM pieces))"
+    windows = lambda k, run, pattern: (
+        f"SELECT message_id, {k} AS expression_id, off + i - 1 AS s, off + i + 2 AS e, substr(w, i, 3) AS text FROM (SELECT *, unnest(range(1, length(w) - 1)) AS i FROM ({runs(run)}) WHERE length(w) > 2) WHERE regexp_full_match(substr(w, i, 3), '{pattern}')"
+    )
+    return (
+        f"WITH pieces AS (SELECT message_id, {ahead} AS off, pc[i] AS piece FROM (SELECT *, unnest(range(1, len(pc) + 1)) AS i FROM (SELECT 'd' || doc_id AS message_id, {cut('text', '<[^>]*>')} FROM documents WHERE text IS NOT NULL)))\n"
+        "SELECT message_id, CAST(expression_id AS INTEGER) AS expression_id, s AS start_pos, e AS end_pos, text, CAST(NULL AS VARCHAR) AS scan_error FROM ("
+        f"SELECT message_id, 1 AS expression_id, off AS s, off + i AS e, substr(w, 1, i) AS text FROM (SELECT *, unnest(range(length(regexp_extract(w, '^[A-Za-z]+')) + 1, length(w) + 1)) AS i FROM ({runs('[A-Za-z]+[0-9]+')}))\n"
+        f"UNION ALL {windows(2, '[0-9]+', '[0-9]{3}')}\nUNION ALL {windows(3, '[A-Za-z]+', '[a-z][A-Z]{2}')})"
+    )
+
+
 _TERM_ERRORS = "(VALUES ('malformed', 'term metadata can''t be read'), ('blank', 'term metadata can''t be read'), ('missing', 'term metadata can''t be read'), ('clash', 'two terms claim expression 1')) b(feature, error)"
 _PATHS = [
     ("uri", "('b', 'c/d')"), ("uri_bad", "ValueError"), ("children", "a_1,b_1"), ("children_none", "[]"), ("objects", "/a_1/x.json,/b_1/deep/y.json"), ("text", "one é"), ("bytes", "6"), ("exists", "True,False"), ("latest", "/b_1/"),
@@ -490,6 +561,8 @@ def _more_sql(base: str, full: str, direct: dict[str, str]) -> dict[str, str]:
     has = lambda what, where: f"EXISTS (SELECT 1 FROM areas a WHERE a.message_id = c.message_id AND {where} AND regexp_matches(a.text, '(?i){what}'))"
     hit = f"({has('token', 'a.area = ' + chr(39) + 'ATTACHMENT' + chr(39))} OR {has('license', 'a.area = ' + chr(39) + 'ATTACHMENT' + chr(39))})"
     return {
+        **_copies_sql(),
+        "posix_patterns": _posix_sql(),
         "csv_mirror": full + _csv_sql(),
         "job_csv": full + _csv_sql(),
         "regex_all_ends": f"WITH {_MESSAGES}" + _all_ends_sql(),

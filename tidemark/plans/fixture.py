@@ -114,3 +114,15 @@ def view(spark: SparkSession, sf_dir: str, kind: str = "all") -> DataFrame:
     other = (F.col("set") == "docs") & (F.col("n") % 10 == 9)
     e = base.select("message_id", F.when(other, "proc-2").otherwise("proc-1").alias("process_id"), F.concat_ws("-", F.lit("part"), "set").alias("dataset_partition"), F.explode(F.array(*rows)).alias("f"))
     return e.select("*", "f.*").withColumns({"feature_tagging_type": F.lit("tag"), "feature_partition_value": F.lit("2026-08-16"), "policy_engine_id": F.lit("101")}).select(*VIEW_COLUMNS)
+
+
+def copied_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of which some stand in both folders, in another text; some in a second dataset, as their first line; and some
+    twice as the same row."""
+    m = messages(spark, sf_dir).filter("dataset_id = 'docs'")
+    n = F.substring("message_id", 2, 20).cast("long")
+    text = F.col("message.content.raw_text")
+    body = lambda x: F.col("message").withField("content.raw_text", x).withField("content.subject", F.lit(None).cast("string"))
+    flipped = m.filter(n % 5 == 0).withColumns({"restricted": ~F.col("restricted"), "message": body(F.replace(text, F.lit("license"), F.lit("token")))})
+    second = m.filter(n % 7 == 0).withColumns({"dataset_id": F.lit("conv"), "message": body(F.substring_index(text, "\n", 1))})
+    return m.unionByName(flipped).unionByName(second).unionByName(m.filter(n % 11 == 0))
