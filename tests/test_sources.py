@@ -1,3 +1,4 @@
+import dataclasses
 import datetime as dt
 import json
 
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.test_decide import lexicon, messages, view
 from tidemark import __main__ as main
+from tidemark import schemas
 from tidemark.functions.text import Expression
 from tidemark.operators.definitions import term_counts, term_id, terms
 from tidemark.plans import fixture, job, sinks
@@ -80,6 +82,13 @@ def test_job(spark, tmp_path):
     assert {x.message_id for x in got["lexicon_hit_summary"].collect()} == {"a"} and got["lexicon_hit_unrestricted"].count() == 1
     assert [x.record_id for x in got["pipeline_record_audit"].collect()] == ["z"] and got["feature_hit_summary"].first().feature_hit_type == "tag"
     assert sorted(x.job_status for x in got["pipeline_stage_audit"].collect()) == ["IN_PROGRESS", "SUCCESS"]
+    # the same run again: each row once, but for the audit of the attempts; another run's rows are added
+    before = {n: sorted(map(str, got[n].collect())) for n in got if n != "pipeline_stage_audit"}
+    job.run(spark, args, config, lambda: rows, read, load, now=now)
+    assert {n: sorted(map(str, spark.read.parquet(config[n]).collect())) for n in before} == before
+    job.run(spark, dataclasses.replace(args, pipeline_exec_id="7"), config, lambda: rows, read, load, now=now, created_by="someone")
+    both = sinks.read(spark, config["lexicon_hit_summary"], schemas.LEXICON_HIT_SUMMARY)
+    assert sorted((x.pipeline_exec_id, x.created_by) for x in both.collect()) == [("7", "someone"), ("e", "tidemark")] and both.columns == schemas.LEXICON_HIT_SUMMARY.names
     with pytest.raises(ValueError):
         job.run(spark, args, config, lambda: rows.withColumn("feature_definition", F.lit("")), read, load, now=now)
     last = spark.read.parquet(config["pipeline_stage_audit"]).filter("job_status = 'FAILED'").collect()
@@ -113,7 +122,7 @@ def test_main(spark, tmp_path):
     got = {n: spark.read.parquet(str(tmp_path / n)).collect() for n in names[:-1]}
     assert {x.message_id for x in got["lexicon_hit_unrestricted"]} == {"a"} and {x.message_id for x in got["lexicon_hit_restricted"]} == {"r"}
     errors = {x.record_id: x.error_message for x in got["pipeline_record_audit"]}
-    assert set(errors) == {"b", "c"} and "linear time" in errors["b"] and "can't be read" in errors["c"]
+    assert set(errors) == {"b", "c"} and "looks around" in errors["b"] and "can't be read" in errors["c"]
     assert sorted(x.job_status for x in got["pipeline_stage_audit"]) == ["IN_PROGRESS", "SUCCESS"]
     (tmp_path / "args.json").write_text(json.dumps(files["args"] | {"policy_engine_id": "9"}))
     with pytest.raises(FileNotFoundError):
@@ -121,6 +130,61 @@ def test_main(spark, tmp_path):
     assert "FAILED" in {x.job_status for x in spark.read.parquet(str(tmp_path / "pipeline_stage_audit")).collect()}
 
 
+def test_run_stopped_between_sinks(spark, tmp_path, monkeypatch):
+    """A run that dies after some of its tables, and in the midst of one, then runs again."""
+    rows = view(spark, [(m, "1", "Lexicon", "N", None, "lex") for m in ("a", "b")])
+    m = messages(spark, [("a", None, "a bomb", []), ("b", None, "bomb bomb", [])])
+    e = spark.createDataFrame([("lex", 1, "bomb", "i", "plain")], "feature string, expression_id int, pattern string, flags string, kind string")
+    args = paths.RuntimeArgs((paths.Dataset("ds", "part"),), "fp", "1", "101", "p", "t")
+    names = ["lexicon_hit_summary", "lexicon_hit_restricted", "lexicon_hit_unrestricted", "feature_hit_summary", "pipeline_stage_audit", "pipeline_record_audit", "csv_mirror"]
+    config = paths.TableConfig({n: str(tmp_path / n) for n in names})
+    load = tables.lexicon_of(lexicon(spark, {"lex": [(1, [1], [])]}), e)
+    go = lambda: job.run(spark, args, config, lambda: rows, lambda *x: m, load)
+
+    def dies(d, target, fmt="parquet"):
+        sinks.write_run(d.limit(1), target, schemas.FEATURE_HIT_SUMMARY, fmt)  # some of it is there already
+        raise KeyboardInterrupt  # no audit row: the process is gone
+
+    with monkeypatch.context() as p:
+        p.setattr(sinks, "write_feature_hit_summary", dies)
+        with pytest.raises(KeyboardInterrupt):
+            go()
+    go()
+    for n, s in (("lexicon_hit_summary", schemas.LEXICON_HIT_SUMMARY), ("lexicon_hit_unrestricted", schemas.LEXICON_HIT_DETAIL), ("feature_hit_summary", schemas.FEATURE_HIT_SUMMARY)):
+        assert sorted(x.message_id for x in sinks.read(spark, config[n], s).collect()) == ["a", "b"], n
+    assert sorted(x.job_status for x in spark.read.parquet(config["pipeline_stage_audit"]).collect()) == ["IN_PROGRESS", "IN_PROGRESS", "SUCCESS"]
+
+
+def test_features_of_any_name(spark, tmp_path):
+    """Names with blanks and with what readers take for patterns."""
+    names = ["lex market", "lex[1]", "a+b", "50% {x}", "q?*", "é"]
+    for f in names:
+        (tmp_path / f"{f}-compile-results.json").write_text(json.dumps({"results": [{"termId": f"{f}::1", "compilationStatus": "PASS", "translatedPattern": ["p"], "hyperscanExpressionId": 1}]}))
+        (tmp_path / f"{f}-expressions.json").write_text(json.dumps({"expressions": [{"id": 1, "pattern": "bomb"}]}))
+    t, e = tables.load_lexicon(spark, f"{tmp_path}/")(names)
+    assert {(x.feature, x.error) for x in t.collect()} == {(f, None) for f in names} and sorted(x.feature for x in e) == sorted(names)
+
+
+def test_relevant_by_filter(spark, monkeypatch):
+    """Of many ids a filter lets few others pass, right behind the scan; the join behind it is exact."""
+    m = spark.range(20_000).select(F.concat(F.lit("m"), "id").alias("message_id"), F.col("id").alias("body"))
+    ids = m.filter("body % 10 = 3").select("message_id")
+    want = {f"m{k}" for k in range(3, 20_000, 10)}
+    got = tables.relevant(m, ids.unionByName(ids))
+    assert {x.message_id for x in got.collect()} == want and got.count() == 2000
+    monkeypatch.setattr(tables, "FEW_IDS", 10)
+    got = tables.relevant(m, ids)
+    assert {x.message_id for x in got.collect()} == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [pmod(xxhash64(message_id" in plan
+    for n, blocks in ((2000, 1), (300_000, 3)):
+        bloom = tables.id_filter(ids, n)
+        assert bloom.count() == blocks and bloom.first().blocks == blocks
+        through = {x.message_id for x in tables.passing(m, bloom, blocks).collect()}
+        assert want <= through and len(through) < 2000 + 0.02 * 18_000
+    assert tables.relevant(m.withColumn("message_id", F.lit(None).cast("string")), ids).count() == 0
+
+
 def test_stand_in_format(spark, tmp_path):
     """Messages in another format than Parquet: the format is a parameter, as an Avro source's name would be."""
     messages(spark, [("a", "s", "b", [("x", "y")])]).drop("dataset_id", "restricted").write.format("orc").save(str(tmp_path / "ds/p/unrestricted"))

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark import store
+from tidemark import schemas, store
 from tidemark.functions import text as tx
 from tidemark.operators import decide
 from tidemark.operators import definitions as df
@@ -355,23 +355,23 @@ def dataset_reader(spark, sf_dir):
 
 
 def job_hit_summary(spark, sf_dir):
-    return _flat_summary(spark.read.parquet(f"{deployed(spark, sf_dir)}/lexicon_hit_summary"))
+    return _flat_summary(sinks.read(spark, f"{deployed(spark, sf_dir)}/lexicon_hit_summary", schemas.LEXICON_HIT_SUMMARY))
 
 
 def job_hit_restricted(spark, sf_dir):
-    return _flat_detail(spark.read.parquet(f"{deployed(spark, sf_dir)}/lexicon_hit_restricted"))
+    return _flat_detail(sinks.read(spark, f"{deployed(spark, sf_dir)}/lexicon_hit_restricted", schemas.LEXICON_HIT_DETAIL))
 
 
 def job_hit_unrestricted(spark, sf_dir):
-    return _flat_detail(spark.read.parquet(f"{deployed(spark, sf_dir)}/lexicon_hit_unrestricted"))
+    return _flat_detail(sinks.read(spark, f"{deployed(spark, sf_dir)}/lexicon_hit_unrestricted", schemas.LEXICON_HIT_DETAIL))
 
 
 def job_feature_summary(spark, sf_dir):
-    return _flat_features(spark.read.parquet(f"{deployed(spark, sf_dir)}/feature_hit_summary"))
+    return _flat_features(sinks.read(spark, f"{deployed(spark, sf_dir)}/feature_hit_summary", schemas.FEATURE_HIT_SUMMARY))
 
 
 def job_record_audit(spark, sf_dir):
-    return spark.read.parquet(f"{deployed(spark, sf_dir)}/pipeline_record_audit")
+    return sinks.read(spark, f"{deployed(spark, sf_dir)}/pipeline_record_audit", schemas.RECORD_AUDIT)
 
 
 def job_stage_audit(spark, sf_dir):

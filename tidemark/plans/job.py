@@ -13,9 +13,9 @@ from tidemark.operators.definitions import check_definitions
 from tidemark.plans import outputs, sinks
 from tidemark.sources import paths, tables
 from tidemark.sources.paths import RuntimeArgs, Settings, TableConfig
+from tidemark.store import materialise
 
 STAGE = "SCAN"
-CREATED_BY = "tidemark"
 
 
 def run(
@@ -28,10 +28,12 @@ def run(
     attachment_limit: int | None = None,
     now: Callable[[], dt.datetime] = lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
     fmt: str = "parquet",
+    created_by: str = "tidemark",
 ) -> None:
     """Scan all datasets of the arguments and append the tables named in config. A row of the stage audit says that the
     job began, another how it ended; a failure is raised again after that. read_messages(dataset_id, partition, ids)
-    gives a dataset's messages; load_lexicon(features) the terms and expressions of the features that the view names."""
+    gives a dataset's messages; load_lexicon(features) the terms and expressions of the features that the view names.
+    A run that was stopped anywhere may be started again: its tables have each of its rows once then."""
     start = now()
 
     def audit(status: str, end: dt.datetime | None = None, count: str | None = None, error: str | None = None) -> None:
@@ -45,19 +47,19 @@ def run(
         rows = tables.union_views(parts).persist()
         check_definitions(rows)
         terms, expressions = load_lexicon(tables.features_of(rows))
-        ids = rows.select("message_id").distinct()
+        ids = materialise(rows.select("message_id").distinct(), "ids")
         messages = tables.union_messages([read_messages(d.dataset_id, d.dataset_partition_value, ids) for d in args.dataset_details])
         r = outputs.evaluate(messages, rows, terms, expressions, attachment_limit)
         stamp, day = F.lit(now()).cast("timestamp"), F.lit(start.date())
         exec_id = args.pipeline_exec_id
-        sinks.write_hit_summary(outputs.hit_summary(r, exec_id, CREATED_BY, stamp), config["lexicon_hit_summary"], fmt)
-        detail = outputs.hit_detail(r, exec_id, CREATED_BY, stamp).persist()
+        sinks.write_hit_summary(outputs.hit_summary(r, exec_id, created_by, stamp), config["lexicon_hit_summary"], fmt)
+        detail = outputs.hit_detail(r, exec_id, created_by, stamp).persist()
         sinks.write_hit_detail(detail, config["lexicon_hit_restricted"], True, fmt)
         sinks.write_hit_detail(detail, config["lexicon_hit_unrestricted"], False, fmt)
         hit_type = rows.groupBy("message_id").agg(F.min_by("feature_tagging_type", F.struct("feature_id", "features_to_apply", "sub_feature_type")).alias("hit_type"))
         r.messages = r.messages.join(hit_type, "message_id", "left")
-        sinks.write_feature_hit_summary(outputs.feature_hit_summary(r, F.col("hit_type"), exec_id, CREATED_BY, stamp), config["feature_hit_summary"], fmt)
-        sinks.write_record_audit(outputs.record_audit(r, args.trigger_type, exec_id, STAGE, CREATED_BY, day, stamp), config["pipeline_record_audit"], fmt)
+        sinks.write_feature_hit_summary(outputs.feature_hit_summary(r, F.col("hit_type"), exec_id, created_by, stamp), config["feature_hit_summary"], fmt)
+        sinks.write_record_audit(outputs.record_audit(r, args.trigger_type, exec_id, STAGE, created_by, day, stamp), config["pipeline_record_audit"], fmt)
         sinks.write_csv_mirror(detail, config["csv_mirror"])
         detail.unpersist()
         rows.unpersist()
@@ -79,5 +81,5 @@ def run_files(spark: SparkSession, args: RuntimeArgs, config: TableConfig, setti
         spark, args, config,
         lambda: spark.read.format(settings.fmt).load(config["feature_decision_view"]),
         lambda ds, part, ids: tables.read_dataset(spark, root, ds, part, ids, settings.fmt),
-        lexicon, settings.attachment_limit, fmt=settings.fmt, **more,
+        lexicon, settings.attachment_limit, fmt=settings.fmt, created_by=settings.created_by, **more,
     )

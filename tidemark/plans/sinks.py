@@ -28,16 +28,33 @@ def append(d: DataFrame, target: str, schema: T.StructType, fmt: str = "parquet"
     conformed(d, schema).write.mode("append").format(fmt).save(target)
 
 
+def write_run(d: DataFrame, target: str, schema: T.StructType, fmt: str = "parquet") -> None:
+    """Append a run's rows, in place of what an earlier attempt of the same run left: a run is a partition of the table, by
+    process and execution, and only the partitions that d has are written anew. Other runs' rows stay as they are."""
+    conformed(d, schema).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*_run_of(schema)).format(fmt).save(target)
+
+
+def _run_of(schema: T.StructType) -> list[str]:
+    return [f.name for f in schema if f.name in ("process_id", "pipeline_exec_id", "pipelinex_exec_id")]
+
+
+def read(spark: SparkSession, target: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+    """A table that write_run or append has written, its columns in the schema's order and types (the names of partitions
+    would tell numbers from words by their looks)."""
+    loose = T.StructType([T.StructField(f.name, _loose(f.dataType)) for f in schema])
+    return spark.read.schema(loose).format(fmt).load(target).select(*(f.name for f in schema))
+
+
 def write_hit_summary(d: DataFrame, target: str, fmt: str = "parquet") -> None:
-    append(d, target, schemas.LEXICON_HIT_SUMMARY, fmt)
+    write_run(d, target, schemas.LEXICON_HIT_SUMMARY, fmt)
 
 
 def write_hit_detail(d: DataFrame, target: str, restricted: bool, fmt: str = "parquet") -> None:
-    append(d.filter(F.col("restricted") == restricted), target, schemas.LEXICON_HIT_DETAIL, fmt)
+    write_run(d.filter(F.col("restricted") == restricted), target, schemas.LEXICON_HIT_DETAIL, fmt)
 
 
 def write_feature_hit_summary(d: DataFrame, target: str, fmt: str = "parquet") -> None:
-    append(d, target, schemas.FEATURE_HIT_SUMMARY, fmt)
+    write_run(d, target, schemas.FEATURE_HIT_SUMMARY, fmt)
 
 
 def stage_row(spark: SparkSession, process_id: str, trigger: str, exec_id: str, stage: str, status: str, start: dt.datetime, end: dt.datetime | None, error_count: str | None, error: str | None, day: dt.date) -> DataFrame:
@@ -46,15 +63,16 @@ def stage_row(spark: SparkSession, process_id: str, trigger: str, exec_id: str,
 
 
 def write_stage_audit(d: DataFrame, target: str, fmt: str = "parquet") -> None:
+    """Appended: every attempt of a run has its own rows."""
     append(d, target, schemas.STAGE_AUDIT, fmt)
 
 
 def write_record_audit(d: DataFrame, target: str, fmt: str = "parquet") -> None:
     """Nothing is written where nothing failed."""
     if not d.isEmpty():
-        append(d, target, schemas.RECORD_AUDIT, fmt)
+        write_run(d, target, schemas.RECORD_AUDIT, fmt)
 
 
 def write_csv_mirror(detail: DataFrame, target: str) -> None:
     """Restricted details as one CSV part with a header, in place of what is there. Spark makes target a folder."""
-    csv_mirror(detail).coalesce(1).write.mode("overwrite").option("header", True).csv(target)
+    csv_mirror(detail).repartition(1).write.mode("overwrite").option("header", True).csv(target)

@@ -6,7 +6,7 @@ import json
 import re
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _URI = re.compile(r"^gs://([^/]+)/(.+)$")
@@ -20,6 +20,12 @@ def parse_uri(uri: str) -> tuple[str, str]:
     return m[1], m[2]
 
 
+def uri_parts(uri: Column) -> Column:
+    """struct(bucket, object) of gs://bucket/object; null for anything else."""
+    pattern = r"^gs://([^/]+)/(.+)$"
+    return F.when(uri.rlike(pattern), F.struct(F.regexp_extract(uri, pattern, 1).alias("bucket"), F.regexp_extract(uri, pattern, 2).alias("object")))
+
+
 def file_system(spark: SparkSession, path: str):
     """A path as Hadoop's, and its file system."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -46,8 +52,18 @@ def list_objects(spark: SparkSession, path: str) -> list[str]:
     return sorted(out)
 
 
+def literal(path: str) -> str:
+    """A path for Spark's readers, whose names may have what they would take for a pattern of names."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
+def file_name(path: Column) -> Column:
+    """The name of a file, of its path as Spark gives it: written as a URI, in which a plus is a plus."""
+    return F.url_decode(F.replace(F.substring_index(path, "/", -1), F.lit("+"), F.lit("%2B")))
+
+
 def read_text(spark: SparkSession, path: str) -> str:
-    return spark.read.text(path, wholetext=True).first()[0]
+    return spark.read.text(literal(path), wholetext=True).first()[0]
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
@@ -61,7 +77,7 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 
 
 def read_bytes(spark: SparkSession, path: str) -> bytes:
-    return bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
+    return bytes(spark.read.format("binaryFile").load(literal(path)).select("content").first()[0])
 
 
 def latest_folder(folders: DataFrame, policy_engine_id: str) -> DataFrame:
@@ -139,18 +155,19 @@ class TableConfig:
 @dataclass(frozen=True)
 class Settings:
     """Where a deployment keeps things: roots of messages by trigger type, the root of lexicon folders, the attachments'
-    limit in bytes of UTF-8 (null: none) and the format of messages, view and output tables."""
+    limit in bytes of UTF-8 (null: none), the format of messages, view and output tables, and who the rows are by."""
 
     message_roots: dict[str, str]
     lexicon_root: str
     attachment_limit: int | None = None
     fmt: str = "parquet"
+    created_by: str = "tidemark"
 
     @classmethod
     def parse(cls, text: str) -> Settings:
         """From JSON. Unknown keys are left out; missing roots are an error."""
         d = json.loads(text)
-        return cls({str(k): str(v) for k, v in d["message_roots"].items()}, d["lexicon_root"], d.get("attachment_limit"), d.get("format", "parquet"))
+        return cls({str(k): str(v) for k, v in d["message_roots"].items()}, d["lexicon_root"], d.get("attachment_limit"), d.get("format", "parquet"), d.get("created_by", "tidemark"))
 
 
 def message_bucket(buckets: dict[str, str], trigger_type: str) -> str:

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions.text import Expression, check_expression
 from tidemark.operators.definitions import terms, with_definition
 from tidemark.sources import paths
+from tidemark.store import materialise
 
 
 class NoMessagesFound(Exception):
@@ -41,9 +42,48 @@ def tolerant(d: DataFrame) -> DataFrame:
     return d.select(*(pick(F.col(f.name) if f.name in have else None, f.dataType, have.get(f.name)).alias(f.name) for f in schemas.MESSAGE), *extra)
 
 
+#: Ids of so many rows are sent to all tasks as they are; of more, a filter is.
+FEW_IDS = 100_000
+#: The filter's blocks of 2**20 bits: 128 KB each, so that it never has more than 64 MB.
+MOST_BLOCKS = 512
+_BITS, _HASHES = 1 << 20, 7
+
+
+def id_filter(ids: DataFrame, n: int) -> DataFrame:
+    """(block, bits): a Bloom filter of ids (message_id), some ten bits an id, in blocks that are looked up by a join. With more
+    ids than MOST_BLOCKS are good for it lets more of the others pass, but never grows."""
+    spark = ids.sparkSession
+    blocks = max(1, min(MOST_BLOCKS, -(-10 * n // _BITS)))
+    own = ids.select(F.pmod(F.xxhash64("message_id"), F.lit(blocks)).alias("block"), F.explode(_places()).alias("p"))
+    own = own.select("block", F.shiftright("p", 6).alias("word"), F.expr("shiftleft(1L, cast(p & 63 as int))").alias("w"))
+    words = _BITS // 64
+    blank = spark.range(blocks * words).select((F.col("id") / words).cast("int").cast("bigint").alias("block"), (F.col("id") % words).cast("int").alias("word"), F.lit(0).cast("bigint").alias("w"))
+    d = own.unionByName(blank).groupBy("block", "word").agg(F.bit_or("w").alias("w"))
+    d = d.groupBy("block").agg(F.transform(F.sort_array(F.collect_list(F.struct("word", "w"))), lambda x: x["w"]).alias("bits"))
+    return d.withColumn("blocks", F.lit(blocks))
+
+
+def _places() -> Column:
+    """The bits of message_id within its block."""
+    return F.array(*(F.pmod(F.xxhash64("message_id", F.lit(k)), F.lit(_BITS)).cast("int") for k in range(_HASHES)))
+
+
+def passing(messages: DataFrame, bloom: DataFrame, blocks: int) -> DataFrame:
+    """Messages whose id may be in the filter: no shuffle, right behind the scan."""
+    b = F.broadcast(bloom.select(F.col("block").alias("_block"), F.col("bits").alias("_bits")))
+    set_ = F.forall(_places(), lambda p: F.get(F.col("_bits"), F.shiftright(p, 6)).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), p.bitwiseAND(63))) != 0)
+    return messages.join(b, (F.pmod(F.xxhash64("message_id"), F.lit(blocks)) == F.col("_block")) & set_, "left_semi")
+
+
 def relevant(messages: DataFrame, ids: DataFrame) -> DataFrame:
-    """Messages whose id occurs in ids. Not broadcast by force: the ids grow with the messages."""
-    return messages.join(ids.select("message_id").distinct(), "message_id", "left_semi")
+    """Messages whose id occurs in ids. A few ids are sent to all tasks. Of many, a Bloom filter of bounded size is: what it
+    lets through of the others (one in a hundred) is all that is shuffled in vain for the exact join."""
+    ids = ids.select("message_id").distinct()
+    n = ids.count()
+    if n <= FEW_IDS:
+        return messages.join(F.broadcast(ids), "message_id", "left_semi")
+    bloom = materialise(id_filter(ids, n), "id-filter")
+    return passing(messages, bloom, bloom.first().blocks).join(ids, "message_id", "left_semi")
 
 
 def read_dataset(spark: SparkSession, root: str, dataset_id: str, partition: str, ids: DataFrame | None = None, fmt: str = "parquet") -> DataFrame:
@@ -108,7 +148,7 @@ def _files(spark: SparkSession, base: str, names: dict[str, str]) -> DataFrame:
     every = spark.createDataFrame([(f, p.rsplit("/", 1)[-1]) for f, p in names.items()], "feature string, file string")
     if not have:
         return every.select("feature", F.lit(None).cast("string").alias("json"))
-    read = spark.read.text(list(have.values()), wholetext=True).select(F.col("_metadata.file_name").alias("_file"), F.col("value").alias("json"))
+    read = spark.read.text([paths.literal(p) for p in have.values()], wholetext=True).select(paths.file_name(F.col("_metadata.file_path")).alias("_file"), F.col("value").alias("json"))
     return every.join(read, F.col("file") == F.col("_file"), "left").select("feature", "json")
 
 
