@@ -174,8 +174,23 @@ def literal_positions(spark, sf_dir):
     return tx.literal_positions(d, "license").select("doc_id", F.col("start").cast("long").alias("start_pos"), F.col("end").cast("long").alias("end_pos"))
 
 
+def _part_terms(spark, sf_dir):
+    """The terms of compile results as the parts would have them: a brand's results, a term a part, every fifth with an
+    exclusion and every seventh failed."""
+    k = F.col("p_partkey")
+    ids = lambda *c: F.array(*c).cast("array<bigint>")
+    one = F.struct(
+        F.concat_ws("::", F.col("p_brand"), k).alias("termId"), F.when(k % 7 == 0, "FAILED").when(k % 2 == 0, "pass").otherwise("PASS").alias("compilationStatus"), F.split("p_name", " ").alias("translatedPattern"),
+        (k % 5 == 0).alias("requiresExclusionCheck"), (3 * k).alias("hyperscanExpressionId"), F.when(k % 5 == 0, ids(3 * k + 1, 3 * k)).otherwise(ids()).alias("requiredExpressionIds"),
+        F.when(k % 5 == 0, ids(3 * k + 2)).otherwise(ids()).alias("excludedExpressionIds"), F.lit("x").alias("more"),
+    )
+    d = spark.read.parquet(f"{sf_dir}/part.parquet").groupBy(F.col("p_brand").alias("feature")).agg(F.to_json(F.struct(F.collect_list(one).alias("results"))).alias("json"))
+    return df.terms(d)
+
+
 def term_metadata(spark, sf_dir):
-    return fixture.terms(spark).select("feature", F.col("term_number").cast("long").alias("term_number"), "term_id", "pattern", F.array_join(F.col("required").cast("array<string>"), ",").alias("required"), F.array_join(F.col("excluded").cast("array<string>"), ",").alias("excluded"))
+    ids = lambda c: F.array_join(F.col(c).cast("array<string>"), ",").alias(c)
+    return _part_terms(spark, sf_dir).select("feature", F.col("term_number").cast("long").alias("term_number"), "term_id", "pattern", ids("required"), ids("excluded"), "error")
 
 
 def and_not(spark, sf_dir):
@@ -256,9 +271,13 @@ def record_audit(spark, sf_dir):
 
 
 def stage_audit(spark, sf_dir):
-    t = dt.datetime(2026, 8, 16, 10)
-    rows = [sinks.stage_row(spark, "proc-1", "policy-alert-live", EXEC, STAGE, s, t, e, None, None, t.date()) for s, e in (("IN_PROGRESS", None), ("SUCCESS", t + dt.timedelta(minutes=5)))]
-    return rows[0].unionByName(rows[1])
+    """The audit of a run an event, of which the errors failed and the signups are still running."""
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    runs = e.select(
+        F.concat(F.lit("proc-"), "user_id").alias("process_id"), F.col("event_type").alias("trigger_type"), F.concat(F.lit("pe-"), "event_id").alias("exec_id"), F.col("ts").alias("start_time"),
+        F.when(F.col("event_type") != "signup", F.col("ts") + F.expr("interval 5 minutes")).alias("end_time"), F.when(F.col("event_type") == "error", F.concat(F.lit("ValueError: "), "props")).alias("error"),
+    )
+    return sinks.stage_rows(runs, STAGE)
 
 
 def csv_mirror(spark, sf_dir):
@@ -285,19 +304,19 @@ def suppressed_count(spark, sf_dir):
 
 
 def term_count(spark, sf_dir):
-    return df.term_counts(fixture.terms(spark))
+    return df.term_counts(_part_terms(spark, sf_dir))
 
 
 def term_errors(spark, sf_dir):
-    """Compile results that can't be read, and terms that clash."""
+    """Compile results that can't be read, and terms that clash: a feature a supplier, of one of ten cases each."""
     ok = {"compilationStatus": "PASS", "hyperscanExpressionId": 1}
-    cases = {
-        "malformed": "{oops", "blank": " ", "missing": None, "empty": json.dumps({"results": []}), "failed": json.dumps({"results": [ok | {"termId": "x", "compilationStatus": "FAILED"}]}),
-        "unnumbered": json.dumps({"results": [ok | {"termId": "unnumbered"}]}), "worded": json.dumps({"results": [ok | {"termId": "worded::one"}]}), "bare": json.dumps({"results": [{"termId": "bare::1", "compilationStatus": "Pass"}]}),
-        "clash": json.dumps({"results": [ok | {"termId": "clash::1"}, ok | {"termId": "clash::2", "hyperscanExpressionId": 3, "requiredExpressionIds": [2, 1]}]}),
-        "fine": json.dumps({"results": [ok | {"termId": "a::b::7", "extra": 1}]}),
-    }
-    t = df.terms(spark.createDataFrame(list(cases.items()), "feature string, json string"))
+    cases = [
+        "{oops", " ", None, json.dumps({"results": []}), json.dumps({"results": [ok | {"termId": "x", "compilationStatus": "FAILED"}]}), json.dumps({"results": [ok | {"termId": "unnumbered"}]}),
+        json.dumps({"results": [ok | {"termId": "worded::one"}]}), json.dumps({"results": [{"termId": "bare::1", "compilationStatus": "Pass"}]}),
+        json.dumps({"results": [ok | {"termId": "clash::1"}, ok | {"termId": "clash::2", "hyperscanExpressionId": 3, "requiredExpressionIds": [2, 1]}]}), json.dumps({"results": [ok | {"termId": "a::b::7", "extra": 1}]}),
+    ]
+    s = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.concat(F.lit("s"), "s_suppkey").alias("feature"), F.element_at(F.array(*map(F.lit, cases)), (F.col("s_suppkey") % 10 + 1).cast("int")).alias("json"))
+    t = df.terms(s)
     return t.select("feature", F.col("term_number").cast("long").alias("term_number"), "term_id", F.array_join(F.col("required").cast("array<string>"), ",").alias("required"), "error")
 
 
@@ -325,26 +344,17 @@ def message_errors(spark, sf_dir):
 
 
 def path_functions(spark, sf_dir):
-    """URIs, listings and files of the shared folder, and the order of the job's own checks."""
-    base = f"{store.shared_dir(spark)}/tidemark/paths-{uuid.uuid4().hex}"
-    paths.write_text(spark, f"{base}/a_1/x.json", "one é")
-    paths.write_text(spark, f"{base}/b_1/deep/y.json", "two")
-
-    def said(f, *args):
-        try:
-            return str(f(*args))
-        except Exception as e:
-            return type(e).__name__
-
-    rows = [
-        ("uri", said(paths.parse_uri, "gs://b/c/d")), ("uri_bad", said(paths.parse_uri, "gs://b")), ("children", ",".join(paths.list_children(spark, base))), ("children_none", said(paths.list_children, spark, f"{base}/no")),
-        ("objects", ",".join(x.split(base)[-1] for x in paths.list_objects(spark, base))), ("text", paths.read_text(spark, f"{base}/a_1/x.json")), ("bytes", str(len(paths.read_bytes(spark, f"{base}/a_1/x.json")))),
-        ("exists", f"{paths.exists(spark, f'{base}/a_1')},{paths.exists(spark, f'{base}/c')}"), ("latest", paths.resolve_base(spark, base, "1")[len(base):]), ("latest_none", said(paths.resolve_base, spark, base, "2")),
-        ("patterns", paths.patterns_path("b/", "f")), ("terms", paths.terms_path("b/", "f")), ("base_bad", said(paths.terms_path, "b", "f")), ("feature_bad", said(paths.patterns_path, "b/", " ")),
-        ("bucket", paths.message_bucket({"live": "x"}, "live")), ("bucket_bad", said(paths.message_bucket, {}, "live")), ("no_messages", said(tables.read_dataset, spark, base, "ds", "p")), ("no_views", said(tables.union_views, [])),
-    ]
-    store.forget(spark, base)
-    return spark.createDataFrame(rows, "name string, said string")
+    """Pages as objects of a store: buckets and objects of their URIs, the paths of a lexicon's files, and the latest folder
+    of each bucket."""
+    p = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    k = F.col("page_id")
+    d = p.select("page_id", paths.uri_parts(F.when(k % 9 == 0, F.col("url")).otherwise(F.concat(F.when(k % 9 == 1, "gs:/").otherwise("gs://"), F.substring_index("url", "//", -1)))).alias("u"))
+    base = F.when(k % 4 == 0, F.concat("u.bucket", F.lit("/"), "u.object")).otherwise(F.concat("u.bucket", F.lit("/")))
+    feature = F.when(k % 5 == 0, " ").otherwise(F.concat(F.lit("lex "), k))
+    return d.select(
+        "page_id", "u.bucket", "u.object", paths.below(base, feature, ".hdb").alias("patterns"), paths.below(base, feature, "-compile-results.json").alias("terms"),
+        paths.file_name(F.concat(F.lit("file:/x/"), F.replace(F.concat(feature, F.lit("+é")), F.lit(" "), F.lit("%20")))).alias("file"),
+    )
 
 
 def dataset_reader(spark, sf_dir):
@@ -546,16 +556,14 @@ def _posix_sql() -> str:
     )
 
 
-_TERM_ERRORS = "(VALUES ('malformed', 'term metadata can''t be read'), ('blank', 'term metadata can''t be read'), ('missing', 'term metadata can''t be read'), ('clash', 'two terms claim expression 1')) b(feature, error)"
-_PATHS = [
-    ("uri", "('b', 'c/d')"), ("uri_bad", "ValueError"), ("children", "a_1,b_1"), ("children_none", "[]"), ("objects", "/a_1/x.json,/b_1/deep/y.json"), ("text", "one é"), ("bytes", "6"), ("exists", "True,False"), ("latest", "/b_1/"),
-    ("latest_none", "FileNotFoundError"), ("patterns", "b/f.hdb"), ("terms", "b/f-compile-results.json"), ("base_bad", "ValueError"), ("feature_bad", "ValueError"), ("bucket", "x"), ("bucket_bad", "ValueError"),
-    ("no_messages", "NoMessagesFound"), ("no_views", "ValueError"),
-]
+_PARTS = "p AS (SELECT p_brand AS feature, p_partkey AS k, p_name FROM part WHERE p_partkey % 7 <> 0)"
+_CASES = (
+    "(0, NULL, NULL, NULL, 'term metadata can''t be read'), (1, NULL, NULL, NULL, 'term metadata can''t be read'), (2, NULL, NULL, NULL, 'term metadata can''t be read'), (5, NULL, NULL, '1', 'termId has no number'), "
+    "(6, NULL, NULL, '1', 'termId has no number'), (7, 1, '::1', NULL, 'term has no expression'), (8, NULL, NULL, NULL, 'two terms claim expression 1'), (8, 1, '::1', '1', NULL), (8, 2, '::2', '2,1', NULL), (9, 7, '::7', '1', NULL)"
+)
 
 
 def _more_sql(base: str, full: str, direct: dict[str, str]) -> dict[str, str]:
-    quoted = lambda x: x.replace("'", "''")
     conv = "c AS (SELECT message_id, n FROM msgs WHERE ds = 'conv')"
     # a message fails at the first of: its group, its pattern sets, its texts, its feature ids
     has = lambda what, where: f"EXISTS (SELECT 1 FROM areas a WHERE a.message_id = c.message_id AND {where} AND regexp_matches(a.text, '(?i){what}'))"
@@ -569,21 +577,24 @@ def _more_sql(base: str, full: str, direct: dict[str, str]) -> dict[str, str]:
         "evaluation": f"{full} SELECT feature, area, count(*) AS n FROM (SELECT DISTINCT r.* EXCLUDE (said), v.in_subject, v.in_body, v.in_att FROM v JOIN ok USING (message_id) JOIN raw r ON r.message_id = v.message_id AND r.feature = v.feature "
         "WHERE (v.category = 0 OR v.message_id NOT IN (SELECT message_id FROM stopped)) AND CASE r.area WHEN 'SUBJECT' THEN in_subject WHEN 'MESSAGE_BODY' THEN in_body ELSE in_att END) GROUP BY feature, area",
         "suppressed_count": f"{full} SELECT f.message_id, count(*) - coalesce(any_value(k), 0) AS suppressed FROM found f LEFT JOIN (SELECT message_id, count(*) AS k FROM fin GROUP BY message_id) USING (message_id) WHERE f.category = 2 GROUP BY f.message_id",
-        "term_count": "SELECT * FROM (VALUES " + ", ".join(f"('{f}', CAST(1 AS BIGINT))" for f, *_ in fixture.TERMS) + ") t(feature, term_count)",
-        "term_errors": "SELECT feature, CAST(n AS BIGINT) AS term_number, id AS term_id, r AS required, e AS error FROM (VALUES ('unnumbered', NULL, NULL, '1', 'termId has no number'), ('worded', NULL, NULL, '1', 'termId has no number'), "
-        "('bare', 1, 'bare::1', NULL, 'term has no expression'), ('clash', 1, 'clash::1', '1', NULL), ('clash', 2, 'clash::2', '2,1', NULL), ('fine', 7, 'fine::7', '1', NULL)) t(feature, n, id, r, e) "
-        f"UNION ALL SELECT feature, NULL, NULL, NULL, error FROM {_TERM_ERRORS}",
+        "term_count": f"WITH {_PARTS} SELECT feature, count(*) AS term_count FROM p GROUP BY feature",
+        "term_errors": f"SELECT 's' || s_suppkey AS feature, CAST(n AS BIGINT) AS term_number, 's' || s_suppkey || id AS term_id, r AS required, e AS error FROM supplier JOIN (VALUES {_CASES}) t(c, n, id, r, e) ON s_suppkey % 10 = c",
         "duplicate_members": f"{base} SELECT message_id, feature_id, count(*) * CASE WHEN right(message_id, 1) = '3' THEN 2 ELSE 1 END AS n_members, any_value(op) IS NULL AND right(message_id, 1) = '3' OR bool_or(lost) AS bad, count(*) AS n_different FROM v GROUP BY message_id, feature_id",
         "message_errors": f"WITH {_MESSAGES}, {conv} SELECT message_id, CASE WHEN n % 7 = 0 THEN 'unknown operator' WHEN n % 11 = 0 THEN 'broken: it is' WHEN n % 3 = 0 AND {hit} THEN 'ValueError: an attachment with a match has no id' "
         "WHEN n % 5 = 0 THEN 'feature_id is no number: four' END AS error FROM c",
-        "path_functions": "SELECT * FROM (VALUES " + ", ".join(f"('{k}', '{quoted(v)}')" for k, v in _PATHS) + ") t(name, said)",
+        "path_functions": "WITH u AS (SELECT page_id, CASE WHEN page_id % 9 > 1 AND contains(rest, '/') AND split_part(rest, '/', 1) <> '' AND length(rest) > strpos(rest, '/') THEN split_part(rest, '/', 1) END AS bucket, "
+        "substr(rest, strpos(rest, '/') + 1) AS o FROM (SELECT page_id, list_last(string_split(url, '//')) AS rest FROM pages)), b AS (SELECT page_id, bucket, CASE WHEN bucket IS NOT NULL THEN o END AS object, CASE WHEN page_id % 5 = 0 THEN ' ' ELSE 'lex ' || page_id END AS f FROM u), "
+        "c AS (SELECT *, CASE WHEN page_id % 4 = 0 THEN bucket || '/' || object ELSE bucket || '/' END AS base FROM b), d AS (SELECT *, page_id % 5 <> 0 AND base LIKE '%/' AS ok FROM c) "
+        "SELECT page_id, bucket, object, CASE WHEN ok THEN base || f || '.hdb' END AS patterns, CASE WHEN ok THEN base || f || '-compile-results.json' END AS terms, f || '+é' AS file FROM d",
         "dataset_reader": f"SELECT *, true AS absent_is_null FROM ({direct['relevant_messages']})",
         "job_hit_summary": direct["hit_summary"],
         "job_hit_restricted": direct["hit_detail_restricted"],
         "job_hit_unrestricted": direct["hit_detail_unrestricted"],
         "job_feature_summary": direct["feature_hit_summary"],
         "job_record_audit": direct["record_audit"],
-        "job_stage_audit": direct["stage_audit"],
+        "job_stage_audit": "SELECT 'proc-1' AS process_id, 'policy-alert-live' AS trigger_type, 'pe-1' AS pipelinex_exec_id, 'SCAN' AS stage_name, CAST(NULL AS VARCHAR) AS composer_dag_name, CAST(NULL AS VARCHAR) AS composer_dag_path, "
+        "CAST(NULL AS VARCHAR) AS dproc_dag_name, CAST(NULL AS VARCHAR) AS dproc_dag_path, TIMESTAMPTZ '2026-08-16 10:00:00+00' AS start_time, e AS end_time, s AS job_status, CAST(NULL AS VARCHAR) AS error_count, CAST(NULL AS VARCHAR) AS error_message, "
+        "CAST(NULL AS VARCHAR) AS additional_info, DATE '2026-08-16' AS execution_date FROM (VALUES ('IN_PROGRESS', CAST(NULL AS TIMESTAMPTZ)), ('SUCCESS', TIMESTAMPTZ '2026-08-16 10:05:00+00')) t(s, e)",
     }
 
 
@@ -599,7 +610,6 @@ def _direct_sql() -> dict[str, str]:
     base = f"WITH {_MESSAGES},\n{_view_sql()}"
     full = f"{base},\n{_scan_sql()},\n{terms}\n"
     run = _RUN.replace("'", "''")
-    required = ", ".join(f"('{f}', CAST({n} AS BIGINT), '{f}::{n}', '{' & '.join(shown)}', '{','.join(map(str, req))}', '{','.join(map(str, exc))}')" for f, n, req, exc, shown in fixture.TERMS)
     ts = "TIMESTAMPTZ '2026-08-16 10:00:00+00'"
     return {
         "view_filter": f"{base} SELECT feature_id, feature_type, count(*) AS n, min(message_id) AS first_id FROM v WHERE ds = 'docs' GROUP BY ALL",
@@ -613,7 +623,7 @@ def _direct_sql() -> dict[str, str]:
         "html_strip": f"SELECT page_id, md5(x) AS stripped_md5, length(x) AS n FROM (SELECT page_id, regexp_replace(coalesce(html, ''), '{run}', ' ', 'g') AS x FROM pages)",
         "literal_positions": "SELECT doc_id, CAST(list_sum(list_transform(pc[1:i], lambda x: length(x))) + (i - 1) * 7 AS BIGINT) AS start_pos, CAST(list_sum(list_transform(pc[1:i], lambda x: length(x))) + i * 7 AS BIGINT) AS end_pos FROM "
         "(SELECT doc_id, string_split_regex(text, '(?i)license') AS pc, unnest(range(1, len(regexp_extract_all(text, '(?i)license')) + 1)) AS i FROM documents WHERE regexp_matches(text, '(?i)license'))",
-        "term_metadata": f"SELECT * FROM (VALUES {required}) t(feature, term_number, term_id, pattern, required, excluded)",
+        "term_metadata": f"WITH {_PARTS} SELECT feature, k AS term_number, feature || '::' || k AS term_id, replace(p_name, ' ', ' & ') AS pattern, CASE WHEN k % 5 = 0 THEN (3 * k + 1) || ',' || (3 * k) ELSE CAST(3 * k AS VARCHAR) END AS required, CASE WHEN k % 5 = 0 THEN CAST(3 * k + 2 AS VARCHAR) ELSE '' END AS excluded, CAST(NULL AS VARCHAR) AS error FROM p",
         "and_not": f"{full} SELECT message_id, 'lex_token::3' AS term_id, count(*) AS n FROM found WHERE feature = 'lex_token' GROUP BY message_id",
         "group_hit": f"{full} SELECT feature_id, hit, count(*) AS n FROM ev GROUP BY ALL",
         "category_order": f"{base} SELECT message_id, feature_id, CAST(any_value(category) AS BIGINT) AS category, row_number() OVER (PARTITION BY message_id ORDER BY any_value(category), feature_id) AS ord, bool_or(lost) AS bad FROM v GROUP BY message_id, feature_id",
@@ -627,8 +637,9 @@ def _direct_sql() -> dict[str, str]:
         "feature_hit_summary": f"{full} SELECT message_id, ds AS dataset_partition_value, 'tag' AS feature_hit_type, CAST(feature_id AS BIGINT) AS id, name, feature_type AS type, nr = 'Y' AS is_nr, hit, CASE WHEN n_members > 1 THEN subs ELSE '' END AS subs FROM ev",
         "record_audit": f"{base} SELECT DISTINCT process_id, 'policy-alert-live' AS trigger_type, 'pe-1' AS pipelinex_exec_id, 'SCAN' AS stage_name, message_id AS record_id, 'FAILED' AS status, CAST(1 AS INTEGER) AS return_code, "
         f"'several members without an operator' AS error_message, DATE '2026-08-16' AS execution_date, 'tidemark' AS created_by, {ts} AS created_ts FROM v WHERE lost",
-        "stage_audit": f"SELECT 'proc-1' AS process_id, 'policy-alert-live' AS trigger_type, 'pe-1' AS pipelinex_exec_id, 'SCAN' AS stage_name, CAST(NULL AS VARCHAR) AS composer_dag_name, CAST(NULL AS VARCHAR) AS composer_dag_path, "
-        f"CAST(NULL AS VARCHAR) AS dproc_dag_name, CAST(NULL AS VARCHAR) AS dproc_dag_path, {ts} AS start_time, e AS end_time, s AS job_status, CAST(NULL AS VARCHAR) AS error_count, CAST(NULL AS VARCHAR) AS error_message, "
-        f"CAST(NULL AS VARCHAR) AS additional_info, DATE '2026-08-16' AS execution_date FROM (VALUES ('IN_PROGRESS', CAST(NULL AS TIMESTAMPTZ)), ('SUCCESS', TIMESTAMPTZ '2026-08-16 10:05:00+00')) t(s, e)",
+        "stage_audit": "SELECT 'proc-' || user_id AS process_id, event_type AS trigger_type, 'pe-' || event_id AS pipelinex_exec_id, 'SCAN' AS stage_name, CAST(NULL AS VARCHAR) AS composer_dag_name, CAST(NULL AS VARCHAR) AS composer_dag_path, "
+        "CAST(NULL AS VARCHAR) AS dproc_dag_name, CAST(NULL AS VARCHAR) AS dproc_dag_path, ts AT TIME ZONE 'UTC' AS start_time, CASE WHEN s = 'END' THEN (ts + INTERVAL 5 MINUTE) AT TIME ZONE 'UTC' END AS end_time, "
+        "CASE WHEN s <> 'END' THEN s WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCESS' END AS job_status, CASE WHEN s = 'END' AND event_type = 'error' THEN '0' END AS error_count, CASE WHEN s = 'END' AND event_type = 'error' THEN 'ValueError: ' || props END AS error_message, "
+        "CAST(NULL AS VARCHAR) AS additional_info, CAST(ts AS DATE) AS execution_date FROM events, (VALUES ('IN_PROGRESS'), ('END')) t(s) WHERE s <> 'END' OR event_type <> 'signup'",
         "union_messages": f"{base} SELECT ds AS dataset_id, channel, count(*) AS n FROM msgs GROUP BY ALL",
     }

@@ -62,6 +62,18 @@ def stage_row(spark: SparkSession, process_id: str, trigger: str, exec_id: str,
     return spark.createDataFrame([row], schemas.STAGE_AUDIT)
 
 
+def stage_rows(runs: DataFrame, stage: str) -> DataFrame:
+    """The stage audit of many runs (process_id, trigger_type, exec_id, start_time, end_time, error), as jobs leave it: a row
+    when each began, and one when it ended, with the error where it failed."""
+    said = lambda status, end, count, error: F.struct(F.lit(status).alias("job_status"), end.alias("end_time"), count.cast("string").alias("error_count"), error.cast("string").alias("error_message"))
+    failed, none = F.col("error").isNotNull(), F.lit(None)
+    ended = F.when(failed, said("FAILED", F.col("end_time"), F.lit("0"), F.col("error"))).otherwise(said("SUCCESS", F.col("end_time"), none, none))
+    d = runs.withColumn("x", F.explode(F.array(said("IN_PROGRESS", F.lit(None).cast(runs.schema["end_time"].dataType), none, none), ended)))
+    own = {"process_id": "process_id", "trigger_type": "trigger_type", "pipelinex_exec_id": "exec_id", "start_time": "start_time", **{c: f"x.{c}" for c in ("job_status", "end_time", "error_count", "error_message")}}
+    cols = [F.col(own[f.name]) if f.name in own else F.lit(stage) if f.name == "stage_name" else F.to_date("start_time") if f.name == "execution_date" else F.lit(None) for f in schemas.STAGE_AUDIT]
+    return d.filter("x.job_status = 'IN_PROGRESS' or end_time is not null").select(*(c.cast(_loose(f.dataType)).alias(f.name) for c, f in zip(cols, schemas.STAGE_AUDIT, strict=True)))
+
+
 def write_stage_audit(d: DataFrame, target: str, fmt: str = "parquet") -> None:
     """Appended: every attempt of a run has its own rows."""
     append(d, target, schemas.STAGE_AUDIT, fmt)

@@ -101,6 +101,11 @@ def _below(base: str, feature: str, suffix: str) -> str:
     return base + feature + suffix
 
 
+def below(base: Column, feature: Column, suffix: str) -> Column:
+    """The same for columns; null where the base lacks its slash or the name is blank."""
+    return F.when(base.endswith("/") & (F.trim(F.coalesce(feature, F.lit(""))) != ""), F.concat(base, feature, F.lit(suffix)))
+
+
 def patterns_path(base: str, feature: str) -> str:
     return _below(base, feature, ".hdb")
 
