@@ -8,10 +8,13 @@ joined is a word, and the index is the lexicon's words, broadcast where it is sm
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import Lexicon, strip_markup
+from tidemark.store import materialise
 
 GRAM = 3
 
@@ -28,10 +31,10 @@ def words(text: Column) -> Column:
     return F.array_distinct(F.split(folded(strip_markup(text)), " "))
 
 
-def _grams(word: Column, size: int) -> Column:
-    """All stretches of so many letters; of a shorter word, itself."""
-    places = F.sequence(F.lit(1), F.greatest(F.length(word) - size + 1, F.lit(1)))
-    return F.transform(places, lambda i: F.substring(word, i, F.lit(size)))
+def _grams(seen: DataFrame, size: int) -> DataFrame:
+    """(word, n, gram): each word's stretches of so many letters; a shorter word's is itself."""
+    at = F.explode(F.sequence(F.lit(1), F.greatest(F.length("word") - size + 1, F.lit(1))))
+    return seen.select("word", "n", at.alias("_i")).select("word", "n", F.substring("word", F.col("_i"), F.lit(size)).alias("gram"))
 
 
 def index(texts: DataFrame, lexicon: Lexicon) -> DataFrame:
@@ -42,9 +45,9 @@ def index(texts: DataFrame, lexicon: Lexicon) -> DataFrame:
     seen = texts.select(F.explode(words(F.col("text"))).alias("word")).filter("word <> ''").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     # the beginnings of literals of fewer letters too
     sizes = sorted({min(len(w), GRAM) for _, _, w in lexicon.literals()} | {GRAM})
-    grams = F.array_distinct(F.flatten(F.array(*(_grams(F.col("word"), k) for k in sizes))))
-    found = seen.withColumn("gram", F.explode(grams)).join(literals, "gram").filter(F.contains("word", "literal"))
-    found = found.select("word", "n", "expression", "leaf").distinct()
+    grams = reduce(DataFrame.unionByName, (_grams(seen, k) for k in sizes))
+    found = grams.join(literals, "gram").filter(F.contains("word", "literal"))
+    found = materialise(found.select("word", "n", "expression", "leaf").distinct(), "literal-words")  # read twice
     # an expression of which a leaf has no literal in any text matches none
     cost = found.groupBy("expression", "leaf").agg(F.sum("n").alias("n"))
     every = literals.select("expression", "leaf").distinct().join(cost, ["expression", "leaf"], "left")
