@@ -1,10 +1,12 @@
+import json
 import random
 import re
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
-from tidemark.functions import patterns
+from tidemark.functions import patterns, sql
 from tidemark.functions.text import Expression, Lexicon, Stripped, all_ends, check_expression, is_blank, literal_positions, scan, scan_text, strip_markup, within_size
 from tidemark.operators.candidates import candidates, folded, index
 
@@ -178,3 +180,20 @@ def test_many_expressions(spark):
     own = [x for x in e if x.feature in ("f1", "f4", "f6")]
     assert got == sorted((str(i), x.expression_id, a, z) for i, t in enumerate(texts) for x in own for a, z in all_ends(t, x.pattern)) and len(got) > 500
     assert n < 0.2 * len(e) * len(texts)
+
+
+def test_sql_surface(spark):
+    """The table function's columns follow its arguments, its lexicon is checked at analysis; the function of columns."""
+    sql.register(spark)
+    lexicon = json.dumps([{"feature": "f", "id": 7, "pattern": "b[a-z]m"}, {"feature": "g", "id": 8, "pattern": "in{2}\x00bam", "kind": "combination"}])
+    d = spark.createDataFrame([(1, "a Bom <b> bam"), (2, None), (3, "inn bam")], "i int, t string")
+    got = spark.sql("SELECT i, m.* FROM {d} d, LATERAL scan_matches(t, :l) m", args={"l": lexicon}, d=d)
+    rows = [(1, "f", 7, 2, 5, "Bom"), (1, "f", 7, 10, 13, "bam"), (3, "f", 7, 4, 7, "bam"), (3, "g", 8, 0, 7, "inn bam")]
+    assert got.columns == ["i", "feature", "expression_id", "start", "end", "text"] and sorted(tuple(x) for x in got.collect()) == rows
+    assert spark.sql("SELECT m.* FROM {d} d, LATERAL scan_matches(t, :l, with_text => false) m", args={"l": lexicon}, d=d).columns == ["feature", "expression_id", "start", "end"]
+    for bad in ('[{"id": 1, "pattern": "("}]', "[{]"):
+        with pytest.raises(Exception):
+            spark.sql("SELECT * FROM scan_matches('x', :l)", args={"l": bad}).collect()
+    by = sql.matcher([Expression("f", 7, "b[a-z]m"), Expression("g", 8, "in{2}\x00bam", kind="combination")])
+    got = d.select("i", F.inline(by(F.col("t")))).collect()
+    assert sorted(tuple(x) for x in got) == rows

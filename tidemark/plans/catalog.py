@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas, store
+from tidemark.functions import sql as fs
 from tidemark.functions import text as tx
 from tidemark.operators import decide
 from tidemark.operators import definitions as df
@@ -298,6 +299,16 @@ def regex_all_ends(spark, sf_dir):
     return tx.scan(a, e)
 
 
+def lateral_matches(spark, sf_dir):
+    """The same as regex_all_ends from SQL: a table function in a LATERAL join."""
+    fs.register(spark)
+    lexicon = json.dumps([{"feature": "f", "id": 1, "pattern": "th[a-z]{1,3}d"}, {"feature": "f", "id": 2, "pattern": "[0-9]{4,6}"}, {"feature": "f", "id": 3, "pattern": "mit\x00license", "kind": "combination"}])
+    return spark.sql(
+        "SELECT a.message_id, a.area, a.area_ord, a.attachment_id, m.feature, m.expression_id, m.start, m.end, m.text, CAST(NULL AS STRING) AS scan_error FROM {areas} a, LATERAL scan_matches(a.text, :lexicon) m",
+        args={"lexicon": lexicon}, areas=decide.areas(fixture.messages(spark, sf_dir)),
+    )
+
+
 def suppressed_count(spark, sf_dir):
     r = evaluated(spark, sf_dir)
     return outputs.suppressed_counts(r).select("message_id", "suppressed")
@@ -396,7 +407,7 @@ def job_csv(spark, sf_dir):
 
 _ALL = [
     view_filter, view_union, relevant_messages, group_view, latest_folder, feature_definition_json, scope_predicate, attachment_size, html_strip, literal_positions, term_metadata, and_not,
-    group_hit, category_order, short_circuit, suppression, suppressed_count, hit_summary, hit_detail_restricted, hit_detail_unrestricted, feature_hit_summary, record_audit, stage_audit, csv_mirror, union_messages, regex_all_ends,
+    group_hit, category_order, short_circuit, suppression, suppressed_count, hit_summary, hit_detail_restricted, hit_detail_unrestricted, feature_hit_summary, record_audit, stage_audit, csv_mirror, union_messages, regex_all_ends, lateral_matches,
     copies_detail, copies_summary, posix_patterns, evaluation, term_count, term_errors, duplicate_members, message_errors, path_functions, dataset_reader, job_hit_summary, job_hit_restricted, job_hit_unrestricted, job_feature_summary, job_record_audit, job_stage_audit, job_csv,
 ]
 
@@ -574,6 +585,7 @@ def _more_sql(base: str, full: str, direct: dict[str, str]) -> dict[str, str]:
         "csv_mirror": full + _csv_sql(),
         "job_csv": full + _csv_sql(),
         "regex_all_ends": f"WITH {_MESSAGES}" + _all_ends_sql(),
+        "lateral_matches": f"WITH {_MESSAGES}" + _all_ends_sql(),
         "evaluation": f"{full} SELECT feature, area, count(*) AS n FROM (SELECT DISTINCT r.* EXCLUDE (said), v.in_subject, v.in_body, v.in_att FROM v JOIN ok USING (message_id) JOIN raw r ON r.message_id = v.message_id AND r.feature = v.feature "
         "WHERE (v.category = 0 OR v.message_id NOT IN (SELECT message_id FROM stopped)) AND CASE r.area WHEN 'SUBJECT' THEN in_subject WHEN 'MESSAGE_BODY' THEN in_body ELSE in_att END) GROUP BY feature, area",
         "suppressed_count": f"{full} SELECT f.message_id, count(*) - coalesce(any_value(k), 0) AS suppressed FROM found f LEFT JOIN (SELECT message_id, count(*) AS k FROM fin GROUP BY message_id) USING (message_id) WHERE f.category = 2 GROUP BY f.message_id",
