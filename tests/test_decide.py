@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -119,3 +120,44 @@ def test_order_and_duplicates(spark):
     g = sorted(decide.grouped(m).collect(), key=lambda x: x.ord)
     assert [x.feature_id for x in g] == ["3", "2", "1", "4"] and g[0].n_members == 2 and g[0].group_error is None
     assert m.filter("seq <> same_as").count() == 1
+
+
+def test_copies_apart(run, spark):
+    """One id in two datasets and in both folders: each copy is judged by its own texts."""
+    e, t = [Expression("lex", 1, "bomb"), Expression("disc", 1, "no bomb here")], {"lex": [(1, [1], [])], "disc": [(1, [1], [])]}
+    v = view(spark, [("m", "1", "Lexicon", "N", None, "lex"), ("m", "2", "Disclaimer", "N", None, "disc")])
+    base = messages(spark, [("m", None, "a bomb", [])])
+    said = lambda text, ds, flag: messages(spark, [("m", None, text, [])]).withColumns({"dataset_id": F.lit(ds), "restricted": F.lit(flag)})
+    m = base.withColumn("restricted", F.lit(True)).unionByName(said("nothing", "ds", False)).unionByName(said("no bomb here", "other", False)).unionByName(said("x bomb", "other", True)).unionByName(said("x bomb", "other", True))
+    r = outputs.evaluate(m, v, lexicon(spark, t), e)
+    d = sorted((x.dataset_partition_value, x.restricted, json.loads(x.evaluated_lexicons[0].term_dtls[0].matched_text)["hit_details_hs"][0]["msg_text"][0]["start"]) for x in outputs.hit_detail(r, "e", "b", stamp()).collect())
+    assert d == [("ds", True, 2), ("other", True, 2), ("other", True, 2)]
+    s = [sum(y.regex_hit_count for y in x.evaluated_lexicons) for x in outputs.hit_summary(r, "e", "b", stamp()).collect()]
+    assert sorted(s) == [0, 1, 1, 1, 2] and outputs.feature_hit_summary(r, F.lit("t"), "e", "b", stamp()).count() == 5
+    assert [x.suppressed for x in outputs.suppressed_counts(r).collect() if x.suppressed] == [1]
+
+
+def test_containment_without_pairs(spark):
+    """As by all pairs; and a hundred thousand spans of either kind in one text."""
+    r = random.Random(3)
+    spans = [(f"m{r.randint(0, 3)}", r.choice(["B", "A"]), r.choice([None, "x"]), a := r.randint(0, 30), a + r.randint(1, 9), r.random() < 0.4) for _ in range(300)]
+    d = spark.createDataFrame(spans, "copy string, area string, attachment_id string, start int, end int, d boolean")
+    got = sorted(map(str, ((x.copy, x.area, x.attachment_id, x.start, x.end, x.contained) for x in decide.with_contained(d, F.col("d")).collect())))
+    assert got == sorted(map(str, ((*s[:5], any(o[5] and o[:3] == s[:3] and o[3] <= s[3] and s[4] <= o[4] for o in spans)) for s in spans if not s[5])))
+    n = 100_000
+    k = spark.range(2 * n).select(F.lit("m").alias("copy"), F.lit("B").alias("area"), F.lit(None).cast("string").alias("attachment_id"), (F.col("id") / 2).cast("int").alias("start"), ((F.col("id") / 2).cast("int") + F.when(F.col("id") % 2 == 0, 3).otherwise(F.col("id") % 6)).cast("int").alias("end"), (F.col("id") % 2 == 0).alias("d"))
+    found = decide.with_contained(k, F.col("d"))
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString() and found.count() == n
+
+
+def test_one_layout(run, spark):
+    """Behind the copies' layout nothing is shuffled by the copy again, neither for the tables of results nor in them."""
+    e, t = [Expression("lex", 1, "bomb"), Expression("disc", 1, "no bomb")], {"lex": [(1, [1], [])], "disc": [(1, [1], [])]}
+    r = run([("a", None, "a bomb", [])], [("a", "1", "Lexicon", "N", None, "lex"), ("a", "2", "Disclaimer", "N", None, "disc")], t, e)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for d in (outputs.hit_summary(r, "e", "b", stamp()), outputs.hit_detail(r, "e", "b", stamp()), outputs.feature_hit_summary(r, F.lit("t"), "e", "b", stamp()), outputs.suppressed_counts(r)):
+            assert "Exchange" not in d._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

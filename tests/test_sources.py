@@ -10,7 +10,7 @@ from tidemark import __main__ as main
 from tidemark import schemas
 from tidemark.functions.text import Expression
 from tidemark.operators.definitions import term_counts, term_id, terms
-from tidemark.plans import fixture, job, sinks
+from tidemark.plans import fixture, job, outputs, sinks
 from tidemark.sources import paths, tables
 from tidemark.streaming.scan import scan_stream
 
@@ -155,6 +155,39 @@ def test_run_stopped_between_sinks(spark, tmp_path, monkeypatch):
     assert sorted(x.job_status for x in spark.read.parquet(config["pipeline_stage_audit"]).collect()) == ["IN_PROGRESS", "IN_PROGRESS", "SUCCESS"]
 
 
+def test_run_goes_on_behind_its_evaluation(spark, tmp_path, monkeypatch):
+    """A job that failed in a sink scans nothing when it is run again; one whose inputs have changed does."""
+    (tmp_path / "lex/20260101_101").mkdir(parents=True)
+    at = tmp_path / "lex/20260101_101"
+    (at / "lex-compile-results.json").write_text(json.dumps({"results": [{"termId": "lex::1", "compilationStatus": "PASS", "translatedPattern": ["p"], "hyperscanExpressionId": 1}]}))
+    (at / "lex-expressions.json").write_text(json.dumps({"expressions": [{"id": 1, "pattern": "bomb"}]}))
+    view(spark, [(m, "1", "Lexicon", "N", None, "lex") for m in ("a", "b")]).write.parquet(str(tmp_path / "view"))
+    messages(spark, [("a", None, "a bomb", []), ("b", None, "none", [])]).drop("dataset_id", "restricted").write.parquet(str(tmp_path / "live/ds/part/unrestricted"))
+    names = ["lexicon_hit_summary", "lexicon_hit_restricted", "lexicon_hit_unrestricted", "feature_hit_summary", "pipeline_stage_audit", "pipeline_record_audit", "csv_mirror"]
+    config = paths.TableConfig({n: str(tmp_path / n) for n in names} | {"feature_decision_view": str(tmp_path / "view")})
+    args, settings = paths.RuntimeArgs((paths.Dataset("ds", "part"),), "fp", "e", "101", "p", "live"), paths.Settings({"live": str(tmp_path / "live")}, str(tmp_path / "lex"))
+    scans = []
+    evaluate = outputs.evaluate
+    monkeypatch.setattr(outputs, "evaluate", lambda *a, **k: scans.append(1) or evaluate(*a, **k))
+    with monkeypatch.context() as p:
+        p.setattr(sinks, "write_hit_detail", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            job.run_files(spark, args, config, settings)
+    job.run_files(spark, args, config, settings)
+    assert len(scans) == 1
+    got = sinks.read(spark, config["lexicon_hit_unrestricted"], schemas.LEXICON_HIT_DETAIL).collect()
+    assert [x.message_id for x in got] == ["a"] and sinks.read(spark, config["lexicon_hit_summary"], schemas.LEXICON_HIT_SUMMARY).count() == 2
+    job.run_files(spark, args, config, settings)  # it succeeded: nothing is left to go on from
+    assert len(scans) == 2
+    with monkeypatch.context() as p:
+        p.setattr(sinks, "write_csv_mirror", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            job.run_files(spark, args, config, settings)
+    (at / "lex-expressions.json").write_text(json.dumps({"expressions": [{"id": 1, "pattern": "none"}]}))
+    job.run_files(spark, args, config, settings)
+    assert len(scans) == 4 and [x.message_id for x in sinks.read(spark, config["lexicon_hit_unrestricted"], schemas.LEXICON_HIT_DETAIL).collect()] == ["b"]
+
+
 def test_features_of_any_name(spark, tmp_path):
     """Names with blanks and with what readers take for patterns."""
     names = ["lex market", "lex[1]", "a+b", "50% {x}", "q?*", "é"]

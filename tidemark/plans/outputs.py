@@ -9,15 +9,17 @@ joined, grouped nor windowed by anything that would need another shuffle.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas, store
 from tidemark.functions.text import Expression, Lexicon, scan
 from tidemark.operators import decide
 from tidemark.operators.candidates import candidates, index
+from tidemark.sources import paths
 
 
 @dataclass
@@ -28,7 +30,37 @@ class Result:
     messages: DataFrame
     groups: DataFrame
     found: DataFrame
-    raw: DataFrame
+    raw: DataFrame | None = None
+
+    @classmethod
+    def of(cls, messages: DataFrame, groups: DataFrame, found: DataFrame, raw: DataFrame | None = None) -> Result:
+        """Of tables laid out by copy; what was found in messages that failed later is left out."""
+        out = cls(messages, groups, found.join(messages.filter("error is null").select("copy"), "copy", "left_semi"), raw)
+        out._tables = {"messages": messages, "groups": groups, "found": found}
+        return out
+
+    def keep(self, path: str) -> None:
+        """Leave the evaluation to later runs: its tables, and where they are in a file written last."""
+        spark = self.messages.sparkSession
+        told = {n: {"path": store.keep(d), "schema": ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema)} for n, d in self._tables.items()}
+        paths.write_text(spark, path, json.dumps({"buckets": store.buckets(spark), "tables": told}))
+
+    @classmethod
+    def kept(cls, spark: SparkSession, path: str) -> Result | None:
+        """What keep() has left, if all of it is there."""
+        if not paths.exists(spark, path):
+            return None
+        told = json.loads(paths.read_text(spark, path))
+        if not all(paths.exists(spark, t["path"]) for t in told["tables"].values()):
+            return None
+        return cls.of(**{n: store.registered(spark, t["path"], t["schema"], "copy", told["buckets"]) for n, t in told["tables"].items()})
+
+    def drop(self, path: str) -> None:
+        """Delete what keep() has left: the file first."""
+        spark = self.messages.sparkSession
+        store.forget(spark, path)
+        for d in self._tables.values():
+            store.drop_kept(spark, d._tidemark_path)
 
 
 def evaluate(messages: DataFrame, view: DataFrame, terms: DataFrame, expressions: list[Expression], attachment_limit: int | None = None) -> Result:
@@ -68,9 +100,8 @@ def evaluate(messages: DataFrame, view: DataFrame, terms: DataFrame, expressions
     bad_lexicon = named.join(bad_terms, "feature").groupBy("copy").agg(F.min(F.concat_ws(": ", "feature", "_e")).alias("_lex"))
     base = base.join(bad_lexicon, "copy", "left").join(bad_scan, "copy", "left").join(reached.select("copy", "_id"), "copy", "left")
     base = laid(base.withColumn("error", F.coalesce("error", "_lex", "_scan", "_id")).drop("_lex", "_scan", "_id"), "messages", "copy")
-    ok = base.filter("error is null").select("copy")
-    groups = laid(groups.join(ok, "copy", "left_semi"), "groups", "copy")
-    return Result(base, groups, found.join(ok, "copy", "left_semi"), every)
+    groups = laid(groups.join(base.filter("error is null").select("copy"), "copy", "left_semi"), "groups", "copy")
+    return Result.of(base, groups, found, every)
 
 
 def _each(d: DataFrame) -> DataFrame:

@@ -52,6 +52,18 @@ def list_objects(spark: SparkSession, path: str) -> list[str]:
     return sorted(out)
 
 
+def state(spark: SparkSession, path: str) -> list[str]:
+    """Every file below path with its size and time, in order: it tells whether what is there is still the same."""
+    p, fs = file_system(spark, path)
+    if not fs.exists(p):
+        return []
+    it, out = fs.listFiles(p, True), []
+    while it.hasNext():
+        f = it.next()
+        out.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    return sorted(out)
+
+
 def literal(path: str) -> str:
     """A path for Spark's readers, whose names may have what they would take for a pattern of names."""
     return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)

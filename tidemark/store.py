@@ -59,6 +59,30 @@ def layout(df: DataFrame, name: str, key: str, dealt: bool = False) -> DataFrame
     return out
 
 
+def registered(spark: SparkSession, path: str, schema: str, key: str, n: int) -> DataFrame:
+    """A table that layout() has written, in this session or another."""
+    table = f"spark_catalog.default.tidemark_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE {table} ({schema}) USING parquet CLUSTERED BY ({key}) INTO {n} BUCKETS LOCATION '{path.replace("'", "''")}'")
+    out = spark.table(table)
+    out._tidemark_path = path
+    return out
+
+
+#: Tables that stay when the process ends.
+_kept: set[str] = set()
+
+
+def keep(df: DataFrame) -> str:
+    """The path of a table that layout() has written; it is not deleted at the process's end."""
+    _kept.add(df._tidemark_path)
+    return df._tidemark_path
+
+
+def drop_kept(spark: SparkSession, path: str) -> None:
+    _kept.discard(path)
+    forget(spark, path)
+
+
 def buckets(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -72,7 +96,8 @@ def _undo(spark: SparkSession, table: str, path: str) -> None:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
     except Exception:  # the session may have ended
         pass
-    forget(spark, path)
+    if path not in _kept:
+        forget(spark, path)
 
 
 def drop_table(df: DataFrame) -> None:
