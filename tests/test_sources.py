@@ -1,8 +1,12 @@
 import dataclasses
 import datetime as dt
 import json
+import struct
+import zlib
 
+import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from tests.test_decide import lexicon, messages, view
@@ -11,7 +15,7 @@ from tidemark import schemas
 from tidemark.functions.text import Expression
 from tidemark.operators.definitions import term_counts, term_id, terms
 from tidemark.plans import fixture, job, outputs, sinks
-from tidemark.sources import paths, tables
+from tidemark.sources import avro, paths, tables
 from tidemark.streaming.scan import scan_stream
 
 
@@ -225,6 +229,87 @@ def test_stand_in_format(spark, tmp_path):
     assert row.message_id == "a" and not row.restricted and row.attachments[0].content.clean_text == "y"
 
 
+def _zigzag(n):
+    n, out = (n << 1) ^ (n >> 63), bytearray()
+    while n > 127:
+        out.append(n & 127 | 128)
+        n >>= 7
+    return bytes(out + bytes((n,)))
+
+
+META = {"type": "record", "name": "meta", "fields": [{"name": "attachment_id", "type": ["null", "string"]}, {"name": "size", "type": "double"}]}
+
+
+def _encoded(schema, x):
+    schema = META if schema == "meta" else schema  # named before
+    if isinstance(schema, list):
+        k = next(k for k, s in enumerate(schema) if (s == "null") == (x is None))
+        return _zigzag(k) + _encoded(schema[k], x)
+    kind = schema["type"] if isinstance(schema, dict) else schema
+    if kind == "record":
+        return b"".join(_encoded(f["type"], x[f["name"]]) for f in schema["fields"])
+    if kind == "array":
+        return (_zigzag(len(x)) + b"".join(_encoded(schema["items"], y) for y in x) if x else b"") + _zigzag(0)
+    if kind == "map":
+        body = b"".join(_encoded("string", k) + _encoded(schema["values"], v) for k, v in x.items())
+        return (_zigzag(-len(x)) + _zigzag(len(body)) + body if x else b"") + _zigzag(0)
+    if kind == "string":
+        return _zigzag(len(x.encode())) + x.encode()
+    return {"null": lambda: b"", "boolean": lambda: bytes((x,)), "int": lambda: _zigzag(x), "long": lambda: _zigzag(x), "double": lambda: struct.pack("<d", x), "enum": lambda: _zigzag(schema["symbols"].index(x)) if kind == "enum" else b""}[kind]()
+
+
+def avro_file(schema, rows, codec, block=2):
+    sync = bytes(range(16))
+    out = avro.MAGIC + _zigzag(2) + b"".join(_encoded("string", k) + _encoded("string", v) for k, v in (("avro.schema", json.dumps(schema)), ("avro.codec", codec))) + _zigzag(0) + sync
+    for k in range(0, len(rows), block):
+        raw = b"".join(_encoded(schema, r) for r in rows[k : k + block])
+        if codec == "deflate":
+            raw = zlib.compress(raw)[2:-4]
+        if codec == "snappy":
+            raw = pa.compress(raw, codec="snappy", asbytes=True) + b"crc!"
+        if codec == "zstandard":
+            raw = zstandard.compress(raw)
+        out += _zigzag(len(rows[k : k + block])) + _zigzag(len(raw)) + raw + sync
+    return out
+
+
+@pytest.mark.parametrize("codec", ["null", "deflate", "snappy", "zstandard"])
+def test_avro(spark, tmp_path, codec):
+    """Messages from Avro folders, restricted and not, as from Parquet: fields that a message lacks are left out, absent ones
+    are null."""
+    text = ["null", "string"]
+    content = {"type": "record", "name": "content", "fields": [{"name": n, "type": text} for n in ("header", "raw_text", "subject")] + [{"name": "n", "type": "long"}]}
+    att = {"type": "record", "name": "att", "fields": [{"name": "metadata", "type": META}, {"name": "content", "type": ["null", {"type": "record", "name": "ac", "fields": [{"name": "clean_text", "type": text}]}]}]}
+    schema = {
+        "type": "record", "name": "message", "namespace": "x", "fields": [
+            {"name": "kind", "type": {"type": "enum", "name": "kind", "symbols": ["a", "b"]}}, {"name": "message_id", "type": "string"}, {"name": "tags", "type": {"type": "map", "values": "string"}},
+            {"name": "message", "type": {"type": "record", "name": "body", "fields": [{"name": "content", "type": content}]}}, {"name": "attachments", "type": ["null", {"type": "array", "items": att}]}, {"name": "again", "type": ["null", "meta"]},
+        ],
+    }
+    def row(k):
+        return {
+            "kind": "b", "message_id": f"m{k}", "tags": {"k": "v"} if k % 2 else {}, "message": {"content": {"header": None, "raw_text": f"é {k}", "subject": None if k % 3 else "s", "n": -k * 10**9}},
+            "attachments": None if k % 4 == 0 else [{"metadata": {"attachment_id": f"a{j}", "size": 0.5}, "content": {"clean_text": "t"} if j else None} for j in range(k)], "again": None if k % 2 else {"attachment_id": "z", "size": 1.0},
+        }
+
+    for name, ks in (("restricted", range(3)), ("unrestricted", range(3, 8))):
+        (tmp_path / f"ds/p/{name}").mkdir(parents=True)
+        (tmp_path / f"ds/p/{name}/part.avro").write_bytes(avro_file(schema, [row(k) for k in ks], codec))
+    d = tables.read_dataset(spark, str(tmp_path), "ds", "p", fmt="avro")
+    assert d.schema["message"].dataType == schemas.MESSAGE["message"].dataType
+    got = {x.message_id: x for x in d.collect()}
+    assert set(got) == {f"m{k}" for k in range(8)}
+    for k in range(8):
+        x, want = got[f"m{k}"], row(k)
+        assert x.restricted == (k < 3) and x.source is None and x.processing is None
+        assert (x.message.content.raw_text, x.message.content.subject, x.message.content.clean_text) == (f"é {k}", want["message"]["content"]["subject"], None)
+        assert (x.attachments is None) == (want["attachments"] is None)
+        assert [(a.metadata.attachment_id, a.content and a.content.clean_text) for a in x.attachments or ()] == [(a["metadata"]["attachment_id"], a["content"] and "t") for a in want["attachments"] or ()]
+    (tmp_path / "ds/p/restricted/bad.avro").write_bytes(b"no avro")
+    with pytest.raises(Exception, match="not an Avro file"):
+        tables.read_dataset(spark, str(tmp_path), "ds", "p", fmt="avro").count()
+
+
 def test_stream(spark, tmp_path):
     m = messages(spark, [("a", "bomb", "a bomb", [])])
     m.write.parquet(str(tmp_path / "in"))

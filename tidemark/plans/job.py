@@ -98,6 +98,6 @@ def run_files(spark: SparkSession, args: RuntimeArgs, config: TableConfig, setti
     run(
         spark, args, config,
         lambda: spark.read.format(settings.fmt).load(config["feature_decision_view"]),
-        lambda ds, part, ids: tables.read_dataset(spark, root, ds, part, ids, settings.fmt),
+        lambda ds, part, ids: tables.read_dataset(spark, root, ds, part, ids, settings.message_fmt or settings.fmt),
         lexicon, settings.attachment_limit, fmt=settings.fmt, created_by=settings.created_by, inputs=inputs, **more,
     )

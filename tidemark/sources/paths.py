@@ -179,12 +179,14 @@ class Settings:
     attachment_limit: int | None = None
     fmt: str = "parquet"
     created_by: str = "tidemark"
+    #: where it isn't that of the tables: avro, for one
+    message_fmt: str | None = None
 
     @classmethod
     def parse(cls, text: str) -> Settings:
         """From JSON. Unknown keys are left out; missing roots are an error."""
         d = json.loads(text)
-        return cls({str(k): str(v) for k, v in d["message_roots"].items()}, d["lexicon_root"], d.get("attachment_limit"), d.get("format", "parquet"), d.get("created_by", "tidemark"))
+        return cls({str(k): str(v) for k, v in d["message_roots"].items()}, d["lexicon_root"], d.get("attachment_limit"), d.get("format", "parquet"), d.get("created_by", "tidemark"), d.get("message_format"))
 
 
 def message_bucket(buckets: dict[str, str], trigger_type: str) -> str:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.functions.text import Expression, check_expression
 from tidemark.operators.definitions import terms, with_definition
-from tidemark.sources import paths
+from tidemark.sources import avro, paths
 from tidemark.store import materialise
 
 
@@ -88,12 +88,13 @@ def relevant(messages: DataFrame, ids: DataFrame) -> DataFrame:
 
 def read_dataset(spark: SparkSession, root: str, dataset_id: str, partition: str, ids: DataFrame | None = None, fmt: str = "parquet") -> DataFrame:
     """A dataset's restricted and unrestricted messages, <root>/<dataset>/<partition>/{restricted,unrestricted}. Either
-    folder may be missing; both missing is NoMessagesFound. fmt may be avro where that source is installed."""
+    folder may be missing; both missing is NoMessagesFound. fmt may be avro."""
     found = []
     for name, restricted in (("restricted", True), ("unrestricted", False)):
         path = f"{root.rstrip('/')}/{dataset_id}/{partition}/{name}"
         if paths.exists(spark, path):
-            found.append(tagged(tolerant(spark.read.format(fmt).load(path)), dataset_id, restricted))
+            d = avro.read(spark, path, schemas.MESSAGE) if fmt == "avro" else tolerant(spark.read.format(fmt).load(path))
+            found.append(tagged(d, dataset_id, restricted))
     if not found:
         raise NoMessagesFound(f"{root}/{dataset_id}/{partition}")
     d = reduce(DataFrame.unionByName, found)
