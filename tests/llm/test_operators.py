@@ -668,3 +668,40 @@ def test_crf_marginals():
         want_pair += q / z
         at += n
     assert np.allclose(m, want) and np.allclose(pair, want_pair)
+
+
+def planted_people(r, apart, n_people=60, n_other=3000):
+    """Texts of a made-up vocabulary; each person's surname stands in four to seven texts, the address in all of these but
+    `apart`. Returns the rows and the surnames."""
+    syllables = ["ka", "lo", "mi", "ter", "en", "sta", "ru", "vel", "do", "sin", "bar", "ne"]
+    vocabulary = list({"".join(r.choice(syllables) for _ in range(r.randint(2, 3))) for _ in range(1500)})
+    said = lambda n: [vocabulary[min(int(r.expovariate(0.004)), len(vocabulary) - 1)] for _ in range(n)]
+    rows, names = [], []
+    for k in range(n_people):
+        name = "Zq" + "".join(chr(97 + int(c)) for c in f"{k:03d}") + "son"
+        names.append(name)
+        for j in range(r.randint(4, 7)):
+            text = said(40)
+            text.insert(r.randint(0, 39), name)
+            if j >= apart:
+                text.insert(r.randint(0, 39), f"p{k}@mail{k % 9}.example.com")
+            rows.append(" ".join(text))
+    rows += [" ".join(said(40)) for _ in range(n_other)]
+    return [(i, t) for i, t in enumerate(rows)], names
+
+
+@pytest.mark.parametrize("apart, recall", [(0, 0.95), (1, 0.7), (2, 0.4)])
+def test_terms_of_planted_people(spark, apart, recall):
+    """Precision and recall of the terms that disclose an entity, over all places: the less often a name stands with the
+    address, the less it tells."""
+    rows, names = planted_people(random.Random(21), apart)
+    text = dict(rows)
+    marked, right, planted = 0, 0, 0
+    for x in pii.find(docs(spark, rows)).collect():
+        spans = [tuple(map(int, s.split(":")[1:])) for s in x.spans.split(",") if s.startswith("term:")]
+        words_ = [text[x.doc_id][a:z] for a, z in spans]
+        marked += len(words_)
+        right += sum(w in names for w in words_)
+        planted += sum(w in names for w in text[x.doc_id].split())
+    print("marked, right, planted", marked, right, planted)
+    assert planted > 300 and right / marked >= 0.95 and right / planted >= recall, (marked, right, planted)
