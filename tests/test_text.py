@@ -48,7 +48,7 @@ def test_all_ends_against_brute_force():
             assert all_ends(text, pattern) == brute(text, pattern), (text, pattern)
 
 
-PATTERNS = ["a+b", "ab|ba", "(a|ab)(b|a)?", "[ab]{2,3}", "a.?b", "(?:a|b)+b", "(a+)+b", "a*b*a", "^a+", "[^b]+", "(?:ab){1,2}", "x{0}a", r"\w+ \w+"]
+PATTERNS = ["a+b", "ab|ba", "(a|ab)(b|a)?", "[ab]{2,3}", "a.?b", "(?:a|b)+b", "(a+)+b", "a*b*a", "^a+", "[^b]+", "(?:ab){1,2}", "x{0}a", r"\w+ \w+", "(?:a+b?)*a", "(?:ab|b+a?)+", "(?:(?:ab)*b )+", "a(?:b|ba|aab)*b"]
 
 
 def test_automaton_against_brute_force():
@@ -72,6 +72,8 @@ def test_no_pattern_explodes():
     assert len(all_ends("a" * 1_000_000, "[a-z]+")) == 1_000_000
     text = "buy " + "some words here " * 62_500 + "x"
     assert all_ends(text, "buy.*x") == [(0, len(text))] and all_ends("no " + text[4:], "buy.*x") == []
+    words = "some words here " * 62_500
+    assert all_ends(words + "x", r"(?:\w+\s?)+x") == [(0, 1_000_001)] and all_ends("!" + words, r"(?:[a-z]+ )*here ,") == []
     assert all_ends("a" * 200_000 + "b", "(a|a){30}b") == [(199_970, 200_001)] and all_ends("a" * 100_000, "((a{1,200}){1,200})*b") == []
     assert time.time() - start < 20
     for bad in (r"(a+)+\1", "(?:a*)*(?=b)", "(", "a++b", "[[:nothing:]]", r"\p{Nothing}"):
