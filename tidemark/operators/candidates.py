@@ -23,7 +23,7 @@ def folded(text: Column) -> Column:
     """A text with characters that match each other in any case made equal, letter by letter."""
     # the dot of a dotted i goes; also, Spark would take one change of case right after another for needless
     undotted = lambda x: F.translate(x, "\u0307", "")
-    return F.translate(F.lower(undotted(F.upper(undotted(F.lower(text))))), "ς", "σ")
+    return F.translate(F.lower(undotted(F.upper(undotted(F.lower(text))))), "\u03c2", "\u03c3")
 
 
 def words(text: Column) -> Column:
