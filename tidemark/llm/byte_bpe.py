@@ -223,7 +223,7 @@ EDGES = [
 STEP = [[REJECT] * 256 for _ in range(9)]
 for _s, _a, _z, _t in EDGES:
     STEP[_s][_a : _z + 1] = [_t] * (_z + 1 - _a)
-REPLACEMENT = "�".encode()
+REPLACEMENT = "\ufffd".encode()
 
 
 class Utf8:
