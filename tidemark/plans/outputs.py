@@ -88,7 +88,7 @@ def evaluate(messages: DataFrame, view: DataFrame, terms: DataFrame, expressions
     # stage two: the others, for copies that go on
     go = gm.filter("not is_nr").join(stopped, "copy", "left_anti")
     raw_more = raw(go, "raw")
-    found = laid(found_nr.unionByName(decide.term_matches(decide.member_matches(go, raw_more), terms)), "found", "copy")
+    found = laid(found_nr.unionByName(decide.term_matches(decide.member_matches(go, raw_more), terms)), "found", "copy", dealt=True)
     groups = decide.evaluated(decide.group_hits(gg, found))
     every = raw_nr.unionByName(raw_more)
     # errors that only a scanned or evaluated group can meet
@@ -99,8 +99,8 @@ def evaluate(messages: DataFrame, view: DataFrame, terms: DataFrame, expressions
     named = reached.join(sets, "copy").select("copy", F.explode(F.array_distinct(F.transform(F.filter("_sets", lambda x: F.array_contains(F.col("_reached"), x["id"])), lambda x: x["feature"]))).alias("feature"))
     bad_lexicon = named.join(bad_terms, "feature").groupBy("copy").agg(F.min(F.concat_ws(": ", "feature", "_e")).alias("_lex"))
     base = base.join(bad_lexicon, "copy", "left").join(bad_scan, "copy", "left").join(reached.select("copy", "_id"), "copy", "left")
-    base = laid(base.withColumn("error", F.coalesce("error", "_lex", "_scan", "_id")).drop("_lex", "_scan", "_id"), "messages", "copy")
-    groups = laid(groups.join(base.filter("error is null").select("copy"), "copy", "left_semi"), "groups", "copy")
+    base = laid(base.withColumn("error", F.coalesce("error", "_lex", "_scan", "_id")).drop("_lex", "_scan", "_id"), "messages", "copy", dealt=True)
+    groups = laid(groups.join(base.filter("error is null").select("copy"), "copy", "left_semi"), "groups", "copy", dealt=True)
     return Result.of(base, groups, found, every)
 
 
