@@ -161,3 +161,9 @@ def test_one_layout(run, spark):
             assert "Exchange" not in d._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_few_literals_need_no_index(run, monkeypatch):
+    monkeypatch.setattr(outputs, "index", lambda *x: pytest.fail("the words of all texts are counted"))
+    r = run([("a", None, "a BOMB <b> here", [("x", "no")])], [("a", "1", "Lexicon", "N", None, "lex")], {"lex": [(1, [1], []), (2, [2], [])]}, [Expression("lex", 1, "bomb"), Expression("lex", 2, "[0-9]+ here")])
+    assert [(x.term_id, x.start, x.end) for x in r.found.collect()] == [("lex::1", 2, 6)]

@@ -39,7 +39,7 @@ def strip_markup(text: Column) -> Column:
 
 def is_blank(text: Column) -> Column:
     """Null, empty or white space only."""
-    return F.coalesce(F.regexp_replace(text, SPACE_CLASS + "+", ""), F.lit("")) == ""
+    return ~F.coalesce(F.rlike(text, F.lit("[^" + SPACE_CLASS[1:])), F.lit(False))
 
 
 def within_size(text: Column, limit: int | None) -> Column:

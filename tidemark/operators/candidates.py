@@ -17,13 +17,15 @@ from tidemark.functions.text import Lexicon, strip_markup
 from tidemark.store import materialise
 
 GRAM = 3
+#: A lexicon of so many literals needs no index: each text is looked through for them.
+FEW_LITERALS = 200
 
 
 def folded(text: Column) -> Column:
     """A text with characters that match each other in any case made equal, letter by letter."""
     # the dot of a dotted i goes; also, Spark would take one change of case right after another for needless
-    undotted = lambda x: F.translate(x, "\u0307", "")
-    return F.translate(F.lower(undotted(F.upper(undotted(F.lower(text))))), "\u03c2", "\u03c3")
+    undotted = lambda x: F.replace(x, F.lit("\u0307"), F.lit(""))
+    return F.replace(F.lower(undotted(F.upper(undotted(F.lower(text))))), F.lit("\u03c2"), F.lit("\u03c3"))
 
 
 def words(text: Column) -> Column:
@@ -61,3 +63,16 @@ def candidates(texts: DataFrame, indexed: DataFrame, key: str) -> DataFrame:
     d = texts.select(key, "area_ord", F.explode(words(F.col("text"))).alias("word")).join(indexed, "word")
     d = d.select(key, "area_ord", F.explode("expressions").alias("expression"))
     return d.groupBy(key).agg(F.collect_set(F.struct("area_ord", "expression")).alias("candidates"))
+
+
+def found_directly(texts: DataFrame, lexicon: Lexicon, key: str) -> DataFrame:
+    """The same for a lexicon of few literals: each is looked for in the folded text, which is gone through once, and no word
+    leaves its row. A literal has no white space, so that it stands in a text as it does in the stripped one."""
+    needs: dict[int, dict[int, list[Column]]] = {}
+    for k, leaf, word in lexicon.literals():
+        needs.setdefault(k, {}).setdefault(leaf, []).append(F.contains(F.col("_folded"), folded(F.lit(word))))
+    may = [F.when(reduce(Column.__and__, (reduce(Column.__or__, some) for some in leaves.values())), F.lit(k)) for k, leaves in needs.items()]
+    d = texts.select(key, "area_ord", folded(F.coalesce("text", F.lit(""))).alias("_folded"))
+    d = d.select(key, "area_ord", F.array_compact(F.array(*may).cast("array<int>")).alias("e"))
+    own = F.transform("e", lambda x: F.struct("area_ord", x.alias("expression")))
+    return d.groupBy(key).agg(F.flatten(F.collect_list(own)).alias("candidates"))

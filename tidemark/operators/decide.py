@@ -26,7 +26,8 @@ def copies(messages: DataFrame, attachment_limit: int | None = None) -> DataFram
     match, struct(area, area_ord, attachment_id, text). The name of a copy tells what is in it, so that a task that is run
     again gives the same names."""
     d = messages.select("message_id", "dataset_id", "restricted", _areas(attachment_limit).alias("areas"))
-    name = F.substring(F.sha2(F.to_json(F.struct("message_id", "dataset_id", "restricted", "areas"), {"ignoreNullFields": "false"}), 256), 1, 40)
+    said = F.transform("areas", lambda a: a.withField("text", F.sha2(a["text"], 256)))
+    name = F.substring(F.sha2(F.to_json(F.struct("message_id", "dataset_id", "restricted", said.alias("areas")), {"ignoreNullFields": "false"}), 256), 1, 40)
     d = d.groupBy(name.alias("copy")).agg(F.first(F.struct(*d.columns)).alias("d"), F.count(F.lit(1)).alias("n_rows"))
     return d.select("copy", "d.message_id", "d.dataset_id", "d.restricted", "n_rows", "d.areas")
 

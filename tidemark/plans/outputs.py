@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas, store
 from tidemark.functions.text import Expression, Lexicon, scan
 from tidemark.operators import decide
-from tidemark.operators.candidates import candidates, index
+from tidemark.operators.candidates import FEW_LITERALS, candidates, found_directly, index
 from tidemark.sources import paths
 
 
@@ -75,7 +75,9 @@ def evaluate(messages: DataFrame, view: DataFrame, terms: DataFrame, expressions
     good = bad.filter("error is null").select("copy")
     gm, gg = m.join(good, "copy", "left_semi"), g.join(good, "copy", "left_semi")
     texts = copies.select("copy", F.explode("areas").alias("a")).select("copy", "a.area_ord", "a.text")
-    may = laid(candidates(texts, store.materialise(index(texts, lexicon), "index"), "copy"), "candidates", "copy", dealt=True)
+    few = len(lexicon.literals()) <= FEW_LITERALS
+    may = found_directly(texts, lexicon, "copy") if few else candidates(texts, store.materialise(index(texts, lexicon), "index"), "copy")
+    may = laid(may, "candidates", "copy", dealt=True)
 
     def raw(of: DataFrame, name: str) -> DataFrame:
         return laid(scan(decide.asked(copies, decide.requests(of), may), lexicon, "copy"), name, "copy", dealt=True)
