@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import patterns, sql
-from tidemark.functions.text import Expression, Lexicon, Stripped, all_ends, check_expression, is_blank, literal_positions, scan, scan_text, strip_markup, within_size
-from tidemark.operators.candidates import candidates, folded, index
+from tidemark.functions.text import JAVA_SPACE, Expression, Lexicon, Stripped, all_ends, check_expression, is_blank, literal_positions, scan, scan_text, strip_markup, within_size
+from tidemark.operators.candidates import candidates, folded, found_directly, index
 
 
 def test_strip_and_places():
@@ -199,3 +199,45 @@ def test_sql_surface(spark):
     by = sql.matcher([Expression("f", 7, "b[a-z]m"), Expression("g", 8, "in{2}\x00bam", kind="combination")])
     got = d.select("i", F.inline(by(F.col("t")))).collect()
     assert sorted(tuple(x) for x in got) == rows
+
+
+def test_lengths_apart(monkeypatch):
+    """Patterns of few lengths are searched for length by length: the matches are those of all places at once."""
+    some = ["th[a-z]{1,3}d", "[0-9]{4,6}", "a(?:b|ba)?b", "(?:ab|b)a?", r"\ba{1,2}b?", "a?b$", "^a?b", "[^a]{1,2}b", "(?:a.){1,2}b", "(?:x|ab{0,2})a", "a{0,1}[aA]b"]
+    r = random.Random(12)
+    for _ in range(150):
+        text = "".join(r.choice("abAB \n") for _ in range(r.randint(0, 14))) + r.choice(["", "12345678", "thadthxxd", "Thd thaad\n"])
+        for pattern in some:
+            for flags in ("i", "", "im", "is"):
+                assert all_ends(text, pattern, flags) == patterns.linear_ends(text, pattern, flags), (text, pattern, flags)
+    dense = "a" * 2000
+    assert all_ends(dense, "a{2,4}") == patterns.linear_ends(dense, "a{2,4}", "i")
+    # a long text in which little matches isn't carried through place by place
+    monkeypatch.setattr(patterns, "linear_ends", lambda *x: pytest.fail("all places at once"))
+    assert all_ends("no such words " * 5000 + "third 12345", "th[a-z]{1,3}d") == [(70_000, 70_005)]
+
+
+def test_single_blanks_stand_for_themselves():
+    """Against the plain rule: each run of tags and white space becomes one blank, at its own place."""
+    r = random.Random(13)
+    runs = re.compile(rf"(?:<[^>]*>|[{re.escape(JAVA_SPACE)}])+")
+    for _ in range(2000):
+        text = "".join(r.choice(["<", ">", "<b>", " ", " ", "\n", "\x1c", "\xa0", "a", "\u2003"]) for _ in range(r.randint(0, 14)))
+        s = Stripped(text)
+        assert s.text == runs.sub(" ", text)
+        at = [k for m in re.finditer(rf"{runs.pattern}|(?s:.)", text) for k in [m.start()]]
+        assert [s.original(k) for k in range(len(s.text))] == at and s.original(len(s.text)) == len(text), text
+    assert len(Stripped("word " * 1000)._at) < 5  # one entry a blank before
+
+
+def test_few_literals(spark):
+    """A lexicon of few literals is looked for in the texts themselves: no word is counted, and every match is a candidate."""
+    e = [Expression("f", 1, "stra\u00dfe a"), Expression("f", 2, "mit\x00license", kind="combination"), Expression("g", 3, "(?:foo|barn)x+"), Expression("h", 4, r"\d{3}"), Expression("h", 5, "\u0130x")]
+    r = random.Random(14)
+    texts = ["".join(r.choice(["stra\u00dfe a", "STRA\u1e9eE a", "ix", "I\u0307X", "mit", "licen\u017fe", "License", " ", "<b>", "FOOx", "barn", "xx", "123", "\n"]) for _ in range(r.randint(0, 8))) for _ in range(300)]
+    d = spark.createDataFrame([(str(i), 1, t) for i, t in enumerate([*texts, None])], "message_id string, area_ord int, text string")
+    got = {x.message_id: {c.expression for c in x.candidates} for x in found_directly(d, Lexicon(e), "message_id").collect()}
+    keys = {k: x.expression_id for k, x in enumerate(e)}
+    for i, t in enumerate(texts):
+        assert {x[0] for x in scan_text(t, e) if x[0] != 4} <= {keys[k] for k in got[str(i)]}, t
+    assert got[str(len(texts))] == set() and sum(map(len, got.values())) < 4 * len(texts)

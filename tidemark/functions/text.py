@@ -26,7 +26,8 @@ except ImportError:
 JAVA_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f "
 JAVA_SPACE += "\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2008\u2009\u200a\u2028\u2029\u205f\u3000"
 _SPACE = f"[{re.escape(JAVA_SPACE)}]"
-_SEPARATORS = re.compile(rf"(?:<[^>]*>|{_SPACE})+")
+#: Runs of tags and white space, but for a single blank, which stands for itself.
+_SEPARATORS = re.compile(rf"(?: (?=<|{_SPACE})|(?! )(?:<[^>]*>|{_SPACE}))(?:<[^>]*>|{_SPACE})*")
 #: The same class for Spark's regular expressions.
 SPACE_CLASS = r"[\t-\r\x1c-\x1f\x20\u1680\u2000-\u2006\u2008-\u200a\u2028\u2029\u205f\u3000]"
 
@@ -156,7 +157,7 @@ class Lexicon:
         if len(words) > most or len(self.open) > most:
             return F.lit(True)
         some = texts.rlike("(?isu)" + "|".join(words)) if words else F.lit(False)
-        return some | self.unfiltered(features) if self.open else some
+        return self.unfiltered(features) | some if self.open else some  # the cheap one first
 
     def unfiltered(self, features: Column) -> Column:
         """Whether one of the features has an expression that needs no literal."""
