@@ -325,3 +325,14 @@ def test_csv_mirror(spark, tmp_path):
         sinks.write_csv_mirror(d, str(tmp_path / "m.csv"))
     got = spark.read.option("header", True).option("escape", '"').csv(str(tmp_path / "m.csv")).collect()
     assert len(got) == 1 and "1" in got[0].evaluated_lexicons
+
+
+def test_the_readers_ids_are_written_once(spark, monkeypatch):
+    """Each dataset counts, filters and joins the ids: they are a table by then, not the view again."""
+    from tidemark.plans import catalog
+
+    seen = []
+    monkeypatch.setattr(catalog, "deployed", lambda *x: "nowhere")
+    monkeypatch.setattr(tables, "read_dataset", lambda s, root, ds, part, ids: seen.append(ids) or tables.tagged(spark.createDataFrame([], schemas.MESSAGE), ds, True))
+    catalog.dataset_reader(spark, "/root/testdata/sf0.001")
+    assert len(seen) == 2 and all(hasattr(d, "_tidemark_path") and d.columns == ["message_id"] for d in seen)

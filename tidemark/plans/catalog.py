@@ -370,7 +370,8 @@ def path_functions(spark, sf_dir):
 
 def dataset_reader(spark, sf_dir):
     """Messages from their folders, restricted and not, with all fields, those of the view's ids only."""
-    base, ids = deployed(spark, sf_dir), view_of(spark, sf_dir)
+    base = deployed(spark, sf_dir)
+    ids = store.materialise(view_of(spark, sf_dir).select("message_id").distinct(), "ids")  # each dataset reads them several times
     d = tables.union_messages([tables.read_dataset(spark, f"{base}/live", ds, f"part-{ds}", ids) for ds in ("docs", "conv")])
     return d.select("message_id", "dataset_id", "restricted", F.length("message.content.raw_text").cast("long").alias("n_chars"), F.size("attachments").cast("long").alias("n_attachments"), (F.col("source").isNull() & F.col("processing").isNull()).alias("absent_is_null"))
 
