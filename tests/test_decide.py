@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.functions.text import Expression
+from tidemark.functions.text import Expression, Lexicon
 from tidemark.operators import decide
 from tidemark.operators.definitions import check_definitions, terms, with_definition
 from tidemark.plans import outputs
@@ -167,3 +167,19 @@ def test_few_literals_need_no_index(run, monkeypatch):
     monkeypatch.setattr(outputs, "index", lambda *x: pytest.fail("the words of all texts are counted"))
     r = run([("a", None, "a BOMB <b> here", [("x", "no")])], [("a", "1", "Lexicon", "N", None, "lex")], {"lex": [(1, [1], []), (2, [2], [])]}, [Expression("lex", 1, "bomb"), Expression("lex", 2, "[0-9]+ here")])
     assert [(x.term_id, x.start, x.end) for x in r.found.collect()] == [("lex::1", 2, 6)]
+
+
+def test_nothing_by_copy_is_broadcast(run, spark):
+    """However small the tables look: rows of all copies stay where they are."""
+    e, t = [Expression("lex", 1, "bomb"), Expression("disc", 1, "no bomb")], {"lex": [(1, [1], [])], "disc": [(1, [1], [])]}
+    r = run([("a", None, "a bomb", [])], [("a", "1", "Lexicon", "N", None, "lex"), ("a", "2", "Disclaimer", "N", None, "disc")], t, e)
+    for d in (r.groups, r.found, outputs.hit_summary(r, "e", "b", stamp()), outputs.hit_detail(r, "e", "b", stamp()), outputs.feature_hit_summary(r, F.lit("t"), "e", "b", stamp()), outputs.suppressed_counts(r)):
+        plan = d._jdf.queryExecution().executedPlan().toString()
+        assert "Join" in plan and "Broadcast" not in plan
+
+
+def test_texts_go_for_what_their_features_ask(spark):
+    lex = Lexicon([Expression("nr", 1, "rights"), Expression("lex", 1, "bomb"), Expression("lex", 2, "with")])
+    d = spark.createDataFrame([(["nr"], [1, 2]), (["lex"], [0, 2]), ([], [0])], "features array<string>, candidates array<int>")
+    assert [x[0] for x in d.select(lex.asked_for(F.col("candidates"), F.col("features"))).collect()] == [[], [2], []]
+    assert [x[0] for x in d.select(lex.asked_for(F.col("candidates"), F.col("features"), 2)).collect()] == [[1, 2], [0, 2], [0]]

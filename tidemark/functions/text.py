@@ -159,6 +159,14 @@ class Lexicon:
         some = texts.rlike("(?isu)" + "|".join(words)) if words else F.lit(False)
         return self.unfiltered(features) | some if self.open else some  # the cheap one first
 
+    def asked_for(self, candidates: Column, features: Column, most: int = 500) -> Column:
+        """Of some candidates those of a text's features; all of them with more expressions than a literal array is good for
+        (wanted() looks at the features in any case)."""
+        if len(self.all) > most:
+            return candidates
+        names = F.array(*(F.lit(e.feature) for e in self.all))
+        return F.filter(candidates, lambda k: F.array_contains(features, F.get(names, k)))
+
     def unfiltered(self, features: Column) -> Column:
         """Whether one of the features has an expression that needs no literal."""
         return F.arrays_overlap(features, F.array(*map(F.lit, sorted(self.open)))) if self.open else F.lit(False)
@@ -221,7 +229,7 @@ def scan(areas: DataFrame, expressions: list[Expression] | Lexicon, key: str = "
             cols = list(zip(*rows, strict=True)) or [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
 
-    d = areas.select(key, "area", "area_ord", "attachment_id", "text", "features", *(["candidates"] if known else []))
+    d = areas.select(key, "area", "area_ord", "attachment_id", "text", "features", *([lexicon.asked_for(F.col("candidates"), F.col("features")).alias("candidates")] if known else []))
     may = (F.size("candidates") > 0) | lexicon.unfiltered(F.col("features")) if known else lexicon.maybe(F.col("text"), F.col("features"))
     return d.filter(may).mapInArrow(run, schema)
 

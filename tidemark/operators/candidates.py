@@ -25,7 +25,9 @@ def folded(text: Column) -> Column:
     """A text with characters that match each other in any case made equal, letter by letter."""
     # the dot of a dotted i goes; also, Spark would take one change of case right after another for needless
     undotted = lambda x: F.replace(x, F.lit("\u0307"), F.lit(""))
-    return F.replace(F.lower(undotted(F.upper(undotted(F.lower(text))))), F.lit("\u03c2"), F.lit("\u03c3"))
+    every = F.replace(F.lower(undotted(F.upper(undotted(F.lower(text))))), F.lit("\u03c2"), F.lit("\u03c3"))
+    # ASCII letters have one other case only
+    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(every)
 
 
 def words(text: Column) -> Column:

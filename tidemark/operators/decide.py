@@ -32,6 +32,12 @@ def copies(messages: DataFrame, attachment_limit: int | None = None) -> DataFram
     return d.select("copy", "d.message_id", "d.dataset_id", "d.restricted", "n_rows", "d.areas")
 
 
+def joined(d: DataFrame, other: DataFrame, how: str = "inner", wide: bool = False) -> DataFrame:
+    """d and another table laid out by copy, with one row for each of many copies, so that it is never broadcast, however
+    small its files make it look. Bucket by bucket it is hashed; if it is wide, both are sorted and merged."""
+    return d.join(other.hint("merge" if wide else "shuffle_hash"), "copy", how)
+
+
 def members(view: DataFrame, key: str = "message_id") -> DataFrame:
     """View rows with their definitions, is_nr and seq. Rows of a message are ordered by feature_id, features_to_apply,
     sub_feature_type and then the other columns; equal rows stay apart (they count as members) but share same_as, the
@@ -98,10 +104,23 @@ def in_scope(scope: Column, area: Column) -> Column:
     return e
 
 
-def requests(m: DataFrame, key: str = "copy") -> DataFrame:
-    """(key, wants): by area, the distinct pattern sets that some member asks for there."""
-    said = lambda a, s: F.sort_array(F.collect_set(F.when(has_scope(F.col("scope"), s), F.col("feature")))).alias(a)
-    return m.groupBy(key).agg(*(said(a, s) for a, s in AREAS.items())).select(key, F.struct(*AREAS).alias("wants"))
+def asking(m: DataFrame) -> DataFrame:
+    """(copy, message_id, process_id, own): a row a copy, with what its members ask for, equal ones once: struct(seq, feature_id,
+    feature, is_nr, scopes). The process is that of the first member."""
+    scopes = F.struct(*(has_scope(F.col("scope"), s).alias(a) for a, s in AREAS.items()))
+    own = F.sort_array(F.collect_list(F.struct("seq", "feature_id", "feature", "is_nr", scopes.alias("scopes"))))
+    return m.filter("seq = same_as").groupBy("copy").agg(F.min("message_id").alias("message_id"), F.min_by("process_id", "seq").alias("process_id"), own.alias("own"))
+
+
+def of_kind(own: DataFrame, noise: bool) -> DataFrame:
+    """Copies with members that are noise reduction, or aren't, with these alone."""
+    return own.withColumn("own", F.filter("own", lambda x: x["is_nr"] == F.lit(noise))).filter(F.size("own") > 0)
+
+
+def requests(own: DataFrame) -> DataFrame:
+    """(copy, wants): by area, the distinct pattern sets that some member asks for there."""
+    said = lambda a: F.array_sort(F.array_distinct(F.array_compact(F.transform(F.filter("own", lambda x: x["scopes"][a]), lambda x: x["feature"])))).alias(a)
+    return own.select("copy", F.struct(*map(said, AREAS)).alias("wants"))
 
 
 def asked(copies: DataFrame, wants: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -114,11 +133,9 @@ def asked(copies: DataFrame, wants: DataFrame, candidates: DataFrame) -> DataFra
     return d.withColumns({"features": pick, "candidates": own}).drop("wants", "_c").filter(F.size("features") > 0)
 
 
-def member_matches(m: DataFrame, raw: DataFrame) -> DataFrame:
+def member_matches(own: DataFrame, raw: DataFrame) -> DataFrame:
     """Raw matches of every member (copy, seq, feature_id), within its scope; equal members once."""
-    scopes = F.struct(*(has_scope(F.col("scope"), s).alias(a) for a, s in AREAS.items()))
-    own = m.filter("seq = same_as").groupBy("copy").agg(F.min("message_id").alias("message_id"), F.collect_list(F.struct("seq", "feature_id", "feature", scopes.alias("scopes"))).alias("own"))
-    d = raw.filter("scan_error is null").drop("scan_error").join(own, "copy")
+    d = joined(raw.filter("scan_error is null").drop("scan_error"), own.select("copy", "message_id", "own"), wide=True)
     there = lambda x: F.coalesce(*(F.when(F.col("area") == a, x["scopes"][a]) for a in AREAS))
     d = d.withColumn("x", F.explode(F.filter("own", lambda x: (x["feature"] == F.col("feature")) & there(x)))).drop("own")
     return d.select("copy", "message_id", "x.seq", "x.feature_id", *(c for c in raw.columns if c not in ("copy", "scan_error")))
@@ -144,7 +161,7 @@ def term_matches(matches: DataFrame, terms: DataFrame) -> DataFrame:
 def group_hits(groups: DataFrame, found: DataFrame) -> DataFrame:
     """groups with hit, and their members with it. One member decides alone; else the operator does."""
     hits = found.groupBy("copy").agg(F.collect_set("seq").alias("_seqs"))
-    g = groups.join(hits, "copy", "left")
+    g = joined(groups, hits, "left")
     told = F.transform("members", lambda x: x.withField("hit", F.coalesce(F.array_contains(F.col("_seqs"), x["seq"]), F.lit(False))))
     g = g.withColumn("members", told).drop("_seqs")
     any_, all_ = F.exists("members", lambda x: x["hit"]), F.forall("members", lambda x: x["hit"])

@@ -34,8 +34,9 @@ class Result:
 
     @classmethod
     def of(cls, messages: DataFrame, groups: DataFrame, found: DataFrame, raw: DataFrame | None = None) -> Result:
-        """Of tables laid out by copy; what was found in messages that failed later is left out."""
-        out = cls(messages, groups, found.join(messages.filter("error is null").select("copy"), "copy", "left_semi"), raw)
+        """Of tables laid out by copy; groups of messages that failed, and what was found in them, are left out."""
+        good = messages.filter("error is null").select("copy")
+        out = cls(messages, decide.joined(groups, good, "left_semi"), decide.joined(found, good, "left_semi"), raw)
         out._tables = {"messages": messages, "groups": groups, "found": found}
         return out
 
@@ -65,15 +66,17 @@ class Result:
 
 def evaluate(messages: DataFrame, view: DataFrame, terms: DataFrame, expressions: list[Expression], attachment_limit: int | None = None) -> Result:
     """Everything up to the evaluated groups. Each copy of a message is evaluated by itself."""
-    lexicon, laid = Lexicon(expressions), store.layout
+    lexicon, laid, joined = Lexicon(expressions), store.layout, decide.joined
     copies = laid(decide.copies(messages, attachment_limit), "copies", "copy")
     ids = copies.select("copy", "message_id")
-    m = laid(decide.members(store.deal(view.join(ids, "message_id"), "copy"), "copy"), "members", "copy", dealt=True)
+    members = decide.members(store.deal(view.join(ids, "message_id"), "copy"), "copy")
+    # without what nobody reads any more
+    m = laid(members.drop("feature_definition", "definition_error", *(c for c in ("feature_tagging_type", "feature_partition_value", "policy_engine_id", "dataset_partition") if c in view.columns)), "members", "copy", dealt=True)
     g = laid(decide.grouped(m, "copy"), "grouped", "copy", dealt=True)
-    bad = g.groupBy("copy").agg(F.min_by("group_error", F.when(F.col("group_error").isNotNull(), F.col("ord"))).alias("error"))
-    base = copies.drop("areas").join(m.groupBy("copy").agg(F.min_by("process_id", "seq").alias("process_id")), "copy").join(bad, "copy")
-    good = bad.filter("error is null").select("copy")
-    gm, gg = m.join(good, "copy", "left_semi"), g.join(good, "copy", "left_semi")
+    bad = g.filter("group_error is not null").groupBy("copy").agg(F.min_by("group_error", "ord").alias("error"))
+    own = laid(joined(decide.asking(m), bad, "left"), "asking", "copy", dealt=True)
+    base = joined(copies.drop("areas"), own.select("copy", "process_id", "error"))
+    good = own.filter("error is null")
     texts = copies.select("copy", F.explode("areas").alias("a")).select("copy", "a.area_ord", "a.text")
     few = len(lexicon.literals()) <= FEW_LITERALS
     may = found_directly(texts, lexicon, "copy") if few else candidates(texts, store.materialise(index(texts, lexicon), "index"), "copy")
@@ -83,26 +86,25 @@ def evaluate(messages: DataFrame, view: DataFrame, terms: DataFrame, expressions
         return laid(scan(decide.asked(copies, decide.requests(of), may), lexicon, "copy"), name, "copy", dealt=True)
 
     # stage one: noise reduction
-    nr = gm.filter("is_nr")
+    nr = decide.of_kind(good, True)
     raw_nr = raw(nr, "raw-nr")
     found_nr = decide.term_matches(decide.member_matches(nr, raw_nr), terms)
-    stopped = decide.group_hits(gg.filter("is_nr"), found_nr).filter("hit").select("copy").distinct()
+    stopped = laid(decide.group_hits(g.filter("is_nr"), found_nr).filter("hit").select("copy").distinct(), "stopped", "copy", dealt=True)
     # stage two: the others, for copies that go on
-    go = gm.filter("not is_nr").join(stopped, "copy", "left_anti")
+    go = joined(decide.of_kind(good, False), stopped, "left_anti")
     raw_more = raw(go, "raw")
     found = laid(found_nr.unionByName(decide.term_matches(decide.member_matches(go, raw_more), terms)), "found", "copy", dealt=True)
-    groups = decide.evaluated(decide.group_hits(gg, found))
+    groups = laid(decide.evaluated(decide.group_hits(g, found)), "groups", "copy", dealt=True)
     every = raw_nr.unionByName(raw_more)
     # errors that only a scanned or evaluated group can meet
     bad_scan = every.filter("scan_error is not null").groupBy("copy").agg(F.min_by("scan_error", "area_ord").alias("_scan"))
     bad_terms = terms.filter("error is not null").groupBy("feature").agg(F.min("error").alias("_e"))
     reached = groups.groupBy("copy").agg(F.collect_set(F.coalesce("feature_id", F.lit(""))).alias("_reached"), F.min(F.when(F.col("feature_id").try_cast("bigint").isNull(), F.concat(F.lit("feature_id is no number: "), F.coalesce("feature_id", F.lit("null"))))).alias("_id"))
-    sets = gm.groupBy("copy").agg(F.collect_set(F.struct(F.coalesce("feature_id", F.lit("")).alias("id"), "feature")).alias("_sets"))
-    named = reached.join(sets, "copy").select("copy", F.explode(F.array_distinct(F.transform(F.filter("_sets", lambda x: F.array_contains(F.col("_reached"), x["id"])), lambda x: x["feature"]))).alias("feature"))
+    sets = own.select("copy", F.transform("own", lambda x: F.struct(F.coalesce(x["feature_id"], F.lit("")).alias("id"), x["feature"].alias("feature"))).alias("_sets"))
+    named = joined(reached, sets).select("copy", F.explode(F.array_distinct(F.transform(F.filter("_sets", lambda x: F.array_contains(F.col("_reached"), x["id"])), lambda x: x["feature"]))).alias("feature"))
     bad_lexicon = named.join(bad_terms, "feature").groupBy("copy").agg(F.min(F.concat_ws(": ", "feature", "_e")).alias("_lex"))
-    base = base.join(bad_lexicon, "copy", "left").join(bad_scan, "copy", "left").join(reached.select("copy", "_id"), "copy", "left")
+    base = joined(joined(joined(base, bad_lexicon, "left"), bad_scan, "left"), reached.select("copy", "_id"), "left")
     base = laid(base.withColumn("error", F.coalesce("error", "_lex", "_scan", "_id")).drop("_lex", "_scan", "_id"), "messages", "copy", dealt=True)
-    groups = laid(groups.join(base.filter("error is null").select("copy"), "copy", "left_semi"), "groups", "copy", dealt=True)
     return Result.of(base, groups, found, every)
 
 
@@ -115,7 +117,7 @@ def by_category(r: Result, *categories: int) -> DataFrame:
     """Occurrences in evaluated groups of some categories, with category, of copies that weren't stopped; is the group hit or
     not."""
     own = r.groups.filter(F.col("category").isin(*categories) & ~F.col("short_circuited")).groupBy("copy").agg(F.map_from_entries(F.collect_list(F.struct(F.coalesce("feature_id", F.lit("")), "category"))).alias("_c"))
-    d = r.found.join(own, "copy").withColumn("category", F.try_element_at("_c", F.coalesce("feature_id", F.lit(""))))
+    d = decide.joined(r.found, own, wide=True).withColumn("category", F.try_element_at("_c", F.coalesce("feature_id", F.lit(""))))
     return d.filter("category is not null").drop("_c")
 
 
@@ -144,8 +146,8 @@ def hit_summary(r: Result, exec_id: str, created_by: str, created_ts: Column) ->
     t = t.groupBy("copy").agg(F.map_from_entries(F.collect_list(F.struct(F.coalesce("feature_id", F.lit("")), "term_dtls"))).alias("t"))
     g = r.groups.groupBy("copy").agg(F.sort_array(F.collect_list(F.struct("ord", F.col("feature_id").alias("id"), F.col("feature_name").alias("name"), F.col("total_terms").alias("total_terms_count")))).alias("g"))
     dtls = lambda x: F.coalesce(F.try_element_at("t", F.coalesce(x["id"], F.lit(""))), F.array().cast("array<struct<term_id:string,term_regex_pattern:string,regex_match_hit_count:bigint>>"))
-    e = g.join(t, "copy", "left").select("copy", F.transform("g", lambda x: F.struct(x["id"].alias("id"), x["name"].alias("name"), x["total_terms_count"].alias("total_terms_count"), F.size(dtls(x)).cast("long").alias("regex_hit_count"), dtls(x).alias("term_dtls"))).alias("evaluated_lexicons"))
-    d = _each(r.messages.filter("error is null").join(e, "copy", "left"))
+    e = decide.joined(g, t, "left", wide=True).select("copy", F.transform("g", lambda x: F.struct(x["id"].alias("id"), x["name"].alias("name"), x["total_terms_count"].alias("total_terms_count"), F.size(dtls(x)).cast("long").alias("regex_hit_count"), dtls(x).alias("term_dtls"))).alias("evaluated_lexicons"))
+    d = _each(decide.joined(r.messages.filter("error is null"), e, "left", wide=True))
     none = F.array().cast(schemas.LEXICON_HIT_SUMMARY["evaluated_lexicons"].dataType)
     return d.select("message_id", "process_id", F.lit(exec_id).alias("pipeline_exec_id"), F.coalesce("evaluated_lexicons", none).alias("evaluated_lexicons"), F.lit(created_by).alias("created_by"), created_ts.alias("created_ts"))
 
@@ -176,8 +178,8 @@ def hit_detail(r: Result, exec_id: str, created_by: str, created_ts: Column, par
     f = f.groupBy("copy").agg(F.map_from_entries(F.collect_list(F.struct(F.coalesce("feature_id", F.lit("")), "term_dtls"))).alias("t"))
     g = r.groups.groupBy("copy").agg(F.sort_array(F.collect_list(F.struct("ord", "feature_id"))).alias("g"))
     dtls = lambda x: F.try_element_at("t", F.coalesce(x["feature_id"], F.lit("")))
-    f = f.join(g, "copy").select("copy", F.transform(F.filter("g", lambda x: dtls(x).isNotNull()), lambda x: F.struct(x["feature_id"].alias("id"), dtls(x).alias("term_dtls"))).alias("e"))
-    d = _each(r.messages.filter("error is null").join(f, "copy"))
+    f = decide.joined(f, g, wide=True).select("copy", F.transform(F.filter("g", lambda x: dtls(x).isNotNull()), lambda x: F.struct(x["feature_id"].alias("id"), dtls(x).alias("term_dtls"))).alias("e"))
+    d = _each(decide.joined(r.messages.filter("error is null"), f, wide=True))
     return d.select(
         "message_id", "process_id", F.lit(exec_id).alias("pipeline_exec_id"), (F.col("dataset_id") if partition is None else partition).alias("dataset_partition_value"),
         F.col("e").alias("evaluated_lexicons"), F.lit(created_by).alias("created_by"), created_ts.alias("created_ts"), "restricted",
@@ -193,7 +195,7 @@ def feature_hit_summary(r: Result, hit_type: Column, exec_id: str, created_by: s
         F.col("is_nr").alias("is_noise_reduction"), F.col("hit").alias("hit_status"), F.when(F.col("n_members") > 1, sub).alias("sub_features"),
     )
     e = r.groups.groupBy("copy").agg(F.sort_array(F.collect_list(entry)).alias("e"))
-    d = _each(r.messages.filter("error is null").join(e, "copy", "left"))
+    d = _each(decide.joined(r.messages.filter("error is null"), e, "left", wide=True))
     none = F.array().cast(schemas.FEATURE_HIT_SUMMARY["features"].dataType)
     return d.select(
         "message_id", F.col("dataset_id").alias("dataset_partition_value"), F.lit(exec_id).alias("pipeline_exec_id"), "process_id", hit_type.alias("feature_hit_type"),
