@@ -8,7 +8,7 @@ from tidemark import schemas
 from tidemark.functions.text import Expression, Lexicon
 from tidemark.operators import decide
 from tidemark.operators.definitions import check_definitions, terms, with_definition
-from tidemark.plans import outputs
+from tidemark.plans import catalog, outputs
 
 
 
@@ -183,3 +183,13 @@ def test_texts_go_for_what_their_features_ask(spark):
     d = spark.createDataFrame([(["nr"], [1, 2]), (["lex"], [0, 2]), ([], [0])], "features array<string>, candidates array<int>")
     assert [x[0] for x in d.select(lex.asked_for(F.col("candidates"), F.col("features"))).collect()] == [[], [2], []]
     assert [x[0] for x in d.select(lex.asked_for(F.col("candidates"), F.col("features"), 2)).collect()] == [[1, 2], [0, 2], [0]]
+
+
+def test_flat_details_are_made_once(run):
+    """Occurrences of all areas in one pass over the details, other columns along with them."""
+    e, t = [Expression("lex", 1, "bomb")], {"lex": [(1, [1], [])]}
+    r = run([("a", "Bomb", "a bomb, bomb", [("x", "the BOMB"), ("y", "no")]), ("b", None, "nothing", [])], [("a", "1", "Lexicon", "N", None, "lex"), ("b", "1", "Lexicon", "N", None, "lex")], t, e)
+    d = catalog._flat_detail(outputs.hit_detail(r, "e", "b", stamp()), "restricted")
+    assert d.columns == ["message_id", "dataset_partition_value", "id", "term_id", "area", "attachment_id", "said", "start_pos", "length", "restricted"]
+    assert sorted((x.area, x.attachment_id or "", x.said, x.start_pos, x.length) for x in d.collect()) == [("ATTACHMENT", "x", "bomb", 4, 4), ("MESSAGE_BODY", "", "bomb", 2, 4), ("MESSAGE_BODY", "", "bomb", 8, 4), ("SUBJECT", "", "bomb", 0, 4)]
+    assert d._jdf.queryExecution().optimizedPlan().toString().count("tidemark_found") == 1

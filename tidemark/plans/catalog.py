@@ -78,9 +78,7 @@ def copies_evaluated(spark: SparkSession, sf_dir: str) -> outputs.Result:
 
 def copies_detail(spark, sf_dir):
     """Details of each copy by itself: what a restricted copy says is in no unrestricted row."""
-    d = outputs.hit_detail(copies_evaluated(spark, sf_dir), EXEC, BY, _ts())
-    parts = [_flat_detail(d.filter(F.col("restricted") == x)).withColumn("restricted", F.lit(x)) for x in (True, False)]
-    return parts[0].unionByName(parts[1])
+    return _flat_detail(outputs.hit_detail(copies_evaluated(spark, sf_dir), EXEC, BY, _ts()), "restricted")
 
 
 def copies_summary(spark, sf_dir):
@@ -235,16 +233,17 @@ def _detail(spark, sf_dir, restricted):
     return _flat_detail(outputs.hit_detail(r, EXEC, BY, _ts()).filter(F.col("restricted") == restricted))
 
 
-def _flat_detail(d):
-    d = d.select("message_id", "dataset_partition_value", F.explode("evaluated_lexicons").alias("e")).select("message_id", "dataset_partition_value", F.col("e.id").alias("id"), F.explode("e.term_dtls").alias("t"))
+def _flat_detail(d, *more):
+    """A row for each occurrence, with more of d's columns: the areas' are put together first, so that d is made once."""
+    own = ("message_id", "dataset_partition_value", *more)
+    d = d.select(*own, F.explode("evaluated_lexicons").alias("e")).select(*own, F.col("e.id").alias("id"), F.explode("e.term_dtls").alias("t"))
     hit = "array<struct<text:string,start:bigint,length:bigint>>"
     j = F.from_json("t.matched_text", f"hit_details_hs array<struct<message_id:string,msg_text:{hit},subject:{hit},attachment_text:array<struct<attachment_id:string,att_text:{hit}>>>>")["hit_details_hs"][0]
     d = d.withColumn("j", j)
-    part = lambda area, col: d.select("message_id", "dataset_partition_value", "id", F.col("t.term_id").alias("term_id"), F.lit(area).alias("area"), F.lit(None).cast("string").alias("attachment_id"), F.explode(col).alias("x"))
-    a = d.select("message_id", "dataset_partition_value", "id", F.col("t.term_id").alias("term_id"), F.lit("ATTACHMENT").alias("area"), F.explode("j.attachment_text").alias("a"))
-    a = a.select("message_id", "dataset_partition_value", "id", "term_id", "area", "a.attachment_id", F.explode("a.att_text").alias("x"))
-    every = part("MESSAGE_BODY", "j.msg_text").unionByName(part("SUBJECT", "j.subject")).unionByName(a)
-    return every.select("message_id", "dataset_partition_value", "id", "term_id", "area", "attachment_id", F.lower("x.text").alias("said"), F.col("x.start").alias("start_pos"), F.col("x.length").alias("length"))
+    said = lambda hits, area, att: F.transform(F.coalesce(hits, F.array().cast(hit)), lambda x: F.struct(F.lit(area).alias("area"), att.cast("string").alias("attachment_id"), F.lower(x["text"]).alias("said"), x["start"].alias("start_pos"), x["length"].alias("length")))
+    attached = F.flatten(F.transform(F.coalesce("j.attachment_text", F.array().cast(f"array<struct<attachment_id:string,att_text:{hit}>>")), lambda a: said(a["att_text"], "ATTACHMENT", a["attachment_id"])))
+    every = F.concat(said(F.col("j.msg_text"), "MESSAGE_BODY", F.lit(None)), said(F.col("j.subject"), "SUBJECT", F.lit(None)), attached)
+    return d.select(*own, "id", F.col("t.term_id").alias("term_id"), F.explode(every).alias("x")).select("message_id", "dataset_partition_value", "id", "term_id", "x.*", *more)
 
 
 def hit_detail_restricted(spark, sf_dir):
