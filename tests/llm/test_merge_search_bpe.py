@@ -250,6 +250,25 @@ def test_utf8_machine(ranks):
         d.feed(np.array([60_000]))
 
 
+def test_decoding_by_places(ranks, monkeypatch):
+    """Whole-character tokens are copied by their places, and only open ones, up to the next border, take the machine."""
+    d, fed = byte_bpe.Decoder(ranks), []
+    feed = byte_bpe.Utf8.feed
+    monkeypatch.setattr(byte_bpe.Utf8, "feed", lambda u, raw: fed.append(raw) or feed(u, raw))
+    ids = np.array([ranks[b"the"], ranks[b"\xf0"], ranks[b"\x9f"], ranks[b"\x98"], ranks[b"\x80"], ranks[b"a"], ranks[b"\x80"], ranks[b"the"], ranks[b"\xf0"]])
+    assert (d.feed(ids) + d.feed(ids[:1]) + d.finish()).decode() == "the\U0001f600a\ufffdthe\ufffdthe"
+    assert fed == [b"\xf0", b"\x9f", b"\x98", b"\x80", b"\x80", b"\xf0", b"the"]
+    assert d.feed(np.zeros(0, np.int64)) == b"" and byte_bpe.Decoder({}).feed(np.zeros(0, np.int64)) == b""
+
+
+def test_a_token_is_merged_once(ranks, monkeypatch):
+    """The halves of a token tell that it is their merge."""
+    n, merged = [0], byte_bpe.merged
+    monkeypatch.setattr(byte_bpe, "merged", lambda *x: n.__setitem__(0, n[0] + 1) or merged(*x))
+    machine = byte_bpe.Transducer(ranks)
+    assert n[0] == sum(len(t) > 1 for t in ranks) and all(merged(t, ranks) == [t] for t, i in list(ranks.items())[256::500] if i in machine.halves)
+
+
 def test_byte_bpe_query(spark, stored, ranks):
     own = tiktoken.Encoding("own", pat_str=PARAMS.pattern, mergeable_ranks=ranks, special_tokens={})
     rows = [(i, t) for i, t in enumerate(odd_texts(random.Random(5), 60))] + [(100, None), (101, ""), (None, "a"), (None, "a"), (102, "long words " * 30_000)]

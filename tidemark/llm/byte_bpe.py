@@ -15,6 +15,7 @@ clash. An empty table gives an empty one. Ids that the vocabulary lacks are an e
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import struct
 from collections.abc import Iterator
@@ -59,15 +60,19 @@ def merged(raw: bytes, ranks: dict[bytes, int], least: int = 1) -> list[bytes]:
     return parts
 
 
-class State:
-    __slots__ = ("guesses", "next", "rest")
+class State(dict):
+    """A state's edges: byte to (what is written, next state), looked up in C and made where they are missing."""
 
-    def __init__(self, guesses: tuple):
-        self.guesses = guesses
-        self.next: dict[int, tuple[bytes, State]] = {}
+    __slots__ = ("guesses", "machine", "rest")
+
+    def __init__(self, guesses: tuple, machine: Transducer):
+        self.guesses, self.machine = guesses, machine
         #: what is left to write at a piece's end, once it has been asked for
         self.rest: bytes | None = None
 
+    def __missing__(self, byte: int) -> tuple[bytes, State]:
+        return self.machine.step(self, byte)
+
 
 def _packed(ids: tuple[int, ...]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
@@ -96,14 +101,14 @@ class Transducer:
                 self.pairs[two[0] << 32 | two[1]] = i
             self._plant(t, i)
         self._fits: dict[int, bool] = {}
-        self.start = State((((), -1, 0),))
+        self.start = State((((), -1, 0),), self)
         self.known: dict[tuple, State] = {}
         self.passing = 0
 
     def _last_two(self, token: bytes) -> tuple[int, int] | None:
         """What the token's last merge joins; None if the merges of its bytes don't lead to it."""
-        two = merged(token, self.ranks, 2)
-        return (self.ranks[two[0]], self.ranks[two[1]]) if len(two) == 2 and b"".join(two) == token and merged(token, self.ranks) == [token] else None
+        two = merged(token, self.ranks, 2)  # if there are two, the token itself is their merge
+        return (self.ranks[two[0]], self.ranks[two[1]]) if len(two) == 2 else None
 
     def _plant(self, token: bytes, i: int) -> None:
         node = 0
@@ -143,31 +148,39 @@ class Transducer:
 
     def step(self, s: State, byte: int) -> tuple[bytes, State]:
         guesses = []
-        edge, token, inner = self.edge, self.token, self.inner
+        edge, token, inner, fits = self.edge.get, self.token, self.inner, self._fits.get
         for written, last, node in s.guesses:
-            to = edge.get(node << 8 | byte)
+            to = edge(node << 8 | byte)
             if to is not None:
                 if inner[to]:
                     guesses.append((written, last, to))
                 t = token[to]
-                if t >= 0 and (last < 0 or self.fits(last, t)):
-                    guesses.append(((*written, t), t, 0))
-        first, n = guesses[0][0], 0
-        while n < len(first) and all(len(g[0]) > n and g[0][n] == first[n] for g in guesses):
-            n += 1
+                if t >= 0:
+                    ok = last < 0 or fits(last << 32 | t)
+                    if self.fits(last, t) if ok is None else ok:
+                        guesses.append(((*written, t), t, 0))
+        first = guesses[0][0]
+        n = len(first)
+        for written, _, _ in guesses:
+            if written is not first:
+                n = min(n, len(written))
+                while n and written[:n] != first[:n]:
+                    n -= 1
+            if not n:
+                break
         key = tuple((w[n:], last, node) for w, last, node in guesses) if n else tuple(guesses)
         t = self.known.get(key)
         if t is None:
-            t = State(key)
+            t = State(key, self)
             if len(self.known) >= self.max_states:
                 self.passing += 1
                 if self.passing <= 20 * self.max_states:
                     return _packed(first[:n]), t
                 self.passing = 0
                 self.known.clear()
-                self.start.next.clear()
+                self.start.clear()
             self.known[key] = t
-        s.next[byte] = out = (_packed(first[:n]), t)
+        s[byte] = out = (_packed(first[:n]), t)
         return out
 
     def encode(self, piece: bytes) -> bytes:
@@ -177,12 +190,9 @@ class Transducer:
             return _packed((whole,))
         out, s = [], self.start
         for byte in piece:
-            edge = s.next.get(byte)
-            if edge is None:
-                edge = self.step(s, byte)
-            if edge[0]:
-                out.append(edge[0])
-            s = edge[1]
+            written, s = s[byte]
+            if written:
+                out.append(written)
         if s.rest is None:
             s.rest = _packed(next(written for written, _, node in s.guesses if not node))
         out.append(s.rest)
@@ -271,26 +281,39 @@ class Decoder:
         self.has = np.zeros(len(self.tokens), bool)
         for t, i in ranks.items():
             self.tokens[i], self.has[i], self.whole[i] = t, True, Utf8().feed(t) == t
+        #: all tokens' bytes in one buffer
+        self.flat = np.frombuffer(b"".join(self.tokens) or b"\0", np.uint8)
+        self.size = np.fromiter(map(len, self.tokens), np.int64, len(self.tokens))
+        self.begin = np.cumsum(self.size) - self.size
         self.utf8 = Utf8()
 
     def feed(self, ids: np.ndarray) -> bytes:
         if len(ids) and (int(ids.max()) >= len(self.tokens) or not self.has[ids].all()):
             raise ValueError("an id that the vocabulary lacks")
-        parts, open_ = list(map(self.tokens.__getitem__, ids.tolist())), np.flatnonzero(~self.whole[ids])
-        if not len(open_) and self.utf8.state == ACCEPT:
-            return b"".join(parts)
-        out, at, k = [], 0, 0
-        while at < len(parts):
-            if self.utf8.state == ACCEPT:
-                while k < len(open_) and open_[k] < at:
-                    k += 1
-                to = int(open_[k]) if k < len(open_) else len(parts)
-                out += parts[at:to]
-                at = to
-                if at == len(parts):
+        # every place of the bytes is its token's place in the buffer and what it is behind that token's begin
+        size = self.size[ids]
+        end = np.cumsum(size)
+        at = np.repeat(self.begin[ids] - end + size, size)
+        at += np.arange(len(at))
+        raw = self.flat[at].tobytes()
+        open_ = np.flatnonzero(~self.whole[ids]).tolist()
+        if len(ids) and self.utf8.state != ACCEPT:
+            open_ = [0, *open_]
+        if not open_:
+            return raw
+        out, done, to = [], 0, 0
+        for k in open_:
+            if k < to:
+                continue
+            out.append(raw[done : int(end[k] - size[k])])
+            to = k
+            while to < len(ids):
+                out.append(self.utf8.feed(self.tokens[ids[to]]))
+                to += 1
+                if self.utf8.state == ACCEPT:
                     break
-            out.append(self.utf8.feed(parts[at]))
-            at += 1
+            done = int(end[to - 1])
+        out.append(raw[done:])
         return b"".join(out)
 
     def finish(self) -> bytes:
@@ -326,7 +349,11 @@ def encode(d: DataFrame, p: Params, text: str = "text", keep: tuple[str, ...] =
         cut, ids = regex.compile(p.pattern).findall, pieces.__getitem__
         for whole in batches:
             for b in slices(whole, "_text"):
-                out = [b"".join(map(ids, cut(t))) if t else b"" for t in b.column(b.schema.get_field_index("_text")).to_pylist()]
+                gc.disable()  # the states that a stretch makes stay; to go through them again and again frees nothing
+                try:
+                    out = [b"".join(map(ids, cut(t))) if t else b"" for t in b.column(b.schema.get_field_index("_text")).to_pylist()]
+                finally:
+                    gc.enable()
                 yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array([len(x) // 4 for x in out], pa.int64()), pa.array(out, pa.binary())], [*b.schema.names[:-1], "n_tokens", "ids"])
 
     made = d.select(*(f"`{c}`" for c in keep), d[f"`{text}`"].cast("string").alias("_text"))
