@@ -115,6 +115,46 @@ def test_suffix_dedup_shared_ids(spark):
     assert sorted((-1 if x.doc_id is None else x.doc_id, *tuple(x)[1:5]) for x in got) == sorted((k[0], *v) for k, v in want.items())
 
 
+def test_suffix_dedup_hot_cells(spark):
+    """Only a gram that many contexts share makes its cell hot, however many grams there are."""
+    r = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    texts = ["".join(r.choices(letters, k=5000)) for _ in range(400)]
+    passage = "".join(r.choices(letters, k=100))
+    frame = lambda rows: spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").selectExpr("doc_id", "0L t0", "0L t1", "text")
+    p = suffix_dedup.Params(hot_contexts=8, hot_sample=1)
+    assert not suffix_dedup.hot_cells(frame(texts), p).any()
+    hot = suffix_dedup.hot_cells(frame([x[:2500] + passage + x[2500:] for x in texts]), p)
+    assert 0 < hot.sum() <= len(passage) - p.gram + 1  # a cell a gram of the passage at most
+
+
+def test_suffix_dedup_disk(spark, monkeypatch):
+    """When the result is read, nothing of the steps before it is on disk any more but their tables, each repeat once."""
+    r = random.Random(5)
+    passage = "".join(r.choice("abcdefgh ") for _ in range(400))
+    rows = [(i, f"{i} " + passage[r.randint(0, 200) :][: r.randint(50, 250)] + f" {i}") for i in range(200)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = manager.getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    written = {}
+    monkeypatch.setattr(suffix_dedup, "materialise", lambda df, name, f=suffix_dedup.materialise: written.setdefault(name, f(df, name)))
+    was, conf = shuffled(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    out = suffix_dedup.dedup(d)
+    until = time.time() + 20
+    while (left := shuffled() - was) and time.time() < until:  # they go in the background
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == conf
+    spans = written["spans"].filter(F.col("kind") == suffix_dedup.SPAN).select("doc_id", "start", "end")
+    assert spans.count() and not spans.intersect(written["repeats"].select("doc_id", "start", "end")).count()
+    want = brute_dedup([(*x, x[1]) for x in rows])
+    assert sorted((x.doc_id, *tuple(x)[1:5]) for x in out.collect()) == sorted((k[0], *v) for k, v in want.items())
+
+
 # --- 2
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.store import drop_table, forget, materialise, shared_dir  # noqa: F401
+from tidemark.store import drop_table, forget, materialise, released, shared_dir  # noqa: F401
 
 #: The white space of every word definition here: blank and \t \n \v \f \r.
 SPACE = " \t\n\x0b\x0c\r"

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import few, in_arrow, materialise, mix64, slices
+from tidemark.llm.common import few, in_arrow, materialise, mix64, released, slices
 from tidemark.llm.induced import BLOCK, Store, Text, suffixes
 
 
@@ -148,7 +148,8 @@ def _anchors(batch: list[tuple[tuple[int, int, int], int, bytes]], p: Params) ->
 
 
 def _cell(gram: np.ndarray) -> np.ndarray:
-    return (gram >> _U(64 - _CELLS)).astype(np.int64)
+    """Cells by bits that have no part in the choice of anchors: the upper ones are least, and few cells would hold all."""
+    return (gram & _U((1 << _CELLS) - 1)).astype(np.int64)
 
 
 def hot_cells(docs: DataFrame, p: Params) -> np.ndarray:
@@ -495,10 +496,9 @@ def spans(docs: DataFrame, p: Params = Params()) -> DataFrame:
     spark: SparkSession = docs.sparkSession
     shards = max(8, 4 * docs.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
     found = materialise(folded(sampled(docs, shards, hot_cells(docs, p), p), shards, docs, p), "spans")
-    more = sorted_spans(docs, found.filter(F.col("kind") == CANDIDATE), p)
     keep = ["doc_id", "t0", "t1", "start", "end"]
-    every = found.filter(F.col("kind") == SPAN).select(*keep).unionByName(more.select(*keep))
-    return materialise(every, "repeats")
+    more = materialise(sorted_spans(docs, found.filter(F.col("kind") == CANDIDATE), p).select(*keep), "repeats")
+    return found.filter(F.col("kind") == SPAN).select(*keep).unionByName(more)
 
 
 #: Stands in for a null doc_id: before all others.
@@ -515,11 +515,13 @@ def dedup(docs: DataFrame, p: Params = Params(), keep_text: bool = False) -> Dat
     out where all ids differ). An empty table gives an empty result. Extra columns, whatever their names, don't matter.
     """
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    shared = not docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
-    tie = (lambda k: F.xxhash64(F.lit(k), F.col("text"))) if shared else (lambda k: F.lit(0).cast("long"))
-    docs = docs.withColumns({"t0": tie(1), "t1": tie(2)})
+    with released(docs.sparkSession):
+        shared = not docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
+        tie = (lambda k: F.xxhash64(F.lit(k), F.col("text"))) if shared else (lambda k: F.lit(0).cast("long"))
+        docs = docs.withColumns({"t0": tie(1), "t1": tie(2)})
+        found = spans(docs, p)
     key = ["doc_id", "t0", "t1"]
-    repeats = spans(docs, p).groupBy(*key).agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    repeats = found.groupBy(*key).agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     d = docs.join(repeats, key, "left").select("doc_id", "text", "spans")
     extra = ", kept binary, removed array<struct<start:bigint,end:bigint>>" if keep_text else ""
 

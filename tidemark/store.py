@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +46,22 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of each query that is built and run within go when it has run. Otherwise they stay until the driver
+    happens to collect its garbage, and a job of several queries holds the files of all of them at once."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if was is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, was)
+
+
 def layout(df: DataFrame, name: str, key: str, dealt: bool = False) -> DataFrame:
     """Write df dealt out by a key into as many buckets as the session has shuffle partitions, and read it back: joins,
     groups and windows by that key, of all tables laid out so, need no further shuffle. dealt: df is dealt out already
